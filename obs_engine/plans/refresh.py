@@ -1,0 +1,240 @@
+"""One load: raw tables, the models over them, the mark and the run ledger.
+
+Tables are Parquet folders below ``root``. Models are rebuilt only for the periods a
+load touched; that gives the same tables as rebuilding them whole.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import traceback
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from obs_engine.functions import year_month
+from obs_engine.operators.incremental import Day, extraction_window
+from obs_engine.operators.selection import top_entities
+from obs_engine.operators.shaping import nan_to_null, raw_population, raw_weather
+from obs_engine.plans.serving import SERVING_MODELS
+from obs_engine.plans.staging import stage, unify
+from obs_engine.schemas import RAW_WEATHER_KEYS
+from obs_engine.sources.documents import ARRIVED_AT
+from obs_engine.sources.logs import (
+    COMPLETED,
+    ERROR,
+    STARTED,
+    advance_mark,
+    append_run,
+    last_mark,
+    new_run_id,
+)
+from obs_engine.sources.tables import (
+    MONTH,
+    YEAR,
+    Period,
+    overwrite_table,
+    read_table,
+    table_exists,
+    upsert_table,
+)
+
+RUN_LEDGER_TABLE = "pipeline_logs"
+INCREMENT_LOG_TABLE = "historic_logs"
+UNIFIED = "staging_historic_and_forecast"
+DAY_MONTH = Period("year_month", lambda: year_month("day"))
+
+
+@dataclass(frozen=True)
+class Served:
+    """Where a serving model reads from and how its table is laid out."""
+
+    source: str
+    period: Period
+    order: tuple[str, ...]
+
+
+SERVED = {
+    "serving_activities": Served(UNIFIED, MONTH, ("city", "date")),
+    "serving_rank_city_metrics_by_day": Served(UNIFIED, DAY_MONTH, ("day",)),
+    "serving_rank_city_metrics_by_month": Served(UNIFIED, MONTH, ("city",)),
+    "serving_weather_condition_count_by_month": Served("staging_historic", MONTH, ("city",)),
+    "serving_weather_condition_count_by_year": Served("staging_historic", YEAR, ("city",)),
+}
+
+
+def read_model(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table with the columns of its model, in the model's order."""
+    stored = read_table(spark, f"{root}/{name}")
+    period = SERVED[name].period.name if name in SERVED else MONTH.name
+    others = [F.col(f"`{c}`") for c in stored.columns if c != period]
+    if name.startswith("staging") or name in (
+        "serving_activities",
+        "serving_rank_city_metrics_by_day",
+    ):
+        return stored.select(*others)  # the period is only layout here
+    return stored.select(period, *others)
+
+
+def build_models(
+    spark: SparkSession, root: str, months: list[str] | None = None
+) -> dict[str, int]:
+    """Rebuild the staging and serving tables, all of them or the given months.
+
+    A given month that no longer has any rows cannot be emptied by replacing
+    partitions, so then everything is rebuilt. Returns the rows written per table.
+    """
+    historic, forecast = f"{root}/raw_historic", f"{root}/raw_forecast"
+    raw_historic = read_table(spark, historic) if table_exists(spark, historic) else None
+    raw_forecast = read_table(spark, forecast) if table_exists(spark, forecast) else None
+    if raw_historic is None and raw_forecast is None:
+        return {}
+    raw_historic = raw_historic if raw_historic is not None else raw_forecast.limit(0)
+    raw_forecast = raw_forecast if raw_forecast is not None else raw_historic.limit(0)
+
+    if months is not None and not all(
+        table_exists(spark, f"{root}/{name}") for name in [UNIFIED, *SERVED]
+    ):
+        months = None
+    if months is not None:
+        touched = F.col(MONTH.name).isin(months)
+        left = {
+            r[0]
+            for raw in (raw_historic, raw_forecast)
+            for r in raw.where(touched).select(MONTH.name).distinct().collect()
+        }
+        if left != set(months):
+            months = None
+
+    def part(raw: DataFrame) -> DataFrame:
+        return raw if months is None else raw.where(F.col(MONTH.name).isin(months))
+
+    written = {}
+    for name, model, whole in (
+        ("staging_historic", stage(part(raw_historic)), False),
+        # A load replaces the forecast, so its former months may be gone.
+        ("staging_forecast", stage(raw_forecast), True),
+        (UNIFIED, unify(part(raw_historic), part(raw_forecast)), False),
+    ):
+        written[name] = overwrite_table(
+            model.withColumn(MONTH.name, MONTH.of()),
+            f"{root}/{name}",
+            period=MONTH.name,
+            order=["city", "date"],
+            only_periods=months is not None and not whole,
+        )
+    for name, model in SERVING_MODELS.items():
+        served = SERVED[name]
+        source = read_table(spark, f"{root}/{served.source}")
+        if months is not None:
+            source = source.where(_touched(served.period, months))
+        result = model(source)
+        if served.period.name not in result.columns:
+            result = result.withColumn(served.period.name, served.period.of())
+        written[name] = overwrite_table(
+            result,
+            f"{root}/{name}",
+            period=served.period.name,
+            order=list(served.order),
+            only_periods=months is not None,
+        )
+    return written
+
+
+def _touched(period: Period, months: list[str]):
+    """A filter on the month partitions that covers the given months' periods."""
+    month = F.col(MONTH.name)
+    if period is YEAR:
+        return F.substring(month, 1, 4).isin(sorted({m[:4] for m in months}))
+    return month.isin(months)
+
+
+def load(
+    spark: SparkSession,
+    root: str,
+    *,
+    as_of: Day,
+    days_back: int = 365,
+    cities: DataFrame | None = None,
+    historic: DataFrame | None = None,
+    forecast: DataFrame | None = None,
+) -> dict[str, int]:
+    """Load the raw tables from landed documents and advance the mark.
+
+    ``cities`` are population documents and replace the city table; the other two are
+    weather documents, cut to those cities if given. Historic days are cut to the days
+    since the mark and upserted, the forecast replaces the former one. Then the models
+    are rebuilt for the months touched. Returns the rows written per table.
+    """
+    written: dict[str, int] = {}
+    selected = None
+    if cities is not None:
+        path = f"{root}/raw_cities"
+        written["raw_cities"] = overwrite_table(top_entities(raw_population(cities)), path)
+        selected = read_table(spark, path).select(F.col("city").alias("City_Name"))
+
+    def rows(documents: DataFrame) -> DataFrame:
+        raw = raw_weather(documents)
+        if selected is None:
+            return raw
+        return raw.join(F.broadcast(selected), "City_Name", "left_semi")  # top ten cities
+
+    months: set[str] | None = set()
+    log = f"{root}/{INCREMENT_LOG_TABLE}"
+    if historic is not None:
+        batch = extraction_window(
+            rows(historic),
+            "date",
+            mark=last_mark(spark, log),
+            as_of=as_of,
+            days_back=days_back,
+        )
+        seq = ARRIVED_AT if ARRIVED_AT in batch.columns else None
+        path = f"{root}/raw_historic"
+        done = upsert_table(spark, path, batch, RAW_WEATHER_KEYS, seq=seq)
+        written["raw_historic"] = done.rows
+        months = None if done.periods is None else months | set(done.periods)
+    if forecast is not None:
+        path = f"{root}/raw_forecast"
+        before = _months(spark, path)
+        written["raw_forecast"] = overwrite_table(
+            nan_to_null(rows(forecast).drop(ARRIVED_AT)).withColumn(MONTH.name, MONTH.of()),
+            path,
+            period=MONTH.name,
+            order=RAW_WEATHER_KEYS,
+        )
+        if months is not None:
+            months |= before | _months(spark, path)
+
+    if months is None or months:
+        written |= build_models(spark, root, months and sorted(months))
+    if written.get("raw_historic"):
+        loaded = read_table(spark, f"{root}/raw_historic")
+        if months:
+            loaded = loaded.where(F.col(MONTH.name).isin(sorted(months)))
+        advance_mark(spark, log, loaded, "date", as_of)
+    return written
+
+
+def _months(spark: SparkSession, path: str) -> set[str]:
+    """Months of a forecast table: a few, as a forecast is a few days long."""
+    if not table_exists(spark, path):
+        return set()
+    return {r[0] for r in read_table(spark, path).select(MONTH.name).distinct().collect()}
+
+
+def refresh(spark: SparkSession, root: str, **arguments) -> dict[str, int]:
+    """``load`` with its start and its end recorded in the run ledger."""
+    ledger = f"{root}/{RUN_LEDGER_TABLE}"
+    run_id = new_run_id(spark, ledger)
+    config = {k: v for k, v in arguments.items() if not isinstance(v, DataFrame)}
+    append_run(spark, ledger, run_id, STARTED, config)
+    try:
+        written = load(spark, root, **arguments)
+    except Exception:
+        append_run(spark, ledger, run_id, ERROR, config, traceback.format_exc())
+        raise
+    log = "\n".join(f"{table}: {n} rows" for table, n in written.items())
+    append_run(spark, ledger, run_id, COMPLETED, config, log)
+    return written
