@@ -11,7 +11,9 @@ such groups are ranked in pieces instead:
 3. rank = 1 + rows in higher buckets + rows above the value inside its bucket.
 
 Every step depends on the data alone (splitters are values picked by their hash), so
-a recomputed task gives the same buckets again.
+a recomputed task gives the same buckets again. For the same reason the metrics must
+not change from one evaluation to the next: rank stored or rounded values, not raw
+floating point sums.
 """
 
 from __future__ import annotations
@@ -59,10 +61,20 @@ def rank_metrics(
     is_hot = _same([F.col(p) for p in partition], [F.col(f"_hot_{p}") for p in partition])
     hot = F.broadcast(hot)  # fewer than total / cut <= max_pieces rows
     regular = _rank_by_window(df.join(hot, is_hot, "left_anti"), partition, ranks)
-    ranked = df.join(hot, is_hot, "left_semi")
+    hot_rows = df.join(hot, is_hot, "left_semi")
+    ranked = hot_rows
     for metric, name in ranks.items():
-        ranked = _rank_in_pieces(ranked, partition, metric, name, cut)
-    return regular.unionByName(ranked.select(*regular.columns))
+        value_ranks = _value_ranks(hot_rows, partition, metric, name, cut)
+        # One row per value on the right, so only the left can be skewed, which
+        # adaptive execution splits.
+        ranked = ranked.join(
+            value_ranks,
+            _same(
+                [*[F.col(p) for p in partition], F.col(metric)],
+                [*[F.col(k) for k in _keys(partition)], F.col("_value")],
+            ),
+        ).drop(*_keys(partition), "_value")
+    return regular.unionByName(ranked)
 
 
 def _rank_by_window(df: DataFrame, partition: list[str], ranks: Mapping[str, str]) -> DataFrame:
@@ -76,10 +88,15 @@ def _rank_by_window(df: DataFrame, partition: list[str], ranks: Mapping[str, str
     )
 
 
-def _rank_in_pieces(
+def _keys(partition: list[str]) -> list[str]:
+    return [f"_key_{i}" for i in range(len(partition))]
+
+
+def _value_ranks(
     df: DataFrame, partition: list[str], metric: str, name: str, cut: int
 ) -> DataFrame:
-    keys = [f"_key_{i}" for i in range(len(partition))]
+    """The rank ``name`` of each distinct (group, value of the metric)."""
+    keys = _keys(partition)
     values = df.groupBy(
         *[F.col(p).alias(k) for p, k in zip(partition, keys)], F.col(metric).alias("_value")
     ).agg(F.count("*").alias("_rows"))
@@ -113,7 +130,7 @@ def _rank_in_pieces(
     above = Window.partitionBy(*keys, "_bucket").orderBy(
         F.col("_value").desc_nulls_first()
     ).rowsBetween(Window.unboundedPreceding, -1)
-    value_ranks = (
+    return (
         bucketed.withColumn("_above", F.coalesce(F.sum("_rows").over(above), F.lit(0)))
         .join(
             F.broadcast(offsets),
@@ -124,15 +141,6 @@ def _rank_in_pieces(
         )
         .select(*keys, "_value", (F.lit(1) + F.col("_offset") + F.col("_above")).alias(name))
     )
-    # One row per value on the right, so only the left can be skewed, which adaptive
-    # execution splits.
-    return df.join(
-        value_ranks,
-        _same(
-            [*[F.col(p) for p in partition], F.col(metric)],
-            [*[F.col(k) for k in keys], F.col("_value")],
-        ),
-    ).select(*df.columns, name)
 
 
 def _same(left: list[Column], right: list[Column]) -> Column:

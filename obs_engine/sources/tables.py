@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 from hashlib import sha256
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -109,45 +111,74 @@ def upsert_table(
     only periods found in the batch are read and rewritten. NaN becomes NULL. See
     ``latest_per_key`` for duplicates and ``merge_frames`` for what a match replaces.
 
-    The batch and the merged periods are both written to the scratch area before the
-    table is touched: the batch is then the same rows whatever tasks are repeated, and
-    a table cannot be overwritten while it is being read. Each table has one such area,
-    overwritten by the next upsert. One writer per table at a time.
+    The batch is written to the scratch area first and read from there, so it is the
+    same rows in every step, whatever tasks are repeated. Work beyond that depends on
+    what the batch is like: rows are only put through ``latest_per_key`` if keys do
+    repeat, and a batch without any matched key is appended. One writer per table at a
+    time; a batch repeated after a failure gives the same table.
     """
     scratch = f"{scratch_root(spark)}/obs_engine/upsert-{sha256(path.encode()).hexdigest()[:16]}"
-    layout = [period.name] if period else []
-
-    clean = latest_per_key(nan_to_null(batch), keys, seq, strict)
+    layout = period.name if period else None
     if period:
-        clean = clean.withColumn(period.name, period.of())
-    rows = overwrite_table(clean, f"{scratch}/batch")
+        batch.select(*map(quoted, keys)).select(period.of())  # raises on any other column
+        batch = batch.withColumn(period.name, period.of())
+        keys = [*keys, period.name]
+
+    nan_to_null(batch).write.mode("overwrite").parquet(f"{scratch}/batch")
+    staged = read_table(spark, f"{scratch}/batch")
+    rows, repeated, nulls = _key_facts(staged, keys)
     if rows == 0:
         return Upsert(0)
-    staged = read_table(spark, f"{scratch}/batch")
+    if nulls:
+        raise ValueError(f"{nulls} rows with NULL in key {keys}")
+    if repeated and (strict or seq is None):
+        raise ValueError(f"{repeated} duplicate keys {keys} in batch")
+    if repeated:
+        staged = latest_per_key(staged, keys, seq)
+    elif seq:
+        staged = staged.drop(seq)
     periods = _periods(staged, period) if period else None
 
     if not table_exists(spark, path):
-        overwrite_table(staged, path, period=period and period.name, order=keys)
+        overwrite_table(staged, path, period=layout, order=keys)
         return Upsert(rows, periods)
 
-    table = read_table(spark, path)
-    whole = periods is None
-    existing = table if whole else table.where(F.col(period.name).isin(periods))
-    merged = merge_frames(existing, staged, keys + layout, small_batch=rows <= small_batch_rows)
-    overwrite_table(merged, f"{scratch}/merged", period=period and period.name, order=keys)
-    # Already laid out: copy the merged files' partitions without another shuffle.
-    writer = (
-        spark.read.schema(table.schema)
-        .parquet(f"{scratch}/merged")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static" if whole else "dynamic")
-    )
+    existing = read_table(spark, path)
+    if periods is not None:
+        existing = existing.where(F.col(period.name).isin(periods))
+    if _matched(existing, staged, keys).isEmpty():
+        new = merge_frames(existing.limit(0), staged, keys)
+        writer = _laid_out(new, layout, keys).write.mode("append")
+        (writer.partitionBy(layout) if layout else writer).parquet(path)
+        return Upsert(rows, periods)
+
+    merged = merge_frames(existing, staged, keys, small_batch=rows <= small_batch_rows)
     if period:
-        writer = writer.partitionBy(period.name)
-    writer.parquet(path)
+        # The new partitions take the place of the old ones when all are written, so
+        # the table may be read meanwhile.
+        overwrite_table(merged, path, period=layout, order=keys, only_periods=True)
+    else:
+        overwrite_table(merged, f"{scratch}/merged", order=keys)
+        overwrite_table(read_table(spark, f"{scratch}/merged"), path, order=keys)
     return Upsert(rows, periods)
 
 
+def _key_facts(batch: DataFrame, keys: list[str]) -> tuple[int, int, int]:
+    """Distinct keys, keys that repeat, and keys with a NULL."""
+    per_key = batch.groupBy(*map(quoted, keys)).agg(F.count("*").alias("_rows"))
+    any_null = reduce(or_, [F.col(quoted(k)).isNull() for k in keys])
+    facts = per_key.agg(
+        F.count("*"), F.count_if(F.col("_rows") > 1), F.count_if(any_null)
+    )
+    return tuple(facts.first())
+
+
+def _matched(existing: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """The keys of the table that are in the batch."""
+    names = [F.col(quoted(k)) for k in keys]
+    return existing.select(*names).join(batch.select(*names), keys, "left_semi")
+
+
 def _periods(df: DataFrame, period: Period) -> list | None:
     """The distinct periods, or None if they are too many to list."""
     found = df.select(period.name).distinct().limit(MAX_PERIODS + 1).collect()

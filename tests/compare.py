@@ -1,4 +1,4 @@
-"""Compare queries with their SQL: python tests/check.py SF [NAME ...]"""
+"""Compare queries with their SQL: python tests/compare.py SF [NAME ...]"""
 
 from __future__ import annotations
 
