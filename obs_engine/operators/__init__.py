@@ -12,7 +12,7 @@ from obs_engine.operators.incremental import (
     work_list,
 )
 from obs_engine.operators.joins import broadcast_if_small
-from obs_engine.operators.merge import latest_per_key, merge_frames
+from obs_engine.operators.merge import latest_per_key, matched_keys, merge_frames
 from obs_engine.operators.ranking import (
     monthly_metrics,
     rank_metrics,
@@ -46,6 +46,7 @@ __all__ = [
     "high_water_mark",
     "indoor_conditions",
     "latest_per_key",
+    "matched_keys",
     "merge_frames",
     "missing_keys",
     "monthly_metrics",

@@ -47,9 +47,9 @@ def merge_frames(
     A matched key takes every non-key column of the batch, NULLs included; columns the
     batch does not have keep their value. Unmatched rows of either side are kept.
 
-    The general plan is one full outer join. ``small_batch`` picks a plan that joins
-    outwards from the batch, so that Spark can broadcast it and leave ``existing``
-    unshuffled; the result is the same.
+    The general plan is one full outer join. ``small_batch`` is for a batch the caller
+    has counted to be small: it is broadcast, which leaves ``existing`` unshuffled. The
+    result is the same.
     """
     unknown = set(batch.columns) - set(existing.columns)
     if unknown:
@@ -76,9 +76,21 @@ def merge_frames(
     if not small_batch:
         return existing.join(new, keys, "full").select(*projection)
 
-    updated = existing.join(new, keys, "left").select(*projection)
-    matched = existing.select(*quoted_keys).join(new.select(*quoted_keys), keys, "left_semi")
+    updated = existing.join(F.broadcast(new), keys, "left").select(*projection)
+    # No more keys than the batch has.
+    matched = F.broadcast(matched_keys(existing, new, keys, small_batch))
     inserted = new.join(matched, keys, "left_anti").select(
         *quoted_keys, *[F.col(f"_new.{quoted(c)}").alias(c) for c in measures]
     )
     return updated.unionByName(inserted, allowMissingColumns=True)
+
+
+def matched_keys(
+    existing: DataFrame, batch: DataFrame, keys: list[str], small_batch: bool = False
+) -> DataFrame:
+    """The keys of ``existing`` that are in the batch."""
+    names = [F.col(quoted(k)) for k in keys]
+    wanted = batch.select(*names)
+    return existing.select(*names).join(
+        F.broadcast(wanted) if small_batch else wanted, keys, "left_semi"
+    )

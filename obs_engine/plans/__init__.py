@@ -1,4 +1,4 @@
-from obs_engine.plans.refresh import build_models, load, read_model, refresh
+from obs_engine.plans.refresh import build_models, load, read_model, refresh, register_views
 from obs_engine.plans.serving import (
     SERVING_MODELS,
     condition_count_by_month,
@@ -14,6 +14,7 @@ __all__ = [
     "load",
     "read_model",
     "refresh",
+    "register_views",
     "stage",
     "unify",
 ]

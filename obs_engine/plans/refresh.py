@@ -77,6 +77,23 @@ def read_model(spark: SparkSession, root: str, name: str) -> DataFrame:
     return stored.select(period, *others)
 
 
+def register_views(spark: SparkSession, root: str) -> list[str]:
+    """Make each table of ``root`` known to SQL under its own name."""
+    tables = ["raw_cities", "raw_historic", "raw_forecast", RUN_LEDGER_TABLE]
+    models = ["staging_historic", "staging_forecast", UNIFIED, *SERVED]
+    known = []
+    for name in [*tables, *models]:
+        if table_exists(spark, f"{root}/{name}"):
+            df = (read_model if name in models else _read)(spark, root, name)
+            df.createOrReplaceTempView(name)
+            known.append(name)
+    return known
+
+
+def _read(spark: SparkSession, root: str, name: str) -> DataFrame:
+    return read_table(spark, f"{root}/{name}")
+
+
 def build_models(
     spark: SparkSession, root: str, months: list[str] | None = None
 ) -> dict[str, int]:

@@ -12,12 +12,13 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from obs_engine.functions import quoted, year_month, year_of
-from obs_engine.operators.merge import latest_per_key, merge_frames
+from obs_engine.operators.merge import latest_per_key, matched_keys, merge_frames
 from obs_engine.operators.shaping import nan_to_null
 from obs_engine.session import scratch_root
 
-# A batch up to this many rows is merged outwards from the batch.
+# A batch within both limits is broadcast to the table, else they are both shuffled.
 SMALL_BATCH_ROWS = 100_000
+SMALL_BATCH_BYTES = 16 * 1024 * 1024
 # A batch over this many periods is merged with the whole table instead of a
 # partition list; the list goes through the driver and into the plan.
 MAX_PERIODS = 5_000
@@ -43,13 +44,22 @@ class Upsert:
     periods: list | None = field(default_factory=list)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    location = jvm.org.apache.hadoop.fs.Path(path)
+def _location(spark: SparkSession, path: str):
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files, location
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    files, location = _location(spark, path)
     return files.exists(location)
 
 
+def _stored_bytes(spark: SparkSession, path: str) -> int:
+    files, location = _location(spark, path)
+    return files.getContentSummary(location).getLength()
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -114,8 +124,9 @@ def upsert_table(
     The batch is written to the scratch area first and read from there, so it is the
     same rows in every step, whatever tasks are repeated. Work beyond that depends on
     what the batch is like: rows are only put through ``latest_per_key`` if keys do
-    repeat, and a batch without any matched key is appended. One writer per table at a
-    time; a batch repeated after a failure gives the same table.
+    repeat, a batch without any matched key is appended, and one counted to be small is
+    broadcast, so that the table is not shuffled. One writer per table at a time; a
+    batch repeated after a failure gives the same table.
     """
     scratch = f"{scratch_root(spark)}/obs_engine/upsert-{sha256(path.encode()).hexdigest()[:16]}"
     layout = period.name if period else None
@@ -143,23 +154,26 @@ def upsert_table(
         overwrite_table(staged, path, period=layout, order=keys)
         return Upsert(rows, periods)
 
+    small = (
+        rows <= small_batch_rows and _stored_bytes(spark, f"{scratch}/batch") <= SMALL_BATCH_BYTES
+    )
     existing = read_table(spark, path)
     if periods is not None:
         existing = existing.where(F.col(period.name).isin(periods))
-    if _matched(existing, staged, keys).isEmpty():
+    if matched_keys(existing, staged, keys, small_batch=small).isEmpty():
         new = merge_frames(existing.limit(0), staged, keys)
         writer = _laid_out(new, layout, keys).write.mode("append")
         (writer.partitionBy(layout) if layout else writer).parquet(path)
         return Upsert(rows, periods)
 
-    merged = merge_frames(existing, staged, keys, small_batch=rows <= small_batch_rows)
+    merged = merge_frames(existing, staged, keys, small_batch=small)
     if period:
         # The new partitions take the place of the old ones when all are written, so
         # the table may be read meanwhile.
         overwrite_table(merged, path, period=layout, order=keys, only_periods=True)
     else:
         overwrite_table(merged, f"{scratch}/merged", order=keys)
-        overwrite_table(read_table(spark, f"{scratch}/merged"), path, order=keys)
+        read_table(spark, f"{scratch}/merged").write.mode("overwrite").parquet(path)
     return Upsert(rows, periods)
 
 
@@ -173,12 +187,6 @@ def _key_facts(batch: DataFrame, keys: list[str]) -> tuple[int, int, int]:
     return tuple(facts.first())
 
 
-def _matched(existing: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """The keys of the table that are in the batch."""
-    names = [F.col(quoted(k)) for k in keys]
-    return existing.select(*names).join(batch.select(*names), keys, "left_semi")
-
-
 def _periods(df: DataFrame, period: Period) -> list | None:
     """The distinct periods, or None if they are too many to list."""
     found = df.select(period.name).distinct().limit(MAX_PERIODS + 1).collect()

@@ -135,6 +135,15 @@ def test_refresh(spark, folder):
     latest = sources.latest_status(ledger)
     assert rows(latest, "run_id", "run_status") == [(1, "Completed"), (2, "Completed")]
 
+    known = plans.register_views(spark, root)
+    assert {"raw_cities", "raw_historic", "pipeline_logs", *names} <= set(known)
+    hottest = spark.sql(
+        """select h.`day.maxtemp_c`, a.picnics from raw_historic h
+        join serving_activities a on h.City_Name = a.city and to_date(h.date) = a.date
+        where h.city_name in (select city from raw_cities) order by 1 desc limit 1"""
+    )
+    assert hottest.first() == (99.0, "no")
+
     # Nothing new: no rows, no mark, the same tables.
     written = plans.refresh(
         spark, root, as_of="2022-10-02", historic=arguments["historic"], days_back=30
