@@ -1,4 +1,4 @@
-from obs_engine.plans.refresh import build_models, load, read_model, refresh, register_views
+from obs_engine.plans.loading import build_models, load, read_model, refresh, register_views
 from obs_engine.plans.serving import (
     SERVING_MODELS,
     condition_count_by_month,

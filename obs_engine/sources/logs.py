@@ -45,7 +45,7 @@ def advance_mark(
     if value is None:
         return None
     row = spark.createDataFrame([(str(log_date), str(value["mark"]))], INCREMENT_LOG)
-    append_marks(row, path)
+    append_marks(row.coalesce(1), path)
     return str(value["mark"])
 
 
@@ -71,7 +71,7 @@ def append_run(
 ) -> None:
     when = (timestamp or dt.datetime.now(dt.timezone.utc)).isoformat(sep=" ")
     row = (when, run_id, status, json.dumps(config, sort_keys=True, default=str), log)
-    append_rows(spark.createDataFrame([row], RUN_LEDGER), path)
+    append_rows(spark.createDataFrame([row], RUN_LEDGER).coalesce(1), path)
 
 
 def latest_status(ledger: DataFrame, when: str = "run_timestamp") -> DataFrame:

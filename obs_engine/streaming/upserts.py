@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from obs_engine.operators.shaping import raw_weather
-from obs_engine.plans.refresh import build_models
+from obs_engine.plans.loading import build_models
 from obs_engine.schemas import RAW_WEATHER_KEYS
 from obs_engine.sources.documents import ARRIVED_AT
 from obs_engine.sources.tables import upsert_table
