@@ -10,10 +10,10 @@ import datetime as dt
 import traceback
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obs_engine.functions import year_month
+from obs_engine.functions import quoted
 from obs_engine.operators.incremental import Day, extraction_window
 from obs_engine.operators.selection import top_entities
 from obs_engine.operators.shaping import nan_to_null, raw_population, raw_weather
@@ -31,6 +31,7 @@ from obs_engine.sources.logs import (
     new_run_id,
 )
 from obs_engine.sources.tables import (
+    DAY,
     MONTH,
     YEAR,
     Period,
@@ -43,21 +44,26 @@ from obs_engine.sources.tables import (
 RUN_LEDGER_TABLE = "pipeline_logs"
 INCREMENT_LOG_TABLE = "historic_logs"
 UNIFIED = "staging_historic_and_forecast"
-DAY_MONTH = Period("year_month", lambda: year_month("day"))
+STAGING = ["staging_historic", "staging_forecast", UNIFIED]
 
 
 @dataclass(frozen=True)
 class Served:
-    """Where a serving model reads from and how its table is laid out."""
+    """Where a serving model reads from and how its table is laid out.
+
+    ``period`` is a column of the model, or None for a table with a row per
+    observation, which is laid out by the period of the staging tables.
+    """
 
     source: str
-    period: Period
+    period: Period | None
     order: tuple[str, ...]
+    day: str = "date"
 
 
 SERVED = {
-    "serving_activities": Served(UNIFIED, MONTH, ("city", "date")),
-    "serving_rank_city_metrics_by_day": Served(UNIFIED, DAY_MONTH, ("day",)),
+    "serving_activities": Served(UNIFIED, None, ("city",)),
+    "serving_rank_city_metrics_by_day": Served(UNIFIED, None, ("day",), day="day"),
     "serving_rank_city_metrics_by_month": Served(UNIFIED, MONTH, ("city",)),
     "serving_weather_condition_count_by_month": Served("staging_historic", MONTH, ("city",)),
     "serving_weather_condition_count_by_year": Served("staging_historic", YEAR, ("city",)),
@@ -67,20 +73,16 @@ SERVED = {
 def read_model(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A table with the columns of its model, in the model's order."""
     stored = read_table(spark, f"{root}/{name}")
-    period = SERVED[name].period.name if name in SERVED else MONTH.name
-    others = [F.col(f"`{c}`") for c in stored.columns if c != period]
-    if name.startswith("staging") or name in (
-        "serving_activities",
-        "serving_rank_city_metrics_by_day",
-    ):
-        return stored.select(*others)  # the period is only layout here
-    return stored.select(period, *others)
+    own = SERVED[name].period if name in SERVED else None
+    layout = own.name if own else next(p.name for p in (MONTH, DAY) if p.name in stored.columns)
+    others = [F.col(quoted(c)) for c in stored.columns if c != layout]
+    return stored.select(*([layout] if own else []), *others)
 
 
 def register_views(spark: SparkSession, root: str) -> list[str]:
     """Make each table of ``root`` known to SQL under its own name."""
     tables = ["raw_cities", "raw_historic", "raw_forecast", RUN_LEDGER_TABLE]
-    models = ["staging_historic", "staging_forecast", UNIFIED, *SERVED]
+    models = [*STAGING, *SERVED]
     known = []
     for name in [*tables, *models]:
         if table_exists(spark, f"{root}/{name}"):
@@ -95,12 +97,14 @@ def _read(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def build_models(
-    spark: SparkSession, root: str, months: list[str] | None = None
+    spark: SparkSession, root: str, periods: list | None = None, grain: Period = MONTH
 ) -> dict[str, int]:
-    """Rebuild the staging and serving tables, all of them or the given months.
+    """Rebuild the staging and serving tables, all of them or the given periods.
 
-    A given month that no longer has any rows cannot be emptied by replacing
-    partitions, so then everything is rebuilt. Returns the rows written per table.
+    ``grain`` is the period the raw tables are laid out by. Tables by month or year are
+    rebuilt for the months or years of the given periods. A given period that no longer
+    has any rows cannot be emptied by replacing partitions, so then everything is
+    rebuilt. Returns the rows written per table.
     """
     historic, forecast = f"{root}/raw_historic", f"{root}/raw_forecast"
     raw_historic = read_table(spark, historic) if table_exists(spark, historic) else None
@@ -110,80 +114,85 @@ def build_models(
     raw_historic = raw_historic if raw_historic is not None else raw_forecast.limit(0)
     raw_forecast = raw_forecast if raw_forecast is not None else raw_historic.limit(0)
 
-    if months is not None and not all(
-        table_exists(spark, f"{root}/{name}") for name in [UNIFIED, *SERVED]
-    ):
-        months = None
-    if months is not None:
-        touched = F.col(MONTH.name).isin(months)
-        left = {
-            r[0]
-            for raw in (raw_historic, raw_forecast)
-            for r in raw.where(touched).select(MONTH.name).distinct().collect()
-        }
-        if left != set(months):
-            months = None
-
-    def part(raw: DataFrame) -> DataFrame:
-        return raw if months is None else raw.where(F.col(MONTH.name).isin(months))
+    built = all(table_exists(spark, f"{root}/{name}") for name in [UNIFIED, *SERVED])
+    if periods is not None:
+        touched = F.col(grain.name).isin(periods)
+        left = _periods(raw_historic.where(touched), grain) | _periods(
+            raw_forecast.where(touched), grain
+        )
+        if not built or left != set(periods):
+            periods = None
+
+    def part(df: DataFrame) -> DataFrame:
+        return df if periods is None else df.where(F.col(grain.name).isin(periods))
 
     written = {}
     for name, model, whole in (
         ("staging_historic", stage(part(raw_historic)), False),
-        # A load replaces the forecast, so its former months may be gone.
+        # A load replaces the forecast, so its former periods may be gone.
         ("staging_forecast", stage(raw_forecast), True),
         (UNIFIED, unify(part(raw_historic), part(raw_forecast)), False),
     ):
         written[name] = overwrite_table(
-            model.withColumn(MONTH.name, MONTH.of()),
+            model.withColumn(grain.name, grain.of()),
             f"{root}/{name}",
-            period=MONTH.name,
+            period=grain.name,
             order=["city", "date"],
-            only_periods=months is not None and not whole,
+            only_periods=periods is not None and not whole,
         )
     for name, model in SERVING_MODELS.items():
         served = SERVED[name]
         source = read_table(spark, f"{root}/{served.source}")
-        if months is not None:
-            source = source.where(_touched(served.period, months))
+        if periods is not None:
+            source = source.where(_touched(served.period, grain, periods))
         result = model(source)
-        if served.period.name not in result.columns:
-            result = result.withColumn(served.period.name, served.period.of())
+        if served.period is None:
+            result = result.withColumn(grain.name, grain.of(served.day))
         written[name] = overwrite_table(
             result,
             f"{root}/{name}",
-            period=served.period.name,
+            period=(served.period or grain).name,
             order=list(served.order),
-            only_periods=months is not None,
+            only_periods=periods is not None,
         )
     return written
 
 
-def _touched(period: Period, months: list[str]):
-    """A filter on the month partitions that covers the given months' periods."""
-    month = F.col(MONTH.name)
-    if period is YEAR:
-        return F.substring(month, 1, 4).isin(sorted({m[:4] for m in months}))
-    return month.isin(months)
+def _touched(period: Period | None, grain: Period, periods: list) -> Column:
+    """A filter on the partitions of ``grain`` that covers the table's own periods."""
+    if period is None:
+        return F.col(grain.name).isin(periods)
+    months = sorted({_month_text(p) for p in periods})
+    if period is MONTH:
+        return grain.in_months(months)
+    return grain.in_years(sorted({int(m[:4]) for m in months}))
+
+
+def _month_text(period: str | int) -> str:
+    text = str(period).replace("-", "")
+    return f"{text[:4]}-{text[4:6]}"
 
 
 def load(
     spark: SparkSession,
     root: str,
     *,
-    as_of: Day,
+    as_of: Day | None = None,
     days_back: int = 365,
     cities: DataFrame | None = None,
     historic: DataFrame | None = None,
     forecast: DataFrame | None = None,
+    grain: Period = MONTH,
 ) -> dict[str, int]:
     """Load the raw tables from landed documents and advance the mark.
 
     ``cities`` are population documents and replace the city table; the other two are
     weather documents, cut to those cities if given. Historic days are cut to the days
-    since the mark and upserted, the forecast replaces the former one. Then the models
-    are rebuilt for the months touched. Returns the rows written per table.
+    since the mark up to ``as_of`` (default: today), and upserted; the forecast replaces
+    the former one. Then the models are rebuilt for the periods touched. A root keeps
+    one ``grain``. Returns the rows written per table.
     """
+    as_of = as_of or dt.date.today()
     written: dict[str, int] = {}
     selected = None
     if cities is not None:
@@ -197,7 +206,7 @@ def load(
             return raw
         return raw.join(F.broadcast(selected), "City_Name", "left_semi")  # top ten cities
 
-    months: set[str] | None = set()
+    touched: set | None = set()
     log = f"{root}/{INCREMENT_LOG_TABLE}"
     if historic is not None:
         batch = extraction_window(
@@ -209,43 +218,50 @@ def load(
         )
         seq = ARRIVED_AT if ARRIVED_AT in batch.columns else None
         path = f"{root}/raw_historic"
-        done = upsert_table(spark, path, batch, RAW_WEATHER_KEYS, seq=seq)
+        done = upsert_table(spark, path, batch, RAW_WEATHER_KEYS, period=grain, seq=seq)
         written["raw_historic"] = done.rows
-        months = None if done.periods is None else months | set(done.periods)
+        touched = None if done.periods is None else set(done.periods)
+        loaded = touched
     if forecast is not None:
         path = f"{root}/raw_forecast"
-        before = _months(spark, path)
+        before = _table_periods(spark, path, grain)
         written["raw_forecast"] = overwrite_table(
-            nan_to_null(rows(forecast).drop(ARRIVED_AT)).withColumn(MONTH.name, MONTH.of()),
+            nan_to_null(rows(forecast).drop(ARRIVED_AT)).withColumn(grain.name, grain.of()),
             path,
-            period=MONTH.name,
+            period=grain.name,
             order=RAW_WEATHER_KEYS,
         )
-        if months is not None:
-            months |= before | _months(spark, path)
+        if touched is not None:
+            touched = touched | before | _table_periods(spark, path, grain)
 
-    if months is None or months:
-        written |= build_models(spark, root, months and sorted(months))
+    if touched is None or touched:
+        written |= build_models(spark, root, touched and sorted(touched), grain)
     if written.get("raw_historic"):
-        loaded = read_table(spark, f"{root}/raw_historic")
-        if months:
-            loaded = loaded.where(F.col(MONTH.name).isin(sorted(months)))
-        advance_mark(spark, log, loaded, "date", as_of)
+        history = read_table(spark, f"{root}/raw_historic")
+        if loaded is not None:
+            history = history.where(F.col(grain.name).isin(sorted(loaded)))
+        advance_mark(spark, log, history, "date", as_of)
     return written
 
 
-def _months(spark: SparkSession, path: str) -> set[str]:
-    """Months of a forecast table: a few, as a forecast is a few days long."""
-    if not table_exists(spark, path):
-        return set()
-    return {r[0] for r in read_table(spark, path).select(MONTH.name).distinct().collect()}
+def _periods(df: DataFrame, grain: Period) -> set:
+    """The periods of a forecast, or among a list of periods: they are few."""
+    return {r[0] for r in df.select(grain.name).distinct().collect()}
+
+
+def _table_periods(spark: SparkSession, path: str, grain: Period) -> set:
+    return _periods(read_table(spark, path), grain) if table_exists(spark, path) else set()
 
 
 def refresh(spark: SparkSession, root: str, **arguments) -> dict[str, int]:
     """``load`` with its start and its end recorded in the run ledger."""
     ledger = f"{root}/{RUN_LEDGER_TABLE}"
     run_id = new_run_id(spark, ledger)
-    config = {k: v for k, v in arguments.items() if not isinstance(v, DataFrame)}
+    config = {
+        k: v.name if isinstance(v, Period) else v
+        for k, v in arguments.items()
+        if not isinstance(v, DataFrame)
+    }
     append_run(spark, ledger, run_id, STARTED, config)
     try:
         written = load(spark, root, **arguments)

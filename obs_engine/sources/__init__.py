@@ -10,6 +10,7 @@ from obs_engine.sources.logs import (
     read_marks,
 )
 from obs_engine.sources.tables import (
+    DAY,
     MONTH,
     YEAR,
     Period,
@@ -23,6 +24,7 @@ from obs_engine.sources.tables import (
 
 __all__ = [
     "ARRIVED_AT",
+    "DAY",
     "MONTH",
     "YEAR",
     "Period",

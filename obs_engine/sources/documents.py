@@ -18,20 +18,27 @@ def _with_arrival(documents: DataFrame) -> DataFrame:
     )
 
 
-def read_weather(spark: SparkSession, path: str) -> DataFrame:
-    """Historic or forecast weather documents with their arrival time."""
-    return _with_arrival(spark.read.schema(WEATHER).json(path))
+def read_weather(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
+    """Historic or forecast weather documents with their arrival time.
 
+    A malformed document fails the read, so that no day is lost unseen; with the mode
+    ``DROPMALFORMED`` it is left out.
+    """
+    return _with_arrival(spark.read.schema(WEATHER).option("mode", mode).json(path))
 
-def read_population(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(POPULATION).json(path)
+
+def read_population(spark: SparkSession, path: str, mode: str = "FAILFAST") -> DataFrame:
+    return spark.read.schema(POPULATION).option("mode", mode).json(path)
 
 
 def stream_weather(
-    spark: SparkSession, path: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    path: str,
+    max_files_per_trigger: int | None = None,
+    mode: str = "FAILFAST",
 ) -> DataFrame:
     """The same documents as a stream of arriving files."""
-    reader = spark.readStream.schema(WEATHER)
+    reader = spark.readStream.schema(WEATHER).option("mode", mode)
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return _with_arrival(reader.json(path))

@@ -11,7 +11,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from obs_engine.functions import quoted, year_month, year_of
+from obs_engine.functions import day_of, quoted, year_month, year_of
 from obs_engine.operators.merge import latest_per_key, matched_keys, merge_frames
 from obs_engine.operators.shaping import nan_to_null
 from obs_engine.session import scratch_root
@@ -26,14 +26,40 @@ MAX_PERIODS = 5_000
 
 @dataclass(frozen=True)
 class Period:
-    """A partition column computed from the rows."""
-
-    name: str
-    of: Callable[[], Column]
+    """A partition column computed from the day of a row, by default column ``date``.
 
+    ``per_month`` and ``per_year`` give the part of its value that tells the month (as
+    ``month_value`` of ``yyyy-MM``) and the year, so that filters on those still prune.
+    """
 
-MONTH = Period("year_month", lambda: year_month("date"))
-YEAR = Period("year", lambda: year_of("date"))
+    name: str
+    of: Callable[..., Column]
+    per_month: Callable[[Column], Column] = lambda c: c
+    per_year: Callable[[Column], Column] = lambda c: c
+    month_value: Callable[[str], str | int] = lambda month: month
+
+    def in_months(self, months: list[str]) -> Column:
+        return self.per_month(F.col(self.name)).isin([self.month_value(m) for m in months])
+
+    def in_years(self, years: list[int]) -> Column:
+        return self.per_year(F.col(self.name)).isin(years)
+
+
+# Partitions of up to some gigabytes are a good size. Months suit small tables; one with
+# terabytes per month should use days, so that a daily load rewrites a day.
+MONTH = Period(
+    "year_month",
+    lambda day="date": year_month(day),
+    per_year=lambda c: F.substring(c, 1, 4).cast("int"),
+)
+DAY = Period(
+    "day_key",
+    lambda day="date": F.date_format(day_of(day), "yyyyMMdd").cast("int"),
+    per_month=lambda c: F.floor(c / 100).cast("int"),
+    per_year=lambda c: F.floor(c / 10_000).cast("int"),
+    month_value=lambda month: int(month.replace("-", "")),
+)
+YEAR = Period("year", lambda day="date": year_of(day))
 
 
 @dataclass(frozen=True)

@@ -9,7 +9,7 @@ from obs_engine.operators.shaping import raw_weather
 from obs_engine.plans.loading import build_models
 from obs_engine.schemas import RAW_WEATHER_KEYS
 from obs_engine.sources.documents import ARRIVED_AT
-from obs_engine.sources.tables import upsert_table
+from obs_engine.sources.tables import MONTH, Period, upsert_table
 
 
 def start_weather_upsert(
@@ -18,13 +18,14 @@ def start_weather_upsert(
     checkpoint: str,
     *,
     serve: bool = False,
+    grain: Period = MONTH,
     processing_time: str | None = None,
 ) -> StreamingQuery:
     """Upsert each micro-batch of weather documents into ``raw_historic``.
 
     The checkpoint takes the place of the mark. A micro-batch repeated after a failure,
     a late day or a corrected one is absorbed by the key. With ``serve`` the models are
-    rebuilt for the months of the batch: ranks cannot run on a stream, and running
+    rebuilt for the periods of the batch: ranks cannot run on a stream, and running
     counts would count a corrected row twice. Without ``processing_time`` the stream
     stops when all documents that have arrived are loaded.
     """
@@ -32,9 +33,11 @@ def start_weather_upsert(
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         rows = raw_weather(batch)
-        done = upsert_table(spark, f"{root}/raw_historic", rows, RAW_WEATHER_KEYS, seq=ARRIVED_AT)
+        done = upsert_table(
+            spark, f"{root}/raw_historic", rows, RAW_WEATHER_KEYS, period=grain, seq=ARRIVED_AT
+        )
         if serve and done.rows:
-            build_models(spark, root, done.periods)
+            build_models(spark, root, done.periods, grain)
 
     trigger = {"processingTime": processing_time} if processing_time else {"availableNow": True}
     return (

@@ -63,7 +63,8 @@ def population(spark, path):
     return sources.read_population(spark, path)
 
 
-def test_refresh(spark, folder):
+@pytest.mark.parametrize("grain", [sources.MONTH, sources.DAY], ids=["months", "days"])
+def test_refresh(spark, folder, grain):
     root = f"{folder}/root"
     cities = population(spark, f"{folder}/cities")
     history, forecast = f"{folder}/history", f"{folder}/forecast"
@@ -82,6 +83,7 @@ def test_refresh(spark, folder):
         "historic": sources.read_weather(spark, history),
         "forecast": sources.read_weather(spark, forecast),
         "days_back": 30,
+        "grain": grain,
     }
     written = plans.refresh(spark, root, as_of="2022-10-01", **arguments)
     assert written["raw_historic"] == 3 and written["raw_forecast"] == 1
@@ -127,7 +129,7 @@ def test_refresh(spark, folder):
     # The tables equal those of a whole rebuild.
     names = list(plans.SERVING_MODELS)
     before = {n: rows(plans.read_model(spark, root, n), "*") for n in names}
-    plans.build_models(spark, root)
+    plans.build_models(spark, root, grain=grain)
     assert {n: rows(plans.read_model(spark, root, n), "*") for n in names} == before
 
     ledger = sources.read_table(spark, f"{root}/pipeline_logs")
@@ -146,7 +148,12 @@ def test_refresh(spark, folder):
 
     # Nothing new: no rows, no mark, the same tables.
     written = plans.refresh(
-        spark, root, as_of="2022-10-02", historic=arguments["historic"], days_back=30
+        spark,
+        root,
+        as_of="2022-10-02",
+        historic=arguments["historic"],
+        days_back=30,
+        grain=grain,
     )
     assert written == {"raw_historic": 0}
     assert sources.read_marks(spark, f"{root}/historic_logs").count() == 2

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from obs_engine import operators as ops
@@ -61,6 +62,16 @@ def test_document_without_days_gives_no_rows(spark, folder):
     assert ops.raw_weather(documents).count() == 0
 
 
+def test_malformed_document(spark, folder):
+    landed(spark, folder, DOCUMENT)
+    spark.createDataFrame([('{"City_Name": "Cai',)], "value string").write.mode("append").text(
+        folder
+    )
+    with pytest.raises(Exception, match="FAILFAST|MALFORMED"):
+        read_weather(spark, folder).collect()
+    assert read_weather(spark, folder, mode="DROPMALFORMED").count() == 1
+
+
 def test_population_documents(spark, folder):
     document = {
         "data": [
