@@ -9,6 +9,18 @@ MAX_BROADCAST_ROWS = 100_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def is_small(
+    df: DataFrame,
+    max_rows: int = MAX_BROADCAST_ROWS,
+    max_bytes: int = MAX_BROADCAST_BYTES,
+) -> bool:
+    """Count whether ``df`` is within both limits; looks at ``max_rows + 1`` rows at most."""
+    width = F.octet_length(F.to_json(F.struct("*")))
+    seen = df.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum(width).alias("bytes"))
+    n, size = seen.first()
+    return n <= max_rows and (size or 0) <= max_bytes
+
+
 def broadcast_if_small(
     df: DataFrame,
     max_rows: int = MAX_BROADCAST_ROWS,
@@ -16,10 +28,7 @@ def broadcast_if_small(
 ) -> DataFrame:
     """``df`` with a broadcast hint if it was counted to be small, else unchanged.
 
-    The check looks at no more than ``max_rows + 1`` rows. Without the hint the join
-    stays a shuffled one, where adaptive execution splits skewed partitions.
+    Without the hint the join stays a shuffled one, where adaptive execution splits
+    skewed partitions.
     """
-    width = F.octet_length(F.to_json(F.struct("*")))
-    seen = df.limit(max_rows + 1).agg(F.count("*").alias("n"), F.sum(width).alias("bytes"))
-    n, size = seen.first()
-    return F.broadcast(df) if n <= max_rows and (size or 0) <= max_bytes else df
+    return F.broadcast(df) if is_small(df, max_rows, max_bytes) else df

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obs_engine.functions import rounded, year_month
+from obs_engine.operators.joins import is_small
 
 # A group up to this size is sorted in one task.
 GROUP_ROWS = 2_000_000
@@ -64,11 +65,13 @@ def rank_metrics(
     hot_rows = df.join(hot, is_hot, "left_semi")
     ranked = hot_rows
     for metric, name in ranks.items():
-        value_ranks = _value_ranks(hot_rows, partition, metric, name, cut)
-        # One row per value on the right, so only the left can be skewed, which
-        # adaptive execution splits.
+        values = _value_counts(hot_rows, partition, metric)
+        value_ranks = _value_ranks(values, partition, name, cut)
+        # Few distinct values: rank the rows where they are. Else both sides are
+        # shuffled; with one row per value on the right only the left can be skewed,
+        # which adaptive execution splits.
         ranked = ranked.join(
-            value_ranks,
+            F.broadcast(value_ranks) if is_small(values) else value_ranks,
             _same(
                 [*[F.col(p) for p in partition], F.col(metric)],
                 [*[F.col(k) for k in _keys(partition)], F.col("_value")],
@@ -92,15 +95,15 @@ def _keys(partition: list[str]) -> list[str]:
     return [f"_key_{i}" for i in range(len(partition))]
 
 
-def _value_ranks(
-    df: DataFrame, partition: list[str], metric: str, name: str, cut: int
-) -> DataFrame:
-    """The rank ``name`` of each distinct (group, value of the metric)."""
-    keys = _keys(partition)
-    values = df.groupBy(
-        *[F.col(p).alias(k) for p, k in zip(partition, keys)], F.col(metric).alias("_value")
-    ).agg(F.count("*").alias("_rows"))
+def _value_counts(df: DataFrame, partition: list[str], metric: str) -> DataFrame:
+    """Rows of each distinct (group, value of the metric)."""
+    groups = [F.col(p).alias(k) for p, k in zip(partition, _keys(partition))]
+    return df.groupBy(*groups, F.col(metric).alias("_value")).agg(F.count("*").alias("_rows"))
 
+
+def _value_ranks(values: DataFrame, partition: list[str], name: str, cut: int) -> DataFrame:
+    """The rank ``name`` of each counted value in its group."""
+    keys = _keys(partition)
     # One value in `cut`, so a bucket holds about `cut` distinct values.
     picked = F.col("_value").isNotNull() & (
         F.pmod(F.xxhash64(*keys, "_value"), F.lit(cut)) == 0

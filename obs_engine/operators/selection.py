@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from obs_engine.operators.joins import MAX_BROADCAST_ROWS
+
 # Fixed value: names with a space or a hyphen are left out.
 NAME_SEPARATORS = " |-"
 
@@ -48,7 +50,7 @@ def top_entities(
         .limit(prefetch)
     )
     kept = records.join(
-        F.broadcast(largest),  # at most `prefetch` rows
+        F.broadcast(largest) if prefetch <= MAX_BROADCAST_ROWS else largest,
         F.col(name) == F.col("_entity"),
     )
     recent = filter_latest_period(filter_regex_not(kept, name), period)

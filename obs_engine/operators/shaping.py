@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 from obs_engine.functions import quoted
 
 
-def explode_records(df: DataFrame, records: str, parents: list[str] = []) -> DataFrame:
+def explode_records(df: DataFrame, records: str, parents: Sequence[str] = ()) -> DataFrame:
     """One row per element of the struct array ``records``, with parent fields kept.
 
     ``records`` and ``parents`` may be struct paths. A parent keeps the last part of

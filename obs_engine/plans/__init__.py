@@ -1,4 +1,11 @@
-from obs_engine.plans.loading import build_models, load, read_model, refresh, register_views
+from obs_engine.plans.loading import (
+    build_model,
+    build_models,
+    load,
+    read_model,
+    refresh,
+    register_views,
+)
 from obs_engine.plans.serving import (
     SERVING_MODELS,
     condition_count_by_month,
@@ -8,6 +15,7 @@ from obs_engine.plans.staging import stage, unify
 
 __all__ = [
     "SERVING_MODELS",
+    "build_model",
     "build_models",
     "condition_count_by_month",
     "condition_count_by_year",

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obs_engine.functions import quoted
+from obs_engine.operators.activities import activity_flags
 from obs_engine.operators.incremental import Day, extraction_window
 from obs_engine.operators.selection import top_entities
 from obs_engine.operators.shaping import nan_to_null, raw_population, raw_weather
@@ -36,6 +37,7 @@ from obs_engine.sources.tables import (
     YEAR,
     Period,
     overwrite_table,
+    periods_of,
     read_table,
     table_exists,
     upsert_table,
@@ -117,10 +119,8 @@ def build_models(
     built = all(table_exists(spark, f"{root}/{name}") for name in [UNIFIED, *SERVED])
     if periods is not None:
         touched = F.col(grain.name).isin(periods)
-        left = _periods(raw_historic.where(touched), grain) | _periods(
-            raw_forecast.where(touched), grain
-        )
-        if not built or left != set(periods):
+        left = [periods_of(raw.where(touched), grain) for raw in (raw_historic, raw_forecast)]
+        if not built or None in left or set(periods) != {*left[0], *left[1]}:
             periods = None
 
     def part(df: DataFrame) -> DataFrame:
@@ -140,24 +140,48 @@ def build_models(
             order=["city", "date"],
             only_periods=periods is not None and not whole,
         )
-    for name, model in SERVING_MODELS.items():
-        served = SERVED[name]
-        source = read_table(spark, f"{root}/{served.source}")
+    for name in SERVING_MODELS:
+        source = read_table(spark, f"{root}/{SERVED[name].source}")
         if periods is not None:
-            source = source.where(_touched(served.period, grain, periods))
-        result = model(source)
-        if served.period is None:
-            result = result.withColumn(grain.name, grain.of(served.day))
-        written[name] = overwrite_table(
-            result,
-            f"{root}/{name}",
-            period=(served.period or grain).name,
-            order=list(served.order),
-            only_periods=periods is not None,
+            source = source.where(_touched(SERVED[name].period, grain, periods))
+        written[name] = _write_model(
+            SERVING_MODELS[name](source), root, name, grain, only_periods=periods is not None
         )
     return written
 
 
+def build_model(
+    spark: SparkSession, root: str, name: str, source: DataFrame, grain: Period = MONTH
+) -> int:
+    """Rebuild one serving table over another source than its usual one.
+
+    The indoor set of the activities is still that of all observations.
+    """
+    if name not in SERVING_MODELS:
+        raise ValueError(f"there is no model {name}, only {sorted(SERVING_MODELS)}")
+    if name == "serving_activities":
+        everything = read_table(spark, f"{root}/{UNIFIED}")
+        result = activity_flags(source, indoor_source=everything)
+    else:
+        result = SERVING_MODELS[name](source)
+    return _write_model(result, root, name, grain)
+
+
+def _write_model(
+    result: DataFrame, root: str, name: str, grain: Period, only_periods: bool = False
+) -> int:
+    served = SERVED[name]
+    if served.period is None:
+        result = result.withColumn(grain.name, grain.of(served.day))
+    return overwrite_table(
+        result,
+        f"{root}/{name}",
+        period=(served.period or grain).name,
+        order=served.order,
+        only_periods=only_periods,
+    )
+
+
 def _touched(period: Period | None, grain: Period, periods: list) -> Column:
     """A filter on the partitions of ``grain`` that covers the table's own periods."""
     if period is None:
@@ -224,15 +248,18 @@ def load(
         loaded = touched
     if forecast is not None:
         path = f"{root}/raw_forecast"
-        before = _table_periods(spark, path, grain)
+        before = _stored_periods(spark, path, grain)
         written["raw_forecast"] = overwrite_table(
             nan_to_null(rows(forecast).drop(ARRIVED_AT)).withColumn(grain.name, grain.of()),
             path,
             period=grain.name,
             order=RAW_WEATHER_KEYS,
         )
-        if touched is not None:
-            touched = touched | before | _table_periods(spark, path, grain)
+        after = _stored_periods(spark, path, grain)
+        if None in (touched, before, after):
+            touched = None
+        else:
+            touched = touched | before | after
 
     if touched is None or touched:
         written |= build_models(spark, root, touched and sorted(touched), grain)
@@ -244,13 +271,12 @@ def load(
     return written
 
 
-def _periods(df: DataFrame, grain: Period) -> set:
-    """The periods of a forecast, or among a list of periods: they are few."""
-    return {r[0] for r in df.select(grain.name).distinct().collect()}
-
-
-def _table_periods(spark: SparkSession, path: str, grain: Period) -> set:
-    return _periods(read_table(spark, path), grain) if table_exists(spark, path) else set()
+def _stored_periods(spark: SparkSession, path: str, grain: Period) -> set | None:
+    """The periods of a table, None if they are too many to list."""
+    if not table_exists(spark, path):
+        return set()
+    found = periods_of(read_table(spark, path), grain)
+    return None if found is None else set(found)
 
 
 def refresh(spark: SparkSession, root: str, **arguments) -> dict[str, int]:

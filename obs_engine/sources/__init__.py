@@ -17,6 +17,7 @@ from obs_engine.sources.tables import (
     Upsert,
     append_rows,
     overwrite_table,
+    periods_of,
     read_table,
     table_exists,
     upsert_table,
@@ -38,6 +39,7 @@ __all__ = [
     "new_run_id",
     "next_run_id",
     "overwrite_table",
+    "periods_of",
     "read_marks",
     "read_population",
     "read_table",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from hashlib import sha256
@@ -24,6 +24,10 @@ SMALL_BATCH_BYTES = 16 * 1024 * 1024
 MAX_PERIODS = 5_000
 
 
+# Fixed value: the name Spark gives the folder of a NULL partition value.
+NO_PERIOD = "__HIVE_DEFAULT_PARTITION__"
+
+
 @dataclass(frozen=True)
 class Period:
     """A partition column computed from the day of a row, by default column ``date``.
@@ -77,8 +81,12 @@ def _location(spark: SparkSession, path: str):
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Is there any data? What only a failed first write left behind does not count."""
     files, location = _location(spark, path)
-    return files.exists(location)
+    if not files.exists(location):
+        return False
+    names = (entry.getPath().getName() for entry in files.listStatus(location))
+    return any(not name.startswith(("_", ".")) for name in names)
 
 
 def _stored_bytes(spark: SparkSession, path: str) -> int:
@@ -105,7 +113,7 @@ def overwrite_table(
     path: str,
     *,
     period: str | None = None,
-    order: list[str] = [],
+    order: Sequence[str] = (),
     only_periods: bool = False,
 ) -> int:
     """Replace the table, or with ``only_periods`` just the periods found in ``df``.
@@ -113,7 +121,7 @@ def overwrite_table(
     Returns the rows written, counted while writing.
     """
     written = Observation()
-    counted = _laid_out(df, period, ([period] if period else []) + order).observe(
+    counted = _laid_out(df, period, [*([period] if period else []), *order]).observe(
         written, F.count(F.lit(1)).alias("rows")
     )
     writer = counted.write.mode("overwrite").option(
@@ -122,7 +130,12 @@ def overwrite_table(
     if period:
         writer = writer.partitionBy(period)
     writer.parquet(path)
-    return written.get["rows"]
+    rows = written.get["rows"]
+    if rows == 0 and period and not only_periods:
+        # A table without partitions would have no file to tell its columns.
+        nothing = df.drop(period).limit(0)
+        nothing.write.mode("overwrite").parquet(f"{path}/{period}={NO_PERIOD}")
+    return rows
 
 
 def append_rows(df: DataFrame, path: str) -> None:
@@ -174,9 +187,11 @@ def upsert_table(
         staged = latest_per_key(staged, keys, seq)
     elif seq:
         staged = staged.drop(seq)
-    periods = _periods(staged, period) if period else None
+    periods = periods_of(staged, period) if period else None
 
     if not table_exists(spark, path):
+        if table_exists(spark, f"{scratch}/merged"):
+            raise RuntimeError(f"{path} was lost while replaced; its rows are in {scratch}/merged")
         overwrite_table(staged, path, period=layout, order=keys)
         return Upsert(rows, periods)
 
@@ -200,6 +215,8 @@ def upsert_table(
     else:
         overwrite_table(merged, f"{scratch}/merged", order=keys)
         read_table(spark, f"{scratch}/merged").write.mode("overwrite").parquet(path)
+        files, location = _location(spark, f"{scratch}/merged")
+        files.delete(location, True)
     return Upsert(rows, periods)
 
 
@@ -213,7 +230,7 @@ def _key_facts(batch: DataFrame, keys: list[str]) -> tuple[int, int, int]:
     return tuple(facts.first())
 
 
-def _periods(df: DataFrame, period: Period) -> list | None:
+def periods_of(df: DataFrame, period: Period) -> list | None:
     """The distinct periods, or None if they are too many to list."""
     found = df.select(period.name).distinct().limit(MAX_PERIODS + 1).collect()
     return sorted(r[0] for r in found) if len(found) <= MAX_PERIODS else None

@@ -184,6 +184,52 @@ def test_month_that_ran_empty(spark, folder):
         ]
 
 
+def test_one_model_over_another_source(spark, folder):
+    root, history, forecast = (f"{folder}/{p}" for p in ("root", "history", "forecast"))
+    land(spark, history, document("Perth", "2022-09-30", 20.0, "Fog"))
+    days = [document("Perth", "2022-10-01", 20.0), document("Perth", "2022-10-02", 20.0, "fog")]
+    land(spark, forecast, *days)
+    plans.load(
+        spark,
+        root,
+        as_of="2022-10-01",
+        historic=sources.read_weather(spark, history),
+        forecast=sources.read_weather(spark, forecast),
+    )
+    ahead = plans.read_model(spark, root, "staging_historic_and_forecast").where(
+        "from_table = 'forecast'"
+    )
+    assert plans.build_model(spark, root, "serving_activities", ahead) == 2
+    flags = plans.read_model(spark, root, "serving_activities")
+    assert rows(flags, "weather_condition", "indoor_activity") == [("Sunny", "no"), ("fog", "yes")]
+    assert plans.build_model(spark, root, "serving_rank_city_metrics_by_day", ahead) == 2
+    with pytest.raises(ValueError, match="serving_mood"):
+        plans.build_model(spark, root, "serving_mood", ahead)
+
+
+@pytest.mark.parametrize("grain", [sources.MONTH, sources.DAY], ids=["months", "days"])
+def test_without_forecast(spark, folder, grain):
+    """Neither a load without a forecast nor an empty forecast breaks a table."""
+    root, history, empty = (f"{folder}/{p}" for p in ("root", "history", "empty"))
+    land(spark, history, document("Perth", "2022-09-30", 20.0))
+    land(spark, empty, {"City_Name": "Perth", "forecast": {"forecastday": []}})
+    arguments = {
+        "as_of": "2022-10-01",
+        "historic": sources.read_weather(spark, history),
+        "grain": grain,
+    }
+    plans.load(spark, root, **arguments)
+    assert "staging_forecast" in plans.register_views(spark, root)
+    assert spark.table("staging_forecast").count() == 0
+    assert len(spark.table("staging_forecast").columns) == 16
+    written = plans.load(
+        spark, root, forecast=sources.read_weather(spark, empty), **arguments
+    )
+    assert written["raw_forecast"] == 0
+    plans.build_models(spark, root, grain=grain)
+    assert plans.read_model(spark, root, "serving_activities").count() == 1
+
+
 def test_failed_run(spark, folder):
     root = f"{folder}/root"
     history = f"{folder}/history"

@@ -7,7 +7,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from obs_engine.operators import latest_per_key, merge_frames
-from obs_engine.session import scratch_path
+from obs_engine.session import scratch_path, scratch_root
+from obs_engine.sources import tables
 from obs_engine.sources import (
     MONTH,
     Period,
@@ -162,6 +163,55 @@ def test_table_without_periods(spark, folder):
     )
 
 
+def test_interrupted_replacement_is_noticed(spark, folder, monkeypatch):
+    """The rows of a table lost while being replaced are not forgotten."""
+    path = f"{folder}/t"
+    upsert_table(spark, path, frame(spark, *OLD), KEYS, period=None)
+    monkeypatch.setattr("obs_engine.sources.tables._stored_bytes", lambda *_: 0)
+    real = tables.read_table
+
+    def failing(session, location):
+        if location.endswith("/merged"):
+            raise OSError("driver lost")
+        return real(session, location)
+
+    monkeypatch.setattr("obs_engine.sources.tables.read_table", failing)
+    with pytest.raises(OSError):
+        upsert_table(spark, path, frame(spark, OLD[0]), KEYS, period=None)
+    tables._location(spark, path)[0].delete(tables._location(spark, path)[1], True)
+    monkeypatch.setattr("obs_engine.sources.tables.read_table", real)
+    with pytest.raises(RuntimeError, match="merged"):
+        upsert_table(spark, path, frame(spark, OLD[0]), KEYS, period=None)
+
+
+def test_hot_key(spark, folder):
+    """One key with a third of the batch."""
+    batch = spark.range(3000).selectExpr(
+        "case when id % 3 = 0 then 'hot' else concat('c', id) end as city",
+        "'2022-10-01' as date",
+        "cast(id as double) as m",
+        "'n' as note",
+        "id as seq",
+    )
+    path = f"{folder}/t"
+    assert upsert_table(spark, path, batch, KEYS, seq="seq").rows == 2001
+    assert read_table(spark, path).where("city = 'hot'").select("m").collect() == [(2997.0,)]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "yarn"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_root(Session)
+    Session.conf.get = staticmethod(lambda key, default: "hdfs://shared/")
+    assert scratch_root(Session) == "hdfs://shared"
+
+
 def test_too_many_periods_to_list(spark, folder, monkeypatch):
     monkeypatch.setattr("obs_engine.sources.tables.MAX_PERIODS", 1)
     path = f"{folder}/t"
