@@ -98,14 +98,19 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def _laid_out(df: DataFrame, period: str | None, order: list[str]) -> DataFrame:
+def _laid_out(
+    df: DataFrame, period: str | None, order: Sequence[str], spread: bool = True
+) -> DataFrame:
     """Evenly sized output files, rows in ``order`` inside each file.
 
     Rebalancing splits a period that is larger than a file should be and packs small
-    ones together, so neither a hot period nor many tiny ones hurt the write.
+    ones together, so neither a hot period nor many tiny ones hurt the write. Rows read
+    from files that are well laid out already need no ``spread``.
     """
-    spread = df.hint("rebalance", period) if period else df.hint("rebalance")
-    return spread.sortWithinPartitions(*map(quoted, order)) if order else spread
+    if spread:
+        df = df.hint("rebalance", period) if period else df.hint("rebalance")
+    order = [*([period] if period else []), *(c for c in order if c != period)]
+    return df.sortWithinPartitions(*map(quoted, order)) if order else df
 
 
 def overwrite_table(
@@ -115,13 +120,14 @@ def overwrite_table(
     period: str | None = None,
     order: Sequence[str] = (),
     only_periods: bool = False,
+    spread: bool = True,
 ) -> int:
     """Replace the table, or with ``only_periods`` just the periods found in ``df``.
 
     Returns the rows written, counted while writing.
     """
     written = Observation()
-    counted = _laid_out(df, period, [*([period] if period else []), *order]).observe(
+    counted = _laid_out(df, period, order, spread).observe(
         written, F.count(F.lit(1)).alias("rows")
     )
     writer = counted.write.mode("overwrite").option(
@@ -210,8 +216,11 @@ def upsert_table(
     merged = merge_frames(existing, staged, keys, small_batch=small)
     if period:
         # The new partitions take the place of the old ones when all are written, so
-        # the table may be read meanwhile.
-        overwrite_table(merged, path, period=layout, order=keys, only_periods=True)
+        # the table may be read meanwhile. Around a broadcast the table's own files are
+        # mapped to new ones without a shuffle.
+        overwrite_table(
+            merged, path, period=layout, order=keys, only_periods=True, spread=not small
+        )
     else:
         overwrite_table(merged, f"{scratch}/merged", order=keys)
         read_table(spark, f"{scratch}/merged").write.mode("overwrite").parquet(path)
