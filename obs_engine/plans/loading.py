@@ -8,7 +8,10 @@ from __future__ import annotations
 
 import datetime as dt
 import traceback
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,28 +129,37 @@ def build_models(
     def part(df: DataFrame) -> DataFrame:
         return df if periods is None else df.where(F.col(grain.name).isin(periods))
 
-    written = {}
-    for name, model, whole in (
-        ("staging_historic", stage(part(raw_historic)), False),
-        # A load replaces the forecast, so its former periods may be gone.
-        ("staging_forecast", stage(raw_forecast), True),
-        (UNIFIED, unify(part(raw_historic), part(raw_forecast)), False),
-    ):
-        written[name] = overwrite_table(
+    def write_staging(name: str, model: DataFrame, whole: bool) -> int:
+        return overwrite_table(
             model.withColumn(grain.name, grain.of()),
             f"{root}/{name}",
             period=grain.name,
             order=["city", "date"],
             only_periods=periods is not None and not whole,
         )
-    for name in SERVING_MODELS:
+
+    def write_serving(name: str) -> int:
         source = read_table(spark, f"{root}/{SERVED[name].source}")
         if periods is not None:
             source = source.where(_touched(SERVED[name].period, grain, periods))
-        written[name] = _write_model(
+        return _write_model(
             SERVING_MODELS[name](source), root, name, grain, only_periods=periods is not None
         )
-    return written
+
+    both = unify(part(raw_historic), part(raw_forecast))
+    staging = {
+        "staging_historic": partial(write_staging, model=stage(part(raw_historic)), whole=False),
+        # A load replaces the forecast, so its former periods may be gone.
+        "staging_forecast": partial(write_staging, model=stage(raw_forecast), whole=True),
+        UNIFIED: partial(write_staging, model=both, whole=False),
+    }
+    return _all_written(staging) | _all_written(dict.fromkeys(SERVING_MODELS, write_serving))
+
+
+def _all_written(writers: dict[str, Callable[[str], int]]) -> dict[str, int]:
+    """Rows per table. The tables do not depend on each other, so no one waits."""
+    with ThreadPoolExecutor(len(writers)) as pool:
+        return dict(zip(writers, pool.map(lambda w: w[1](w[0]), writers.items())))
 
 
 def build_model(
