@@ -47,7 +47,7 @@ def _has(bits: Column, position: Column) -> Column:
     """Whether a bitmap, null without any bit, has the bit of a position."""
     at = F.bitmap_bit_position(position).cast("int")
     byte = F.conv(F.hex(F.substring(bits, F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
-    bit = F.shiftright(byte, at.bitwiseAND(F.lit(7))).bitwiseAND(F.lit(1))
+    bit = F.call_function("shiftright", byte, at.bitwiseAND(F.lit(7))).bitwiseAND(F.lit(1))
     return F.coalesce(bit == 1, F.lit(False))
 
 

@@ -184,6 +184,7 @@ def pack(
     return in_tasks(rows, run, schema).withColumnRenamed("id", id_column)
 
 
-def with_checksum(pieces: DataFrame) -> DataFrame:
-    """``ids_crc32`` in the place of ``ids``."""
-    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+def with_checksum(pieces: DataFrame, keep_ids: bool = False) -> DataFrame:
+    """``ids_crc32`` in the place of ``ids``, or beside them."""
+    made = pieces.withColumn("ids_crc32", F.crc32("ids"))
+    return made if keep_ids else made.drop("ids")

@@ -42,7 +42,7 @@ RULES = (
     Rule("symbols_per_word", None, 0.3),
     Rule("shouts_per_word", None, 0.3),
     Rule("stop_word_share", 0.02, None),
-    Rule("duplicate_line_share", None, 0.3),
+    Rule("duplicate_line_share", None, 0.5),
     Rule("bullet_line_share", None, 0.9),
     Rule("ellipsis_line_share", None, 0.3),
 )
@@ -162,4 +162,6 @@ def keep_good(
     df: DataFrame, text_column: str = "text", rules: tuple[Rule, ...] = RULES
 ) -> DataFrame:
     """The rows of ``df`` that pass, all columns as they were."""
-    return judge(df, text_column, rules).where("kept").select("row.*")
+    # The number keeps the filter above the counts: pushed below, it would repeat them.
+    judged = judge(df, text_column, rules).withColumn("number", F.monotonically_increasing_id())
+    return judged.where(F.col("kept") & (F.col("number") >= 0)).select("row.*")

@@ -39,7 +39,7 @@ SAMPLE_SENTENCES = 60_000
 SENTENCE_WORDS = 40
 LONGEST_TRAINED = 100
 LANDMARKS = 96
-DECAY = 0.5
+DECAY = 0.85
 REACH = 4
 ROUNDS = 4
 REMEMBER = 600_000

@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DataType, LongType, StructField, StructType
 
 from obs_engine.llm.common import column, in_tasks, materialise
 from obs_engine.llm.encoding import default_tokenizer, encoder
@@ -147,9 +148,22 @@ def write_training_order(
     return out
 
 
-def read_training_order(spark: SparkSession, path: str, schema, from_slot: int = 0) -> DataFrame:
-    """Shards from a slot on. Earlier shards are not opened."""
+def read_training_order(
+    spark: SparkSession,
+    path: str,
+    id_type: DataType,
+    from_slot: int = 0,
+    sequences_per_shard: int = SEQUENCES_PER_SHARD,
+) -> DataFrame:
+    """The written columns from a slot on; shards before it are not opened."""
+    kinds = [
+        ("slot", LongType()),
+        ("id", id_type),
+        ("sequence_no", LongType()),
+        ("n_tokens", LongType()),
+        ("ids", BinaryType()),
+        ("shard", LongType()),
+    ]
+    schema = StructType([StructField(name, kind) for name, kind in kinds])
     rows = spark.read.schema(schema).parquet(path)
-    if not from_slot:
-        return rows
-    return rows.where(F.col("slot") >= from_slot)
+    return rows.where((F.col("shard") >= from_slot // sequences_per_shard) & (F.col("slot") >= from_slot))
