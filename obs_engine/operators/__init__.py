@@ -30,6 +30,7 @@ from obs_engine.operators.shaping import (
     nan_to_null,
     raw_population,
     raw_weather,
+    rejected_weather,
     union_by_name,
 )
 
@@ -56,6 +57,7 @@ __all__ = [
     "rank_metrics_by_month",
     "raw_population",
     "raw_weather",
+    "rejected_weather",
     "top_entities",
     "union_by_name",
     "window_bounds",

@@ -80,7 +80,13 @@ def rank_metrics(
                 [*[F.col(p) for p in partition], F.col(metric)],
                 [*[F.col(k) for k in _keys(partition)], F.col("_value")],
             ),
+            "left",
         ).drop(*_keys(partition), "_value")
+        # A metric that is computed anew may differ in its last bits: no row may vanish.
+        missing = F.raise_error(F.lit(f"{metric} changed between two evaluations"))
+        ranked = ranked.withColumn(
+            name, F.when(F.col(name).isNull(), missing).otherwise(F.col(name))
+        )
     return regular.unionByName(ranked)
 
 

@@ -40,14 +40,25 @@ def flatten_struct(df: DataFrame, sep: str = ".") -> DataFrame:
     return df.select(*leaves(df.schema, []))
 
 
-def raw_weather(documents: DataFrame) -> DataFrame:
+def rejected_weather(documents: DataFrame) -> DataFrame:
+    """Documents without a list of days, such as answers that tell an error."""
+    return documents.where(F.col("forecast.forecastday").isNull())
+
+
+def raw_weather(documents: DataFrame, strict: bool = True) -> DataFrame:
     """Weather documents to raw rows: one per (city, day), columns named by path.
 
-    Columns beside the forecast, such as the arrival time, are kept.
+    Columns beside the forecast, such as the arrival time, are kept. A document without
+    a list of days raises; if not ``strict`` it is left out, see ``rejected_weather``. An
+    empty list gives no rows.
     """
     parents = [c for c in documents.columns if c != "forecast"]
-    days = explode_records(documents, "forecast.forecastday", parents)
-    return flatten_struct(days)
+    days = F.col("forecast.forecastday")
+    if strict:
+        error = F.raise_error(F.lit("document without days"))
+        days = F.when(days.isNull(), error).otherwise(days)
+    checked = documents.select(days.alias("_days"), *map(quoted, parents))
+    return flatten_struct(explode_records(checked, "_days", parents))
 
 
 def raw_population(documents: DataFrame) -> DataFrame:

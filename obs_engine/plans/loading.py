@@ -13,14 +13,21 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from obs_engine.functions import quoted
 from obs_engine.operators.activities import activity_flags
 from obs_engine.operators.incremental import Day, extraction_window
+from obs_engine.operators.joins import MAX_BROADCAST_ROWS
 from obs_engine.operators.selection import top_entities
-from obs_engine.operators.shaping import nan_to_null, raw_population, raw_weather
+from obs_engine.operators.shaping import (
+    nan_to_null,
+    raw_population,
+    raw_weather,
+    rejected_weather,
+)
 from obs_engine.plans.serving import SERVING_MODELS
 from obs_engine.plans.staging import stage, unify
 from obs_engine.schemas import RAW_WEATHER_KEYS
@@ -35,6 +42,7 @@ from obs_engine.sources.logs import (
     new_run_id,
 )
 from obs_engine.sources.tables import (
+    append_rows,
     DAY,
     MONTH,
     YEAR,
@@ -159,7 +167,9 @@ def build_models(
 def _all_written(writers: dict[str, Callable[[str], int]]) -> dict[str, int]:
     """Rows per table. The tables do not depend on each other, so no one waits."""
     with ThreadPoolExecutor(len(writers)) as pool:
-        return dict(zip(writers, pool.map(lambda w: w[1](w[0]), writers.items())))
+        # The threads inherit the job group and the scheduler pool of this one.
+        write = inheritable_thread_target(lambda w: w[1](w[0]))
+        return dict(zip(writers, pool.map(write, writers.items())))
 
 
 def build_model(
@@ -219,6 +229,10 @@ def load(
     historic: DataFrame | None = None,
     forecast: DataFrame | None = None,
     grain: Period = MONTH,
+    country: str | None = None,
+    prefetch: int = 30,
+    n: int = 10,
+    set_aside: bool = False,
 ) -> dict[str, int]:
     """Load the raw tables from landed documents and advance the mark.
 
@@ -227,24 +241,47 @@ def load(
     since the mark up to ``as_of`` (default: today), and upserted; the forecast replaces
     the former one. Then the models are rebuilt for the periods touched. A root keeps
     one ``grain``. Returns the rows written per table.
+
+    The city table has the ``n`` largest cities, of ``country`` if given, among the
+    ``prefetch`` largest. A weather document without days fails the load. With
+    ``set_aside`` such documents are appended to ``raw_rejected`` instead, and if there
+    are historic ones the mark stays, so that their days are loaded again.
     """
     as_of = as_of or dt.date.today()
     written: dict[str, int] = {}
     selected = None
     if cities is not None:
         path = f"{root}/raw_cities"
-        written["raw_cities"] = overwrite_table(top_entities(raw_population(cities)), path)
+        records = raw_population(cities)
+        if country is not None:
+            records = records.where(F.col("country") == country)
+        largest = top_entities(records, within=["country"], prefetch=prefetch, n=n)
+        written["raw_cities"] = overwrite_table(largest, path)
         selected = read_table(spark, path).select(F.col("city").alias("City_Name"))
 
     def rows(documents: DataFrame) -> DataFrame:
-        raw = raw_weather(documents)
+        raw = raw_weather(documents, strict=not set_aside)
         if selected is None:
             return raw
-        return raw.join(F.broadcast(selected), "City_Name", "left_semi")  # top ten cities
+        wanted = F.broadcast(selected) if n <= MAX_BROADCAST_ROWS else selected
+        return raw.join(wanted, "City_Name", "left_semi")
+
+    def rejected(documents: DataFrame, origin: str) -> int:
+        """Append what is set aside; its number."""
+        if not set_aside:
+            return 0
+        found = rejected_weather(documents).select(F.to_json(F.struct("*")).alias("document"))
+        found = found.withColumn("origin", F.lit(origin)).withColumn("as_of", F.lit(str(as_of)))
+        count = Observation()
+        append_rows(found.observe(count, F.count(F.lit(1)).alias("rows")), f"{root}/raw_rejected")
+        written["raw_rejected"] = written.get("raw_rejected", 0) + count.get["rows"]
+        return count.get["rows"]
 
     touched: set | None = set()
     log = f"{root}/{INCREMENT_LOG_TABLE}"
+    missing = 0
     if historic is not None:
+        missing = rejected(historic, "historic")
         batch = extraction_window(
             rows(historic),
             "date",
@@ -259,6 +296,7 @@ def load(
         touched = None if done.periods is None else set(done.periods)
         loaded = touched
     if forecast is not None:
+        rejected(forecast, "forecast")
         path = f"{root}/raw_forecast"
         before = _stored_periods(spark, path, grain)
         written["raw_forecast"] = overwrite_table(
@@ -275,7 +313,7 @@ def load(
 
     if touched is None or touched:
         written |= build_models(spark, root, touched and sorted(touched), grain)
-    if written.get("raw_historic"):
+    if written.get("raw_historic") and not missing:
         history = read_table(spark, f"{root}/raw_historic")
         if loaded is not None:
             history = history.where(F.col(grain.name).isin(sorted(loaded)))

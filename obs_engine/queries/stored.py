@@ -186,7 +186,11 @@ def merge_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(MERGED_ORDERS)
 def merge_orders_small_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _merged_orders(spark, sf_dir, small_batch=True)
+    batch = testdata.table(spark, sf_dir, "orders").where(
+        F.col("o_orderdate") >= F.lit("1999-01-01").cast("date")
+    )
+    small = batch.count() <= sources.tables.SMALL_BATCH_ROWS
+    return _merged_orders(spark, sf_dir, small_batch=small)
 
 
 # ---- documents ---------------------------------------------------------------------

@@ -171,7 +171,7 @@ def upsert_table(
     what the batch is like: rows are only put through ``latest_per_key`` if keys do
     repeat, a batch without any matched key is appended, and one counted to be small is
     broadcast, so that the table is not shuffled. One writer per table at a time; a
-    batch repeated after a failure gives the same table.
+    batch repeated after a failure gives the same table, wherever the first call stopped.
     """
     scratch = f"{scratch_root(spark)}/obs_engine/upsert-{sha256(path.encode()).hexdigest()[:16]}"
     layout = period.name if period else None
@@ -180,6 +180,7 @@ def upsert_table(
         batch = batch.withColumn(period.name, period.of())
         keys = [*keys, period.name]
 
+    _publish(spark, scratch, path, layout)  # what an interrupted call had merged
     nan_to_null(batch).write.mode("overwrite").parquet(f"{scratch}/batch")
     staged = read_table(spark, f"{scratch}/batch")
     rows, repeated, nulls = _key_facts(staged, keys)
@@ -196,8 +197,6 @@ def upsert_table(
     periods = periods_of(staged, period) if period else None
 
     if not table_exists(spark, path):
-        if table_exists(spark, f"{scratch}/merged"):
-            raise RuntimeError(f"{path} was lost while replaced; its rows are in {scratch}/merged")
         overwrite_table(staged, path, period=layout, order=keys)
         return Upsert(rows, periods)
 
@@ -213,22 +212,35 @@ def upsert_table(
         (writer.partitionBy(layout) if layout else writer).parquet(path)
         return Upsert(rows, periods)
 
+    # Merged rows are whole and marked so before the table is touched: whenever a call
+    # stops, either the table is as it was, or the next call publishes them again. Around
+    # a broadcast the table's own files are mapped to new ones without a shuffle.
     merged = merge_frames(existing, staged, keys, small_batch=small)
-    if period:
-        # The new partitions take the place of the old ones when all are written, so
-        # the table may be read meanwhile. Around a broadcast the table's own files are
-        # mapped to new ones without a shuffle.
-        overwrite_table(
-            merged, path, period=layout, order=keys, only_periods=True, spread=not small
-        )
-    else:
-        overwrite_table(merged, f"{scratch}/merged", order=keys)
-        read_table(spark, f"{scratch}/merged").write.mode("overwrite").parquet(path)
-        files, location = _location(spark, f"{scratch}/merged")
-        files.delete(location, True)
+    spread = not (small and period)
+    overwrite_table(merged, f"{scratch}/merged", period=layout, order=keys, spread=spread)
+    files, mark = _location(spark, f"{scratch}/complete")
+    files.create(mark, True).close()
+    _publish(spark, scratch, path, layout)
     return Upsert(rows, periods)
 
 
+def _publish(spark: SparkSession, scratch: str, path: str, layout: str | None) -> None:
+    """Put merged rows that are marked as complete in the place of the table's.
+
+    Of a table with periods only those of the merged rows are replaced. Doing it twice
+    does no harm.
+    """
+    files, mark = _location(spark, f"{scratch}/complete")
+    if not files.exists(mark):
+        return
+    merged = read_table(spark, f"{scratch}/merged")
+    overwrite_table(merged, path, period=layout, only_periods=bool(layout), spread=False)
+    files.delete(mark, False)
+    for name in ("merged", "batch"):
+        files, location = _location(spark, f"{scratch}/{name}")
+        files.delete(location, True)
+
+
 def _key_facts(batch: DataFrame, keys: list[str]) -> tuple[int, int, int]:
     """Distinct keys, keys that repeat, and keys with a NULL."""
     per_key = batch.groupBy(*map(quoted, keys)).agg(F.count("*").alias("_rows"))

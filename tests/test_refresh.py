@@ -276,3 +276,46 @@ def test_stream(spark, folder):
     ]
     drain()  # nothing new has arrived
     assert raw.count() == 3
+
+
+def test_mark_stays_below_a_rejected_document(spark, folder):
+    root, history = f"{folder}/root", f"{folder}/history"
+    land(
+        spark,
+        history,
+        document("Perth", "2022-10-01", 20.0),
+        {"City_Name": "Perth", "error": {"code": 9999}},
+    )
+    arguments = {"as_of": "2022-10-04", "historic": sources.read_weather(spark, history)}
+    with pytest.raises(Exception, match="document without days"):
+        plans.load(spark, root, **arguments)
+    written = plans.load(spark, root, set_aside=True, **arguments)
+    assert written["raw_historic"] == 1 and written["raw_rejected"] == 1
+    assert sources.last_mark(spark, f"{root}/historic_logs") is None
+    assert sources.read_table(spark, f"{root}/raw_rejected").first().origin == "historic"
+
+
+def test_cities_of_a_country(spark, folder):
+    counts = [("Perth", "Australia", "9"), ("Perth", "Scotland", "8"), ("Hobart", "Australia", "7")]
+    land(
+        spark,
+        f"{folder}/cities",
+        {
+            "data": [
+                {
+                    "city": city,
+                    "country": country,
+                    "populationCounts": [{"year": "2021", "value": value}],
+                }
+                for city, country, value in counts
+            ]
+        },
+    )
+    cities = sources.read_population(spark, f"{folder}/cities")
+    plans.load(spark, f"{folder}/a", cities=cities, country="Australia", n=2)
+    plans.load(spark, f"{folder}/b", cities=cities, prefetch=2)
+    found = [rows(sources.read_table(spark, f"{folder}/{r}/raw_cities"), "city", "country") for r in "ab"]
+    assert found == [
+        [("Hobart", "Australia"), ("Perth", "Australia")],
+        [("Perth", "Australia"), ("Perth", "Scotland")],
+    ]

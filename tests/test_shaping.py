@@ -58,8 +58,17 @@ def test_staging_names(spark, folder):
 
 def test_document_without_days_gives_no_rows(spark, folder):
     empty = {"City_Name": "Perth", "forecast": {"forecastday": []}}
-    documents = read_weather(spark, landed(spark, folder, empty, {"City_Name": "Cairns"}))
+    documents = read_weather(spark, landed(spark, folder, empty))
     assert ops.raw_weather(documents).count() == 0
+    assert ops.rejected_weather(documents).count() == 0
+
+
+def test_error_document_fails(spark, folder):
+    documents = read_weather(spark, landed(spark, folder, DOCUMENT, {"City_Name": "Cairns"}))
+    with pytest.raises(Exception, match="document without days"):
+        ops.raw_weather(documents).collect()
+    assert ops.raw_weather(documents, strict=False).count() > 0
+    assert [r.City_Name for r in ops.rejected_weather(documents).collect()] == ["Cairns"]
 
 
 def test_malformed_document(spark, folder):

@@ -163,25 +163,36 @@ def test_table_without_periods(spark, folder):
     )
 
 
-def test_interrupted_replacement_is_noticed(spark, folder, monkeypatch):
-    """The rows of a table lost while being replaced are not forgotten."""
+@pytest.mark.parametrize("period", [None, MONTH])
+@pytest.mark.parametrize("left", ["nothing", "a part", "all"])
+def test_interrupted_replacement_is_finished(spark, folder, monkeypatch, period, left):
+    """Whatever a stop while publishing left of the table, a retry has every row."""
     path = f"{folder}/t"
-    upsert_table(spark, path, frame(spark, *OLD), KEYS, period=None)
-    monkeypatch.setattr("obs_engine.sources.tables._stored_bytes", lambda *_: 0)
-    real = tables.read_table
-
-    def failing(session, location):
-        if location.endswith("/merged"):
+    upsert_table(spark, path, frame(spark, *OLD), KEYS, period=period)
+    wanted = sorted(map(tuple, read_table(spark, path).select(*KEYS).collect()))
+    real = tables.overwrite_table
+
+    def failing(df, location, **options):
+        if location == path:
+            if left != "all":
+                # Only the periods that are replaced are ever taken away.
+                gone = f"{path}/{period.name}=2022-10" if period else path
+                files, place = tables._location(spark, gone)
+                files.delete(place, True)
+            if left == "a part":
+                kept = tables.read_table(spark, location_of_merged[0]).limit(1)
+                real(kept, path, **options)
             raise OSError("driver lost")
-        return real(session, location)
+        location_of_merged.append(location)
+        return real(df, location, **options)
 
-    monkeypatch.setattr("obs_engine.sources.tables.read_table", failing)
+    location_of_merged = []
+    monkeypatch.setattr("obs_engine.sources.tables.overwrite_table", failing)
     with pytest.raises(OSError):
-        upsert_table(spark, path, frame(spark, OLD[0]), KEYS, period=None)
-    tables._location(spark, path)[0].delete(tables._location(spark, path)[1], True)
-    monkeypatch.setattr("obs_engine.sources.tables.read_table", real)
-    with pytest.raises(RuntimeError, match="merged"):
-        upsert_table(spark, path, frame(spark, OLD[0]), KEYS, period=None)
+        upsert_table(spark, path, frame(spark, OLD[0]), KEYS, period=period)
+    monkeypatch.setattr("obs_engine.sources.tables.overwrite_table", real)
+    upsert_table(spark, path, frame(spark, OLD[0]), KEYS, period=period)
+    assert sorted(map(tuple, read_table(spark, path).select(*KEYS).collect())) == wanted
 
 
 def test_hot_key(spark, folder):
