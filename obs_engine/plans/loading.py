@@ -168,7 +168,7 @@ def _all_written(writers: dict[str, Callable[[str], int]]) -> dict[str, int]:
     """Rows per table. The tables do not depend on each other, so no one waits."""
     with ThreadPoolExecutor(len(writers)) as pool:
         # The threads inherit the job group and the scheduler pool of this one.
-        write = inheritable_thread_target(lambda w: w[1](w[0]))
+        write = inheritable_thread_target(SparkSession.active())(lambda w: w[1](w[0]))
         return dict(zip(writers, pool.map(write, writers.items())))
 
 
