@@ -47,9 +47,10 @@ from obs_engine.sources.tables import (
     MONTH,
     YEAR,
     Period,
+    drop_periods,
     overwrite_table,
-    periods_of,
     read_table,
+    stored_periods,
     table_exists,
     upsert_table,
 )
@@ -115,9 +116,8 @@ def build_models(
     """Rebuild the staging and serving tables, all of them or the given periods.
 
     ``grain`` is the period the raw tables are laid out by. Tables by month or year are
-    rebuilt for the months or years of the given periods. A given period that no longer
-    has any rows cannot be emptied by replacing partitions, so then everything is
-    rebuilt. Returns the rows written per table.
+    rebuilt for the months or years of the given periods. The partitions of a given
+    period that no longer has any rows are deleted. Returns the rows written per table.
     """
     historic, forecast = f"{root}/raw_historic", f"{root}/raw_forecast"
     raw_historic = read_table(spark, historic) if table_exists(spark, historic) else None
@@ -128,31 +128,40 @@ def build_models(
     raw_forecast = raw_forecast if raw_forecast is not None else raw_historic.limit(0)
 
     built = all(table_exists(spark, f"{root}/{name}") for name in [UNIFIED, *SERVED])
+    stored: dict[str, set] = {}
     if periods is not None:
-        touched = F.col(grain.name).isin(periods)
-        left = [periods_of(raw.where(touched), grain) for raw in (raw_historic, raw_forecast)]
-        if not built or None in left or set(periods) != {*left[0], *left[1]}:
+        past, coming = (stored_periods(spark, path, grain) for path in (historic, forecast))
+        if not built or past is None or coming is None:
             periods = None
+        else:
+            stored = {"staging_historic": past, UNIFIED: past | coming}
 
     def part(df: DataFrame) -> DataFrame:
         return df if periods is None else df.where(F.col(grain.name).isin(periods))
 
     def write_staging(name: str, model: DataFrame, whole: bool) -> int:
-        return overwrite_table(
+        rows = overwrite_table(
             model.withColumn(grain.name, grain.of()),
             f"{root}/{name}",
             period=grain.name,
             order=["city", "date"],
             only_periods=periods is not None and not whole,
         )
+        if periods is not None and not whole:
+            drop_periods(spark, f"{root}/{name}", grain, set(periods) - stored[name])
+        return rows
 
     def write_serving(name: str) -> int:
-        source = read_table(spark, f"{root}/{SERVED[name].source}")
-        if periods is not None:
-            source = source.where(_touched(SERVED[name].period, grain, periods))
-        return _write_model(
-            SERVING_MODELS[name](source), root, name, grain, only_periods=periods is not None
-        )
+        served = SERVED[name]
+        source = read_table(spark, f"{root}/{served.source}")
+        if periods is None:
+            return _write_model(SERVING_MODELS[name](source), root, name, grain)
+        result = SERVING_MODELS[name](source.where(_touched(served.period, grain, periods)))
+        rows = _write_model(result, root, name, grain, only_periods=True)
+        left = _own_periods(served.period, stored[served.source])
+        gone = _own_periods(served.period, periods) - left
+        drop_periods(spark, f"{root}/{name}", served.period or grain, gone)
+        return rows
 
     both = unify(part(raw_historic), part(raw_forecast))
     staging = {
@@ -214,6 +223,14 @@ def _touched(period: Period | None, grain: Period, periods: list) -> Column:
     return grain.in_years(sorted({int(m[:4]) for m in months}))
 
 
+def _own_periods(period: Period | None, values: list | set) -> set:
+    """The months, years, or (None) same periods that given periods of the grain lie in."""
+    if period is None:
+        return set(values)
+    months = {_month_text(v) for v in values}
+    return months if period is MONTH else {int(m[:4]) for m in months}
+
+
 def _month_text(period: str | int) -> str:
     text = str(period).replace("-", "")
     return f"{text[:4]}-{text[4:6]}"
@@ -298,14 +315,14 @@ def load(
     if forecast is not None:
         rejected(forecast, "forecast")
         path = f"{root}/raw_forecast"
-        before = _stored_periods(spark, path, grain)
+        before = stored_periods(spark, path, grain)
         written["raw_forecast"] = overwrite_table(
             nan_to_null(rows(forecast).drop(ARRIVED_AT)).withColumn(grain.name, grain.of()),
             path,
             period=grain.name,
             order=RAW_WEATHER_KEYS,
         )
-        after = _stored_periods(spark, path, grain)
+        after = stored_periods(spark, path, grain)
         if None in (touched, before, after):
             touched = None
         else:
@@ -321,14 +338,6 @@ def load(
     return written
 
 
-def _stored_periods(spark: SparkSession, path: str, grain: Period) -> set | None:
-    """The periods of a table, None if they are too many to list."""
-    if not table_exists(spark, path):
-        return set()
-    found = periods_of(read_table(spark, path), grain)
-    return None if found is None else set(found)
-
-
 def refresh(spark: SparkSession, root: str, **arguments) -> dict[str, int]:
     """``load`` with its start and its end recorded in the run ledger."""
     ledger = f"{root}/{RUN_LEDGER_TABLE}"

@@ -255,3 +255,28 @@ def periods_of(df: DataFrame, period: Period) -> list | None:
     """The distinct periods, or None if they are too many to list."""
     found = df.select(period.name).distinct().limit(MAX_PERIODS + 1).collect()
     return sorted(r[0] for r in found) if len(found) <= MAX_PERIODS else None
+
+
+def stored_periods(spark: SparkSession, path: str, period: Period) -> set | None:
+    """The periods of a table by its folders, without a job; None if too many to list."""
+    files, location = _location(spark, path)
+    if not files.exists(location):
+        return set()
+    names = (entry.getPath().getName() for entry in files.listStatus(location))
+    values = {n.removeprefix(f"{period.name}=") for n in names if n.startswith(f"{period.name}=")}
+    values.discard(NO_PERIOD)
+    if len(values) > MAX_PERIODS:
+        return None
+    return {int(v) if v.isdigit() else v for v in values}
+
+
+def drop_periods(spark: SparkSession, path: str, period: Period, gone: set) -> None:
+    """Delete whole periods of a table; a table left without any stays readable."""
+    if not gone:
+        return
+    nothing = read_table(spark, path).drop(period.name).limit(0)
+    for value in sorted(gone):
+        files, location = _location(spark, f"{path}/{period.name}={value}")
+        files.delete(location, True)
+    if not table_exists(spark, path):
+        nothing.write.mode("overwrite").parquet(f"{path}/{period.name}={NO_PERIOD}")

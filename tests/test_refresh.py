@@ -1,6 +1,7 @@
 """Whole loads and the stream, on a few documents."""
 
 import json
+from pathlib import Path
 
 import pytest
 
@@ -184,6 +185,50 @@ def test_month_that_ran_empty(spark, folder):
         ]
 
 
+@pytest.mark.parametrize("grain", [sources.MONTH, sources.DAY], ids=["months", "days"])
+def test_moved_forecast_leaves_other_periods(spark, folder, grain):
+    """A forecast that moves on deletes its former periods and writes no untouched one."""
+    root, history = f"{folder}/root", f"{folder}/history"
+    land(spark, history, document("Perth", "2022-08-30", 20.0), document("Perth", "2022-08-31", 21.0))
+    forecasts = [f"{folder}/forecast{i}" for i in range(3)]
+    land(spark, forecasts[0], document("Perth", "2022-09-30", 20.0), document("Perth", "2022-10-01", 20.0))
+    land(spark, forecasts[1], document("Perth", "2022-10-01", 23.0), document("Perth", "2022-10-02", 20.0))
+    land(spark, forecasts[2], {"City_Name": "Perth", "forecast": {"forecastday": []}})
+    plans.load(
+        spark,
+        root,
+        as_of="2022-09-01",
+        historic=sources.read_weather(spark, history),
+        forecast=sources.read_weather(spark, forecasts[0]),
+        grain=grain,
+    )
+    names = ["staging_historic_and_forecast", *plans.SERVING_MODELS]
+    untouched = [f for n in names for f in Path(root, n).glob("*=2022*08*/*.parquet")]
+    assert untouched
+    for forecast, days in ((forecasts[1], ["2022-10-01", "2022-10-02"]), (forecasts[2], [])):
+        plans.load(
+            spark,
+            root,
+            as_of="2022-09-01",
+            forecast=sources.read_weather(spark, forecast),
+            grain=grain,
+        )
+        unified = plans.read_model(spark, root, names[0])
+        assert rows(unified, "date") == [(d,) for d in ["2022-08-30", "2022-08-31", *days]]
+        assert all(f.exists() for f in untouched)
+        stepwise = {n: rows(plans.read_model(spark, root, n), "*") for n in names}
+        again = f"{folder}/again-{len(days)}"
+        plans.load(
+            spark,
+            again,
+            as_of="2022-09-01",
+            historic=sources.read_weather(spark, history),
+            forecast=sources.read_weather(spark, forecast),
+            grain=grain,
+        )
+        assert {n: rows(plans.read_model(spark, again, n), "*") for n in names} == stepwise
+
+
 def test_one_model_over_another_source(spark, folder):
     root, history, forecast = (f"{folder}/{p}" for p in ("root", "history", "forecast"))
     land(spark, history, document("Perth", "2022-09-30", 20.0, "Fog"))
