@@ -123,7 +123,10 @@ def _marked(flagged: DataFrame, id_column: str) -> DataFrame:
         digest,
     )
     repeated = flagged.where("repeated")
-    groups = repeated.join(_kept(repeated), "digest").select(
+    # Written first: a join of two plain exchanges can have a large group split, one with
+    # an aggregate on a side cannot.
+    kept = materialise(_kept(repeated), "dedup-groups")
+    groups = repeated.join(kept, "digest").select(
         F.col("id").alias(id_column),
         F.col("first.id").alias("keep_id"),
         "group_size",
