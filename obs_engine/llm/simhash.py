@@ -158,7 +158,9 @@ def links(nodes: DataFrame, paired: int = PAIRED) -> DataFrame:
         in_tasks(nodes.select("print"), _keyed, "key long, print long, nearest boolean"),
         "simhash-keys",
     )
-    sizes = keyed.groupBy("key").count().where("count > 1")
+    # Aggregates are written before they are joined, here and in ``connected``: a join of
+    # two plain exchanges can have a crowded key split, one with an aggregate cannot.
+    sizes = materialise(keyed.groupBy("key").count().where("count > 1"), "simhash-sizes")
     shared = materialise(keyed.join(sizes, "key"), "simhash-shared")
     few = shared.where(F.col("count") <= paired)
     left = few.where("nearest").select("key", F.col("print").alias("p"))
@@ -188,9 +190,10 @@ def connected(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
+        low = materialise(low, "simhash-low")
         large = both.join(low, "a").where("b > a").select(F.col("low").alias("a"), "b")
         large = materialise(large.where("a < b").distinct(), "simhash-large")
-        down = large.groupBy("b").agg(F.min("a").alias("low"))
+        down = materialise(large.groupBy("b").agg(F.min("a").alias("low")), "simhash-down")
         small = large.join(down, "b").where("a > low").select(F.col("low").alias("a"), F.col("a").alias("b"))
         small = small.unionByName(down.select(F.col("low").alias("a"), "b")).distinct()
         edges = materialise(small, "simhash-small")
