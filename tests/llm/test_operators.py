@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import pickle
 import re
 import zlib
 
@@ -351,6 +352,19 @@ def test_language_model(spark, docs, empty):
     assert attention_lm.score(empty).count() == 0
 
 
+@pytest.mark.parametrize("number", [0, 1, 5, 40])
+def test_parameters_are_averaged_by_windows(spark, number):
+    random = np.random.default_rng(number)
+    values = random.normal(size=(number, 3)).astype(np.float32)
+    sizes = random.integers(1, 9, number)
+    rows = [(int(n), pickle.dumps({"a": v})) for n, v in zip(sizes, values)]
+    states = spark.createDataFrame(rows, "n long, state binary").repartition(max(1, number))
+    total, mean = attention_lm._averaged(states)
+    assert total == sizes.sum() and list(mean) == (["a"] if number else [])
+    if number:
+        assert mean["a"] == pytest.approx(sizes @ values / total, rel=1e-4, abs=1e-5)
+
+
 def test_windows_score_each_target_once():
     for n in (1, 5, 16, 17, 100):
         seen, target, counts = attention_lm.windows(np.arange(n, dtype=np.int32))
