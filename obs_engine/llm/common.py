@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import lru_cache
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,10 +36,27 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+@lru_cache(maxsize=1)
+def one_blas_thread() -> None:
+    """Keep numpy's OpenBLAS, where it comes with one, to a single thread in this process.
+
+    Spark runs a task on each core, so more threads only wait for each other.
+    """
+    for library in (Path(np.__file__).parent.parent / "numpy.libs").glob("libscipy_openblas*"):
+        choose = getattr(ctypes.CDLL(str(library)), "scipy_openblas_set_num_threads64_", None)
+        if choose is not None:
+            choose(1)
+
+
 def in_tasks(df: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package at hand in the workers."""
+    """``mapInArrow`` with this package at hand in the workers, one thread for each."""
     ship(df.sparkSession)
-    return df.mapInArrow(run, schema)
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one_blas_thread()
+        yield from run(batches)
+
+    return df.mapInArrow(alone, schema)
 
 
 def materialise(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
