@@ -1,7 +1,12 @@
 """SentencePiece encoding and decoding: unigram Viterbi over a double-array trie.
 
-Pieces and their log scores are read from a model file. A text is its words behind white
-space markers, beginning with one. No piece has a marker behind another character, so the
+Pieces are read from a model file. Its scores are those of a BPE model, merge ranks and no
+log probabilities, so the log scores are learnt: all segments of the corpus are counted by
+Spark, and in each of ``EM_ROUNDS`` rounds tasks find how often each piece is expected in them
+over all their segmentations (forward and backward), which Spark sums and the logarithm of
+the smoothed shares gives the next scores. The first round begins with equal scores.
+
+A text is its words behind white space markers, beginning with one. No piece has a marker behind another character, so the
 best pieces of a text are those of its segments, each a run of markers and what follows up
 to the next; segments met before are remembered, up to ``REMEMBER``. New segments of one
 length are searched together: the trie is walked from each place for all of them at once,
@@ -18,8 +23,9 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections import defaultdict
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from copy import copy
 from functools import lru_cache
 from itertools import chain
 
@@ -29,13 +35,18 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obs_engine.llm.common import column, in_tasks
+from obs_engine.llm.common import column, in_tasks, materialise
 
 MARKER = "▁"
 UNKNOWN_COST = 10.0
 REMEMBER = 400_000
 LONGEST_TOGETHER = 48
 TEXTS_CHARS = 400_000
+EM_ROUNDS = 4
+SMOOTH = 0.1
+UNIT = 1 << 16  # expected counts are summed in whole parts of one, in any order alike
+FLUSH = 300_000
+CELLS = 400_000
 SEGMENT = re.compile(f"{MARKER}*[^{MARKER}]+|{MARKER}+")
 
 
@@ -119,6 +130,13 @@ class Pieces:
         self.is_byte[list(self.byte.values())] = True
         self.forget()
 
+    def scored(self, scores: np.ndarray) -> Pieces:
+        """The same pieces with other scores, in the order of ``number``."""
+        other = copy(self)
+        other.score, other.unknown_score = scores, float(scores.min()) - UNKNOWN_COST
+        other.forget()
+        return other
+
     def forget(self) -> None:
         """No segments are known. Each gets a number: ``packed`` ids and ``scores`` by it."""
         self.known: dict[str, int] = {}
@@ -220,6 +238,63 @@ class Pieces:
                 best[i + 1], came[i + 1], piece[i + 1] = value, i, -1
         return self._back(segment, came, piece), best[length]
 
+    def expected(self, segments: list[str], times: np.ndarray) -> np.ndarray:
+        """How often each piece is expected in segments met so many times, in parts of ``UNIT``."""
+        total = np.zeros(len(self.score), np.int64)
+        order = sorted(range(len(segments)), key=lambda k: len(segments[k]))
+        while order:
+            length = len(segments[order[-1]]) + 1
+            part = order[-max(1, CELLS // length) :]
+            del order[-len(part) :]
+            total += self._expected([MARKER + segments[k] for k in part], times[part], length)
+        return total
+
+    def _expected(self, segments: list[str], times: np.ndarray, length: int) -> np.ndarray:
+        code = self.trie.code.get
+        sizes = np.array([len(s) for s in segments])
+        codes = np.zeros((len(segments), length), np.int32)
+        for row, segment in enumerate(segments):
+            codes[row, : len(segment)] = [code(c, 0) for c in segment]
+        base, check, end = self.trie.base, self.trie.check, self.trie.end
+        before = np.full((len(segments), length + 1), -np.inf)
+        before[:, 0] = 0
+        edges = []
+
+        def join(i: int, to: int, rows: np.ndarray, which: np.ndarray | None) -> None:
+            value = before[rows, i] + (self.unknown_score if which is None else self.score[which])
+            before[rows, to] = np.logaddexp(before[rows, to], value)
+            edges.append((i, to, rows, which))
+
+        for i in range(length):
+            rows = inside = np.flatnonzero(sizes > i)
+            states, single = np.zeros(len(rows), np.int32), np.zeros(len(segments), bool)
+            for j in range(i, min(length, i + self.longest)):
+                steps = codes[rows, j]
+                after = base[states] + steps
+                going = (check[after] == states) & (steps > 0)
+                rows, states = rows[going], after[going]
+                if not len(rows):
+                    break
+                real = end[states] >= 0
+                if j == i:
+                    single[rows[real]] = True
+                if real.any():
+                    join(i, j + 1, rows[real], end[states[real]])
+            alone = inside[~single[inside]]
+            if len(alone):
+                join(i, i + 1, alone, None)
+        whole = before[np.arange(len(segments)), sizes]
+        behind = np.full(before.shape, -np.inf)
+        behind[np.arange(len(segments)), sizes] = 0
+        total = np.zeros(len(self.score), np.int64)
+        for i, to, rows, which in reversed(edges):
+            value = behind[rows, to] + (self.unknown_score if which is None else self.score[which])
+            behind[rows, i] = np.logaddexp(behind[rows, i], value)
+            if which is not None:
+                share = np.exp(before[rows, i] + value - whole[rows])
+                np.add.at(total, which, np.rint(share * times[rows] * UNIT).astype(np.int64))
+        return total
+
     def _back(self, segment: str, came: list[int], piece: list[int]) -> bytes:
         out, at = [], len(segment)
         while at:
@@ -258,10 +333,10 @@ class Pieces:
         return text.decode("utf-8", "replace")[1:] if text[:1] == b" " else text.decode("utf-8", "replace")
 
 
-@lru_cache(maxsize=2)
-def pieces(path: str) -> Pieces:
-    """One set for each Python worker, kept between tasks."""
-    return Pieces(path)
+@lru_cache(maxsize=4)
+def pieces(path: str, scores: bytes | None = None) -> Pieces:
+    """One set for each Python worker, kept between tasks; ``scores`` are packed floats."""
+    return Pieces(path) if scores is None else pieces(path).scored(np.frombuffer(scores))
 
 
 def default_model() -> str:
@@ -282,16 +357,78 @@ def _groups(texts: Iterator[str]) -> Iterator[list[str]]:
         yield group
 
 
-def encode(df: DataFrame, text_column: str = "text", model: str | None = None) -> DataFrame:
+def segment_counts(df: DataFrame, text_column: str, path: str) -> DataFrame:
+    """``segment`` and ``n`` over all texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, counts = pieces(path), Counter()
+
+        def flushed() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays(
+                [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())],
+                ["segment", "n"],
+            )
+            counts.clear()
+            return out
+
+        for batch in batches:
+            for text in batch.column(0):
+                counts.update(own.segments(text.as_py() or ""))
+                if len(counts) > FLUSH:
+                    yield flushed()
+        if counts:
+            yield flushed()
+
+    texts = df.select(column(df, text_column).alias("text"))
+    return in_tasks(texts, run, "segment string, n long").groupBy("segment").agg(F.sum("n").alias("n"))
+
+
+def learn_scores(
+    df: DataFrame, text_column: str = "text", model: str | None = None, rounds: int = EM_ROUNDS
+) -> np.ndarray:
+    """Log probabilities of the pieces, in the order of ``Pieces.number``, from all texts."""
+    path = model or default_model()
+    spark = df.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = segment_counts(df, text_column, path).repartition(tasks, "segment")
+    counts = materialise(counts, "pieces-segments")
+    size = len(pieces(path).number)
+    scores = np.full(size, -np.log(size))
+    for _ in range(rounds):
+        shared = spark.sparkContext.broadcast(scores.tobytes())
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            own, total = pieces(path, shared.value), np.zeros(size, np.int64)
+            for batch in batches:
+                total += own.expected(batch.column(0).to_pylist(), batch.column(1).to_numpy())
+            found = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(total[found])], ["piece", "n"])
+
+        summed = in_tasks(counts, run, "piece long, n long").groupBy("piece").agg(F.sum("n").alias("n"))
+        total = np.full(size, SMOOTH)
+        for row in summed.collect():  # at most one row for each piece
+            total[row.piece] += row.n / UNIT
+        scores = np.log(total / total.sum())
+    return scores
+
+
+def encode(
+    df: DataFrame,
+    text_column: str = "text",
+    model: str | None = None,
+    scores: np.ndarray | None = None,
+) -> DataFrame:
     """``row`` (all columns of ``df``), ``piece_ids``, ``n_pieces``, ``n_bytes`` (pieces that
-    are bytes) and ``log_score``."""
+    are bytes) and ``log_score``. Without ``scores`` they are learnt from the texts."""
     path = model or default_model()
+    scores = learn_scores(df, text_column, path) if scores is None else scores
+    shared = df.sparkSession.sparkContext.broadcast(np.asarray(scores, np.float64).tobytes())
     rows = df.select(
         F.struct(*[column(df, c) for c in df.columns]).alias("row"), column(df, text_column).alias("text")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = pieces(path)
+        own = pieces(path, shared.value)
         for batch in batches:
             found = []
             for group in _groups(t.as_py() or "" for t in batch.column(1)):

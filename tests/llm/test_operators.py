@@ -423,6 +423,47 @@ def test_sentencepiece_rows(docs, empty):
     assert sentencepieces.decode(sentencepieces.encode(empty)).count() == 0
 
 
+def test_expected_pieces_against_all_segmentations():
+    own = sentencepieces.pieces(sentencepieces.default_model())
+    random = np.random.default_rng(4)
+    scores = np.log(random.dirichlet(np.ones(len(own.number))))
+    own = sentencepieces.pieces(sentencepieces.default_model(), scores.tobytes())
+    place = {own.text[i].decode().replace(" ", sentencepieces.MARKER): k for k, i in enumerate(own.number.tolist())}
+
+    def ways(segment):
+        if not segment:
+            yield 0.0, []
+        for k in range(1, len(segment) + 1):
+            which = place.get(segment[:k], -1 if k == 1 else None)
+            if which is not None:
+                for rest, after in ways(segment[k:]):
+                    yield rest + (own.score[which] if which >= 0 else own.unknown_score), [which, *after]
+
+    segments, times = ["the", "brown", "", "na\U0001f642ve", "a\nb"], np.array([3, 1, 2, 5, 1])
+    want = np.zeros(len(own.number))
+    for segment, n in zip(segments, times):
+        found = list(ways(sentencepieces.MARKER + segment))
+        whole = np.logaddexp.reduce([value for value, _ in found])
+        for value, numbers in found:
+            for which in numbers:
+                if which >= 0:
+                    want[which] += n * np.exp(value - whole)
+    assert own.expected(segments, times) / sentencepieces.UNIT == pytest.approx(want, abs=1e-3)
+
+
+def test_learnt_scores_keep_common_words_whole(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text")
+    scores = sentencepieces.learn_scores(table)
+    assert np.exp(scores).sum() == pytest.approx(1)
+    own = sentencepieces.pieces(sentencepieces.default_model(), scores.tobytes())
+    counts = {r.segment: r.n for r in sentencepieces.segment_counts(table, "text", sentencepieces.default_model()).collect()}
+    known = {own.text[i].decode("utf-8", "replace") for i in own.number.tolist()}
+    common = sorted((w for w in counts if w.isalpha() and f" {w}" in known), key=lambda w: -counts[w])[:100]
+    assert len(common) > 50
+    split = [w for w in common if len(own.encode([w])[0][0]) != 4]
+    assert not split
+
+
 # Tool calls
 
 TOOLS = {"t": {"type": "object", "required": ["a"], "properties": {"a": {"type": "integer"}}}}
