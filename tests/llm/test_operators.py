@@ -352,6 +352,14 @@ def test_language_model(spark, docs, empty):
     assert attention_lm.score(empty).count() == 0
 
 
+def test_words_that_begin_with_other_white_space(spark):
+    words = ["\u00a0", "\u00a0mot", "\u3000x", "\x1cy", "\u2003z", "plain"]
+    rows = [(k, f"a {w} b") for k, w in enumerate(words * 5)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    found = attention_lm.score(table).collect()
+    assert len(found) == len(rows) and all(r.n_tokens == 4 and np.isfinite(r.score) for r in found)
+
+
 @pytest.mark.parametrize("number", [0, 1, 5, 40])
 def test_parameters_are_averaged_by_windows(spark, number):
     random = np.random.default_rng(number)
