@@ -13,16 +13,20 @@ Since features add up over spans, so do margins: each distinct span is evaluated
 a batch and remembered, up to ``REMEMBER`` spans.
 
 Training uses a bounded sample: ``SAMPLE_DOCUMENTS`` labelled documents for each label,
-chosen by hash, and ``SAMPLE_SENTENCES`` of their sentences. Scoring reads whole texts.
+chosen by hash, and ``SAMPLE_SENTENCES`` of their sentences: every document gives one, chosen
+by hash, before any gives a second, and so on. Each label has half of them, and what the other
+label leaves. Scoring reads whole texts.
 
 Defined results: null and empty texts get the score of a text without sentences; null
-labels are not used; without both labels every score is 0; repeated rows are scored alike; an
-empty table gives no rows.
+labels are not used; without both labels every score is 0, but if both were sampled and one has
+no sentences, or no word marks either, training fails; repeated rows are scored alike; an empty
+table gives no rows.
 """
 
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -32,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obs_engine.llm.common import bucket_of, column, in_tasks
+from obs_engine.llm.common import bucket_of, column, in_tasks, materialise
 
 SAMPLE_DOCUMENTS = 2_000
 SAMPLE_SENTENCES = 60_000
@@ -223,12 +227,16 @@ def training_sample(
         for batch in batches:
             at, numbers, texts = [], [], []
             for row, text in enumerate(batch.column(2)):
+                found = []
                 for number, words in enumerate(sentences(text.as_py() or "")):
                     words = [w for w in words if len(w) <= LONGEST_TRAINED]
                     if words:
-                        at.append(row)
-                        numbers.append(number)
-                        texts.append(" ".join(words))
+                        sentence = " ".join(words)
+                        found.append((zlib.crc32(f"{number} {sentence}".encode()), number, sentence))
+                found = sorted(found)[:sentences_max]  # of a document, no more can be used
+                at += [row] * len(found)
+                numbers += range(len(found))
+                texts += [sentence for *_, sentence in found]
             take = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -242,12 +250,18 @@ def training_sample(
 
     texts = documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
     texts = texts.select("doc_id", "toxic", "text")  # twice documents_each rows at most
-    found = (
-        in_tasks(texts, run, f"doc_id {kind}, toxic int, number long, sentence string")
-        .orderBy(key, "doc_id", "number", "sentence")
-        .limit(sentences_max)
+    found = materialise(
+        in_tasks(texts, run, f"doc_id {kind}, toxic int, number long, sentence string"), "toxicity-sample"
     )
-    return [tuple(r) for r in found.select("doc_id", "toxic", "sentence").collect()]
+    there = {r.toxic: r["count"] for r in found.groupBy("toxic").count().collect()}
+    if len(there) == 1:
+        raise ValueError(f"sampled documents have sentences with the label {min(there)} only")
+    sample = []
+    for label in there:
+        most = max(sentences_max // 2, sentences_max - there[1 - label])
+        part = found.where(F.col("toxic") == label).orderBy("number", key, "doc_id", "sentence").limit(most)
+        sample += [tuple(r) for r in part.select("doc_id", "toxic", "sentence").collect()]
+    return sorted(sample, key=lambda r: r[1])
 
 
 def _landmark_words(bags: list[set[str]], toxic: np.ndarray) -> list[str]:
@@ -319,7 +333,7 @@ def fit(sample: list[tuple]) -> Model | None:
         return None
     words = _landmark_words([{w for s in texts[d] for w in s} for d in docs], y)
     if not words:
-        return None
+        raise ValueError("no word of the sampled sentences can be a landmark")
     marks = Landmarks(words)
     inner = marks.kernel(words).astype(np.float64)
     value, vector = np.linalg.eigh((inner + inner.T) / 2)

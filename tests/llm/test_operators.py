@@ -329,6 +329,20 @@ def test_toxicity_on_held_out(spark, empty):
     assert {r.score for r in toxicity.score(docs, None).collect()} == {0.0}
 
 
+def test_toxicity_sample_has_all_documents(spark):
+    rows = [(k, "\n".join(f"line {k} {j}" for j in range(3000 if k == 5 else 4))) for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 4 == 0)) for k in range(40)], "doc_id long, toxic int")
+    sample = toxicity.training_sample(docs, labels, F.lit(True), 2000, 100)
+    assert len(sample) == 100 and {d for d, *_ in sample} == set(range(40))
+    assert sum(label for _, label, _ in sample) == 40  # all of the smaller label; the rest is clean
+    per_doc = [sum(d == k for d, *_ in sample) for k in range(40) if k % 4]
+    assert max(per_doc) <= min(per_doc) + 1
+    blank = docs.withColumn("text", F.when(F.col("doc_id") % 4 == 0, "").otherwise(F.col("text")))
+    with pytest.raises(ValueError):
+        toxicity.training_sample(blank, labels, F.lit(True), 2000, 100)
+
+
 # Language model
 
 
