@@ -374,6 +374,17 @@ def test_words_that_begin_with_other_white_space(spark):
     assert len(found) == len(rows) and all(r.n_tokens == 4 and np.isfinite(r.score) for r in found)
 
 
+def test_words_never_met_share_one_count():
+    base = attention_lm.Base.of(100, 2, np.array([3]), np.array([100.0]), np.array([2.0]))
+    # Two met words and a hundred others that begin with item 3, all others spelt alike.
+    counts = np.array([60, 40] + [0] * 100)
+    first_logs, first = np.full(102, np.log10(0.5)), np.full(102, 3)
+    logs = first_logs + np.log10(1 / 102)
+    for weight in (0.05, 0.95):
+        found = 10 ** base.mixed(weight, counts, logs, first_logs, first)
+        assert 0.5 * 0.95 < found.sum() <= 0.5 + 1e-9  # the probability of the first id
+
+
 @pytest.mark.parametrize("number", [0, 1, 5, 40])
 def test_parameters_are_averaged_by_windows(spark, number):
     random = np.random.default_rng(number)
