@@ -385,6 +385,21 @@ def test_words_never_met_share_one_count():
         assert 0.5 * 0.95 < found.sum() <= 0.5 + 1e-9  # the probability of the first id
 
 
+def test_base_weight_needs_no_frequent_words(spark):
+    texts = spark.createDataFrame([("aa bb aa",), ("cc aa bb",)] * 20, "text string")
+    counts = attention_lm.word_counts(texts).cache()
+    frequent = {r.word.encode(): r.n for r in counts.collect()}
+    path = default_tokenizer()
+    items = attention_lm.Items.by_count(attention_lm.id_counts(counts, path))
+    last, after, number, words = attention_lm.neighbours(counts, path, items)
+    weights = attention_lm.start(last, after, number)
+    begin = last == attention_lm.STOP
+    base = attention_lm.Base.of(160, 4, after[begin], number[begin], words[begin])
+    sets = (frequent, {b"": frequent[b""]})
+    found = [attention_lm.base_weight(texts, counts, attention_lm.Scorer(path, items, weights, f), base) for f in sets]
+    assert found[0] == found[1] > min(attention_lm.BASE_WEIGHTS)
+
+
 @pytest.mark.parametrize("number", [0, 1, 5, 40])
 def test_parameters_are_averaged_by_windows(spark, number):
     random = np.random.default_rng(number)
