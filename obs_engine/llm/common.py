@@ -71,3 +71,10 @@ def column(df: DataFrame, name: str) -> Column:
 def bucket_of(key: Column, buckets: int) -> Column:
     """crc32 of the decimal text of a key, modulo ``buckets``; null counts as empty."""
     return (F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % buckets).cast("int")
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(location, True)

@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from obs_engine.llm import (
     attention_lm,
+    centroids,
     exact_dedup,
+    merkle,
+    minhash,
     packing,
     quality,
     sentencepieces,
@@ -171,6 +174,18 @@ def op10_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return attention_lm.score(documents(spark, sf_dir))
 
 
+def op11_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op12_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, sf_dir))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest(documents(spark, sf_dir)).drop("copies")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -184,5 +199,8 @@ QUERIES = {
         op8_sentencepiece,
         op9_tool_calls,
         op10_attention_lm,
+        op11_centroids,
+        op12_minhash,
+        op13_merkle,
     )
 }
