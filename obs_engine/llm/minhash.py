@@ -46,16 +46,17 @@ ROWS, BANDS = 5, 30
 BATCH = 32  # positions of signatures compared at once
 MISS = 1e-6
 GROWTH = 16
-CHUNK = 1024  # shingles hashed at once
+CHUNK = 512  # shingles hashed at once
 WORDS = 1 << 18  # words remembered by a task
+FEW_NODES = 2_000_000  # numbers of nodes that are broadcast, 16 bytes each
 BYTES = 1 << 24  # of sets in one batch of results
 
 
 @lru_cache(maxsize=1)
-def _functions() -> tuple[np.ndarray, np.ndarray]:
-    """Multipliers and increments of the hash functions."""
-    made = np.random.default_rng(12).integers(0, 1 << 63, (2, HASHES), np.uint64)
-    return made[0] << np.uint64(1) | np.uint64(1), made[1] << np.uint64(1)
+def _functions() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Multipliers and increments of the hash functions, and room for their values."""
+    made = np.random.default_rng(12).integers(0, 1 << 32, (2, HASHES), np.uint32)
+    return made[0] | np.uint32(1), made[1], np.empty((CHUNK, HASHES), np.uint32)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -69,23 +70,23 @@ class Words:
     """Numbers of words with their hashes; forgets all when too many."""
 
     def __init__(self):
-        self.clear()
-
-    def clear(self) -> None:
+        self.hashes = np.zeros(1024, np.uint64)
         self.number: dict[bytes, int] = {}
-        self.hashes: list[int] = []
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         if len(self.number) > WORDS:
-            self.clear()
-        known, hashes = self.number, self.hashes
-        found = []
-        for word in words:
-            at = known.get(word)
-            if at is None:
-                at = known[word] = len(hashes)
-                hashes.append(xxhash.xxh64_intdigest(word))
-            found.append(at)
+            self.number.clear()
+        known = self.number
+        found = list(map(known.get, words))
+        if None in found:
+            for word in words:
+                if word not in known:
+                    at = len(known)
+                    if at == len(self.hashes):
+                        self.hashes = np.concatenate([self.hashes, np.zeros_like(self.hashes)])
+                    known[word] = at
+                    self.hashes[at] = xxhash.xxh64_intdigest(word)
+            found = list(map(known.__getitem__, words))
         return np.array(found, np.int64)
 
 
@@ -96,30 +97,33 @@ def shingles(text: bytes | None, words: Words, size: int = SHINGLE) -> tuple[int
         return 0, np.zeros(0, np.uint64)
     numbers = words.numbers(found)
     size = min(size, len(numbers))
-    spans = np.lib.stride_tricks.sliding_window_view(numbers, size)
     if size <= 2:  # two numbers fit in one
-        codes = np.unique(spans[:, 0] << 32 | spans[:, -1])
-        spans = np.stack([codes >> 32, codes & 0xFFFFFFFF], axis=1)[:, :size]
+        codes = numbers[: len(numbers) - size + 1] << 32 | numbers[size - 1 :]
+        codes.sort()
+        codes = codes[np.append(True, codes[1:] != codes[:-1])]
+        places = (codes >> 32, codes & 0xFFFFFFFF)[:size]
     else:
-        spans = np.unique(spans, axis=0)
-    # Only the words of this text: the list of all hashes may be long.
-    met, place = np.unique(spans, return_inverse=True)
-    known = np.array([words.hashes[i] for i in met.tolist()], np.uint64)
-    place = place.reshape(spans.shape)
-    mixed = np.full(len(spans), size, np.uint64)
-    for k in range(size):
-        mixed = _mixed(mixed * np.uint64(0x9E3779B97F4A7C15) + known[place[:, k]])
-    return len(spans), np.unique(mixed)
+        spans = np.lib.stride_tricks.sliding_window_view(numbers, size)
+        places = np.unique(spans, axis=0).T
+    mixed = np.full(len(places[0]), size, np.uint64)
+    for place in places:
+        mixed = _mixed(mixed * np.uint64(0x9E3779B97F4A7C15) + words.hashes[place])
+    mixed.sort()
+    return len(mixed), mixed
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
     """The least value of each hash function over a set; 32 bits each."""
-    times, plus = _functions()
-    least = np.full(HASHES, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), CHUNK):
-        values = hashes[at : at + CHUNK, None] * times + plus
+    times, plus, room = _functions()
+    short = (hashes >> np.uint64(32)).astype(np.uint32)
+    least = np.full(HASHES, np.iinfo(np.uint32).max, np.uint32)
+    for at in range(0, len(short), CHUNK):
+        part = short[at : at + CHUNK, None]
+        values = room[: len(part)]
+        np.multiply(part, times, out=values)
+        np.add(values, plus, out=values)
         np.minimum(least, values.min(axis=0), out=least)
-    return (least >> np.uint64(32)).astype("<u4")
+    return least.astype("<u4")
 
 
 def prints(df: DataFrame, id_column: str, text_column: str, size: int) -> DataFrame:
@@ -191,8 +195,20 @@ def promising(left: np.ndarray, right: np.ndarray, percent: int, miss: float) ->
     return alive
 
 
+def _in_pairs(rows: DataFrame, key: str, pairs: DataFrame) -> DataFrame:
+    """The rows whose key is in a pair, so that no others are shuffled to the pairs.
+
+    More than ``FEW_NODES`` are not broadcast; then all rows are shuffled once.
+    """
+    met = pairs.select(F.explode(F.array("a", "b")).alias(key)).distinct()
+    met = materialise(met, "minhash-met")
+    few = met.limit(FEW_NODES + 1).count() <= FEW_NODES
+    return rows.join(F.broadcast(met) if few else met, key, "left_semi")
+
+
 def _surviving(pairs: DataFrame, nodes: DataFrame, percent: int, miss: float) -> DataFrame:
     """Pairs ``a``, ``b`` that their signatures do not rule out."""
+    nodes = _in_pairs(nodes.select("node", "signature"), "node", pairs)
     left = nodes.select(F.col("node").alias("a"), F.col("signature").alias("of_a"))
     right = nodes.select(F.col("node").alias("b"), F.col("signature").alias("of_b"))
     signed = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
@@ -211,6 +227,7 @@ def _surviving(pairs: DataFrame, nodes: DataFrame, percent: int, miss: float) ->
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pairs whose full sets are similar enough."""
+    sets = _in_pairs(sets, "tag", pairs)
     left = sets.select(F.col("tag").alias("a"), F.col("hashes").alias("set_a"))
     right = sets.select(F.col("tag").alias("b"), F.col("hashes").alias("set_b"))
     both = F.size(F.array_intersect("set_a", "set_b"))
