@@ -11,8 +11,15 @@ from obs_engine.operators.incremental import (
     window_bounds,
     work_list,
 )
+from obs_engine.operators.intervals import (
+    count_days,
+    days_to_intervals,
+    merge_intervals,
+    outside_intervals,
+    subtract_intervals,
+)
 from obs_engine.operators.joins import broadcast_if_small
-from obs_engine.operators.merge import latest_per_key, matched_keys, merge_frames
+from obs_engine.operators.merge import aligned, latest_per_key, matched_keys, merge_frames, merged_in_one_pass
 from obs_engine.operators.ranking import (
     monthly_metrics,
     rank_metrics,
@@ -28,17 +35,22 @@ from obs_engine.operators.shaping import (
     explode_records,
     flatten_struct,
     nan_to_null,
+    raw_or_rejected,
     raw_population,
     raw_weather,
     rejected_weather,
     union_by_name,
+    widened,
 )
 
 __all__ = [
     "WEATHER_CATEGORIES",
     "activity_flags",
+    "aligned",
     "broadcast_if_small",
     "condition_counts",
+    "count_days",
+    "days_to_intervals",
     "explode_records",
     "extraction_window",
     "filter_latest_period",
@@ -49,17 +61,23 @@ __all__ = [
     "latest_per_key",
     "matched_keys",
     "merge_frames",
+    "merge_intervals",
+    "merged_in_one_pass",
     "missing_keys",
     "monthly_metrics",
     "nan_to_null",
+    "outside_intervals",
     "rank_metrics",
     "rank_metrics_by_day",
     "rank_metrics_by_month",
+    "raw_or_rejected",
     "raw_population",
     "raw_weather",
     "rejected_weather",
+    "subtract_intervals",
     "top_entities",
     "union_by_name",
+    "widened",
     "window_bounds",
     "with_indoor_activity",
     "work_list",

@@ -61,6 +61,23 @@ def raw_weather(documents: DataFrame, strict: bool = True) -> DataFrame:
     return flatten_struct(explode_records(checked, "_days", parents))
 
 
+def raw_or_rejected(documents: DataFrame) -> DataFrame:
+    """Raw rows of documents with days, and one row with ``_rejected`` for each without a list.
+
+    ``_rejected`` is the document as JSON. The documents are read once for both.
+    """
+    parents = [c for c in documents.columns if c != "forecast"]
+    days = F.col("forecast.forecastday")
+    document = F.to_json(F.struct(*map(quoted, documents.columns)))
+    marked = documents.select(
+        F.explode_outer(days).alias("_record"),
+        F.when(days.isNull(), document).alias("_rejected"),
+        *map(quoted, parents),
+    )
+    filled = marked.where(F.col("_record").isNotNull() | F.col("_rejected").isNotNull())
+    return flatten_struct(filled.select("_record.*", "_rejected", *map(quoted, parents)))
+
+
 def raw_population(documents: DataFrame) -> DataFrame:
     """Population documents to one row per (city, country, year)."""
     cities = explode_records(documents, "data")
@@ -83,3 +100,43 @@ def nan_to_null(df: DataFrame) -> DataFrame:
             for c in df.columns
         ]
     )
+
+
+# Fixed order: a numeric type is widened to a later one of its row without loss.
+WIDER = (("tinyint", "smallint", "int", "bigint"), ("float", "double"), ("int", "double"))
+
+
+def _wider(one: T.DataType, other: T.DataType) -> T.DataType | None:
+    for row in WIDER:
+        names = [t.simpleString() for t in (one, other)]
+        if all(n in row for n in names):
+            return max((one, other), key=lambda t: row.index(t.simpleString()))
+    return None
+
+
+def widened(known: T.StructType, found: T.StructType) -> T.StructType:
+    """``known`` with the fields only ``found`` has, and numeric types wide enough for both.
+
+    Structs and arrays of structs are merged field by field. The order of ``known`` stays.
+    """
+
+    def merged(name: str, one: T.DataType, other: T.DataType) -> T.DataType:
+        if one == other or isinstance(other, T.NullType):
+            return one
+        if isinstance(one, T.StructType) and isinstance(other, T.StructType):
+            return widened(one, other)
+        if isinstance(one, T.ArrayType) and isinstance(other, T.ArrayType):
+            return T.ArrayType(merged(name, one.elementType, other.elementType))
+        wide = _wider(one, other)
+        if wide is None:
+            raise ValueError(f"{name} is {one.simpleString()}, not {other.simpleString()}")
+        return wide
+
+    there = {f.name: f.dataType for f in found}
+    fields = [
+        T.StructField(f.name, merged(f.name, f.dataType, there[f.name]) if f.name in there else f.dataType)
+        for f in known
+    ]
+    names = {f.name for f in known}
+    fields += [T.StructField(f.name, f.dataType) for f in found if f.name not in names]
+    return T.StructType(fields)

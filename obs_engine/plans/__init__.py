@@ -1,7 +1,12 @@
 from obs_engine.plans.loading import (
     build_model,
     build_models,
+    build_pending,
+    commit,
     load,
+    load_raw,
+    loaded_days,
+    open_days,
     read_model,
     refresh,
     register_views,
@@ -17,9 +22,14 @@ __all__ = [
     "SERVING_MODELS",
     "build_model",
     "build_models",
+    "build_pending",
+    "commit",
     "condition_count_by_month",
     "condition_count_by_year",
     "load",
+    "load_raw",
+    "loaded_days",
+    "open_days",
     "read_model",
     "refresh",
     "register_views",

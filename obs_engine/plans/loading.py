@@ -10,7 +10,7 @@ import datetime as dt
 import traceback
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from functools import partial
 
 from pyspark import inheritable_thread_target
@@ -19,19 +19,27 @@ from pyspark.sql import functions as F
 
 from obs_engine.functions import quoted
 from obs_engine.operators.activities import activity_flags
-from obs_engine.operators.incremental import Day, extraction_window
+from obs_engine.operators.incremental import Day, window_bounds
+from obs_engine.operators.intervals import (
+    days_to_intervals,
+    merge_intervals,
+    outside_intervals,
+    subtract_intervals,
+)
 from obs_engine.operators.joins import MAX_BROADCAST_ROWS
 from obs_engine.operators.selection import top_entities
 from obs_engine.operators.shaping import (
     nan_to_null,
+    raw_or_rejected,
     raw_population,
-    raw_weather,
-    rejected_weather,
 )
 from obs_engine.plans.serving import SERVING_MODELS
 from obs_engine.plans.staging import stage, unify
 from obs_engine.schemas import RAW_WEATHER_KEYS
-from obs_engine.sources.documents import ARRIVED_AT
+from obs_engine.session import scratch_path
+from obs_engine.sources.documents import ARRIVED_AT, FILE
+from obs_engine.sources.journal import forget, note, pending
+from obs_engine.sources.landing import Landing, mark_read, unread
 from obs_engine.sources.logs import (
     COMPLETED,
     ERROR,
@@ -41,14 +49,16 @@ from obs_engine.sources.logs import (
     last_mark,
     new_run_id,
 )
+from obs_engine.sources.publish import entries, finish
 from obs_engine.sources.tables import (
-    append_rows,
+    append_once,
     DAY,
     MONTH,
     YEAR,
     Period,
     drop_periods,
     overwrite_table,
+    period_values,
     read_table,
     stored_periods,
     table_exists,
@@ -57,6 +67,8 @@ from obs_engine.sources.tables import (
 
 RUN_LEDGER_TABLE = "pipeline_logs"
 INCREMENT_LOG_TABLE = "historic_logs"
+DAY_LEDGER = "loaded_days"
+FILE_LEDGER = "loaded_files"
 UNIFIED = "staging_historic_and_forecast"
 STAGING = ["staging_historic", "staging_forecast", UNIFIED]
 
@@ -243,29 +255,82 @@ def load(
     as_of: Day | None = None,
     days_back: int = 365,
     cities: DataFrame | None = None,
-    historic: DataFrame | None = None,
-    forecast: DataFrame | None = None,
+    historic: DataFrame | Landing | None = None,
+    forecast: DataFrame | Landing | None = None,
     grain: Period = MONTH,
     country: str | None = None,
     prefetch: int = 30,
     n: int = 10,
     set_aside: bool = False,
+    evolve: bool = False,
 ) -> dict[str, int]:
-    """Load the raw tables from landed documents and advance the mark.
+    """Load the raw tables from landed documents, rebuild the models, advance the mark.
 
     ``cities`` are population documents and replace the city table; the other two are
-    weather documents, cut to those cities if given. Historic days are cut to the days
-    since the mark up to ``as_of`` (default: today), and upserted; the forecast replaces
-    the former one. Then the models are rebuilt for the periods touched. A root keeps
-    one ``grain``. Returns the rows written per table.
+    weather documents, cut to those cities if given, or a ``Landing`` folder, of which only
+    files not loaded yet are opened. Historic days are those of the last ``days_back`` days
+    before ``as_of`` (default: today), or since the mark if that is earlier, that are not
+    loaded yet for their city; they are upserted. The forecast replaces the former one. Then
+    the models are rebuilt for the periods touched, by this load or by one that was stopped
+    before its models were. A root keeps one ``grain``. Returns the rows written per table.
 
     The city table has the ``n`` largest cities, of ``country`` if given, among the
-    ``prefetch`` largest. A weather document without days fails the load. With
-    ``set_aside`` such documents are appended to ``raw_rejected`` instead, and if there
-    are historic ones the mark stays, so that their days are loaded again.
+    ``prefetch`` largest. A weather document without days is put in ``raw_rejected``, once,
+    and fails the load that met it first; with ``set_aside`` the load goes on. Its days stay
+    open, see ``open_days``, until another document brings them. ``evolve`` adds columns that
+    the documents have and the raw tables have not.
     """
     as_of = as_of or dt.date.today()
-    written: dict[str, int] = {}
+    for name in entries(spark, root):
+        finish(spark, f"{root}/{name}")  # what a stopped load had ready
+    written = load_raw(
+        spark,
+        root,
+        as_of=as_of,
+        days_back=days_back,
+        cities=cities,
+        historic=historic,
+        forecast=forecast,
+        grain=grain,
+        country=country,
+        prefetch=prefetch,
+        n=n,
+        set_aside=set_aside,
+        evolve=evolve,
+    )
+    rows = written.rows | build_pending(spark, root, grain)
+    commit(spark, root, written, as_of, grain)
+    return rows
+
+
+@dataclass
+class Raw:
+    """What the first half of a load wrote, and what is recorded when the second is done."""
+
+    rows: dict[str, int]
+    loaded: list | None = field(default_factory=list)
+    days: DataFrame | None = None
+    files: list[tuple[str, DataFrame]] = field(default_factory=list)
+
+
+def load_raw(
+    spark: SparkSession,
+    root: str,
+    *,
+    as_of: Day,
+    days_back: int = 365,
+    cities: DataFrame | None = None,
+    historic: DataFrame | Landing | None = None,
+    forecast: DataFrame | Landing | None = None,
+    grain: Period = MONTH,
+    country: str | None = None,
+    prefetch: int = 30,
+    n: int = 10,
+    set_aside: bool = False,
+    evolve: bool = False,
+) -> Raw:
+    """The raw tables of ``load``; the periods to rebuild are noted before a table changes."""
+    done = Raw({})
     selected = None
     if cities is not None:
         path = f"{root}/raw_cities"
@@ -273,71 +338,159 @@ def load(
         if country is not None:
             records = records.where(F.col("country") == country)
         largest = top_entities(records, within=["country"], prefetch=prefetch, n=n)
-        written["raw_cities"] = overwrite_table(largest, path)
+        done.rows["raw_cities"] = overwrite_table(largest, path)
         selected = read_table(spark, path).select(F.col("city").alias("City_Name"))
 
-    def rows(documents: DataFrame) -> DataFrame:
-        raw = raw_weather(documents, strict=not set_aside)
+    def staged(source: DataFrame | Landing | None, origin: str) -> DataFrame | None:
+        """The raw rows of new documents, written once; documents without days are put aside."""
+        documents = source
+        if isinstance(source, Landing):
+            new = unread(spark, source, f"{root}/{FILE_LEDGER}")
+            documents = new.documents
+            if documents is not None:
+                done.files.append((origin, new.files))
+        if documents is None:
+            return None
+        path = scratch_path(spark, f"load-{origin}")
+        seen = Observation()
+        count = F.count(F.col("_rejected")).alias("rejected")
+        raw_or_rejected(documents).observe(seen, count).write.parquet(path)
+        rows = spark.read.parquet(path)
+        if seen.get["rejected"]:
+            new = _put_aside(spark, root, rows, origin, as_of)
+            if new:
+                done.rows["raw_rejected"] = done.rows.get("raw_rejected", 0) + new
+                if not set_aside:
+                    raise ValueError(f"document without days: {new} of {origin} in raw_rejected")
+        if FILE in rows.columns:
+            late = rows.where(F.col("date") >= str(as_of)).select(FILE).distinct()
+            if origin == "historic":  # a file with days still to come is read again
+                name, files = done.files.pop()
+                done.files.append((name, files.join(late, FILE, "left_anti")))
+        rows = rows.where(F.col("_rejected").isNull()).drop("_rejected", FILE)
         if selected is None:
-            return raw
+            return rows
         wanted = F.broadcast(selected) if n <= MAX_BROADCAST_ROWS else selected
-        return raw.join(wanted, "City_Name", "left_semi")
-
-    def rejected(documents: DataFrame, origin: str) -> int:
-        """Append what is set aside; its number."""
-        if not set_aside:
-            return 0
-        found = rejected_weather(documents).select(F.to_json(F.struct("*")).alias("document"))
-        found = found.withColumn("origin", F.lit(origin)).withColumn("as_of", F.lit(str(as_of)))
-        count = Observation()
-        append_rows(found.observe(count, F.count(F.lit(1)).alias("rows")), f"{root}/raw_rejected")
-        written["raw_rejected"] = written.get("raw_rejected", 0) + count.get["rows"]
-        return count.get["rows"]
-
-    touched: set | None = set()
-    log = f"{root}/{INCREMENT_LOG_TABLE}"
-    missing = 0
-    if historic is not None:
-        missing = rejected(historic, "historic")
-        batch = extraction_window(
-            rows(historic),
-            "date",
-            mark=last_mark(spark, log),
-            as_of=as_of,
-            days_back=days_back,
-        )
+        return rows.join(wanted, "City_Name", "left_semi")
+
+    rows = staged(historic, "historic")
+    if rows is not None:
+        mark = last_mark(spark, f"{root}/{INCREMENT_LOG_TABLE}")
+        batch = _open_rows(spark, root, rows, mark, as_of, days_back)
         seq = ARRIVED_AT if ARRIVED_AT in batch.columns else None
-        path = f"{root}/raw_historic"
-        done = upsert_table(spark, path, batch, RAW_WEATHER_KEYS, period=grain, seq=seq)
-        written["raw_historic"] = done.rows
-        touched = None if done.periods is None else set(done.periods)
-        loaded = touched
-    if forecast is not None:
-        rejected(forecast, "forecast")
+        upsert = upsert_table(
+            spark,
+            f"{root}/raw_historic",
+            batch,
+            RAW_WEATHER_KEYS,
+            period=grain,
+            seq=seq,
+            evolve=evolve,
+            before_change=partial(note, spark, root),
+        )
+        done.rows["raw_historic"], done.loaded = upsert.rows, upsert.periods
+        done.days = batch.select(*RAW_WEATHER_KEYS) if upsert.rows else None
+    rows = staged(forecast, "forecast")
+    if rows is not None:
         path = f"{root}/raw_forecast"
         before = stored_periods(spark, path, grain)
-        written["raw_forecast"] = overwrite_table(
-            nan_to_null(rows(forecast).drop(ARRIVED_AT)).withColumn(grain.name, grain.of()),
+        done.rows["raw_forecast"] = overwrite_table(
+            nan_to_null(rows.drop(ARRIVED_AT)).withColumn(grain.name, grain.of()),
             path,
             period=grain.name,
             order=RAW_WEATHER_KEYS,
+            before_change=lambda after: note(
+                spark, root, None if before is None else sorted(before | period_values(after, grain))
+            ),
         )
-        after = stored_periods(spark, path, grain)
-        if None in (touched, before, after):
-            touched = None
-        else:
-            touched = touched | before | after
+    return done
 
-    if touched is None or touched:
-        written |= build_models(spark, root, touched and sorted(touched), grain)
-    if written.get("raw_historic") and not missing:
-        history = read_table(spark, f"{root}/raw_historic")
-        if loaded is not None:
-            history = history.where(F.col(grain.name).isin(sorted(loaded)))
-        advance_mark(spark, log, history, "date", as_of)
+
+def _put_aside(spark: SparkSession, root: str, rows: DataFrame, origin: str, as_of: Day) -> int:
+    """Append rejected documents that ``raw_rejected`` does not have; how many are new."""
+    documents = rows.where(F.col("_rejected").isNotNull()).select(
+        F.col("_rejected").alias("document"),
+        F.sha2("_rejected", 256).alias("document_id"),
+        F.lit(origin).alias("origin"),
+        F.lit(str(as_of)).alias("as_of"),
+    )
+    return append_once(documents, f"{root}/raw_rejected", ["document_id", "origin"])
+
+
+def _wanted(mark: str | None, as_of: Day, days_back: int) -> tuple[dt.date, dt.date]:
+    """The days a load looks at: the last ``days_back``, more if the mark is older."""
+    start, end = window_bounds(None, as_of, days_back)
+    return (start if mark is None else min(start, window_bounds(mark, as_of, days_back)[0])), end
+
+
+def loaded_days(spark: SparkSession, root: str) -> DataFrame | None:
+    """Intervals of the days in ``raw_historic`` by city, None before the first load."""
+    ledger, table = f"{root}/{DAY_LEDGER}", f"{root}/raw_historic"
+    if table_exists(spark, ledger):
+        return read_table(spark, ledger)
+    if table_exists(spark, table):  # loaded before there was a ledger
+        return days_to_intervals(read_table(spark, table), ["City_Name"], "date")
+    return None
+
+
+def _open_rows(
+    spark: SparkSession, root: str, rows: DataFrame, mark: str | None, as_of: Day, days_back: int
+) -> DataFrame:
+    start, end = _wanted(mark, as_of, days_back)
+    batch = rows.where((F.col("date") >= str(start)) & (F.col("date") < str(end)))
+    loaded = loaded_days(spark, root)
+    if loaded is None:
+        return batch
+    near = loaded.where(F.col("last_day") >= F.lit(start))
+    return outside_intervals(batch, near, ["City_Name"], "date")
+
+
+def open_days(
+    spark: SparkSession, root: str, cities: DataFrame, *, as_of: Day, days_back: int = 365
+) -> DataFrame:
+    """The days of ``cities`` (``City_Name``) that are still to load, as intervals."""
+    mark = last_mark(spark, f"{root}/{INCREMENT_LOG_TABLE}")
+    start, end = _wanted(mark, as_of, days_back)
+    wanted = cities.select(
+        "City_Name",
+        F.lit(start).alias("first_day"),
+        F.lit(end - dt.timedelta(days=1)).alias("last_day"),
+    ).where(F.col("first_day") <= F.col("last_day"))
+    loaded = loaded_days(spark, root)
+    return wanted if loaded is None else subtract_intervals(wanted, loaded, ["City_Name"])
+
+
+def build_pending(spark: SparkSession, root: str, grain: Period = MONTH) -> dict[str, int]:
+    """The second half of a load: models for all periods noted, whichever load noted them."""
+    todo = pending(spark, root)
+    if not todo.notes:
+        return {}
+    periods = None if todo.periods is None else sorted(todo.periods)
+    written = build_models(spark, root, periods, grain)
+    forget(spark, root, todo)
     return written
 
 
+def commit(spark: SparkSession, root: str, done: Raw, as_of: Day, grain: Period = MONTH) -> None:
+    """Record what was loaded: days, mark, files. Each step may be repeated after a stop."""
+    if done.days is not None:
+        _record_days(spark, root, done.days)
+    if done.rows.get("raw_historic"):
+        history = read_table(spark, f"{root}/raw_historic")
+        if done.loaded is not None:
+            history = history.where(F.col(grain.name).isin(sorted(done.loaded)))
+        advance_mark(spark, f"{root}/{INCREMENT_LOG_TABLE}", history, "date", as_of)
+    for origin, files in done.files:
+        mark_read(files, f"{root}/{FILE_LEDGER}", origin=origin, as_of=str(as_of))
+
+
+def _record_days(spark: SparkSession, root: str, days: DataFrame) -> None:
+    new = days_to_intervals(days, ["City_Name"], "date")
+    known = loaded_days(spark, root)
+    both = new if known is None else known.unionByName(new)
+    overwrite_table(merge_intervals(both, ["City_Name"]), f"{root}/{DAY_LEDGER}", order=["City_Name"])
+
+
 def refresh(spark: SparkSession, root: str, **arguments) -> dict[str, int]:
     """``load`` with its start and its end recorded in the run ledger."""
     ledger = f"{root}/{RUN_LEDGER_TABLE}"

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from obs_engine import operators as ops
 from obs_engine import plans, sources, testdata
@@ -463,3 +464,142 @@ def refresh_rank_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _refreshed(spark, sf_dir)
     ranks = plans.read_model(spark, root, "serving_rank_city_metrics_by_month")
     return decimals_as_double(ranks)
+
+
+# ---- what a load leaves open, reads once and finishes ------------------------------
+
+WEEK_SQL = "datediff('day', date '1990-01-01', cast(date_trunc('week', cast(date as date)) as date)) // 7"
+
+
+def _week(documents: DataFrame) -> Column:
+    first = F.to_date(F.element_at("forecast.forecastday.date", 1))
+    return F.floor(F.date_diff(F.date_trunc("week", first), F.lit("1990-01-01").cast("date")) / 7)
+
+
+@query(
+    over_obs(
+        """select step, city, count(*) as loaded_days, count(distinct part) as intervals,
+  10000 - count(*) as days_open, (select count(distinct (city, week)) from days where week % 5 = 0) as rejected
+from (select step, city, day - cast(row_number() over (partition by step, city order by day) as int) as part
+  from loaded) group by step, city""",
+        f"""days as (select city, cast(date as date) as day, {WEEK_SQL} as week from obs
+  where date < '{SECOND_AS_OF}')""",
+        """loaded as (select 1 as step, city, day from days where week % 5 <> 0
+  union all select 2, city, day from days where week % 5 <> 0 or week % 10 = 0)""",
+    )
+)
+def load_fills_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some weeks come as errors and are put aside; half of them are delivered again."""
+    root, landed = scratch_path(spark, "gaps"), scratch_path(spark, "gaps-landed")
+    rows = testdata.obs(spark, sf_dir).where(F.col("date") < SECOND_AS_OF)
+    documents = testdata.weekly_documents(rows)
+    week = _week(documents)
+    sound = F.when(week % 5 != 0, F.col("forecast")).alias("forecast")
+    # The number of the week keeps errors of one city apart.
+    documents.select("City_Name", sound, F.struct(week.alias("week")).alias("request")).write.json(landed)
+    cities = rows.select(F.col("city").alias("City_Name")).distinct()
+    landing = sources.Landing(landed, fields=T.StructType.fromDDL("request struct<week: bigint>"))
+    steps = []
+    for step in (1, 2):
+        if step == 2:
+            documents.where(week % 10 == 0).write.mode("append").json(landed)
+        done = plans.load_raw(spark, root, as_of=SECOND_AS_OF, days_back=10_000, historic=landing, set_aside=True)
+        plans.commit(spark, root, done, SECOND_AS_OF)
+        known = plans.loaded_days(spark, root)
+        still_open = plans.open_days(spark, root, cities, as_of=SECOND_AS_OF, days_back=10_000)
+        length = F.sum(F.date_diff("last_day", "first_day") + 1)
+        loaded = known.groupBy("City_Name").agg(length.alias("loaded_days"), F.count("*").alias("intervals"))
+        left = still_open.groupBy("City_Name").agg(length.alias("days_open"))
+        both = loaded.join(left, "City_Name").select(
+            F.lit(step).alias("step"), F.col("City_Name").alias("city"), "loaded_days", "intervals", "days_open"
+        )
+        path = scratch_path(spark, f"gaps-step-{step}")
+        both.write.parquet(path)  # the ledger is replaced by the next load
+        steps.append(spark.read.parquet(path))
+    rejected = sources.read_table(spark, f"{root}/raw_rejected").agg(F.count("*").alias("rejected"))
+    return ops.union_by_name(*steps).join(F.broadcast(rejected))  # one row
+
+
+@query(
+    over_obs(
+        f"""select city, date, max_temp_celcius from obs
+where date >= '{FIRST_AS_OF}' or (date < '{BATCH_FROM}' and substr(date, 9, 2) = '07')"""
+    )
+)
+def src_weather_new_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second read of a folder: documents that landed since, late days among them."""
+    landed, ledger = scratch_path(spark, "landing"), scratch_path(spark, "landing-ledger")
+    rows = testdata.obs(spark, sf_dir)
+    late = (F.col("date") < BATCH_FROM) & (F.substring("date", 9, 2) == "07")
+    second = (F.col("date") >= FIRST_AS_OF) | late
+    landing = sources.Landing(landed)
+    testdata.daily_documents(rows.where(~second)).write.json(landed)
+    sources.mark_read(sources.unread(spark, landing, ledger).files, ledger)
+    testdata.daily_documents(rows.where(second)).write.mode("append").json(landed)
+    raw = ops.raw_weather(sources.unread(spark, landing, ledger).documents)
+    return raw.select(
+        F.col("City_Name").alias("city"), "date", F.col("`day.maxtemp_c`").alias("max_temp_celcius")
+    )
+
+
+@query(
+    over_obs(
+        f"""select 'historic' as from_table, date, city, max_temp_celcius from obs where date < '{FIRST_AS_OF}'
+union all
+select 'forecast', date, city, max_temp_celcius from obs where date between '2001-01-01' and '2001-03-31'"""
+    )
+)
+def refresh_after_stop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load that ends before its models leaves no stale forecast to the next one."""
+    root, landed = scratch_path(spark, "stop"), scratch_path(spark, "stop-landed")
+    testdata.weekly_documents(testdata.obs(spark, sf_dir)).write.json(landed)
+    weather = sources.read_weather(spark, landed)
+
+    def days(first: str, last: str) -> DataFrame:
+        chosen = F.filter("forecast.forecastday", lambda d: d["date"].between(first, last))
+        return weather.withColumn("forecast", F.struct(chosen.alias("forecastday")))
+
+    options = {"as_of": FIRST_AS_OF, "days_back": 10_000}
+    plans.load(spark, root, historic=weather, forecast=days("2000-03-15", "2000-08-31"), **options)
+    plans.load_raw(spark, root, forecast=days("2000-09-01", "2000-10-31"), **options)
+    plans.load(spark, root, forecast=days("2001-01-01", "2001-03-31"), **options)
+    unified = plans.read_model(spark, root, "staging_historic_and_forecast")
+    return unified.select("from_table", F.col("date").cast("string").alias("date"), "city", "max_temp_celcius")
+
+
+@query(
+    over_obs(
+        f"""select city, date, max_temp_celcius,
+  case when date >= '{BATCH_FROM}' then max_temp_celcius + 0.5 end as feels_like,
+  case when date >= '{BATCH_FROM}' then upper(city) end as country
+from obs where date < '{SECOND_AS_OF}'"""
+    )
+)
+def src_weather_extra_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields that later documents have are added to the table, NULL in earlier rows."""
+    landed, path = scratch_path(spark, "fields"), scratch_path(spark, "fields-table")
+    rows = testdata.obs(spark, sf_dir).where(F.col("date") < SECOND_AS_OF)
+    plain = testdata.daily_documents(rows)
+    later = F.element_at("forecast.forecastday.date", 1) >= BATCH_FROM
+    days = F.transform(
+        "forecast.forecastday", lambda d: d.withField("day.feelslike_c", d["day"]["maxtemp_c"] + 0.5)
+    )
+    richer = plain.select(
+        "City_Name",
+        F.struct(days.alias("forecastday")).alias("forecast"),
+        F.struct(F.upper("City_Name").alias("country")).alias("location"),
+    )
+    plain.where(~later).write.json(f"{landed}/1")
+    richer.where(later).write.json(f"{landed}/2")
+    for part, fields in ((1, None), (2, sources.FOUND)):
+        raw = ops.raw_weather(sources.read_weather(spark, f"{landed}/{part}", fields=fields))
+        sources.upsert_table(
+            spark, path, raw, ["City_Name", "date"], seq=sources.ARRIVED_AT, evolve=True
+        )
+    return sources.read_table(spark, path).select(
+        F.col("City_Name").alias("city"),
+        "date",
+        F.col("`day.maxtemp_c`").alias("max_temp_celcius"),
+        F.col("`day.feelslike_c`").alias("feels_like"),
+        F.col("`location.country`").alias("country"),
+    )

@@ -38,14 +38,18 @@ def advance_mark(
 ) -> str | None:
     """Log the greatest day of the rows just loaded; nothing for an empty load.
 
-    Call it after the load has been committed, so a failed load is tried again.
+    Call it after the load has been committed, so a failed load is tried again. A row that
+    the log has already is not appended again.
     """
     mark = high_water_mark(loaded, day).where("mark is not null")
     value = mark.first()
     if value is None:
         return None
     row = spark.createDataFrame([(str(log_date), str(value["mark"]))], INCREMENT_LOG)
-    append_marks(row.coalesce(1), path)
+    if table_exists(spark, path):
+        row = row.join(read_marks(spark, path), row.columns, "left_anti")
+    if not row.isEmpty():
+        append_marks(row.coalesce(1), path)
     return str(value["mark"])
 
 

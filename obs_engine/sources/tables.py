@@ -1,8 +1,9 @@
-"""Parquet tables by path: overwrite, append, rebuild by period, upsert by key."""
+"""Parquet tables by path: overwrite, append, rebuild by period, upsert by key, compaction."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import json
+from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 from hashlib import sha256
@@ -10,11 +11,30 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from obs_engine.functions import day_of, quoted, year_month, year_of
-from obs_engine.operators.merge import latest_per_key, matched_keys, merge_frames
-from obs_engine.operators.shaping import nan_to_null
+from obs_engine.operators.merge import (
+    aligned,
+    latest_per_key,
+    matched_keys,
+    merge_frames,
+    merged_in_one_pass,
+)
+from obs_engine.operators.shaping import nan_to_null, widened
 from obs_engine.session import scratch_root
+from obs_engine.sources.publish import (
+    COLUMNS,
+    delete,
+    entries,
+    exists,
+    finish,
+    location,
+    prepared,
+    publish,
+    read_text,
+    rename,
+)
 
 # A batch within both limits is broadcast to the table, else they are both shuffled.
 SMALL_BATCH_ROWS = 100_000
@@ -22,6 +42,9 @@ SMALL_BATCH_BYTES = 16 * 1024 * 1024
 # A batch over this many periods is merged with the whole table instead of a
 # partition list; the list goes through the driver and into the plan.
 MAX_PERIODS = 5_000
+# A period of more files than this, and smaller ones than that, is written anew.
+CROWDED_FILES = 16
+FILE_BYTES = 64 * 1024 * 1024
 
 
 # Fixed value: the name Spark gives the folder of a NULL partition value.
@@ -74,28 +97,26 @@ class Upsert:
     periods: list | None = field(default_factory=list)
 
 
-def _location(spark: SparkSession, path: str):
-    location = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = location.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files, location
-
-
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Is there any data? What only a failed first write left behind does not count."""
-    files, location = _location(spark, path)
-    if not files.exists(location):
-        return False
-    names = (entry.getPath().getName() for entry in files.listStatus(location))
-    return any(not name.startswith(("_", ".")) for name in names)
+    return bool(entries(spark, path))
 
 
 def _stored_bytes(spark: SparkSession, path: str) -> int:
-    files, location = _location(spark, path)
-    return files.getContentSummary(location).getLength()
+    files, place = location(spark, path)
+    return files.getContentSummary(place).getLength()
+
+
+def stored_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    """The columns of a table whose files do not all have them; None if they do."""
+    kept = f"{path}/{COLUMNS}"
+    return T.StructType.fromJson(json.loads(read_text(spark, kept))) if exists(spark, kept) else None
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+    """The rows of a table; columns that came later are NULL in older ones."""
+    schema = stored_schema(spark, path)
+    return spark.read.schema(schema).parquet(path) if schema else spark.read.parquet(path)
 
 
 def _laid_out(
@@ -113,6 +134,18 @@ def _laid_out(
     return df.sortWithinPartitions(*map(quoted, order)) if order else df
 
 
+def _write(df: DataFrame, path: str, *partition_by: str, drop: Sequence[str] = (), **counts: Column) -> dict:
+    """Write rows and return counts taken in the writing tasks, ``rows`` among them.
+
+    Columns to ``drop`` are only counted.
+    """
+    seen = Observation()
+    counts = {"rows": F.count(F.lit(1)), **counts}
+    counted = df.observe(seen, *[c.alias(name) for name, c in counts.items()]).drop(*drop)
+    counted.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    return seen.get
+
+
 def overwrite_table(
     df: DataFrame,
     path: str,
@@ -121,26 +154,28 @@ def overwrite_table(
     order: Sequence[str] = (),
     only_periods: bool = False,
     spread: bool = True,
+    before_change: Callable[[list[str]], None] | None = None,
 ) -> int:
     """Replace the table, or with ``only_periods`` just the periods found in ``df``.
 
-    Returns the rows written, counted while writing.
+    Returns the rows written, counted while writing. The table is touched when all new files
+    are there, and ``before_change`` is told the names of the new folders or files; a stop in
+    between is finished by the next writer.
     """
-    written = Observation()
-    counted = _laid_out(df, period, order, spread).observe(
-        written, F.count(F.lit(1)).alias("rows")
-    )
-    writer = counted.write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic" if only_periods else "static"
-    )
-    if period:
-        writer = writer.partitionBy(period)
-    writer.parquet(path)
-    rows = written.get["rows"]
+    spark = df.sparkSession
+    folder = prepared(spark, path)
+    layout = [period] if period else []
+    rows = _write(_laid_out(df, period, order, spread), f"{folder}/rows", *layout)["rows"]
     if rows == 0 and period and not only_periods:
         # A table without partitions would have no file to tell its columns.
         nothing = df.drop(period).limit(0)
-        nothing.write.mode("overwrite").parquet(f"{path}/{period}={NO_PERIOD}")
+        nothing.write.mode("overwrite").parquet(f"{folder}/rows/{period}={NO_PERIOD}")
+    if before_change:
+        before_change(list(entries(spark, f"{folder}/rows")))
+    if only_periods:
+        publish(spark, path)
+    else:
+        publish(spark, path, list(entries(spark, path)), columns="")
     return rows
 
 
@@ -149,6 +184,22 @@ def append_rows(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def append_once(df: DataFrame, path: str, token: Sequence[str]) -> int:
+    """Append the rows whose ``token`` columns no stored row has; their number.
+
+    So an append repeated after a stop adds nothing. NULL in a token equals NULL.
+    """
+    spark = df.sparkSession
+    new = df.dropDuplicates(list(token))
+    if table_exists(spark, path):
+        known = read_table(spark, path).select(*[F.col(quoted(c)).alias(f"_known_{c}") for c in token])
+        same = [F.col(quoted(c)).eqNullSafe(F.col(quoted(f"_known_{c}"))) for c in token]
+        new = new.join(known, reduce(lambda a, b: a & b, same), "left_anti")
+    seen = Observation()
+    append_rows(new.observe(seen, F.count(F.lit(1)).alias("rows")), path)
+    return seen.get["rows"]
+
+
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -159,96 +210,166 @@ def upsert_table(
     seq: str | None = None,
     strict: bool = False,
     small_batch_rows: int = SMALL_BATCH_ROWS,
+    evolve: bool = False,
+    before_change: Callable[[list | None], None] | None = None,
 ) -> Upsert:
     """Insert or update the rows of ``batch`` by key; the first upsert creates the table.
 
     ``period`` must be computed from key columns, so that a key never changes period:
     only periods found in the batch are read and rewritten. NaN becomes NULL. See
-    ``latest_per_key`` for duplicates and ``merge_frames`` for what a match replaces.
+    ``latest_per_key`` for duplicates and ``merge_frames`` for what a match replaces. With
+    ``evolve`` columns that the table does not have are added to it, NULL in other rows, and
+    numeric ones widened. ``before_change`` is told the periods before the table is touched.
 
     The batch is written to the scratch area first and read from there, so it is the
-    same rows in every step, whatever tasks are repeated. Work beyond that depends on
-    what the batch is like: rows are only put through ``latest_per_key`` if keys do
-    repeat, a batch without any matched key is appended, and one counted to be small is
-    broadcast, so that the table is not shuffled. One writer per table at a time; a
-    batch repeated after a failure gives the same table, wherever the first call stopped.
+    same rows in every step, whatever tasks are repeated. Then one pass merges it with the
+    rows stored in its periods and counts matches and repeated keys while it writes: what
+    the counts forbid is not published, and a batch without a match only adds files. A
+    batch counted to be small is broadcast instead, so that the table is not shuffled, and
+    periods not stored yet are not merged at all. One writer per table at a time; a batch
+    repeated after a failure gives the same table, wherever the first call stopped.
     """
     scratch = f"{scratch_root(spark)}/obs_engine/upsert-{sha256(path.encode()).hexdigest()[:16]}"
-    layout = period.name if period else None
+    layout = [period.name] if period else []
     if period:
         batch.select(*map(quoted, keys)).select(period.of())  # raises on any other column
         batch = batch.withColumn(period.name, period.of())
         keys = [*keys, period.name]
 
-    _publish(spark, scratch, path, layout)  # what an interrupted call had merged
-    nan_to_null(batch).write.mode("overwrite").parquet(f"{scratch}/batch")
-    staged = read_table(spark, f"{scratch}/batch")
-    rows, repeated, nulls = _key_facts(staged, keys)
-    if rows == 0:
+    folder = prepared(spark, path)
+    any_null = reduce(or_, [F.col(quoted(k)).isNull() for k in keys])
+    facts = _write(nan_to_null(batch), f"{scratch}/batch", nulls=F.count_if(any_null))
+    if facts["rows"] == 0:
         return Upsert(0)
-    if nulls:
-        raise ValueError(f"{nulls} rows with NULL in key {keys}")
-    if repeated and (strict or seq is None):
-        raise ValueError(f"{repeated} duplicate keys {keys} in batch")
-    if repeated:
-        staged = latest_per_key(staged, keys, seq)
-    elif seq:
-        staged = staged.drop(seq)
+    if facts["nulls"]:
+        raise ValueError(f"{facts['nulls']} rows with NULL in key {keys}")
+    staged = read_table(spark, f"{scratch}/batch")
     periods = periods_of(staged, period) if period else None
 
-    if not table_exists(spark, path):
-        overwrite_table(staged, path, period=layout, order=keys)
-        return Upsert(rows, periods)
-
+    there = table_exists(spark, path)
+    wider = None
+    if there:
+        old = read_table(spark, path)
+        if evolve:
+            wider = widened(old.schema, staged.drop(*[seq] if seq else []).schema)
+            wider = None if wider == old.schema else wider
+            old = aligned(old, wider) if wider else old
+        unknown = set(staged.columns) - {seq} - set(old.columns)
+        if unknown:
+            raise ValueError(f"columns not in the table: {sorted(unknown)}")
+    stored = stored_periods(spark, path, period) if there and period else None
+
+    def check(repeated: int) -> None:
+        if repeated and (strict or seq is None):
+            delete(spark, folder)
+            raise ValueError(f"{repeated} duplicate keys {keys} in batch")
+
+    def lay(df: DataFrame, spread: bool = True) -> DataFrame:
+        return _laid_out(df, period.name if period else None, keys, spread)
+
+    unique = latest_per_key(staged, keys, seq, counted=True)
+    repeated = F.count_if(F.col("_rows") > 1)
     small = (
-        rows <= small_batch_rows and _stored_bytes(spark, f"{scratch}/batch") <= SMALL_BATCH_BYTES
+        facts["rows"] <= small_batch_rows
+        and _stored_bytes(spark, f"{scratch}/batch") <= SMALL_BATCH_BYTES
     )
-    existing = read_table(spark, path)
-    if periods is not None:
-        existing = existing.where(F.col(period.name).isin(periods))
-    if matched_keys(existing, staged, keys, small_batch=small).isEmpty():
-        new = merge_frames(existing.limit(0), staged, keys)
-        writer = _laid_out(new, layout, keys).write.mode("append")
-        (writer.partitionBy(layout) if layout else writer).parquet(path)
-        return Upsert(rows, periods)
-
-    # Merged rows are whole and marked so before the table is touched: whenever a call
-    # stops, either the table is as it was, or the next call publishes them again. Around
-    # a broadcast the table's own files are mapped to new ones without a shuffle.
-    merged = merge_frames(existing, staged, keys, small_batch=small)
-    spread = not (small and period)
-    overwrite_table(merged, f"{scratch}/merged", period=layout, order=keys, spread=spread)
-    files, mark = _location(spark, f"{scratch}/complete")
-    files.create(mark, True).close()
-    _publish(spark, scratch, path, layout)
+    matched = 0
+    if not there or (stored is not None and periods is not None and not stored & set(periods)):
+        new = lay(aligned(unique, old.schema, "_rows") if there else unique)
+        found = _write(new, f"{folder}/added", *layout, drop=["_rows"], repeated=repeated)
+        check(found["repeated"])
+        rows = found["rows"]
+    else:
+        if periods is not None:
+            old = old.where(F.col(period.name).isin(periods))
+        if small:
+            found = _write(unique, f"{scratch}/unique", repeated=repeated)
+            check(found["repeated"])
+            rows = found["rows"]
+            unique = read_table(spark, f"{scratch}/unique").drop("_rows")
+            met = matched_keys(old, unique, keys, small_batch=True)
+            matched = _write(met, f"{scratch}/matched")["rows"]
+            new = unique
+            if matched:
+                # Around a broadcast the table's own files are mapped to new ones.
+                kept = merge_frames(old, unique, keys, small_batch=True, inserts=False)
+                _write(lay(kept, spread=not period), f"{folder}/rows", *layout)
+                met = read_table(spark, f"{scratch}/matched")
+                new = unique.join(F.broadcast(met), keys, "left_anti")  # no more keys than the batch
+            _write(lay(aligned(new, old.schema)), f"{folder}/added", *layout)
+        else:
+            found = _write(
+                lay(merged_in_one_pass(old, unique, keys)),
+                f"{folder}/both",
+                "_added",
+                *layout,
+                drop=["_matched", "_times"],
+                matched=F.count_if(F.col("_matched")),
+                inserted=F.count_if(F.col("_added")),
+                repeated=F.count_if(F.col("_times") > 1),
+            )
+            check(found["repeated"])
+            matched, rows = found["matched"], found["matched"] + found["inserted"]
+            if matched:  # otherwise what is stored stays as it is
+                rename(spark, f"{folder}/both/_added=false", f"{folder}/rows")
+            if found["inserted"]:
+                rename(spark, f"{folder}/both/_added=true", f"{folder}/added")
+
+    if before_change:
+        before_change(periods)
+    # Without periods all stored files are replaced, if any row is.
+    gone = list(entries(spark, path)) if matched and not period else []
+    publish(spark, path, gone, json.dumps(wider.jsonValue()) if wider else None)
+    _compact_touched(spark, path, period, periods, keys)
     return Upsert(rows, periods)
 
 
-def _publish(spark: SparkSession, scratch: str, path: str, layout: str | None) -> None:
-    """Put merged rows that are marked as complete in the place of the table's.
+def _crowded(spark: SparkSession, path: str, files_max: int) -> bool:
+    """More small files than a folder should have; one large file is never a reason."""
+    files, place = location(spark, path)
+    if not files.exists(place):
+        return False
+    sizes = sorted(e.getLen() for e in files.listStatus(place) if e.isFile())
+    needed = -(-sum(sizes) // FILE_BYTES)
+    return len(sizes) > files_max and len(sizes) > 2 * needed
 
-    Of a table with periods only those of the merged rows are replaced. Doing it twice
-    does no harm.
-    """
-    files, mark = _location(spark, f"{scratch}/complete")
-    if not files.exists(mark):
-        return
-    merged = read_table(spark, f"{scratch}/merged")
-    overwrite_table(merged, path, period=layout, only_periods=bool(layout), spread=False)
-    files.delete(mark, False)
-    for name in ("merged", "batch"):
-        files, location = _location(spark, f"{scratch}/{name}")
-        files.delete(location, True)
 
+def _compact_touched(
+    spark: SparkSession, path: str, period: Period | None, periods: list | None, keys: list[str]
+) -> None:
+    if period is None:
+        compact_table(spark, path, order=keys)
+    elif periods is not None:
+        compact_table(spark, path, period, periods, order=keys)
 
-def _key_facts(batch: DataFrame, keys: list[str]) -> tuple[int, int, int]:
-    """Distinct keys, keys that repeat, and keys with a NULL."""
-    per_key = batch.groupBy(*map(quoted, keys)).agg(F.count("*").alias("_rows"))
-    any_null = reduce(or_, [F.col(quoted(k)).isNull() for k in keys])
-    facts = per_key.agg(
-        F.count("*"), F.count_if(F.col("_rows") > 1), F.count_if(any_null)
-    )
-    return tuple(facts.first())
+
+def compact_table(
+    spark: SparkSession,
+    path: str,
+    period: Period | None = None,
+    periods: Sequence | None = None,
+    *,
+    order: Sequence[str] = (),
+    files_max: int = CROWDED_FILES,
+) -> list:
+    """Write periods of many small files anew, in few; those rewritten are returned.
+
+    Rows are packed into files of about the advisory size of a partition. ``periods`` (all
+    stored ones, if not given) are looked at; others are not touched. A table without a
+    period is one folder.
+    """
+    finish(spark, path)
+    if period is None:
+        if not _crowded(spark, path, files_max):
+            return []
+        overwrite_table(read_table(spark, path), path, order=order)
+        return [None]
+    looked_at = stored_periods(spark, path, period) or set() if periods is None else periods
+    crowded = sorted(p for p in looked_at if _crowded(spark, f"{path}/{period.name}={p}", files_max))
+    if crowded:
+        rows = read_table(spark, path).where(F.col(period.name).isin(crowded))
+        overwrite_table(rows, path, period=period.name, order=order, only_periods=True)
+    return crowded
 
 
 def periods_of(df: DataFrame, period: Period) -> list | None:
@@ -259,14 +380,14 @@ def periods_of(df: DataFrame, period: Period) -> list | None:
 
 def stored_periods(spark: SparkSession, path: str, period: Period) -> set | None:
     """The periods of a table by its folders, without a job; None if too many to list."""
-    files, location = _location(spark, path)
-    if not files.exists(location):
-        return set()
-    names = (entry.getPath().getName() for entry in files.listStatus(location))
-    values = {n.removeprefix(f"{period.name}=") for n in names if n.startswith(f"{period.name}=")}
+    values = period_values(entries(spark, path), period)
+    return values if len(values) <= MAX_PERIODS else None
+
+
+def period_values(folders: Iterable[str], period: Period) -> set:
+    """The periods that names of folders tell."""
+    values = {n.removeprefix(f"{period.name}=") for n in folders if n.startswith(f"{period.name}=")}
     values.discard(NO_PERIOD)
-    if len(values) > MAX_PERIODS:
-        return None
     return {int(v) if v.isdigit() else v for v in values}
 
 
@@ -276,7 +397,6 @@ def drop_periods(spark: SparkSession, path: str, period: Period, gone: set) -> N
         return
     nothing = read_table(spark, path).drop(period.name).limit(0)
     for value in sorted(gone):
-        files, location = _location(spark, f"{path}/{period.name}={value}")
-        files.delete(location, True)
+        delete(spark, f"{path}/{period.name}={value}")
     if not table_exists(spark, path):
         nothing.write.mode("overwrite").parquet(f"{path}/{period.name}={NO_PERIOD}")

@@ -3,6 +3,8 @@
 import datetime as dt
 import json
 
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from obs_engine import operators as ops
@@ -85,3 +87,39 @@ def test_ledger(spark, folder):
     latest = {r["run_id"]: r["run_status"] for r in sources.latest_status(ledger).collect()}
     assert latest == {1: "Error", 2: "Started"}
     assert sources.next_run_id(ledger.limit(0)).first()["run_id"] == 1
+
+
+DAYS = st.lists(st.tuples(st.sampled_from("ab"), st.integers(0, 12)), max_size=14)
+
+
+def intervals(spark, parts):
+    first = dt.date(2022, 1, 1)
+    rows = [(k, first + dt.timedelta(a), first + dt.timedelta(b)) for k, a, b in parts]
+    return spark.createDataFrame(rows, "k string, first_day date, last_day date")
+
+
+def covered(df):
+    """Days by entity, each once, or the intervals overlap."""
+    first = dt.date(2022, 1, 1)
+    days = [(r["k"], (r["first_day"] - first).days + d) for r in df.collect() for d in range((r["last_day"] - r["first_day"]).days + 1)]
+    assert len(days) == len(set(days))
+    return set(days)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(loaded=DAYS, wanted=st.dictionaries(st.sampled_from("abc"), st.tuples(st.integers(0, 6), st.integers(0, 8)), max_size=3))
+def test_intervals_like_sets_of_days(spark, loaded, wanted):
+    first = dt.date(2022, 1, 1)
+    rows = spark.createDataFrame([(k, str(first + dt.timedelta(d))) for k, d in loaded], "k string, day string")
+    islands = ops.days_to_intervals(rows, ["k"], "day")
+    assert covered(islands) == set(loaded)
+    doubled = ops.merge_intervals(islands.unionByName(intervals(spark, [(k, d, d) for k, d in loaded])), ["k"])
+    assert sorted(map(tuple, doubled.collect())) == sorted(map(tuple, islands.collect()))
+    parts = [(k, a, a + n) for k, (a, n) in wanted.items()]
+    left = ops.subtract_intervals(intervals(spark, parts), islands, ["k"])
+    asked = {(k, d) for k, a, b in parts for d in range(a, b + 1)}
+    assert covered(left) == asked - set(loaded)
+    assert ops.count_days(left).first()["days"] == len(asked - set(loaded))
+    days = spark.createDataFrame([(k, str(first + dt.timedelta(d))) for k, d in asked], "k string, day string")
+    outside = ops.outside_intervals(days, islands, ["k"], "day")
+    assert outside.count() == len(asked - set(loaded))

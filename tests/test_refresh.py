@@ -1,6 +1,8 @@
 """Whole loads and the stream, on a few documents."""
 
+import datetime as dt
 import json
+import os
 from pathlib import Path
 
 import pytest
@@ -152,11 +154,12 @@ def test_refresh(spark, folder, grain):
         spark,
         root,
         as_of="2022-10-02",
+        cities=cities,
         historic=arguments["historic"],
         days_back=30,
         grain=grain,
     )
-    assert written == {"raw_historic": 0}
+    assert written == {"raw_cities": 2, "raw_historic": 0}
     assert sources.read_marks(spark, f"{root}/historic_logs").count() == 2
 
 
@@ -323,21 +326,155 @@ def test_stream(spark, folder):
     assert raw.count() == 3
 
 
-def test_mark_stays_below_a_rejected_document(spark, folder):
+ERROR = {"City_Name": "Perth", "error": {"code": 9999}}
+
+
+def test_rejected_document_keeps_its_own_days_open(spark, folder):
+    """Four loads: the mark moves on, the document is put aside once, its day is filled later."""
     root, history = f"{folder}/root", f"{folder}/history"
-    land(
-        spark,
-        history,
-        document("Perth", "2022-10-01", 20.0),
-        {"City_Name": "Perth", "error": {"code": 9999}},
-    )
-    arguments = {"as_of": "2022-10-04", "historic": sources.read_weather(spark, history)}
+    land(spark, history, document("Perth", "2022-10-01", 20.0), ERROR, document("Perth", "2022-10-03", 22.0))
+    names = spark.createDataFrame([("Perth",), ("Hobart",)], "City_Name string")
+
+    def loaded(as_of, **options):
+        documents = sources.read_weather(spark, history)
+        return plans.load(spark, root, as_of=as_of, days_back=3, historic=documents, **options)
+
+    def still_open(as_of):
+        found = plans.open_days(spark, root, names, as_of=as_of, days_back=3)
+        return sorted((r[0], str(r[1]), str(r[2])) for r in found.collect())
+
     with pytest.raises(Exception, match="document without days"):
-        plans.load(spark, root, **arguments)
-    written = plans.load(spark, root, set_aside=True, **arguments)
-    assert written["raw_historic"] == 1 and written["raw_rejected"] == 1
-    assert sources.last_mark(spark, f"{root}/historic_logs") is None
-    assert sources.read_table(spark, f"{root}/raw_rejected").first().origin == "historic"
+        loaded("2022-10-04")  # fails once, with the document put aside
+    written = loaded("2022-10-04")
+    assert written["raw_historic"] == 2 and "raw_rejected" not in written
+    assert sources.last_mark(spark, f"{root}/historic_logs") == "2022-10-03"
+    assert still_open("2022-10-04") == [("Hobart", "2022-10-01", "2022-10-03"), ("Perth", "2022-10-02", "2022-10-02")]
+    assert loaded("2022-10-04")["raw_historic"] == 0
+    land(spark, history, document("Perth", "2022-10-02", 21.0), document("Perth", "2022-10-04", 23.0))
+    assert loaded("2022-10-05", set_aside=True)["raw_historic"] == 2
+    assert still_open("2022-10-05") == [("Hobart", "2022-10-02", "2022-10-04")]
+    raw = sources.read_table(spark, f"{root}/raw_historic")
+    assert rows(raw, "date") == [(f"2022-10-0{k}",) for k in (1, 2, 3, 4)]
+    aside = sources.read_table(spark, f"{root}/raw_rejected")
+    assert rows(aside, "origin") == [("historic",)] and "Perth" in aside.first()["document"]
+    unified = plans.read_model(spark, root, "staging_historic_and_forecast")
+    assert unified.count() == 4
+
+
+def test_corrections_of_loaded_days_are_left_to_the_stream(spark, folder):
+    root, history = f"{folder}/root", f"{folder}/history"
+    land(spark, history, document("Perth", "2022-10-01", 20.0))
+    plans.load(spark, root, as_of="2022-10-04", historic=sources.read_weather(spark, history))
+    land(spark, history, document("Perth", "2022-10-01", 30.0))
+    written = plans.load(spark, root, as_of="2022-10-04", historic=sources.read_weather(spark, history))
+    assert written == {"raw_historic": 0}
+
+
+def test_landing_opens_new_files_only(spark, folder):
+    """Late files too; a file with days to come is read again, a broken old one is not."""
+    root, history = f"{folder}/root", f"{folder}/a history"
+    landing = sources.Landing(history)
+    ledger = f"{root}/loaded_files"
+
+    def loaded(as_of, source=landing):
+        return plans.load(spark, root, as_of=as_of, historic=source, set_aside=True)
+
+    def names(df):
+        return {Path(r["path"]).name for r in df.select("path").collect()}
+
+    land(spark, history, document("Perth", "2022-10-01", 20.0))
+    land(spark, history, document("Perth", "2022-10-02", 20.0), document("Perth", "2022-10-05", 25.0))
+    assert loaded("2022-10-03")["raw_historic"] == 2
+    once = names(sources.read_table(spark, ledger))
+    assert len(once) == 1  # the other file has a day to come
+    old = next(f for f in Path(history).iterdir() if f.name in once)
+    text, stat = old.read_text(), old.stat()
+    old.write_text("{" * len(text))  # as it is never opened again, nobody notices
+    os.utime(old, ns=(stat.st_atime_ns, stat.st_mtime_ns))
+    Path(history, f".{old.name}.crc").unlink(missing_ok=True)
+    new = sources.unread(spark, landing, ledger)
+    assert not names(new.files) & once
+    assert not {Path(f).name for f in new.documents.inputFiles()} & once
+    land(spark, history, document("Perth", "2022-09-30", 19.0))  # late
+    assert loaded("2022-10-06")["raw_historic"] == 2
+    raw = sources.read_table(spark, f"{root}/raw_historic")
+    assert rows(raw, "date") == [("2022-09-30",), ("2022-10-01",), ("2022-10-02",), ("2022-10-05",)]
+    assert sources.unread(spark, landing, ledger).documents is None
+    assert loaded("2022-10-06") == {}
+    recent = sources.Landing(history, lateness=dt.timedelta(days=1))
+    land(spark, history, document("Perth", "2022-10-06", 19.0))
+    assert sources.unread(spark, recent, ledger).files.count() == 1
+    assert loaded("2022-10-07", recent)["raw_historic"] == 1
+    assert sources.read_table(spark, ledger).count() == 4
+
+
+def test_more_new_files_than_are_listed(spark, folder, monkeypatch):
+    history, ledger = f"{folder}/history", f"{folder}/ledger"
+    land(spark, history, document("Perth", "2022-10-01", 20.0))
+    landing = sources.Landing(history)
+    sources.mark_read(sources.unread(spark, landing, ledger).files, ledger)
+    for day in ("2022-10-02", "2022-10-03"):
+        land(spark, history, document("Perth", day, 20.0))
+    monkeypatch.setattr("obs_engine.sources.landing.MAX_FILES", 1)
+    found = sources.unread(spark, landing, ledger).documents
+    days = found.selectExpr("forecast.forecastday[0].date as date")
+    assert rows(days, "date") == [("2022-10-02",), ("2022-10-03",)]
+
+
+@pytest.mark.parametrize("grain", [sources.MONTH, sources.DAY], ids=["months", "days"])
+def test_stop_before_the_models(spark, folder, monkeypatch, grain):
+    """The next load rebuilds what the stopped one had touched."""
+    history = f"{folder}/history"
+    land(spark, history, document("Perth", "2022-09-30", 20.0))
+    forecasts = []
+    for number, days in enumerate((["2022-10-30", "2022-10-31"], ["2022-11-01"], ["2022-12-02"])):
+        forecasts.append(f"{folder}/forecast{number}")
+        land(spark, forecasts[-1], *[document("Perth", d, 20.0) for d in days])
+
+    def loaded(root, number):
+        plans.load(
+            spark,
+            root,
+            as_of="2022-10-01",
+            historic=sources.read_weather(spark, history),
+            forecast=sources.read_weather(spark, forecasts[number]),
+            grain=grain,
+        )
+
+    stopped, whole = f"{folder}/stopped", f"{folder}/whole"
+    for root in (stopped, whole):
+        loaded(root, 0)
+    land(spark, history, document("Cairns", "2022-08-30", 31.0))
+    with monkeypatch.context() as patched:
+        patched.setattr("obs_engine.plans.loading.build_models", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            loaded(stopped, 1)
+    loaded(stopped, 2)
+    loaded(whole, 2)
+    names = ["staging_historic", "staging_forecast", "staging_historic_and_forecast", *plans.SERVING_MODELS]
+    tables = [{n: rows(plans.read_model(spark, r, n), "*") for n in names} for r in (stopped, whole)]
+    assert tables[0] == tables[1]
+    assert sources.journal.pending(spark, stopped).notes == ()
+
+
+def test_fields_the_models_do_not_use(spark, folder):
+    root, history = f"{folder}/root", f"{folder}/history"
+    land(spark, history, document("Perth", "2022-10-01", 20.0))
+    plans.load(spark, root, as_of="2022-10-02", historic=sources.read_weather(spark, history))
+    more = document("Perth", "2022-10-02", 21.0)
+    more["forecast"]["forecastday"][0]["day"]["feelslike_c"] = 18.5
+    more["location"] = {"country": "Australia"}
+    land(spark, f"{folder}/more", more)
+    landing = sources.Landing(f"{folder}/more", fields=sources.FOUND)
+    with pytest.raises(ValueError, match="feelslike_c"):
+        plans.load(spark, root, as_of="2022-10-03", historic=landing)
+    plans.load(spark, root, as_of="2022-10-03", historic=landing, evolve=True)
+    raw = sources.read_table(spark, f"{root}/raw_historic")
+    assert rows(raw, "date", "`day.feelslike_c`", "`location.country`") == [
+        ("2022-10-01", None, None),
+        ("2022-10-02", 18.5, "Australia"),
+    ]
+    assert plans.read_model(spark, root, "staging_historic").count() == 2
 
 
 def test_cities_of_a_country(spark, folder):

@@ -6,12 +6,13 @@ from hypothesis import strategies as st
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from obs_engine.operators import latest_per_key, merge_frames
+from obs_engine.operators import latest_per_key, merge_frames, merged_in_one_pass
 from obs_engine.session import scratch_path, scratch_root
-from obs_engine.sources import tables
+from obs_engine.sources import publish, tables
 from obs_engine.sources import (
     MONTH,
     Period,
+    append_once,
     overwrite_table,
     read_table,
     table_exists,
@@ -163,36 +164,162 @@ def test_table_without_periods(spark, folder):
     )
 
 
+class Stop(Exception):
+    """The driver is lost."""
+
+
+def stopping_after(monkeypatch, calls):
+    """Renames and deletions of a publish stop after so many."""
+    left = [calls]
+
+    def counted(real):
+        def run(spark, *paths):
+            if left[0] == 0:
+                raise Stop
+            left[0] -= 1
+            return real(spark, *paths)
+
+        return run
+
+    for name in ("rename", "delete"):
+        monkeypatch.setattr(f"obs_engine.sources.publish.{name}", counted(getattr(publish, name)))
+    return left
+
+
+@pytest.mark.parametrize("period", [None, MONTH])
+@pytest.mark.parametrize("small", [100_000, 0])
+def test_interrupted_upsert(spark, folder, monkeypatch, period, small):
+    """Wherever a call stops, a retry gives the table of an uninterrupted one."""
+    monkeypatch.setattr("obs_engine.sources.publish.RENAMES_AT_ONCE", 1)
+    batch = frame(spark, ("a", "2022-10-01", 0.0, "o"), ("n", "2022-11-03", 1.0, "n"), ("n", "2022-12-01", 2.0, "n"))
+    options = {"period": period, "small_batch_rows": small}
+    upsert_table(spark, f"{folder}/whole", frame(spark, *OLD), KEYS, period=period)
+    upsert_table(spark, f"{folder}/whole", batch, KEYS, **options)
+    wanted = stored(spark, f"{folder}/whole")
+    calls, stops = 0, 0
+    while True:
+        path = f"{folder}/t{calls}"
+        upsert_table(spark, path, frame(spark, *OLD), KEYS, period=period)
+        with monkeypatch.context() as patched:
+            left = stopping_after(patched, calls)
+            try:
+                upsert_table(spark, path, batch, KEYS, **options)
+            except Stop:
+                stops += 1
+        done = left[0] > 0
+        upsert_table(spark, path, batch, KEYS, **options)
+        assert stored(spark, path) == wanted, calls
+        if done:
+            break
+        calls += 3
+    assert stops >= 2
+
+
+def test_interrupted_overwrite(spark, folder, monkeypatch):
+    """An overwrite leaves the old rows or the new ones, once the next writer is through."""
+    monkeypatch.setattr("obs_engine.sources.publish.RENAMES_AT_ONCE", 1)
+    old, new = frame(spark, *OLD), frame(spark, ("z", "2022-12-01", 1.0, "new"))
+    with_period = [df.withColumn("year_month", MONTH.of()) for df in (old, new)]
+    seen = set()
+    for calls in range(0, 14, 2):
+        path = f"{folder}/t{calls}"
+        overwrite_table(with_period[0], path, period="year_month")
+        with monkeypatch.context() as patched:
+            stopping_after(patched, calls)
+            try:
+                overwrite_table(with_period[1], path, period="year_month")
+            except Stop:
+                pass
+        publish.finish(spark, path)
+        rows = stored(spark, path)
+        assert rows in (sorted(OLD), [("z", "2022-12-01", 1.0, "new")])
+        seen.add(len(rows))
+    assert seen == {1, 3}
+
+
+@pytest.mark.parametrize("small", [100_000, 0])
 @pytest.mark.parametrize("period", [None, MONTH])
-@pytest.mark.parametrize("left", ["nothing", "a part", "all"])
-def test_interrupted_replacement_is_finished(spark, folder, monkeypatch, period, left):
-    """Whatever a stop while publishing left of the table, a retry has every row."""
+def test_forbidden_batch_leaves_the_table(spark, folder, period, small):
     path = f"{folder}/t"
     upsert_table(spark, path, frame(spark, *OLD), KEYS, period=period)
-    wanted = sorted(map(tuple, read_table(spark, path).select(*KEYS).collect()))
-    real = tables.overwrite_table
-
-    def failing(df, location, **options):
-        if location == path:
-            if left != "all":
-                # Only the periods that are replaced are ever taken away.
-                gone = f"{path}/{period.name}=2022-10" if period else path
-                files, place = tables._location(spark, gone)
-                files.delete(place, True)
-            if left == "a part":
-                kept = tables.read_table(spark, location_of_merged[0]).limit(1)
-                real(kept, path, **options)
-            raise OSError("driver lost")
-        location_of_merged.append(location)
-        return real(df, location, **options)
-
-    location_of_merged = []
-    monkeypatch.setattr("obs_engine.sources.tables.overwrite_table", failing)
-    with pytest.raises(OSError):
-        upsert_table(spark, path, frame(spark, OLD[0]), KEYS, period=period)
-    monkeypatch.setattr("obs_engine.sources.tables.overwrite_table", real)
-    upsert_table(spark, path, frame(spark, OLD[0]), KEYS, period=period)
-    assert sorted(map(tuple, read_table(spark, path).select(*KEYS).collect())) == wanted
+    before = files(spark, path)
+    twice = frame(spark, OLD[0], OLD[0], ("new", "2022-10-05", 1.0, "n"))
+    with pytest.raises(ValueError, match="1 duplicate"):
+        upsert_table(spark, path, twice, KEYS, period=period, small_batch_rows=small)
+    assert files(spark, path) == before and stored(spark, path) == sorted(OLD)
+
+
+def test_new_keys_only_add_files(spark, folder):
+    path = f"{folder}/t"
+    upsert_table(spark, path, frame(spark, *OLD), KEYS)
+    before = files(spark, path)
+    for number, small in enumerate((100_000, 0)):
+        batch = frame(spark, (f"new{number}", "2022-10-05", 1.0, "n"))
+        done = upsert_table(spark, path, batch, KEYS, small_batch_rows=small)
+        assert done.rows == 1 and before < files(spark, path)
+        before = files(spark, path)
+
+
+@pytest.mark.parametrize("small", [100_000, 0])
+def test_an_upsert_is_few_jobs_and_one_shuffle_of_each_side(spark, folder, small):
+    path = f"{folder}/t"
+    wide = spark.range(2000).selectExpr(
+        "concat('c', id) as city", "'2022-10-01' as date", "cast(id as double) as m", "'n' as note"
+    )
+    upsert_table(spark, path, wide, KEYS)
+    spark.sparkContext.setJobGroup("upsert", "jobs of one upsert")
+    try:
+        upsert_table(spark, path, wide.where("m >= 1000").union(frame(spark, OLD[0])), KEYS, small_batch_rows=small)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("upsert")
+    finally:
+        spark.sparkContext.setJobGroup("", "")
+    assert len(jobs) <= 12
+    stored_rows = read_table(spark, path).drop("year_month")
+    batch = latest_per_key(stored_rows, KEYS, counted=True)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        merged = merged_in_one_pass(stored_rows, batch, KEYS)
+        text = merged._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert text.count("Exchange hashpartitioning") == 2
+
+
+def test_many_small_batches_leave_few_files(spark, folder):
+    path = f"{folder}/t"
+    upsert_table(spark, path, frame(spark, ("z", "2022-09-01", 1.0, "x")), KEYS)
+    untouched = files(spark, path, "2022-09")
+    for k in range(20):
+        upsert_table(spark, path, frame(spark, (f"c{k}", "2022-10-01", float(k), "x")), KEYS)
+    assert len(files(spark, path, "2022-10")) <= tables.CROWDED_FILES
+    assert read_table(spark, path).count() == 21
+    assert files(spark, path, "2022-09") == untouched
+    assert tables.compact_table(spark, path, MONTH, files_max=0, order=KEYS) == ["2022-10"]
+    assert len(files(spark, path, "2022-10")) == 1 and read_table(spark, path).count() == 21
+
+
+def test_columns_are_added_and_widened(spark, folder):
+    path = f"{folder}/t"
+    upsert_table(spark, path, frame(spark, ("a", "2022-10-01", 1), schema="city string, date string, m int"), KEYS)
+    wider = frame(spark, ("b", "2022-10-01", 2.5, "new"), ("a", "2022-11-01", 3.5, None))
+    with pytest.raises(ValueError, match="note"):
+        upsert_table(spark, path, wider, KEYS)
+    upsert_table(spark, path, wider, KEYS, evolve=True)
+    assert stored(spark, path) == [("a", "2022-10-01", 1.0, None), ("a", "2022-11-01", 3.5, None), ("b", "2022-10-01", 2.5, "new")]
+    upsert_table(spark, path, frame(spark, ("a", "2022-10-01", 7), schema="city string, date string, m int"), KEYS)
+    assert stored(spark, path)[0] == ("a", "2022-10-01", 7.0, None)
+    with pytest.raises(ValueError, match="m is double"):
+        text = frame(spark, ("a", "2022-10-01", "x"), schema="city string, date string, m string")
+        upsert_table(spark, path, text, KEYS, evolve=True)
+
+
+def test_append_once(spark, folder):
+    path = f"{folder}/t"
+    rows = frame(spark, ("a", None, 1.0, "x"), ("b", "d", 2.0, "y"), ("b", "d", 2.0, "y"))
+    assert append_once(rows, path, ["city", "date"]) == 2
+    assert append_once(rows, path, ["city", "date"]) == 0
+    assert append_once(frame(spark, ("a", "d", 1.0, "x")), path, ["city", "date"]) == 1
+    assert read_table(spark, path).count() == 3
 
 
 def test_hot_key(spark, folder):
