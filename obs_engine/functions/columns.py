@@ -6,7 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CLOCK_FORMAT = "hh:mm a"
+# Tried in this order; text in none of these forms raises.
+CLOCK_FORMATS = ("hh:mm a", "h:mm a", "HH:mm", "HH:mm:ss")
 
 
 def quoted(name: str) -> str:
@@ -63,15 +64,19 @@ def whole_number(c: Column | str, dtype: T.DataType) -> Column:
     return column.cast("int")
 
 
+def clock(c: Column | str) -> Column:
+    """Clock text, with or without AM and PM, as a time of one and the same day."""
+    text = _column(c)
+    *some, last = CLOCK_FORMATS
+    tried = [F.try_to_timestamp(text, F.lit(form)) for form in some]
+    return F.coalesce(*tried, F.to_timestamp(text, last))
+
+
 def clock_diff(end: Column | str, start: Column | str) -> Column:
     """Interval between two clock texts of one day; no wrap past midnight."""
-    return F.to_timestamp(_column(end), CLOCK_FORMAT) - F.to_timestamp(
-        _column(start), CLOCK_FORMAT
-    )
+    return clock(end) - clock(start)
 
 
 def clock_seconds(end: Column | str, start: Column | str) -> Column:
     """``clock_diff`` in whole seconds."""
-    return F.unix_timestamp(_column(end), CLOCK_FORMAT) - F.unix_timestamp(
-        _column(start), CLOCK_FORMAT
-    )
+    return F.unix_timestamp(clock(end)) - F.unix_timestamp(clock(start))

@@ -42,14 +42,22 @@ from obs_engine.operators.shaping import (
     union_by_name,
     widened,
 )
+from obs_engine.operators.states import (
+    add_states,
+    counts_of_states,
+    metrics_of_states,
+    month_states,
+)
 
 __all__ = [
     "WEATHER_CATEGORIES",
     "activity_flags",
+    "add_states",
     "aligned",
     "broadcast_if_small",
     "condition_counts",
     "count_days",
+    "counts_of_states",
     "days_to_intervals",
     "explode_records",
     "extraction_window",
@@ -63,7 +71,9 @@ __all__ = [
     "merge_frames",
     "merge_intervals",
     "merged_in_one_pass",
+    "metrics_of_states",
     "missing_keys",
+    "month_states",
     "monthly_metrics",
     "nan_to_null",
     "outside_intervals",

@@ -357,7 +357,7 @@ def load_raw(
         raw_or_rejected(documents).observe(seen, count).write.parquet(path)
         rows = spark.read.parquet(path)
         if seen.get["rejected"]:
-            new = _put_aside(spark, root, rows, origin, as_of)
+            new = put_aside(spark, root, rows, origin, as_of)
             if new:
                 done.rows["raw_rejected"] = done.rows.get("raw_rejected", 0) + new
                 if not set_aside:
@@ -406,7 +406,7 @@ def load_raw(
     return done
 
 
-def _put_aside(spark: SparkSession, root: str, rows: DataFrame, origin: str, as_of: Day) -> int:
+def put_aside(spark: SparkSession, root: str, rows: DataFrame, origin: str, as_of: Day) -> int:
     """Append rejected documents that ``raw_rejected`` does not have; how many are new."""
     documents = rows.where(F.col("_rejected").isNotNull()).select(
         F.col("_rejected").alias("document"),

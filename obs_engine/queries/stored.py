@@ -21,7 +21,7 @@ from obs_engine.queries.weather import (
     _round_sql,
 )
 from obs_engine.session import scratch_path
-from obs_engine.streaming import start_weather_upsert
+from obs_engine.streaming import apply_batch, fold_states, start_month_states, start_weather_upsert
 
 # ---- overwrite ---------------------------------------------------------------------
 
@@ -516,8 +516,8 @@ def load_fills_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_path(spark, f"gaps-step-{step}")
         both.write.parquet(path)  # the ledger is replaced by the next load
         steps.append(spark.read.parquet(path))
-    rejected = sources.read_table(spark, f"{root}/raw_rejected").agg(F.count("*").alias("rejected"))
-    return ops.union_by_name(*steps).join(F.broadcast(rejected))  # one row
+    rejected = sources.read_table(spark, f"{root}/raw_rejected").count()
+    return ops.union_by_name(*steps).withColumn("rejected", F.lit(rejected).cast("long"))
 
 
 @query(
@@ -603,3 +603,61 @@ def src_weather_extra_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("`day.feelslike_c`").alias("feels_like"),
         F.col("`location.country`").alias("country"),
     )
+
+
+# ---- states of months --------------------------------------------------------------
+
+CORRECTED = f"""corrected as (select city, date, min_temp_celcius, max_wind_kph, weather_condition,
+  max_temp_celcius + case when date >= '{BATCH_FROM}' then 1 else 0 end as max_temp_celcius,
+  case when date < '{BATCH_FROM}' or max_temp_celcius <= 45 then total_rain_mm end as total_rain_mm
+  from obs where from_table = 'historic')"""
+MONTH_COUNTS_SQL = ", ".join(
+    f"count(case when {sql} then 1 end) as {category}_day_count_by_month"
+    for category, sql in CATEGORY_SQL.items()
+)
+
+
+@query(
+    over_obs(
+        f"""select substr(date, 1, 7) as year_month, city,
+  {_round_sql("avg(max_temp_celcius)")} as avg_max_temp_celcuis_by_month,
+  {_round_sql("avg(min_temp_celcius)")} as avg_min_temp_celcuis_by_month,
+  {_round_sql("avg(max_wind_kph)")} as avg_max_wind_kph_by_month,
+  {_round_sql("sum(total_rain_mm)")} as total_rain_mm_by_month,
+  {MONTH_COUNTS_SQL}
+from corrected group by all""",
+        CORRECTED,
+    )
+)
+def month_state_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months from states: a first part, corrections of its last days, and new days."""
+    path = scratch_path(spark, "states")
+    rows = testdata.historic(spark, sf_dir)
+    first, since = rows.where(F.col("date") < EXISTING_BEFORE), rows.where(F.col("date") >= BATCH_FROM)
+    taken_back = first.where(F.col("date") >= BATCH_FROM).withColumn("sign", F.lit(-1))
+    signed = taken_back.unionByName(_changed(since).withColumn("sign", F.lit(1)))
+    fold_states(spark, path, ops.month_states(first), "load-1")
+    for _ in range(2):  # the second time nothing is added
+        fold_states(spark, path, ops.month_states(signed, "sign"), "load-2")
+    states = sources.read_table(spark, path)
+    metrics = ops.metrics_of_states(states).join(ops.counts_of_states(states), ["year_month", "city"])
+    return decimals_as_double(metrics)
+
+
+@query(
+    over_obs(f"select substr(date, 1, 7) as year_month, city, {MONTH_COUNTS_SQL} from corrected group by all", CORRECTED)
+)
+def stream_condition_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts kept by the changes of a stream: corrected days, and a batch that comes twice."""
+    root, landed, checkpoint = (scratch_path(spark, f"changes-{p}") for p in ("root", "in", "state"))
+    rows = testdata.historic(spark, sf_dir)
+    corrected = _changed(rows.where(F.col("date") >= BATCH_FROM))
+    for part in (rows.where(F.col("date") < EXISTING_BEFORE), corrected):
+        testdata.daily_documents(part).write.mode("append").json(landed)
+        stream = sources.stream_weather(spark, landed)
+        start_month_states(stream, root, checkpoint).awaitTermination()
+    again = ops.raw_weather(testdata.daily_documents(corrected))
+    for _ in range(2):
+        apply_batch(spark, root, again, "again-0")
+    states = sources.read_table(spark, f"{root}/state_months")
+    return ops.counts_of_states(states)

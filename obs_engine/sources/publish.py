@@ -15,6 +15,8 @@ from pyspark.sql import SparkSession
 HIDDEN = "_publish"
 # The columns of a table, where not all of its files have them all.
 COLUMNS = "_columns"
+# Which batch a table has taken last.
+TOKEN = "_token"
 # Renames wait for the file system, not for this process.
 RENAMES_AT_ONCE = 16
 
@@ -80,17 +82,21 @@ def prepared(spark: SparkSession, path: str) -> str:
 
 
 def publish(
-    spark: SparkSession, path: str, drop: list[str] = (), columns: str | None = None
+    spark: SparkSession,
+    path: str,
+    drop: list[str] = (),
+    columns: str | None = None,
+    token: str | None = None,
 ) -> None:
     """Put the prepared files in their place, and take away the entries to ``drop``.
 
     A folder in ``rows`` replaces the one of the same name, files of ``added`` go beside
     those that are there. ``columns`` becomes the text of ``COLUMNS``, which is taken away
-    if it is empty and left as it is if it is None.
+    if it is empty and left as it is if it is None; ``token`` that of ``TOKEN``, if given.
     """
     fresh = entries(spark, f"{path}/{HIDDEN}/rows")
     gone = [name for name in drop if name not in fresh]
-    write_text(spark, f"{path}/{HIDDEN}/complete", json.dumps({"drop": gone, "columns": columns}))
+    write_text(spark, f"{path}/{HIDDEN}/complete", json.dumps({"drop": gone, "columns": columns, "token": token}))
     finish(spark, path)
 
 
@@ -101,10 +107,11 @@ def finish(spark: SparkSession, path: str) -> None:
         return
     rows, added = f"{path}/{HIDDEN}/rows", f"{path}/{HIDDEN}/added"
     plan = json.loads(read_text(spark, mark))
-    if plan["columns"] is not None:
-        delete(spark, f"{path}/{COLUMNS}")
-        if plan["columns"]:
-            write_text(spark, f"{path}/{COLUMNS}", plan["columns"])
+    for name, text in ((COLUMNS, plan["columns"]), (TOKEN, plan["token"])):
+        if text is not None:
+            delete(spark, f"{path}/{name}")
+        if text:
+            write_text(spark, f"{path}/{name}", text)
 
     def replace(name: str) -> None:
         delete(spark, f"{path}/{name}")

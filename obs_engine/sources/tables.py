@@ -25,6 +25,7 @@ from obs_engine.operators.shaping import nan_to_null, widened
 from obs_engine.session import scratch_root
 from obs_engine.sources.publish import (
     COLUMNS,
+    TOKEN,
     delete,
     entries,
     exists,
@@ -179,6 +180,38 @@ def overwrite_table(
     return rows
 
 
+def replace_periods(
+    df: DataFrame,
+    path: str,
+    period: str,
+    periods: Sequence,
+    *,
+    order: Sequence[str] = (),
+    token: str | None = None,
+) -> int:
+    """Replace the given periods by the rows of ``df``; one without rows is gone.
+
+    ``token`` is stored with them, in one step, see ``last_token``.
+    """
+    spark = df.sparkSession
+    folder = prepared(spark, path)
+    rows = _write(_laid_out(df, period, order), f"{folder}/rows", period)["rows"]
+    there = set(entries(spark, path)) | set(entries(spark, f"{folder}/rows"))
+    gone = {f"{period}={p}" for p in periods}
+    if there <= gone and not entries(spark, f"{folder}/rows"):
+        nothing = df.drop(period).limit(0)
+        nothing.write.mode("overwrite").parquet(f"{folder}/rows/{period}={NO_PERIOD}")
+    publish(spark, path, sorted(gone), token=token)
+    return rows
+
+
+def last_token(spark: SparkSession, path: str) -> str | None:
+    """What the last ``replace_periods`` with a token stored with its rows."""
+    finish(spark, path)
+    kept = f"{path}/{TOKEN}"
+    return read_text(spark, kept) if exists(spark, kept) else None
+
+
 def append_rows(df: DataFrame, path: str) -> None:
     """Append to a table, which is created by the first append."""
     df.write.mode("append").parquet(path)
@@ -212,6 +245,7 @@ def upsert_table(
     small_batch_rows: int = SMALL_BATCH_ROWS,
     evolve: bool = False,
     before_change: Callable[[list | None], None] | None = None,
+    changes_to: str | None = None,
 ) -> Upsert:
     """Insert or update the rows of ``batch`` by key; the first upsert creates the table.
 
@@ -220,6 +254,8 @@ def upsert_table(
     ``latest_per_key`` for duplicates and ``merge_frames`` for what a match replaces. With
     ``evolve`` columns that the table does not have are added to it, NULL in other rows, and
     numeric ones widened. ``before_change`` is told the periods before the table is touched.
+    Before that, what changes is written to ``changes_to``: rows as they were with ``_sign``
+    -1, and as they will be with 1.
 
     The batch is written to the scratch area first and read from there, so it is the
     same rows in every step, whatever tasks are repeated. Then one pass merges it with the
@@ -315,6 +351,17 @@ def upsert_table(
             if found["inserted"]:
                 rename(spark, f"{folder}/both/_added=true", f"{folder}/added")
 
+    if changes_to:
+        unique = unique.drop("_rows")
+        after = aligned(unique, old.schema) if there else unique
+        changes = after.withColumn("_sign", F.lit(1))
+        if matched:
+            met = F.broadcast(unique) if small else unique
+            before = old.join(met.select(*map(quoted, keys)), keys, "left_semi")
+            after = merge_frames(before, unique, keys)
+            was = before.withColumn("_sign", F.lit(-1))
+            changes = was.unionByName(after.withColumn("_sign", F.lit(1)))
+        changes.write.mode("overwrite").parquet(changes_to)
     if before_change:
         before_change(periods)
     # Without periods all stored files are replaced, if any row is.

@@ -3,12 +3,19 @@
 import datetime as dt
 import json
 import os
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
 
+from obs_engine import operators as ops
 from obs_engine import plans, sources
-from obs_engine.streaming import start_weather_upsert
+from obs_engine.streaming import (
+    apply_batch,
+    fold_states,
+    start_month_states,
+    start_weather_upsert,
+)
 
 
 def document(city, day, temp, text="Sunny"):
@@ -501,3 +508,78 @@ def test_cities_of_a_country(spark, folder):
         [("Hobart", "Australia"), ("Perth", "Australia")],
         [("Perth", "Australia"), ("Perth", "Scotland")],
     ]
+
+
+def test_load_up_to_the_current_date(spark, folder):
+    """Without ``as_of`` yesterday is the last day of history."""
+    root, history = f"{folder}/root", f"{folder}/history"
+    today = dt.date.today()
+    days = [str(today - dt.timedelta(days=k)) for k in (2, 1, 0)]
+    land(spark, history, *[document("Perth", d, 20.0) for d in days])
+    written = plans.load(spark, root, historic=sources.read_weather(spark, history), days_back=5)
+    loaded = rows(sources.read_table(spark, f"{root}/raw_historic"), "date")
+    if dt.date.today() == today:
+        assert written["raw_historic"] == 2 and loaded == [(d,) for d in days[:2]]
+
+
+@pytest.mark.parametrize("start", [start_weather_upsert, start_month_states])
+def test_stream_puts_documents_aside(spark, folder, start):
+    root, landed, state = (f"{folder}/{p}" for p in ("root", "landed", "state"))
+    land(spark, landed, document("Perth", "2022-09-30", 20.0), ERROR)
+    with pytest.raises(Exception, match="document without days"):
+        start(sources.stream_weather(spark, landed), root, state).awaitTermination()
+    for _ in range(2):
+        start(sources.stream_weather(spark, landed), root, state, set_aside=True).awaitTermination()
+    assert sources.read_table(spark, f"{root}/raw_historic").count() == 1
+    assert rows(sources.read_table(spark, f"{root}/raw_rejected"), "origin") == [("stream",)]
+
+
+@pytest.mark.parametrize("where", ["before the table", "before the states", "after the states"])
+def test_changes_of_a_stopped_batch_count_once(spark, folder, monkeypatch, where):
+    """A batch repeated after a stop is neither lost nor counted twice."""
+    root = f"{folder}/root"
+
+    def raw(*documents):
+        path = f"{folder}/in-{len(documents)}-{documents[0]['forecast']['forecastday'][0]['date']}"
+        land(spark, path, *documents)
+        return ops.raw_weather(sources.read_weather(spark, path))
+
+    first = raw(document("Perth", "2022-09-29", 20.0), document("Perth", "2022-09-30", 21.0), document("Perth", "2022-10-01", 21.0, "Mist"))
+    second = raw(document("Perth", "2022-09-30", 25.0, "Mist"), document("Cairns", "2022-09-30", 31.0))
+    apply_batch(spark, root, first, "s-0")
+    patches = {
+        "before the table": ("obs_engine.sources.tables.publish", lambda *a, **k: 1 / 0),
+        "before the states": ("obs_engine.streaming.changes.fold_states", lambda *a, **k: 1 / 0),
+        "after the states": ("obs_engine.streaming.changes.delete", lambda *a, **k: 1 / 0),
+    }
+    with monkeypatch.context() as patched:
+        patched.setattr(*patches[where])
+        with pytest.raises(ZeroDivisionError):
+            apply_batch(spark, root, second, "s-1")
+    for _ in range(2):
+        apply_batch(spark, root, second, "s-1")
+    states = sources.read_table(spark, f"{root}/state_months")
+    assert rows(ops.counts_of_states(states), "year_month", "city", "sunny_day_count_by_month") == [
+        ("2022-09", "Cairns", 1),
+        ("2022-09", "Perth", 1),
+        ("2022-10", "Perth", 0),
+    ]
+    means = ops.metrics_of_states(states).where("city = 'Perth'")
+    assert rows(means, "year_month", "avg_max_temp_celcuis_by_month") == [("2022-09", Decimal("22.50")), ("2022-10", Decimal("21.00"))]
+    staged = plans.stage(sources.read_table(spark, f"{root}/raw_historic"))
+    assert rows(ops.month_states(staged), "*") == rows(states.select(ops.month_states(staged).columns), "*")
+
+
+def test_states_of_days_taken_back_are_gone(spark, folder):
+    schema = "date string, city string, weather_condition string, sign int, max_temp_celcius double, min_temp_celcius double, max_wind_kph double, total_rain_mm double"
+    days = [("2022-09-30", "Perth", None, 1, 1.5, None, 2.0, 0.1), ("2022-10-01", "Perth", "Fog", 1, 0.1, 0.2, None, None)]
+    add = spark.createDataFrame(days, schema)
+    back = spark.createDataFrame([(*d[:3], -1, *d[4:]) for d in days], schema)
+    path = f"{folder}/states"
+    fold_states(spark, path, ops.month_states(add, "sign"))
+    found = ops.metrics_of_states(sources.read_table(spark, path))
+    assert rows(found.where("year_month = '2022-10'"), "avg_max_wind_kph_by_month", "total_rain_mm_by_month") == [(None, None)]
+    fold_states(spark, path, ops.month_states(back.limit(1), "sign"))
+    assert rows(sources.read_table(spark, path), "year_month", "days") == [("2022-10", 1)]
+    fold_states(spark, path, ops.month_states(back.where("date = '2022-10-01'"), "sign"))
+    assert sources.read_table(spark, path).count() == 0
