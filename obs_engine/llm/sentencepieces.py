@@ -4,11 +4,13 @@ Pieces are read from a model file. Its scores are those of a BPE model, merge ra
 log probabilities, so the log scores are learnt: all segments of the corpus are counted by
 Spark, and in each of ``EM_ROUNDS`` rounds tasks find how often each piece is expected in them
 over all their segmentations (forward and backward), which Spark sums and the logarithm of
-the smoothed shares gives the next scores. The first round begins with equal scores.
+the smoothed shares gives the next scores. The first round begins with equal scores. There, and
+only there, a segment of more than ``PART`` characters is taken in parts of that length, so a
+text without a space costs time and memory in proportion; no piece is expected across a cut.
 
 A text is its words behind white space markers, beginning with one. No piece has a marker behind another character, so the
 best pieces of a text are those of its segments, each a run of markers and what follows up
-to the next; segments met before are remembered, up to ``REMEMBER``. New segments of one
+to the next; segments met before are remembered, up to about ``REMEMBER`` bytes. New segments of one
 length are searched together: the trie is walked from each place for all of them at once,
 and the best score up to each place is kept. A character without a piece costs
 ``UNKNOWN_COST`` more than the worst piece and is written as its bytes.
@@ -39,9 +41,13 @@ from obs_engine.llm.common import column, in_tasks, materialise
 
 MARKER = "▁"
 UNKNOWN_COST = 10.0
-REMEMBER = 400_000
+REMEMBER = 160_000_000
+ENTRY = 220  # bytes of Python objects for a remembered segment beside its characters
 LONGEST_TOGETHER = 48
-TEXTS_CHARS = 400_000
+TEXTS_CHARS = 1_500_000
+PART = 256
+SPREAD = 9.0  # about the usual factor from one character to the next, to stay in range
+LEAST = 1e-200  # smaller products are computed again by logarithms
 EM_ROUNDS = 4
 SMOOTH = 0.1
 UNIT = 1 << 16  # expected counts are summed in whole parts of one, in any order alike
@@ -100,6 +106,17 @@ class DoubleArray:
                 taken[at + code] = True
         pad = np.full(len(self.code) + 1, -1, np.int32)  # any base plus any code is inside
         self.base, self.check, self.end = base, np.append(check, pad), end
+        self.by_point = np.zeros(0x110000, np.int32)
+        for char, code in self.code.items():
+            self.by_point[ord(char)] = code
+
+    def codes(self, texts: list[str]) -> np.ndarray:
+        """Codes of the characters of texts in rows, 0 for others and behind their ends."""
+        sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+        points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), "<u4")
+        out = np.zeros((len(texts), int(sizes.max(initial=0))), np.int32)
+        out[np.arange(out.shape[1]) < sizes[:, None]] = self.by_point[points]
+        return out
 
 
 class Pieces:
@@ -114,6 +131,7 @@ class Pieces:
         ]
         self.number = np.array(plain)
         words = [model.id_to_piece(i) for i in plain]
+        self.sizes = np.array(list(map(len, words)))
         self.score = np.array([model.get_score(i) for i in plain])
         self.unknown_score = float(self.score.min()) - UNKNOWN_COST
         self.unknown = model.unk_id()
@@ -138,10 +156,12 @@ class Pieces:
         return other
 
     def forget(self) -> None:
-        """No segments are known. Each gets a number: ``packed`` ids and ``scores`` by it."""
+        """No segments are known. Each gets a number: ``packed`` ids, ``scores``, ``facts`` by it."""
         self.known: dict[str, int] = {}
         self.packed: list[bytes] = []
         self.scores = np.zeros(0)
+        self.facts = np.zeros((3, 0), np.int64)  # pieces, pieces that are bytes, decoded as met
+        self.held = 0
 
     def segments(self, text: str) -> list[str]:
         """Segments of a text without the marker each begins with."""
@@ -156,39 +176,58 @@ class Pieces:
         return [s[1:] for s in SEGMENT.findall(MARKER + text.replace(" ", MARKER))]
 
     def learn(self, segments: set[str]) -> None:
-        by_length = defaultdict(list)
-        for segment in sorted(segments):
-            by_length[len(segment) + 1].append(segment)
-        scores = []
-        for length, members in by_length.items():
-            for at in range(0, len(members), 2048):
-                part = members[at : at + 2048]
-                whole = [MARKER + s for s in part]
-                if length <= LONGEST_TOGETHER:
-                    found = self.together(whole, length)
-                else:
-                    found = [self.alone(s) for s in whole]
-                for segment, (ids, score) in zip(part, found):
-                    self.known[segment] = len(self.packed)
-                    self.packed.append(ids)
-                    scores.append(score)
+        order = sorted(segments, key=len)
+        scores, at = [], 0
+        while at < len(order):
+            length = len(order[at]) + 1
+            if length <= LONGEST_TOGETHER:
+                part = order[at : at + max(1, CELLS // (2 * length))]
+                part = [s for s in part if len(s) < LONGEST_TOGETHER]
+                found = self.together([MARKER + s for s in part])
+            else:
+                part = order[at : at + 1]
+                found = [self.alone(MARKER + part[0])]
+            at += len(part)
+            for segment, (ids, score) in zip(part, found):
+                self.known[segment] = len(self.packed)
+                self.packed.append(ids)
+                scores.append(score)
+                self.held += ENTRY + 4 * len(segment) + len(ids)
         self.scores = np.append(self.scores, scores)
+        self.facts = np.append(self.facts, self._facts(order, self.packed[len(self.packed) - len(order) :]), axis=1)
+
+    def _facts(self, segments: list[str], packed: list[bytes]) -> np.ndarray:
+        """Pieces of segments, how many are bytes, and whether all decode to the segment."""
+        sizes = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        ids = np.frombuffer(b"".join(packed), "<u4")
+        owner = np.repeat(np.arange(len(packed)), sizes)
+        n_bytes = np.bincount(owner[self.is_byte[ids]], minlength=len(packed))
+        text = list(map(self.text.__getitem__, ids.tolist()))
+        ends = np.cumsum(sizes).tolist()
+        led = [MARKER + s for s in segments]
+        same = [
+            b"".join(text[a:b]) == s.replace(MARKER, " ").encode("utf-8", "surrogatepass")
+            for a, b, s in zip([0, *ends], ends, led)
+        ]
+        return np.stack([sizes, n_bytes, np.array(same, np.int64)])
 
-    def together(self, segments: list[str], length: int) -> list[tuple[bytes, float]]:
-        """The best pieces of segments of one length."""
-        code = self.trie.code.get
-        codes = np.array([[code(c, 0) for c in s] for s in segments], np.int32)
+    def together(self, segments: list[str]) -> list[tuple[bytes, float]]:
+        """The best pieces of segments, all at once."""
+        codes = self.trie.codes(segments)
+        sizes = np.fromiter(map(len, segments), np.int64, len(segments))
         base, check, end = self.trie.base, self.trie.check, self.trie.end
-        n = len(segments)
-        best = np.full((n, length + 1), -np.inf)
-        best[:, 0] = 0
-        came = np.zeros((n, length + 1), np.int32)
-        piece = np.full((n, length + 1), -1, np.int32)
+        n, length = codes.shape
+        codes = np.ascontiguousarray(codes.T)
+        best = np.full((length + 1, n), -np.inf)
+        best[0] = 0
+        came = np.zeros((length + 1, n), np.int32)
+        piece = np.full((length + 1, n), -1, np.int32)
         for i in range(length):
-            rows, states = np.arange(n), np.zeros(n, np.int32)
+            rows = inside = np.flatnonzero(sizes > i)
+            states = np.zeros(len(rows), np.int32)
             single = np.zeros(n, bool)
             for j in range(i, min(length, i + self.longest)):
-                steps = codes[rows, j]
+                steps = codes[j, rows]
                 after = base[states] + steps
                 going = (check[after] == states) & (steps > 0)
                 rows, states = rows[going], after[going]
@@ -199,18 +238,38 @@ class Pieces:
                 at, which = rows[real], found[real]
                 if j == i:
                     single[at] = True
-                value = best[at, i] + self.score[which]
-                better = value > best[at, j + 1]
+                value = best[i, at] + self.score[which]
+                better = value > best[j + 1, at]
                 at = at[better]
-                best[at, j + 1], came[at, j + 1], piece[at, j + 1] = value[better], i, which[better]
-            value = best[:, i] + self.unknown_score
-            at = np.flatnonzero(~single & (value > best[:, i + 1]))
-            best[at, i + 1], came[at, i + 1], piece[at, i + 1] = value[at], i, -1
-        came, piece = came.tolist(), piece.tolist()
-        return [
-            (self._back(s, c, p), score)
-            for s, c, p, score in zip(segments, came, piece, best[:, length].tolist())
-        ]
+                best[j + 1, at], came[j + 1, at], piece[j + 1, at] = value[better], i, which[better]
+            value = best[i, inside] + self.unknown_score
+            better = ~single[inside] & (value > best[i + 1, inside])
+            at = inside[better]
+            best[i + 1, at], came[i + 1, at], piece[i + 1, at] = value[better], i, -1
+        scores = best[sizes, np.arange(n)].tolist()
+        return list(zip(self._all_back(segments, sizes, came, piece), scores))
+
+    def _all_back(
+        self, segments: list[str], sizes: np.ndarray, came: np.ndarray, piece: np.ndarray
+    ) -> list[bytes]:
+        """The ids of segments, followed from their ends."""
+        rows, at = np.arange(len(segments)), sizes.copy()
+        steps, odd = [], np.zeros(len(segments), bool)
+        while len(rows):
+            which = piece[at, rows]
+            odd[rows[which < 0]] = True
+            steps.append((rows, which))
+            at = came[at, rows]
+            rows, at = rows[at > 0], at[at > 0]
+        owner = np.concatenate([r for r, _ in reversed(steps)])
+        ids = np.concatenate([w for _, w in reversed(steps)])
+        order = np.argsort(owner, kind="stable")
+        packed = self.number[ids[order]].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(owner, minlength=len(segments)))).tolist()
+        out = [packed[a:b] for a, b in zip([0, *ends], ends)]
+        for row in np.flatnonzero(odd).tolist():  # characters without a piece
+            out[row] = self._back(segments[row], came[:, row].tolist(), piece[:, row].tolist())
+        return out
 
     def alone(self, segment: str) -> tuple[bytes, float]:
         """The best pieces of one long segment."""
@@ -239,30 +298,41 @@ class Pieces:
         return self._back(segment, came, piece), best[length]
 
     def expected(self, segments: list[str], times: np.ndarray) -> np.ndarray:
-        """How often each piece is expected in segments met so many times, in parts of ``UNIT``."""
+        """How often each piece is expected in segments met so many times, in parts of ``UNIT``.
+
+        The segments have their markers.
+        """
         total = np.zeros(len(self.score), np.int64)
         order = sorted(range(len(segments)), key=lambda k: len(segments[k]))
         while order:
-            length = len(segments[order[-1]]) + 1
-            part = order[-max(1, CELLS // length) :]
+            part = order[-max(1, CELLS // max(1, len(segments[order[-1]]))) :]
             del order[-len(part) :]
-            total += self._expected([MARKER + segments[k] for k in part], times[part], length)
+            total += self._expected([segments[k] for k in part], times[part])
         return total
 
-    def _expected(self, segments: list[str], times: np.ndarray, length: int) -> np.ndarray:
-        code = self.trie.code.get
-        sizes = np.array([len(s) for s in segments])
-        codes = np.zeros((len(segments), length), np.int32)
-        for row, segment in enumerate(segments):
-            codes[row, : len(segment)] = [code(c, 0) for c in segment]
+    def _expected(self, segments: list[str], times: np.ndarray, logs: bool = False) -> np.ndarray:
+        """Forward and backward sums over all segmentations; by ``logs`` if asked to.
+
+        Otherwise by products, where segments whose products get too small are done again.
+        """
+        codes = self.trie.codes(segments)
+        sizes = np.fromiter(map(len, segments), np.int64, len(segments))
         base, check, end = self.trie.base, self.trie.check, self.trie.end
-        before = np.full((len(segments), length + 1), -np.inf)
-        before[:, 0] = 0
+        if logs:
+            weight, unknown, plus, times_of = self.score, self.unknown_score, np.logaddexp, np.add
+        else:
+            weight = np.exp(self.score + self.sizes * np.log(SPREAD))
+            unknown = np.exp(self.unknown_score) * SPREAD
+            plus, times_of = np.add, np.multiply
+        nothing, one = (-np.inf, 0.0) if logs else (0.0, 1.0)
+        length = codes.shape[1]
+        before = np.full((length + 1, len(segments)), nothing)
+        before[0] = one
         edges = []
 
         def join(i: int, to: int, rows: np.ndarray, which: np.ndarray | None) -> None:
-            value = before[rows, i] + (self.unknown_score if which is None else self.score[which])
-            before[rows, to] = np.logaddexp(before[rows, to], value)
+            step = unknown if which is None else weight[which]
+            before[to, rows] = plus(before[to, rows], times_of(before[i, rows], step))
             edges.append((i, to, rows, which))
 
         for i in range(length):
@@ -283,16 +353,31 @@ class Pieces:
             alone = inside[~single[inside]]
             if len(alone):
                 join(i, i + 1, alone, None)
-        whole = before[np.arange(len(segments)), sizes]
-        behind = np.full(before.shape, -np.inf)
-        behind[np.arange(len(segments)), sizes] = 0
-        total = np.zeros(len(self.score), np.int64)
+        places = np.arange(len(segments))
+        whole = before[sizes, places]
+        small = np.zeros(len(segments), bool) if logs else whole < LEAST
+        whole[small] = 1
+        behind = np.full(before.shape, nothing)
+        behind[sizes, places] = one
+        found, shares = [], []
         for i, to, rows, which in reversed(edges):
-            value = behind[rows, to] + (self.unknown_score if which is None else self.score[which])
-            behind[rows, i] = np.logaddexp(behind[rows, i], value)
+            step = unknown if which is None else weight[which]
+            value = times_of(behind[to, rows], step)
+            behind[i, rows] = plus(behind[i, rows], value)
             if which is not None:
-                share = np.exp(before[rows, i] + value - whole[rows])
-                np.add.at(total, which, np.rint(share * times[rows] * UNIT).astype(np.int64))
+                if logs:
+                    share = np.exp(before[i, rows] + value - whole[rows])
+                else:
+                    share = np.where(small[rows], 0, before[i, rows] * value / whole[rows])
+                found.append(which)
+                shares.append(np.rint(share * times[rows] * UNIT))
+        total = np.zeros(len(self.score), np.int64)
+        if found:  # whole numbers, so their sum is the same in any order
+            sums = np.bincount(np.concatenate(found), np.concatenate(shares), len(total))
+            total += sums.astype(np.int64)
+        if small.any():
+            again = np.flatnonzero(small)
+            total += self._expected([segments[k] for k in again], times[again], logs=True)
         return total
 
     def _back(self, segment: str, came: list[int], piece: list[int]) -> bytes:
@@ -308,23 +393,38 @@ class Pieces:
             at = start
         return array("I", reversed(out)).tobytes()
 
-    def encode(self, texts: list[str]) -> list[tuple[bytes, float]]:
-        """Ids (little-endian unsigned 32-bit) and score of each text."""
-        if len(self.known) > REMEMBER:
+    def _numbers(self, parts: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of all segments of texts one after another, and where each text begins."""
+        if self.held > REMEMBER:
             self.forget()
-        parts = [self.segments(t) for t in texts]
         flat = list(chain.from_iterable(parts))
         numbers = list(map(self.known.get, flat))
         if None in numbers:
             self.learn({s for s, n in zip(flat, numbers) if n is None})
             numbers = list(map(self.known.__getitem__, flat))
-        scores = self.scores[np.array(numbers, np.int64)]
-        out, at = [], 0
-        for part in parts:
-            end = at + len(part)
-            ids = b"".join(map(self.packed.__getitem__, numbers[at:end]))
-            out.append((ids, float(scores[at:end].sum())))
-            at = end
+        return np.array(numbers, np.int64), np.cumsum([0, *map(len, parts)])
+
+    def encode(self, texts: list[str]) -> list[tuple[bytes, float]]:
+        """Ids (little-endian unsigned 32-bit) and score of each text."""
+        return [(ids, score) for ids, score, *_ in self.encoded(texts)]
+
+    def encoded(self, texts: list[str]) -> list[tuple[bytes, float, int, int, bool]]:
+        """Ids, score, pieces, pieces that are bytes, and whether the ids decode to the text.
+
+        A text decodes to itself if each of its segments does, as decoding joins the pieces; a
+        marker in the text itself comes back as a space.
+        """
+        parts = [self.segments(t) for t in texts]
+        numbers, starts = self._numbers(parts)
+        facts = self.facts[:, numbers]
+        sums = np.concatenate([np.zeros((3, 1), np.int64), np.cumsum(facts, axis=1)], axis=1)
+        sums = sums[:, starts[1:]] - sums[:, starts[:-1]]
+        every = list(map(self.packed.__getitem__, numbers.tolist()))
+        out = []
+        for row, (text, a, b) in enumerate(zip(texts, starts.tolist(), starts[1:].tolist())):
+            kept = bool(sums[2, row] == b - a) and MARKER not in text
+            score = float(self.scores[numbers[a:b]].sum())
+            out.append((b"".join(every[a:b]), score, int(sums[0, row]), int(sums[1, row]), kept))
         return out
 
     def decode(self, ids: bytes) -> str:
@@ -358,25 +458,38 @@ def _groups(texts: Iterator[str]) -> Iterator[list[str]]:
 
 
 def segment_counts(df: DataFrame, text_column: str, path: str) -> DataFrame:
-    """``segment`` and ``n`` over all texts."""
+    """``segment`` with its marker and ``n`` over all texts; long ones in parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, counts = pieces(path), Counter()
+        own = pieces(path)
+        marker = MARKER if own.apart else ""
+        whole, parts = Counter(), Counter()
 
         def flushed() -> pa.RecordBatch:
             out = pa.RecordBatch.from_arrays(
-                [pa.array(counts.keys(), pa.string()), pa.array(counts.values(), pa.int64())],
+                [
+                    pa.array([*(marker + s for s in whole), *parts], pa.string()),
+                    pa.array([*whole.values(), *parts.values()], pa.int64()),
+                ],
                 ["segment", "n"],
             )
-            counts.clear()
+            whole.clear()
+            parts.clear()
             return out
 
         for batch in batches:
             for text in batch.column(0):
-                counts.update(own.segments(text.as_py() or ""))
-                if len(counts) > FLUSH:
+                segments = own.segments(text.as_py() or "")
+                if segments and max(map(len, segments)) >= PART:
+                    for segment in segments:
+                        if len(segment) >= PART:
+                            led = marker + segment
+                            parts.update(led[at : at + PART] for at in range(0, len(led), PART))
+                    segments = [s for s in segments if len(s) < PART]
+                whole.update(segments)
+                if len(whole) + len(parts) > FLUSH:
                     yield flushed()
-        if counts:
+        if whole or parts:
             yield flushed()
 
     texts = df.select(column(df, text_column).alias("text"))
@@ -419,36 +532,38 @@ def encode(
     scores: np.ndarray | None = None,
 ) -> DataFrame:
     """``row`` (all columns of ``df``), ``piece_ids``, ``n_pieces``, ``n_bytes`` (pieces that
-    are bytes) and ``log_score``. Without ``scores`` they are learnt from the texts."""
+    are bytes), ``log_score``, and ``round_trip``: the ids decode to the text.
+
+    Without ``scores`` they are learnt from the texts.
+    """
     path = model or default_model()
     scores = learn_scores(df, text_column, path) if scores is None else scores
     shared = df.sparkSession.sparkContext.broadcast(np.asarray(scores, np.float64).tobytes())
-    rows = df.select(
-        F.struct(*[column(df, c) for c in df.columns]).alias("row"), column(df, text_column).alias("text")
-    )
+    rows = df.select(F.struct(*[column(df, c) for c in df.columns]).alias("row"))
+    place = df.columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = pieces(path, shared.value)
         for batch in batches:
-            found = []
-            for group in _groups(t.as_py() or "" for t in batch.column(1)):
-                found += own.encode(group)
-            n_bytes = [int(own.is_byte[np.frombuffer(ids, "<u4")].sum()) for ids, _ in found]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array([ids for ids, _ in found], pa.binary()),
-                    pa.array([len(ids) // 4 for ids, _ in found], pa.int64()),
-                    pa.array(n_bytes, pa.int64()),
-                    pa.array([score for _, score in found], pa.float64()),
-                ],
-                ["row", "piece_ids", "n_pieces", "n_bytes", "log_score"],
-            )
+            row, first = batch.column(0), 0
+            for group in _groups(t.as_py() or "" for t in row.field(place)):
+                ids, scores, n_pieces, n_bytes, same = zip(*own.encoded(group))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        row.slice(first, len(group)),
+                        pa.array(ids, pa.binary()),
+                        pa.array(n_pieces, pa.int64()),
+                        pa.array(n_bytes, pa.int64()),
+                        pa.array(scores, pa.float64()),
+                        pa.array(same),
+                    ],
+                    ["row", "piece_ids", "n_pieces", "n_bytes", "log_score", "round_trip"],
+                )
+                first += len(group)
 
     kind = rows.schema["row"].dataType.simpleString()
-    return in_tasks(
-        rows, run, f"row {kind}, piece_ids binary, n_pieces long, n_bytes long, log_score double"
-    )
+    out = f"row {kind}, piece_ids binary, n_pieces long, n_bytes long, log_score double"
+    return in_tasks(rows, run, f"{out}, round_trip boolean")
 
 
 def decode(df: DataFrame, ids_column: str = "piece_ids", model: str | None = None) -> DataFrame:
