@@ -12,11 +12,14 @@ Bands lose a pair that is just similar enough with a probability of (1 - t^rows)
 a million at 0.8 and far less above.
 
 No bucket of a band is paired as a whole. First each node is compared with the smallest of its
-bucket only, and the links found are contracted. In a bucket that still holds several components,
-further nodes are compared with all others of another component, chosen by their hash, sixteen
-times as many in each round, until every node was chosen or the bucket is one component. So a
-bucket of similar texts costs work in proportion to its size, and no link between components is
-lost, whatever the size.
+bucket only, and the links found are contracted. Of buckets that still hold several components
+the nodes get longer signatures, of one bit for each of ``LONG`` functions (of equal size they
+tell more than longer minima of fewer functions), and a task compares a block of a bucket with
+itself or another one, as arrays: pairs of one component are left out, pairs given up are never
+written, and survivors are verified on their full sets. Where many are left, the best of each
+component go first and the links found are contracted, as long as there are any. A bucket of
+more than ``BLOCK`` nodes is several blocks, so no task holds more than two, and no link between
+components is lost, whatever the size.
 
 Defined results: null, empty and wordless texts have no shingles and are linked with nothing;
 a text with fewer words than a shingle has one; a null id comes after all others as a component's
@@ -28,7 +31,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
-from math import comb
+from math import exp, lgamma, log, log1p
 
 import numpy as np
 import pyarrow as pa
@@ -45,18 +48,21 @@ HASHES = 160
 ROWS, BANDS = 5, 30
 BATCH = 32  # positions of signatures compared at once
 MISS = 1e-6
-GROWTH = 16
+LONG = 5120  # bits
+LONG_BATCH = 512
+BLOCK = 1024
+DENSE = 8  # survivors for each node, beyond which the best go first
 CHUNK = 512  # shingles hashed at once
 WORDS = 1 << 18  # words remembered by a task
 FEW_NODES = 2_000_000  # numbers of nodes that are broadcast, 16 bytes each
 BYTES = 1 << 24  # of sets in one batch of results
 
 
-@lru_cache(maxsize=1)
-def _functions() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Multipliers and increments of the hash functions, and room for their values."""
-    made = np.random.default_rng(12).integers(0, 1 << 32, (2, HASHES), np.uint32)
-    return made[0] | np.uint32(1), made[1], np.empty((CHUNK, HASHES), np.uint32)
+@lru_cache(maxsize=2)
+def _functions(count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Multipliers and increments of so many hash functions, and room for their values."""
+    made = np.random.default_rng(count).integers(0, 1 << 32, (2, count), np.uint32)
+    return made[0] | np.uint32(1), made[1], np.empty((CHUNK, count), np.uint32)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -112,11 +118,11 @@ def shingles(text: bytes | None, words: Words, size: int = SHINGLE) -> tuple[int
     return len(mixed), mixed
 
 
-def signature(hashes: np.ndarray) -> np.ndarray:
+def signature(hashes: np.ndarray, count: int = HASHES) -> np.ndarray:
     """The least value of each hash function over a set; 32 bits each."""
-    times, plus, room = _functions()
+    times, plus, room = _functions(count)
     short = (hashes >> np.uint64(32)).astype(np.uint32)
-    least = np.full(HASHES, np.iinfo(np.uint32).max, np.uint32)
+    least = np.full(count, np.iinfo(np.uint32).max, np.uint32)
     for at in range(0, len(short), CHUNK):
         part = short[at : at + CHUNK, None]
         values = room[: len(part)]
@@ -168,14 +174,21 @@ def prints(df: DataFrame, id_column: str, text_column: str, size: int) -> DataFr
 
 
 @lru_cache(maxsize=8)
-def least_agreements(percent: int, miss: float, hashes: int = HASHES, batch: int = BATCH) -> tuple[int, ...]:
-    """For each batch the least number of agreements up to its end that keeps a pair."""
+def least_agreements(
+    percent: int, miss: float, hashes: int = HASHES, batch: int = BATCH, values: float = 2.0**32
+) -> tuple[int, ...]:
+    """For each batch the least number of agreements up to its end that keeps a pair.
+
+    Positions of few ``values`` also agree by chance, which is part of the limit.
+    """
     t = percent / 100
+    t += (1 - t) / values
     least = []
     for n in range(batch, hashes + 1, batch):
         chance, m = 0.0, 0
         while True:
-            chance += comb(n + 1, m) * t**m * (1 - t) ** (n + 1 - m)
+            ways = lgamma(n + 2) - lgamma(m + 1) - lgamma(n + 2 - m)
+            chance += exp(ways + m * log(t) + (n + 1 - m) * log1p(-t)) if t < 1 else float(m > n)
             if chance >= miss:
                 break
             m += 1
@@ -183,18 +196,39 @@ def least_agreements(percent: int, miss: float, hashes: int = HASHES, batch: int
     return tuple(least)
 
 
-def promising(left: np.ndarray, right: np.ndarray, percent: int, miss: float) -> np.ndarray:
+def promising(left: np.ndarray, right: np.ndarray, least: tuple[int, ...]) -> np.ndarray:
     """Which pairs of signatures (rows) are not given up, batch after batch."""
-    alive = np.arange(len(left))
-    agreements = np.zeros(len(left), np.int64)
-    for number, least in enumerate(least_agreements(percent, miss)):
+    alive = np.arange(len(right))
+    agreements = np.zeros(len(right), np.int64)
+    for number, wanted in enumerate(least):
         part = slice(number * BATCH, (number + 1) * BATCH)
-        agreements = agreements + (left[alive, part] == right[alive, part]).sum(axis=1)
-        stays = agreements >= least
+        agreements = agreements + np.count_nonzero(left[alive, part] == right[alive, part], axis=1)
+        stays = agreements >= wanted
         alive, agreements = alive[stays], agreements[stays]
     return alive
 
 
+def promising_bits(
+    one: np.ndarray, others: np.ndarray, least: tuple[int, ...]
+) -> tuple[np.ndarray, np.ndarray]:
+    """Which of the longer signatures, in 64-bit words, are not given up beside ``one``.
+
+    And in how many bits they agree.
+    """
+    alive = np.arange(len(others))
+    agreements = np.zeros(len(others), np.int64)
+    words = LONG_BATCH // 64
+    for number, wanted in enumerate(least):
+        part = slice(number * words, (number + 1) * words)
+        differ = np.bitwise_count(others[alive, part] ^ one[part]).sum(axis=1, dtype=np.int64)
+        agreements = agreements + LONG_BATCH - differ
+        stays = agreements >= wanted
+        alive, agreements = alive[stays], agreements[stays]
+        if not len(alive):
+            break
+    return alive, agreements
+
+
 def _in_pairs(rows: DataFrame, key: str, pairs: DataFrame) -> DataFrame:
     """The rows whose key is in a pair, so that no others are shuffled to the pairs.
 
@@ -213,13 +247,15 @@ def _surviving(pairs: DataFrame, nodes: DataFrame, percent: int, miss: float) ->
     right = nodes.select(F.col("node").alias("b"), F.col("signature").alias("of_b"))
     signed = pairs.join(left, "a").join(right, "b").select("a", "b", "of_a", "of_b")
 
+    least = least_agreements(percent, miss)
+
     def matrix(values: pa.Array) -> np.ndarray:
         return np.frombuffer(b"".join(values.to_pylist()), "<u4").reshape(-1, HASHES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                keep = promising(matrix(batch.column(2)), matrix(batch.column(3)), percent, miss)
+                keep = promising(matrix(batch.column(2)), matrix(batch.column(3)), least)
                 yield batch.select(["a", "b"]).take(pa.array(keep))
 
     return in_tasks(signed, run, "a long, b long")
@@ -247,6 +283,107 @@ def _pairs(left: Column, right: Column, percent: int) -> Column:
     return 100 * F.least(left, right) >= percent * F.greatest(left, right)
 
 
+def _long_signatures(sets: DataFrame) -> DataFrame:
+    """``node`` and its longer signature, the low bit of each minimum."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for hashes in batch.column(1):
+                values = hashes.values.to_numpy(zero_copy_only=False).view(np.uint64)
+                found.append(np.packbits(signature(values, LONG) & 1).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array(found, pa.binary())], ["node", "long"]
+            )
+
+    return in_tasks(sets.select("tag", "hashes"), run, "node long, long binary")
+
+
+def compared(
+    nodes: np.ndarray,
+    sizes: np.ndarray,
+    roots: np.ndarray,
+    long: np.ndarray,
+    blocks: np.ndarray,
+    percent: int,
+    least: tuple[int, ...],
+) -> list[tuple[int, int, int]]:
+    """Pairs ``a < b`` of one block, or of two different ones, that are not given up.
+
+    With the number of bits in which they agree.
+
+    Only pairs of different components whose sizes allow the similarity are compared.
+    """
+    apart = blocks[0] != blocks[-1]
+    rows = np.flatnonzero(blocks == blocks[0]) if apart else np.arange(len(nodes))
+    found = []
+    for row in rows.tolist():
+        others = np.flatnonzero(blocks != blocks[row]) if apart else np.arange(row + 1, len(nodes))
+        small, large = np.minimum(sizes[others], sizes[row]), np.maximum(sizes[others], sizes[row])
+        others = others[(roots[others] != roots[row]) & (100 * small >= percent * large)]
+        if len(others):
+            keep, agree = promising_bits(long[row], long[others], least)
+            mine = int(nodes[row])
+            kept = zip(nodes[others[keep]].tolist(), agree.tolist())
+            found += [(min(mine, other), max(mine, other), n) for other, n in kept]
+    return found
+
+
+def _in_blocks(members: DataFrame, percent: int, miss: float) -> DataFrame:
+    """Pairs that survive in members (``key``, ``n``, ``node``, ``n_shingles``, ``root``, ``long``)."""
+    count = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("node"), count).cast("int")
+    dealt = members.select(
+        "key", "node", "n_shingles", "root", "long", own.alias("own"), count.alias("count")
+    )
+    dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("other"))
+    ordered = (
+        dealt.select(
+            "key",
+            F.least("own", "other").alias("low"),
+            F.greatest("own", "other").alias("high"),
+            "own",
+            "node",
+            "n_shingles",
+            "root",
+            "long",
+        )
+        .repartition("key", "low", "high")
+        .sortWithinPartitions("key", "low", "high", "own", "node")
+    )
+    least = least_agreements(percent, miss, LONG, LONG_BATCH, 2.0)
+
+    def survivors(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(parts)
+        own, nodes, sizes, roots = (rows.column(k).to_numpy() for k in ("own", "node", "n_shingles", "root"))
+        long = np.frombuffer(b"".join(rows.column("long").to_pylist()), np.uint64).reshape(-1, LONG // 64)
+        low, high = rows.column("low")[0].as_py(), rows.column("high")[0].as_py()
+        both = low == high or (own[0] == low and own[-1] == high)  # a block may be empty
+        found = compared(nodes, sizes, roots, long, own, percent, least) if both else []
+        columns = zip(*found) if found else ([], [], [])
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "agree"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, key = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1, 2)]
+            changes = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+            starts = [0, *(np.flatnonzero(changes) + 1).tolist(), batch.num_rows]
+            for start, end in zip(starts, starts[1:]):
+                group = tuple(int(c[start]) for c in columns)
+                if group != key and held:
+                    yield survivors(held)
+                    held = []
+                key = group
+                held.append(batch.slice(start, end - start))
+        if held:
+            yield survivors(held)
+
+    return in_tasks(ordered, run, "a long, b long, agree long").distinct()
+
+
 def links(nodes: DataFrame, sets: DataFrame, percent: int, miss: float) -> DataFrame:
     """Pairs ``a < b`` of similar nodes that connect all that similar pairs connect."""
     sizes = materialise(
@@ -257,53 +394,53 @@ def links(nodes: DataFrame, sets: DataFrame, percent: int, miss: float) -> DataF
     first = members.where(F.col("node") != F.col("leader.node"))
     first = first.where(_pairs(F.col("n_shingles"), F.col("leader.n_shingles"), percent))
     pairs = first.select(F.col("leader.node").alias("a"), F.col("node").alias("b")).distinct()
+    pairs = materialise(pairs, "minhash-pairs")
+    left = materialise(_surviving(pairs, nodes, percent, miss), "minhash-surviving")
+    found = materialise(_verified(left, sets, percent), "minhash-links")
 
-    def similar(pairs: DataFrame, number: int) -> DataFrame:
-        staged = materialise(pairs, f"minhash-pairs-{number}")
-        left = materialise(_surviving(staged, nodes, percent, miss), f"minhash-surviving-{number}")
-        return materialise(_verified(left, sets, percent), f"minhash-links-{number}")
-
-    found = similar(pairs, 0)
-    members = members.select("key", "node", "n_shingles", "n", F.col("leader.node").alias("leader"))
-    chosen, number = 1, 0
-    while True:
-        roots = connected(found)
-        rooted = members.join(roots, "node", "left").select(
-            *members.columns, F.coalesce("root", "node").alias("root")
-        )
-        rooted = materialise(rooted, f"minhash-members-{number}")
-        state = rooted.groupBy("key").agg(
-            F.min("root").alias("low"), F.max("root").alias("high"), F.first("n").alias("size")
-        )
-        open_keys = materialise(state.where((F.col("low") != F.col("high")) & (F.col("size") > chosen)), f"minhash-open-{number}")
-        if open_keys.isEmpty():
-            return found
-        number += 1
-        rest = materialise(rooted.join(open_keys.select("key"), "key"), f"minhash-rest-{number}")
-        # The place of a node by its hash, between 0 and 1: the same in all of its buckets.
-        place = (F.xxhash64("node") / F.lit(2.0**64) + 0.5).alias("place")
-        placed = rest.select("*", place)
-        begin = 0.0 if chosen == 1 else F.lit(float(chosen)) / F.col("n")
-        end = F.lit(float(chosen * GROWTH)) / F.col("n")
-        leaders = placed.where((F.col("place") >= begin) & ((F.col("place") < end) | (F.col("n") <= chosen * GROWTH)))
-        leaders = leaders.select(
-            "key",
-            F.col("node").alias("p"),
-            F.col("n_shingles").alias("p_size"),
-            F.col("root").alias("p_root"),
-            F.col("place").alias("p_place"),
-        )
-        later = F.struct("place", "node") > F.struct("p_place", "p")
-        compared = (F.col("node") == F.col("leader")) | (F.col("p") == F.col("leader"))
-        pairs = (
-            placed.join(leaders, "key")
-            .where(later & ~compared & (F.col("root") != F.col("p_root")))
-            .where(_pairs(F.col("n_shingles"), F.col("p_size"), percent))
-            .select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b"))
-            .distinct()
+    members = members.where("n > 2").select("key", "n", "node", "n_shingles")
+    rooted = members.join(connected(found), "node", "left").select(
+        *members.columns, F.coalesce("root", "node").alias("root")
+    )
+    rooted = materialise(rooted, "minhash-rooted")
+    state = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    mixed = materialise(state.where("low != high").select("key"), "minhash-mixed")
+    rest = materialise(rooted.join(mixed, "key"), "minhash-rest")
+    if rest.isEmpty():
+        return found
+    ends = rest.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    long = materialise(_long_signatures(_in_pairs(sets, "tag", ends)), "minhash-long")
+    more = materialise(_in_blocks(rest.join(long, "node"), percent, miss), "minhash-more")
+    return _best_first(found, more, sets, percent)
+
+
+def _best_first(found: DataFrame, more: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``found`` links and those among ``more`` pairs that connect further components."""
+    nodes = more.select(F.explode(F.array("a", "b"))).distinct().count()
+    more = more.select("*", F.col("a").alias("low"), F.col("b").alias("high"))
+    while more.count() > DENSE * nodes:
+        ends = F.explode(F.array("low", "high")).alias("root")
+        best = more.select(ends, "a", "b", "agree").groupBy("root").agg(
+            F.max(F.struct("agree", "a", "b")).alias("best")
         )
-        found = materialise(found.unionByName(similar(pairs, number)), f"minhash-found-{number}")
-        chosen *= GROWTH
+        best = materialise(best.select("best.a", "best.b").distinct(), "minhash-best")
+        links_new = materialise(_verified(best, sets, percent), "minhash-new")
+        if links_new.isEmpty():
+            break
+        found = materialise(found.unionByName(links_new), "minhash-found")
+        more = _apart(more.join(best, ["a", "b"], "left_anti"), found)
+    return materialise(found.unionByName(_verified(more.select("a", "b"), sets, percent)), "minhash-found")
+
+
+def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
+    """Pairs (``a``, ``b``, ``agree``) of different components, with these as ``low`` and ``high``."""
+    roots = connected(found)
+    of_a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
+    of_b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
+    low, high = F.coalesce("root_a", "a"), F.coalesce("root_b", "b")
+    rooted = pairs.select("a", "b", "agree").join(of_a, "a", "left").join(of_b, "b", "left")
+    rooted = rooted.select("a", "b", "agree", low.alias("low"), high.alias("high"))
+    return materialise(rooted.where("low != high"), "minhash-apart")
 
 
 def near_duplicates(

@@ -154,7 +154,9 @@ def components(rows, size=2):
     return out
 
 
-def test_components_equal_all_pairs(spark):
+@pytest.mark.parametrize("dense", [8, 0])
+def test_components_equal_all_pairs(spark, dense, monkeypatch):
+    monkeypatch.setattr(minhash, "DENSE", dense)
     draw = random.Random(2)
     base = [f"w{k}" for k in range(100)]
     rows = []
@@ -197,14 +199,17 @@ def test_pairs_are_given_up_below_the_chance_to_miss(miss):
 
         assert at_least(m) >= miss * 0.999
         assert m == 0 or at_least(m - 1) < miss * 1.001
+    bits = minhash.least_agreements(80, miss, minhash.LONG, minhash.LONG_BATCH, 2.0)
+    shares = [m / n for n, m in zip(range(minhash.LONG_BATCH, minhash.LONG + 1, minhash.LONG_BATCH), bits)]
+    assert shares == sorted(shares) and 0.8 < shares[0] and 0.87 < shares[-1] < 0.9
 
 
 def test_batches_keep_what_one_look_would():
     draw = np.random.default_rng(4)
     left = draw.integers(0, 1 << 32, (300, minhash.HASHES), np.uint32)
     right = np.where(draw.random((300, minhash.HASHES)) < draw.random((300, 1)), left, left + 1)
-    keep = minhash.promising(left, right, 80, 1e-6)
     least = minhash.least_agreements(80, 1e-6)
+    keep = minhash.promising(left, right, least)
     want = [
         k
         for k in range(300)
@@ -213,6 +218,37 @@ def test_batches_keep_what_one_look_would():
     assert keep.tolist() == want and 0 < len(want) < 300
 
 
+def test_bits_keep_what_one_look_would():
+    draw = np.random.default_rng(4)
+    one = draw.integers(0, 2, minhash.LONG)
+    noise = draw.random((200, minhash.LONG)) < draw.random((200, 1)) * 0.3
+    bits = np.where(noise, 1 - one, one).astype(np.uint8)
+    least = minhash.least_agreements(80, 1e-6, minhash.LONG, minhash.LONG_BATCH, 2.0)
+    packed = [np.packbits(b, axis=-1).view(np.uint64) for b in (one.astype(np.uint8), bits)]
+    keep, counts = minhash.promising_bits(packed[0], packed[1], least)
+    assert counts.tolist() == (bits == one).sum(axis=1)[keep].tolist()
+    agree = np.cumsum(bits == one, axis=1)[:, minhash.LONG_BATCH - 1 :: minhash.LONG_BATCH]
+    want = np.flatnonzero((agree >= np.array(least)).all(axis=1))
+    assert keep.tolist() == want.tolist() and 0 < len(want) < 200
+
+
+@pytest.mark.parametrize("block", [1024, 7])
+def test_blocks_compare_each_pair_once(spark, block, monkeypatch):
+    """Two similar families and strangers in one bucket; all pairs across components count."""
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    draw = np.random.default_rng(5)
+    base = draw.integers(0, 2, (2, minhash.LONG))
+    rows = []
+    for node in range(60):
+        noise = draw.random(minhash.LONG) < 0.03
+        bits = np.where(noise, draw.integers(0, 2, minhash.LONG), base[node % 2]).astype(np.uint8)
+        rows.append((1, 60, node, 100, node // 4, bytearray(np.packbits(bits).tobytes())))
+    schema = "key long, n long, node long, n_shingles long, root long, long binary"
+    found = minhash._in_blocks(spark.createDataFrame(rows, schema), 80, 1e-6).collect()
+    want = {(a, b) for b in range(60) for a in range(b) if a % 2 == b % 2 and a // 4 != b // 4}
+    assert sorted((r.a, r.b) for r in found) == sorted(want) and min(r.agree for r in found) > 4600
+
+
 def test_signatures_estimate_similarity():
     draw = np.random.default_rng(6)
     pool = minhash._mixed(draw.integers(0, 1 << 63, 3000, np.uint64))
