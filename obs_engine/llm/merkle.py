@@ -303,16 +303,18 @@ def manifest(
         "merkle-upper",
         height,
     )
-    root = _tops(upper, height).select(F.col("subroot").alias("root"))
+    top = _tops(upper, height).first()  # one row, none for an empty table
     start = F.lit("").alias("grp"), F.lit(0).cast("long").alias("idx"), F.lit(b"").alias("path")
-    places = _paths(upper[0], _down(upper, root.select(*start), "merkle-upper", height), height)
+    one = df.sparkSession.range(1).select(*start)
+    places = _paths(upper[0], _down(upper, one, "merkle-upper", height), height)
     of_groups = materialise(
         places.withColumnRenamed("grp", "tree").join(named.select("idx", "name"), "idx")
         .select(F.col("name").alias("grp"), F.lit(0).cast("long").alias("idx"), "path"),
         "merkle-group-paths",
     )
     above = _down(stages, of_groups, "merkle", height)
-    facts = subroots.select(F.col("grp").alias("named"), "subroot").join(F.broadcast(root))  # one row
+    root = F.lit(top["subroot"] if top else None).cast("string").alias("root")
+    facts = subroots.select(F.col("grp").alias("named"), "subroot", root)
     joined = _with_path(stages[0], above).join(facts, F.col("grp").eqNullSafe(F.col("named")))
     joined = joined.select("total", "ids", "leaves", "changed", "path", "subroot", "root")
 
