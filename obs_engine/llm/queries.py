@@ -35,14 +35,14 @@ SCHEMAS = {
         "required": ["query", "limit"],
         "properties": {
             "query": {"type": "string"},
-            "limit": {"type": "integer", "minimum": 1, "maximum": 40},
+            "limit": {"type": ["integer", "null"], "minimum": 1, "maximum": 40},
         },
         "additionalProperties": False,
     },
     "translate": {
         "type": "object",
         "required": ["text", "to"],
-        "properties": {"text": {"type": "string"}, "to": {"enum": ["en", "fr", "de"]}},
+        "properties": {"text": {"type": "string", "minLength": 1}, "to": {"enum": ["en", "fr", "de"]}},
     },
     "summarise": {
         "type": "object",
@@ -59,14 +59,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     path = training_order.write_training_order(docs, ORDER_KEY)
-    shards = training_order.read_training_order(spark, path, docs.schema["doc_id"].dataType)
-    stride = 2 * training_order.SEQUENCE_TOKENS
+    kind = docs.schema["doc_id"].dataType
+    shards = training_order.read_training_order(spark, path, kind, ordered=False)
     return shards.select(
         F.col("id").alias("doc_id"),
         "sequence_no",
         "slot",
         "shard",
-        ((F.col("slot") % training_order.SEQUENCES_PER_SHARD) * stride).alias("byte_offset"),
+        "place",
         "n_tokens",
         F.octet_length("ids").cast("long").alias("stride"),
         F.crc32("ids").alias("ids_crc32"),
@@ -116,15 +116,13 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = sentencepieces.encode(documents(spark, sf_dir).select("doc_id", "text"))
-    return sentencepieces.decode(encoded).select(
-        "row.row.doc_id",
-        "row.n_pieces",
-        "row.n_bytes",
-        F.crc32("row.piece_ids").alias("ids_crc32"),
-        F.round("row.log_score", 3).alias("log_score"),
-        F.coalesce(F.col("decoded") == F.coalesce("row.row.text", F.lit("")), F.lit(False)).alias(
-            "round_trip"
-        ),
+    return encoded.select(
+        "row.doc_id",
+        "n_pieces",
+        "n_bytes",
+        F.crc32("piece_ids").alias("ids_crc32"),
+        F.round("log_score", 3).alias("log_score"),
+        "round_trip",
     )
 
 
@@ -132,7 +130,7 @@ def derived_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results made of turns: a user's turn calls, the assistant's next turn answers.
 
     The hash of a text chooses the tool, leaves out or breaks an argument, and lets a call wait
-    for the one two turns before.
+    for the ones two and six turns before.
     """
     number = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
     arguments = F.when(
@@ -152,8 +150,12 @@ def derived_calls(conversations: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.concat(F.lit("call-"), "turn").alias("call_id"),
         F.element_at(F.array(*map(F.lit, SCHEMAS)), (number % 3 + 1).cast("int")).alias("name"),
         F.coalesce(arguments, F.when(number % 7 == 0, broken).otherwise(usual)).alias("arguments"),
-        F.when(
-            (F.col("turn") >= 2) & (number % 2 == 0), F.concat(F.lit("call-"), F.col("turn") - 2)
+        F.filter(
+            F.array(
+                F.when((F.col("turn") >= 2) & (number % 2 == 0), F.concat(F.lit("call-"), F.col("turn") - 2)),
+                F.when((F.col("turn") >= 6) & (number % 5 < 2), F.concat(F.lit("call-"), F.col("turn") - 6)),
+            ),
+            lambda need: need.isNotNull(),
         ).alias("needs"),
     )
     results = conversations.where("role = 'assistant'").select(

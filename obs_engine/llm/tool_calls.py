@@ -1,129 +1,128 @@
 """Tool-call linking: calls and results joined by identifier, ordered, checked, serialised.
 
-Calls and results meet in a hash join on conversation and identifier. A call may wait for
-the result of one other call of its conversation. Its level is the number of calls it waits
-for one after another; levels come from doubling pointers, so rounds grow with the logarithm
-of the longest chain, and every join is on unique keys, whatever a conversation's size.
-Ordering a conversation by level, turn and identifier puts each call behind the one it waits
-for. Arguments are checked against the schema of the tool, and each link is one line of
-canonical JSON: keys sorted, no spaces, numbers without a trailing fraction of zero.
-
-Defined results: of repeated identifiers the first turn counts, then the smaller name or
-content; rows with a null conversation or identifier are not linked and come out by
-themselves, with ``status`` ``no_id``; a result without call is an ``orphan``, a call without
-result ``unanswered``, a result before its call ``early``; calls that wait for each other in a
-circle, or for one of these, have a null level; waiting for an unknown call is a problem but
-no obstacle; null arguments or JSON that can't be read is a problem; an empty table gives no
-rows.
+Calls and results meet in a hash join on conversation and identifier. A call may wait for the
+results of any number of other calls of its conversation; its level is one more than the
+highest of theirs. Ordering a conversation by level, turn and identifier puts each call behind
+all it waits for. Levels are found by peeling: calls that wait for nothing unresolved are
+resolved, again and again. A task does that for each conversation of at most ``TOGETHER``
+calls and needs; a larger one is peeled by joins, one level in each round, so no task
+ever holds it.
+
+Arguments are checked against the schema of the tool (see ``schemas_json`` for the keywords; an
+unknown one raises), and each link is one line of canonical JSON: keys sorted, no spaces, numbers
+without a trailing fraction of zero.
+
+Defined results: of repeated identifiers the first turn is linked, then the smaller name or
+content; every further call or result comes out by itself with ``status`` ``repeated``; rows
+with a null conversation or identifier with ``no_id``; a result without call is an ``orphan``, a
+call without result ``unanswered``, a result before its call ``early``; calls that wait for each
+other in a circle, or for one of these, have a null level; waiting for an unknown call is a
+problem but no obstacle, waiting twice for one call is waiting once; null arguments or JSON that
+can't be read is a problem; an empty table gives no rows. Columns that are not named don't count.
 """
 
 from __future__ import annotations
 
-import json
-import math
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obs_engine.llm.common import in_tasks, materialise
+from obs_engine.llm.common import in_tasks, materialise, ship
+from obs_engine.llm.schemas_json import canonical, check_schema, problems, read_json
 
-KINDS = {
-    "string": lambda v: isinstance(v, str),
-    "boolean": lambda v: isinstance(v, bool),
-    "integer": lambda v: not isinstance(v, bool)
-    and (isinstance(v, int) or isinstance(v, float) and v.is_integer()),
-    "number": lambda v: not isinstance(v, bool) and isinstance(v, (int, float)),
-    "array": lambda v: isinstance(v, list),
-    "object": lambda v: isinstance(v, dict),
-    "null": lambda v: v is None,
-}
+TOGETHER = 20_000
 
 
-def _constant(name: str):
-    raise ValueError(f"{name} is no JSON")
+def peeled(calls: list[str], needs: list[tuple[str, str]]) -> dict[str, int]:
+    """Levels of the calls that are in no circle and wait for none; ``needs`` of known calls."""
+    waiting: dict[str, list[str]] = {}
+    left = dict.fromkeys(calls, 0)
+    for call, need in needs:
+        waiting.setdefault(need, []).append(call)
+        left[call] += 1
+    level = {call: 0 for call, n in left.items() if n == 0}
+    queue = list(level)
+    for call in queue:
+        for other in waiting.get(call, ()):
+            level[other] = max(level.get(other, 0), level[call] + 1)
+            left[other] -= 1
+            if left[other] == 0:
+                queue.append(other)
+    done = set(queue)
+    return {call: n for call, n in level.items() if call in done}
 
 
-def read_json(text: str | None):
-    return json.loads(text, parse_constant=_constant)
+def levels(calls: DataFrame, together: int = TOGETHER) -> DataFrame:
+    """``conv_id``, ``call_id``, ``level`` and ``unknown_need`` of unique calls with ``needs``.
 
-
-def _plain(value):
-    if isinstance(value, float):
-        if not math.isfinite(value):
-            raise ValueError("number out of range")
-        return int(value) if value.is_integer() and abs(value) < 2**53 else value
-    if isinstance(value, list):
-        return [_plain(v) for v in value]
-    if isinstance(value, dict):
-        return {k: _plain(v) for k, v in value.items()}
-    return value
-
-
-def canonical(value) -> str:
-    return json.dumps(
-        _plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False
-    )
-
-
-def problems(value, schema: dict, at: str = "$") -> list[str]:
-    """What a value has against a schema of types, enumerations, properties and items."""
-    kind = schema.get("type")
-    if kind and not KINDS[kind](value):
-        return [f"{at}: not {kind}"]
-    found = []
-    if "enum" in schema and value not in schema["enum"]:
-        found.append(f"{at}: not among the values")
-    if isinstance(value, dict):
-        inner = schema.get("properties", {})
-        found += [f"{at}.{k}: missing" for k in schema.get("required", []) if k not in value]
-        for key, item in value.items():
-            if key in inner:
-                found += problems(item, inner[key], f"{at}.{key}")
-            elif schema.get("additionalProperties") is False:
-                found.append(f"{at}.{key}: unknown")
-    if isinstance(value, list) and "items" in schema:
-        for number, item in enumerate(value):
-            found += problems(item, schema["items"], f"{at}[{number}]")
-    for key, holds in (("minimum", lambda v, m: v >= m), ("maximum", lambda v, m: v <= m)):
-        if key in schema and KINDS["number"](value) and not holds(value, schema[key]):
-            found.append(f"{at}: beyond {key}")
-    return found
-
-
-def levels(calls: DataFrame) -> DataFrame:
-    """``conv_id``, ``call_id``, ``level`` and ``unknown_need`` of unique calls with ``needs``."""
-    known = calls.select("conv_id", F.col("call_id").alias("needs"), F.lit(True).alias("exists"))
-    nodes = calls.join(known, ["conv_id", "needs"], "left").select(
-        "conv_id",
-        "call_id",
-        F.when(F.col("exists"), F.col("needs")).alias("up"),
-        F.when(F.col("exists"), 1).otherwise(0).cast("long").alias("level"),
-        (F.col("needs").isNotNull() & F.col("exists").isNull()).alias("unknown_need"),
-    )
-    nodes = materialise(nodes, "calls-levels")
-    # A chain without a circle is shorter than the number of calls, and each round doubles.
-    rounds = max(1, nodes.count()).bit_length() + 1
-    for _ in range(rounds):
-        if nodes.where("up is not null").isEmpty():
-            break
-        above = nodes.select(
-            "conv_id",
-            F.col("call_id").alias("up"),
-            F.col("up").alias("further"),
-            F.col("level").alias("more"),
-        )
-        nodes = nodes.join(above, ["conv_id", "up"], "left").select(
-            "conv_id",
-            "call_id",
-            F.col("further").alias("up"),
-            (F.col("level") + F.coalesce("more", F.lit(0))).alias("level"),
-            "unknown_need",
+    ``needs`` is an array of identifiers.
+    """
+    ship(calls.sparkSession)
+    keys = ["conv_id", "call_id"]
+    edges = calls.select(*keys, F.explode(F.array_distinct("needs")).alias("need"))
+    edges = edges.where(F.col("need").isNotNull())
+    known = calls.select("conv_id", F.col("call_id").alias("need"), F.lit(True).alias("exists"))
+    edges = materialise(edges.join(known, ["conv_id", "need"], "left"), "calls-needs")
+    unknown = edges.where("exists is null").select(*keys, F.lit(True).alias("unknown_need")).distinct()
+    inner = edges.where("exists").select("conv_id", "call_id", "need")
+    rows = calls.select(*keys, F.lit(None).cast("string").alias("need")).unionByName(inner)
+    rows = materialise(rows, "calls-graph")
+    sizes = rows.groupBy("conv_id").count()
+    large = materialise(sizes.where(F.col("count") > together).select("conv_id"), "calls-large")
+    few = rows.join(large, "conv_id", "left_anti")
+    kind = dict(calls.dtypes)["conv_id"]
+
+    def solve(part: pd.DataFrame) -> pd.DataFrame:
+        alone = part["need"].isna()
+        found = peeled(part["call_id"][alone].tolist(), list(part[["call_id", "need"]][~alone].itertuples(index=False, name=None)))
+        conv = part["conv_id"].iloc[0]
+        return pd.DataFrame(
+            {"conv_id": [conv] * len(found), "call_id": list(found), "level": list(found.values())}
         )
-        nodes = materialise(nodes, "calls-levels")
-    level = F.when(F.col("up").isNull(), F.col("level"))
-    return nodes.select("conv_id", "call_id", level.alias("level"), "unknown_need")
+
+    schema = f"conv_id {kind}, call_id string, level long"
+    solved = few.groupBy("conv_id").applyInPandas(solve, schema)
+    if not large.isEmpty():
+        solved = solved.unionByName(_peeled_by_joins(rows.join(large, "conv_id", "left_semi")))
+    solved = materialise(solved, "calls-levels")
+    found = calls.select(*keys).join(solved, keys, "left").join(unknown, keys, "left")
+    return found.select(*keys, "level", F.coalesce("unknown_need", F.lit(False)).alias("unknown_need"))
+
+
+def _peeled_by_joins(rows: DataFrame) -> DataFrame:
+    """Levels by rounds: what waits for nothing unresolved has the level of the round."""
+    keys = ["conv_id", "call_id"]
+    edges = materialise(rows.where("need is not null"), "calls-edges")
+    waiting = materialise(edges.select(*keys).distinct(), "calls-waiting")
+    ready = rows.where("need is null").join(waiting, keys, "left_anti").select(*keys)
+    solved, level = None, 0
+    while True:
+        ready = materialise(ready, "calls-ready")
+        if ready.isEmpty():
+            return solved if solved is not None else ready.withColumn("level", F.lit(0).cast("long"))
+        new = ready.withColumn("level", F.lit(level).cast("long"))
+        solved = new if solved is None else solved.unionByName(new)
+        level += 1
+        done = ready.select("conv_id", F.col("call_id").alias("need"))
+        touched = edges.join(done, ["conv_id", "need"], "left_semi").select(*keys).distinct()
+        edges = materialise(edges.join(done, ["conv_id", "need"], "left_anti"), "calls-edges")
+        ready = touched.join(edges, keys, "left_anti")
+        if level % 20 == 0:  # a union of as many tables as levels would slow planning down
+            solved = materialise(solved, "calls-solved")
+
+
+def _firsts(rows: DataFrame, order: list[str], label: str) -> tuple[DataFrame, DataFrame]:
+    """The first row of each identifier, and all others."""
+    tagged = rows.select("conv_id", "call_id", *order, F.monotonically_increasing_id().alias("tag"))
+    tagged = materialise(tagged, f"calls-{label}")
+    first = tagged.groupBy("conv_id", "call_id").agg(F.min(F.struct(*order, "tag")).alias("first"))
+    first = materialise(first, f"calls-{label}-first")
+    again = tagged.join(first.select("conv_id", "call_id", F.col("first.tag").alias("of")), ["conv_id", "call_id"])
+    unique = first.select("conv_id", "call_id", *[F.col(f"first.{c}").alias(c) for c in order])
+    return unique, again.where("tag != of").drop("tag", "of")
 
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -> DataFrame:
@@ -134,33 +133,25 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
     ``status``, ``problems`` and ``line``, the canonical JSON; sorted by conversation, level,
     turn and identifier over all files.
     """
+    for name, schema in schemas.items():
+        check_schema(schema, name)
+    if dict(calls.dtypes)["needs"] == "string":  # one call at most
+        one = F.when(F.col("needs").isNotNull(), F.array("needs"))
+        calls = calls.withColumn("needs", F.coalesce(one, F.array().cast("array<string>")))
     has_id = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
-    first_call = calls.where(has_id).groupBy("conv_id", "call_id").agg(
-        F.min(F.struct("turn", "name", "arguments", "needs")).alias("call")
-    )
-    first_result = results.where(has_id).groupBy("conv_id", "call_id").agg(
-        F.min(F.struct("turn", "content")).alias("result")
-    )
-    unique = materialise(
-        first_call.select("conv_id", "call_id", "call.*").withColumnRenamed("turn", "call_turn"),
-        "calls-unique",
-    )
+    unique, more_calls = _firsts(calls.where(has_id), ["turn", "name", "arguments", "needs"], "unique")
+    unique = unique.withColumnRenamed("turn", "call_turn")
+    first_result, more_results = _firsts(results.where(has_id), ["turn", "content"], "results")
     linked = (
         unique.join(levels(unique.select("conv_id", "call_id", "needs")), ["conv_id", "call_id"])
         .join(
-            first_result.select(
-                "conv_id",
-                "call_id",
-                F.col("result.turn").alias("result_turn"),
-                F.col("result.content").alias("content"),
-                F.lit(True).alias("answered"),
-            ),
+            first_result.withColumnRenamed("turn", "result_turn").withColumn("answered", F.lit(True)),
             ["conv_id", "call_id"],
             "full_outer",
         )
         .withColumn(
             "status",
-            F.when(F.col("level").isNull() & F.col("unknown_need").isNull(), "orphan")
+            F.when(F.col("unknown_need").isNull(), "orphan")
             .when(F.col("answered").isNull(), "unanswered")
             .when(F.col("result_turn") < F.col("call_turn"), "early")
             .otherwise("linked"),
@@ -169,20 +160,30 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict[str, dict]) -
     )
     none = lambda kind: F.lit(None).cast(kind)
     types = dict(unique.dtypes) | dict(results.dtypes)
-    without = calls.where(~has_id).select(
-        "conv_id", "call_id", F.col("turn").alias("call_turn"), "name", "arguments", "needs",
-        none("long").alias("level"), none("boolean").alias("unknown_need"),
-        none(types["turn"]).alias("result_turn"), none(types["content"]).alias("content"),
-        F.lit("no_id").alias("status"),
-    ).unionByName(
-        results.where(~has_id).select(
+
+    def calls_alone(rows: DataFrame, status: str) -> DataFrame:
+        return rows.select(
+            "conv_id", "call_id", F.col("turn").alias("call_turn"), "name", "arguments", "needs",
+            none("long").alias("level"), none("boolean").alias("unknown_need"),
+            none(types["turn"]).alias("result_turn"), none(types["content"]).alias("content"),
+            F.lit(status).alias("status"),
+        )
+
+    def results_alone(rows: DataFrame, status: str) -> DataFrame:
+        return rows.select(
             "conv_id", "call_id", none(types["call_turn"]).alias("call_turn"),
             none("string").alias("name"), none("string").alias("arguments"),
             none(types["needs"]).alias("needs"), none("long").alias("level"),
             none("boolean").alias("unknown_need"), F.col("turn").alias("result_turn"), "content",
-            F.lit("no_id").alias("status"),
-        )
-    )
+            F.lit(status).alias("status"),
+        )
+
+    without = (
+        calls_alone(calls.where(~has_id), "no_id")
+        .unionByName(results_alone(results.where(~has_id), "no_id"))
+        .unionByName(calls_alone(more_calls, "repeated"))
+        .unionByName(results_alone(more_results, "repeated"))
+    )
     every = linked.unionByName(without)
     names = ["conv_id", "call_id", "name", "level", "call_turn", "result_turn", "status"]
     inner = ["arguments", "content", "needs", "unknown_need"]
@@ -222,19 +223,19 @@ def _line(row: dict, schemas: dict[str, dict]) -> tuple[list[str], str]:
         try:
             arguments = read_json(row["arguments"])
             canonical(arguments)
-            if schema is not None:
-                found += problems(arguments, schema)
-        except (ValueError, TypeError, RecursionError):
+        except ValueError:
             arguments = None
             found.append("arguments are no JSON")
+        else:
+            found += [] if schema is None else problems(arguments, schema)
     if row["unknown_need"]:
         found.append("waits for an unknown call")
-    if row["status"] not in ("orphan", "no_id") and row["level"] is None:
+    if row["status"] in ("linked", "unanswered", "early") and row["level"] is None:
         found.append("waits in a circle")
     try:
         content = read_json(row["content"])
         canonical(content)
-    except (ValueError, TypeError, RecursionError):
+    except ValueError:
         content = row["content"]
     kept = {k: row[k] for k in ("conv_id", "call_id", "name", "level", "needs", "status")}
     line = canonical(kept | {"arguments": arguments, "result": content, "problems": sorted(found)})

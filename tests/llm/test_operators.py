@@ -4,6 +4,7 @@ import hashlib
 import itertools
 import pickle
 import re
+import time
 import zlib
 
 import numpy as np
@@ -16,6 +17,7 @@ from obs_engine.llm import (
     exact_dedup,
     packing,
     quality,
+    schemas_json,
     sentencepieces,
     simhash,
     token_counts,
@@ -245,25 +247,38 @@ def test_token_counts(docs, empty, exact_ids):
 
 
 @pytest.mark.parametrize("count", [1, 2, 3, 64, 1000, 4097])
-def test_feistel_permutes(count):
-    found = training_order.feistel(np.arange(count), count, 5)
-    assert sorted(found.tolist()) == list(range(count))
+def test_feistel_permutes(spark, count):
+    def places(key):
+        place = training_order.feistel(F.col("id"), count, key)
+        return [r.place for r in spark.range(count).select("id", place.alias("place")).orderBy("id").collect()]
+
+    found = places(5)
+    assert sorted(found) == list(range(count))
     if count > 64:
-        assert found.tolist() != training_order.feistel(np.arange(count), count, 6).tolist()
+        assert found != places(6) and found != list(range(count))
+
+
+def test_feistel_rounds_stay_few(spark):
+    """No round doubles the expression of the one before it."""
+    place = training_order.feistel(F.col("id"), 10**12, 5)
+    plan = spark.range(5).select(place.alias("place"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("xxhash64") == 2 * training_order.ROUNDS
 
 
 def test_training_order(spark, docs, empty, exact_ids):
     path = training_order.write_training_order(docs, 9, sequence_tokens=64, sequences_per_shard=20)
     kind = docs.schema["doc_id"].dataType
-    rows = training_order.read_training_order(spark, path, kind, sequences_per_shard=20)
-    found = rows.orderBy("slot").collect()
+    found = training_order.read_training_order(spark, path, kind).collect()
     assert [r.slot for r in found] == list(range(len(found)))
-    assert all(r.shard == r.slot // 20 and len(r.ids) == 128 for r in found)
+    assert all(r.shard == r.slot // 20 and r.place == r.slot % 20 and len(r.ids) == 128 for r in found)
+    assert all(set(np.frombuffer(r.ids, "<u2")[r.n_tokens :].tolist()) <= {0} for r in found)
     ids = [*exact_ids(ROWS[4][1]), 1]
     mine = sorted((r for r in found if r.id == 5), key=lambda r: r.sequence_no)
     assert [t for r in mine for t in np.frombuffer(r.ids, "<u2")[: r.n_tokens].tolist()] == ids
-    later = training_order.read_training_order(spark, path, kind, 31, 20).collect()
-    assert sorted(r.slot for r in later) == list(range(31, len(found)))
+    later = training_order.read_training_order(spark, path, kind, 31).collect()
+    assert [r.slot for r in later] == list(range(31, len(found)))
+    loose = training_order.read_training_order(spark, path, kind, 31, ordered=False)
+    assert sorted(r.slot for r in loose.collect()) == list(range(31, len(found)))
     path = training_order.write_training_order(empty, 9)
     assert training_order.read_training_order(spark, path, kind).count() == 0
 
@@ -304,6 +319,43 @@ def test_kernel_tolerates_gaps():
     assert 0.1 < gap < 1 and other < 0.01
 
 
+def plain_kernel(a, b):
+    """Shared subsequences of three symbols by enumeration."""
+
+    def features(word):
+        (span,) = toxicity.symbols(word)
+        found = {}
+        for at in itertools.combinations(range(len(span)), 3):
+            if at[2] - at[0] <= toxicity.REACH:
+                key = tuple(span[k] for k in at)
+                found[key] = found.get(key, 0) + toxicity.DECAY ** (at[2] - at[0] - 2)
+        norm = sum(v * v for v in found.values()) ** 0.5
+        return {k: v / norm for k, v in found.items()}
+
+    left, right = features(a), features(b)
+    return sum(v * right.get(k, 0) for k, v in left.items()) ** 4
+
+
+def test_kernel_equals_enumeration():
+    random = np.random.default_rng(2)
+    words = ["worthless", "w0rthl3ss", "aaaaaa", "a", "ab", "m.o.r.o.n", "\u00e9t\u00e9", "\u4f60\u597d\u554a"]
+    words += ["".join(random.choice(list("abcde1"), random.integers(1, 18))) for _ in range(40)]
+    marks = toxicity.Landmarks(words[:9])
+    found = marks.kernel(words)
+    want = [[plain_kernel(w, m) for m in words[:9]] for w in words]
+    assert found == pytest.approx(np.array(want), abs=1e-4)
+
+
+def test_training_takes_long_words_in_parts():
+    word = "".join(chr(97 + k % 26) for k in range(1000))
+    (words,) = toxicity.trained_on(f"short {word}")
+    assert words[0] == "short" and max(map(len, words)) == toxicity.PART
+    assert len("".join(toxicity.trained_on("x" * 50_000).__next__())) > 0
+    many = " ".join(f"{k:03}" * 60 for k in range(100))
+    assert all(len(s) <= toxicity.SENTENCE_WORDS for s in toxicity.trained_on(many))
+    assert sum(len(w) for s in toxicity.trained_on(many) for w in s) == 100 * 180
+
+
 def test_toxicity_on_held_out(spark, empty):
     words = [f"{a}{b}" for a in ("an", "the", "in", "or", "st") for b in ("er", "ing", "ion", "ly", "ed")]
     random = np.random.default_rng(1)
@@ -386,7 +438,12 @@ def test_words_never_met_share_one_count():
 
 
 def test_base_weight_needs_no_frequent_words(spark):
-    texts = spark.createDataFrame([("aa bb aa",), ("cc aa bb",)] * 20, "text string")
+    """Words of several ids in any order: what follows an id says less than a word's share."""
+    random = np.random.default_rng(3)
+    parts = ["zor", "biq", "vex", "lum", "qua", "dri", "wob", "fen"]
+    words = ["".join(random.choice(parts, 3)) for _ in range(40)]
+    rows = [(" ".join(random.choice(words, 25)),) for _ in range(60)]
+    texts = spark.createDataFrame(rows, "text string")
     counts = attention_lm.word_counts(texts).cache()
     frequent = {r.word.encode(): r.n for r in counts.collect()}
     path = default_tokenizer()
@@ -394,7 +451,8 @@ def test_base_weight_needs_no_frequent_words(spark):
     last, after, number, words = attention_lm.neighbours(counts, path, items)
     weights = attention_lm.start(last, after, number)
     begin = last == attention_lm.STOP
-    base = attention_lm.Base.of(160, 4, after[begin], number[begin], words[begin])
+    total = sum(frequent.values()), len(frequent)
+    base = attention_lm.Base.of(*total, after[begin], number[begin], words[begin])
     sets = (frequent, {b"": frequent[b""]})
     found = [attention_lm.base_weight(texts, counts, attention_lm.Scorer(path, items, weights, f), base) for f in sets]
     assert found[0] == found[1] > min(attention_lm.BASE_WEIGHTS)
@@ -462,6 +520,10 @@ def test_best_pieces_against_brute_force():
         whole = sentencepieces.MARKER + text.replace(" ", sentencepieces.MARKER) if text else ""
         assert total == pytest.approx(best(whole))
         assert own.decode(ids) == text.replace(sentencepieces.MARKER, " ")
+        ((again, value, n, n_bytes, same),) = own.encoded([text])
+        pieces = np.frombuffer(ids, "<u4")
+        assert (again, n, n_bytes) == (ids, len(pieces), own.is_byte[pieces].sum())
+        assert value == total and same == (own.decode(ids) == text)
 
 
 def test_sentencepiece_rows(docs, empty):
@@ -487,16 +549,41 @@ def test_expected_pieces_against_all_segmentations():
                 for rest, after in ways(segment[k:]):
                     yield rest + (own.score[which] if which >= 0 else own.unknown_score), [which, *after]
 
-    segments, times = ["the", "brown", "", "na\U0001f642ve", "a\nb"], np.array([3, 1, 2, 5, 1])
+    texts = ["the", "brown", "", "na\U0001f642ve", "a\nb"]
+    segments, times = [sentencepieces.MARKER + t for t in texts], np.array([3, 1, 2, 5, 1])
     want = np.zeros(len(own.number))
     for segment, n in zip(segments, times):
-        found = list(ways(sentencepieces.MARKER + segment))
+        found = list(ways(segment))
         whole = np.logaddexp.reduce([value for value, _ in found])
         for value, numbers in found:
             for which in numbers:
                 if which >= 0:
                     want[which] += n * np.exp(value - whole)
     assert own.expected(segments, times) / sentencepieces.UNIT == pytest.approx(want, abs=1e-3)
+    logs = own._expected(segments, times, logs=True)
+    assert logs / sentencepieces.UNIT == pytest.approx(want, abs=1e-3)
+
+
+def test_expected_pieces_of_improbable_segments():
+    """Products leave the range of doubles, logarithms don't."""
+    own = sentencepieces.pieces(sentencepieces.default_model())
+    own = own.scored(np.full(len(own.number), -40.0))
+    segments = ["\U0001f642" * 200 + "q", "q" * 250, sentencepieces.MARKER + "the"]
+    times = np.array([2, 1, 7])
+    want = own._expected(segments, times, logs=True)
+    assert own.expected(segments, times).tolist() == pytest.approx(want.tolist(), abs=2)
+    assert want.sum() > 0
+
+
+def test_a_long_segment_takes_seconds(spark):
+    texts = ["ab\u4e2dq9" * 200_000, "x" * 1_000_000]
+    table = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    counts = sentencepieces.segment_counts(table, "text", sentencepieces.default_model()).collect()
+    assert max(len(r.segment) for r in counts) <= sentencepieces.PART
+    assert sum(len(r.segment) * r.n for r in counts) == sum(map(len, texts)) + len(texts)
+    start = time.time()
+    found = sentencepieces.encode(table, scores=sentencepieces.learn_scores(table)).collect()
+    assert all(r.round_trip for r in found) and time.time() - start < 60
 
 
 def test_learnt_scores_keep_common_words_whole(spark):
@@ -504,7 +591,8 @@ def test_learnt_scores_keep_common_words_whole(spark):
     scores = sentencepieces.learn_scores(table)
     assert np.exp(scores).sum() == pytest.approx(1)
     own = sentencepieces.pieces(sentencepieces.default_model(), scores.tobytes())
-    counts = {r.segment: r.n for r in sentencepieces.segment_counts(table, "text", sentencepieces.default_model()).collect()}
+    found = sentencepieces.segment_counts(table, "text", sentencepieces.default_model()).collect()
+    counts = {r.segment.removeprefix(sentencepieces.MARKER): r.n for r in found}
     known = {own.text[i].decode("utf-8", "replace") for i in own.number.tolist()}
     common = sorted((w for w in counts if w.isalpha() and f" {w}" in known), key=lambda w: -counts[w])[:100]
     assert len(common) > 50
@@ -514,37 +602,44 @@ def test_learnt_scores_keep_common_words_whole(spark):
 
 # Tool calls
 
-TOOLS = {"t": {"type": "object", "required": ["a"], "properties": {"a": {"type": "integer"}}}}
+TOOLS = {"t": {"type": "object", "required": ["a"], "properties": {"a": {"type": ["integer", "null"]}}}}
+CALLS = (
+    "conv_id long, turn long, call_id string, name string, arguments string, needs array<string>, status string, level int"
+)
+RESULTS = "conv_id long, turn long, call_id string, content string, problems string"
 
 
 def test_tool_calls(spark):
-    calls = spark.createDataFrame(
-        [
-            (1, 0, "a", "t", '{"a": 1.0, "B": "é"}', None),
-            (1, 2, "b", "t", '{"a": "x"}', "a"),
-            (1, 4, "c", "t", "{", "b"),
-            (1, 4, "c", "t", "{", "b"),
-            (1, 6, "d", "u", "{}", "e"),
-            (1, 7, "e", "t", '{"a": 2}', "d"),
-            (1, 8, "f", "t", '{"a": NaN}', "zz"),
-            (None, 1, "g", "t", None, None),
-        ],
-        "conv_id long, turn long, call_id string, name string, arguments string, needs string",
-    )
-    results = spark.createDataFrame(
-        [(1, 1, "a", '{"z":1,"y":[2.50]}'), (1, 1, "b", "plain"), (1, 9, "x", None), (2, 0, None, "q")],
-        "conv_id long, turn long, call_id string, content string",
-    )
+    calls = [
+        (1, 0, "a", "t", '{"a": 1.0, "B": "é"}', None),
+        (1, 2, "b", "t", '{"a": "x"}', ["a", "a"]),
+        (1, 4, "c", "t", "{", ["b", "a"]),
+        (1, 4, "c", "t", "{", ["b", "a"]),
+        (1, 6, "d", "u", "{}", ["e"]),
+        (1, 7, "e", "t", '{"a": 2}', ["d", None]),
+        (1, 8, "f", "t", '{"a": NaN}', ["zz", "c"]),
+        (1, 9, "g", "t", '{"a": null}', ["e", "a"]),
+        (1, 9, "a", "t", '{"a": 3}', []),
+        (None, 1, "g", "t", None, None),
+    ]
+    calls = spark.createDataFrame([(*c, "extra", 5) for c in calls], CALLS)
+    results = [
+        (1, 1, "a", '{"z":1,"y":[2.50]}'), (1, 1, "b", "plain"), (1, 9, "x", None), (2, 0, None, "q"),
+        (1, 10, "a", "second"),
+    ]
+    results = spark.createDataFrame([(*r, "extra") for r in results], RESULTS)
     rows = tool_calls.link_calls(calls, results, TOOLS).collect()
-    found = {r.call_id: r for r in rows if r.conv_id == 1}
-    assert len(rows) == 9
+    found = {r.call_id: r for r in rows if r.conv_id == 1 and r.status != "repeated"}
+    assert len(rows) == len(found) + 2 + 3
     assert {k: r.status for k, r in found.items()} == {
         "a": "linked", "b": "early", "c": "unanswered", "d": "unanswered", "e": "unanswered",
-        "f": "unanswered", "x": "orphan",
+        "f": "unanswered", "g": "unanswered", "x": "orphan",
     }
-    assert [found[k].level for k in "abcdef"] == [0, 1, 2, None, None, 0]
-    assert found["a"].problems == [] and found["b"].problems == ["$.a: not integer"]
-    assert found["c"].problems == ["arguments are no JSON"]
+    again = {(r.call_id, r.call_turn, r.result_turn) for r in rows if r.status == "repeated"}
+    assert again == {("c", 4, None), ("a", 9, None), ("a", None, 10)}
+    assert [found[k].level for k in "abcdefg"] == [0, 1, 2, None, None, 3, None]
+    assert found["a"].problems == [] and found["b"].problems == ["$.a: not integer or null"]
+    assert found["c"].problems == ["arguments are no JSON"] and found["g"].problems == ["waits in a circle"]
     assert found["d"].problems == ["no such tool", "waits in a circle"]
     assert found["f"].problems == ["arguments are no JSON", "waits for an unknown call"]
     assert found["a"].line == (
@@ -553,13 +648,84 @@ def test_tool_calls(spark):
     )
     none = tool_calls.link_calls(calls.limit(0), results.limit(0), TOOLS)
     assert none.count() == 0
+    with pytest.raises(ValueError, match="unknown keywords"):
+        tool_calls.link_calls(calls, results, {"t": {"properties": {"a": {"minimun": 1}}}})
+
+
+def test_one_very_long_argument(spark):
+    text = "x" * 3_000_000
+    calls = spark.createDataFrame([(1, 0, "a", "t", '{"a": 1, "b": "' + text + '"}', None, "s", 1), (1, 1, "b", "t", "[" * 100_000, None, "s", 1)], CALLS)
+    results = spark.createDataFrame([(1, 2, "a", text, "p")], RESULTS)
+    found = {r.call_id: r for r in tool_calls.link_calls(calls, results, TOOLS).collect()}
+    assert found["a"].problems == [] and len(found["a"].line) > 2 * len(text)
+    assert found["b"].problems == ["arguments are no JSON"]
+
+
+def plain_levels(calls):
+    """By repeated passes over all calls of a conversation."""
+    level = {}
+    while True:
+        new = {
+            c: max((level[n] + 1 for n in needs if n in calls), default=0)
+            for c, needs in calls.items()
+            if c not in level and all(n in level for n in needs if n in calls)
+        }
+        if not new:
+            return level
+        level |= new
+
+
+@pytest.mark.parametrize("together", [1, 60, 10_000])
+def test_levels_of_random_graphs(spark, together):
+    random = np.random.default_rng(together)
+    graphs = {}
+    for conv in range(12):
+        size = int(random.integers(1, 30))
+        graphs[conv] = {
+            f"c{k}": [f"c{n}" for n in random.integers(0, size if conv % 3 == 0 else max(k, 1), random.integers(0, 3)) if conv % 3 == 0 or n != k]
+            + (["unknown"] if random.random() < 0.1 else [])
+            for k in range(size)
+        }
+    rows = [(conv, c, needs) for conv, calls in graphs.items() for c, needs in calls.items()]
+    calls = spark.createDataFrame(rows, "conv_id long, call_id string, needs array<string>").repartition(3)
+    found = {(r.conv_id, r.call_id): (r.level, r.unknown_need) for r in tool_calls.levels(calls, together).collect()}
+    want = {}
+    for conv, graph in graphs.items():
+        solved = plain_levels(graph)
+        want |= {(conv, c): (solved.get(c), "unknown" in needs) for c, needs in graph.items()}
+    assert found == want
 
 
 def test_long_chain_of_calls(spark):
-    calls = spark.range(300).selectExpr(
-        "1L as conv_id", "id as turn", "concat('c', id) as call_id", "'t' as name", "'{\"a\":1}' as arguments",
-        "if(id > 0, concat('c', id - 1), null) as needs",
-    )
-    assert {r.call_id: r.level for r in tool_calls.levels(calls.select("conv_id", "call_id", "needs")).collect()} == {
-        f"c{k}": k for k in range(300)
-    }
+    rows = [(1, f"c{k}", [f"c{j}" for j in (k - 1, k - 2) if j >= 0]) for k in range(5000)]
+    calls = spark.createDataFrame(rows, "conv_id long, call_id string, needs array<string>")
+    assert {r.call_id: r.level for r in tool_calls.levels(calls).collect()} == {f"c{k}": k for k in range(5000)}
+
+
+@pytest.mark.parametrize(
+    "value, schema, count",
+    [
+        (1, {"enum": [True]}, 1),
+        (True, {"enum": [True, 1]}, 0),
+        (1.0, {"const": 1}, 0),
+        (None, {"type": ["string", "null"]}, 0),
+        (3, {"type": ["string", "null"]}, 1),
+        ("ab", {"minLength": 3}, 1),
+        ("ab", {"pattern": "^a", "maxLength": 1}, 1),
+        ("ba", {"pattern": "^a"}, 1),
+        (5, {"exclusiveMaximum": 5, "multipleOf": 5}, 1),
+        (7, {"multipleOf": 2}, 1),
+        ([1, 1.0], {"uniqueItems": True, "minItems": 3}, 2),
+        ([True, 1], {"uniqueItems": True, "items": {"type": "number"}}, 1),
+        ({"a": 1}, {"additionalProperties": {"type": "string"}}, 1),
+        ({"a": 1}, {"additionalProperties": False, "maxProperties": 0}, 2),
+        (4, {"anyOf": [{"type": "string"}, {"minimum": 4}]}, 0),
+        (4, {"oneOf": [{"type": "integer"}, {"minimum": 4}]}, 1),
+        (4, {"allOf": [{"minimum": 4}, {"maximum": 3}], "not": {"type": "integer"}}, 2),
+        ({"n": {"n": 3}}, {"$ref": "#/$defs/t", "$defs": {"t": {"properties": {"n": {"anyOf": [{"type": "null"}, {"$ref": "#/$defs/t"}]}}}}}, 0),
+        (4, False, 1),
+    ],
+)
+def test_schema_keywords(value, schema, count):
+    schemas_json.check_schema(schema)
+    assert len(schemas_json.problems(value, schema)) == count
