@@ -10,12 +10,17 @@ a toxic one those are toxic that the last model says, at least one (multiple ins
 A document's score is a logistic function of its three highest sentence margins.
 
 Since features add up over spans, so do margins: each distinct span is evaluated once for
-a batch and remembered, up to ``REMEMBER`` spans.
+a batch and remembered, up to ``REMEMBER`` spans and to the end of a task, as a Python worker
+goes on to other stages with all it remembers.
 
 Training uses a bounded sample: ``SAMPLE_DOCUMENTS`` labelled documents for each label,
 chosen by hash, and ``SAMPLE_SENTENCES`` of their sentences: every document gives one, chosen
 by hash, before any gives a second, and so on. Each label has half of them, and what the other
-label leaves. Scoring reads whole texts.
+label leaves. A longer word than ``PART`` is trained on in parts of that length. Scoring reads
+whole texts and words.
+
+Letters are folded to lower case; those outside a to z share ``OTHERS`` symbols, so words in
+other scripts are compared more coarsely.
 
 Defined results: null and empty texts get the score of a text without sentences; null
 labels are not used; without both labels every score is 0, but if both were sampled and one has
@@ -41,13 +46,14 @@ from obs_engine.llm.common import bucket_of, column, in_tasks, materialise
 SAMPLE_DOCUMENTS = 2_000
 SAMPLE_SENTENCES = 60_000
 SENTENCE_WORDS = 40
-LONGEST_TRAINED = 100
+PART = 100
 LANDMARKS = 96
 DECAY = 0.85
 REACH = 4
 ROUNDS = 4
-REMEMBER = 600_000
+REMEMBER = 200_000
 BLOCK = 1024
+SUMMED = 2_000  # sentences at once
 TEXTS_CHARS = 400_000
 FOLDS = 5
 
@@ -74,6 +80,14 @@ def sentences(text: str) -> Iterator[list[str]]:
             yield list(dict.fromkeys(words[at : at + SENTENCE_WORDS]))
 
 
+def trained_on(text: str) -> Iterator[list[str]]:
+    """The sentences of a text with long words in parts, and again of bounded length."""
+    for words in sentences(text):
+        parts = [w[at : at + PART] for w in words for at in range(0, len(w), PART)]
+        for at in range(0, len(parts), SENTENCE_WORDS):
+            yield list(dict.fromkeys(parts[at : at + SENTENCE_WORDS]))
+
+
 @lru_cache(maxsize=4096)
 def _symbol(char: str) -> int:
     char = FOLD.get(char, char)
@@ -228,11 +242,12 @@ def training_sample(
             at, numbers, texts = [], [], []
             for row, text in enumerate(batch.column(2)):
                 found = []
-                for number, words in enumerate(sentences(text.as_py() or "")):
-                    words = [w for w in words if len(w) <= LONGEST_TRAINED]
+                for number, words in enumerate(trained_on(text.as_py() or "")):
                     if words:
                         sentence = " ".join(words)
                         found.append((zlib.crc32(f"{number} {sentence}".encode()), number, sentence))
+                    if len(found) >= 2 * sentences_max:
+                        found = sorted(found)[:sentences_max]
                 found = sorted(found)[:sentences_max]  # of a document, no more can be used
                 at += [row] * len(found)
                 numbers += range(len(found))
@@ -260,7 +275,8 @@ def training_sample(
     for label in there:
         most = max(sentences_max // 2, sentences_max - there[1 - label])
         part = found.where(F.col("toxic") == label).orderBy("number", key, "doc_id", "sentence").limit(most)
-        sample += [tuple(r) for r in part.select("doc_id", "toxic", "sentence").collect()]
+        for batch in part.select("doc_id", "toxic", "sentence").toArrow().to_batches(10_000):
+            sample += zip(*(c.to_pylist() for c in batch.columns))
     return sorted(sample, key=lambda r: r[1])
 
 
@@ -291,16 +307,22 @@ def _landmark_words(bags: list[set[str]], toxic: np.ndarray) -> list[str]:
 
 def _svm(features: np.ndarray, signs: np.ndarray, cost: float) -> np.ndarray:
     """Weights and bias of a linear SVM with squared hinge loss, by Newton's method."""
-    x = np.hstack([features, np.ones((len(features), 1))])
-    weights = np.zeros(x.shape[1])
-    ridge = np.eye(x.shape[1])
+    size = features.shape[1] + 1
+    weights = np.zeros(size)
+    ridge = np.eye(size)
     ridge[-1, -1] = 1e-6
     share = np.where(signs > 0, (signs < 0).sum() / max((signs > 0).sum(), 1), 1.0)
     share = np.minimum(share, 10) * cost
     for _ in range(30):
-        active = signs * (x @ weights) < 1
-        xa, c = x[active], share[active][:, None]
-        step = np.linalg.solve(ridge + xa.T @ (c * xa), xa.T @ (c[:, 0] * signs[active]))
+        gram, pull = ridge.copy(), np.zeros(size)
+        for at in range(0, len(features), SUMMED):
+            x = np.hstack([features[at : at + SUMMED], np.ones((len(features[at : at + SUMMED]), 1))])
+            y, c = signs[at : at + SUMMED], share[at : at + SUMMED]
+            active = y * (x @ weights) < 1
+            xa, ca = x[active], c[active]
+            gram += xa.T @ (ca[:, None] * xa)
+            pull += xa.T @ (ca * y[active])
+        step = np.linalg.solve(gram, pull)
         if np.abs(step - weights).max() < 1e-6:
             break
         weights = step
@@ -324,8 +346,9 @@ def fit(sample: list[tuple]) -> Model | None:
     """A model of labelled sentences; None if there are not both labels."""
     texts: dict = defaultdict(list)
     label: dict = {}
+    same: dict[str, str] = {}  # one object for each distinct word
     for doc, toxic, sentence in sample:
-        texts[doc].append(sentence.split(" "))
+        texts[doc].append([same.setdefault(w, w) for w in sentence.split(" ")])
         label[doc] = max(toxic, label.get(doc, 0))
     docs = list(texts)
     y = np.array([label[d] for d in docs])
@@ -339,19 +362,24 @@ def fit(sample: list[tuple]) -> Model | None:
     value, vector = np.linalg.eigh((inner + inner.T) / 2)
     kept = value > 1e-3
     root = vector[:, kept] / np.sqrt(value[kept])
-    vocabulary = sorted({w for d in docs for s in texts[d] for w in s})
+    vocabulary = sorted(same)
     place = {w: i for i, w in enumerate(vocabulary)}
-    of_word = np.vstack(
-        [marks.kernel(vocabulary[i : i + 20_000]) for i in range(0, len(vocabulary), 20_000)]
-    )
+    of_word = np.zeros((len(vocabulary), len(words)), np.float32)
+    for at in range(0, len(vocabulary), 20_000):
+        of_word[at : at + 20_000] = marks.kernel(vocabulary[at : at + 20_000])
     flat = [s for d in docs for s in texts[d]]
     owner = np.repeat(np.arange(len(docs)), [len(texts[d]) for d in docs])
-    ids = np.array([place[w] for s in flat for w in s])
-    starts = np.cumsum([0, *map(len, flat)])[:-1]
-    features = np.add.reduceat(of_word[ids], starts, axis=0) @ root
-    # At first a toxic document's sentences are toxic if they hold a landmark that marks it.
     strong = of_word[:, : LANDMARKS * 3 // 4].max(axis=1) > 0.8**4
-    holds = np.add.reduceat(strong[ids].astype(int), starts) > 0
+    features = np.zeros((len(flat), root.shape[1]))
+    holds = np.zeros(len(flat), bool)
+    for at in range(0, len(flat), SUMMED):
+        part = flat[at : at + SUMMED]
+        ids = np.array([place[w] for s in part for w in s])
+        starts = np.cumsum([0, *map(len, part)])[:-1]
+        features[at : at + SUMMED] = np.add.reduceat(of_word[ids], starts, axis=0) @ root
+        holds[at : at + SUMMED] = np.add.reduceat(strong[ids].astype(int), starts) > 0
+    del of_word, place, same, vocabulary
+    # At first a toxic document's sentences are toxic if they hold a landmark that marks it.
     toxic = (y[owner] == 1) & holds
     weights = None
     for _ in range(ROUNDS):
@@ -409,6 +437,8 @@ def score(
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found, pa.float64())], ["row", "score"]
             )
+        if scorer is not None:
+            scorer.known.clear()
 
     return in_tasks(rows, run, f"{rows.schema.simpleString()[7:-1].replace('row:', 'row ', 1)}, score double")
 
