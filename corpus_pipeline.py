@@ -15,9 +15,14 @@ from obs_engine.session import scratch_path  # noqa: E402
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that score below one half; the model learns from the labelled ones."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return toxicity.drop_toxic(docs, toxicity.train(docs, labels))
+    """Documents that score below one half; the model learns from the labelled ones.
+
+    Documents without labels of both kinds raise, as all of them would be kept.
+    """
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    if model is None and not docs.isEmpty():
+        raise ValueError("no documents with both labels to learn toxicity from")
+    return toxicity.drop_toxic(docs, model)
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
