@@ -23,7 +23,8 @@ def latest_per_key(
     A NULL key raises. Two rows with the same key raise when ``strict``, or when there
     is no ``seq`` to say which of them is last. The aggregate combines before the
     shuffle, so a key repeated in much of the batch stays harmless. ``counted`` adds how
-    many rows a key had as ``_rows``, and then only a NULL key raises.
+    many rows a key had as ``_rows`` and raises on nothing; the keys are then those of the
+    exchange, so a join by them needs no other.
     """
     rest = [c for c in batch.columns if c not in keys and c != seq]
     order = [F.col(quoted(seq)).alias("_seq")] if seq else []
@@ -39,7 +40,7 @@ def latest_per_key(
         )
     first_key = F.col(quoted(keys[0]))
     return last.select(
-        checked.otherwise(first_key).alias(keys[0]),
+        first_key if counted else checked.otherwise(first_key).alias(keys[0]),
         *[F.col(quoted(k)) for k in keys[1:]],
         *[F.col(f"_row.{quoted(c)}").alias(c) for c in rest],
         *(["_rows"] if counted else []),

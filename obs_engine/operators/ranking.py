@@ -11,9 +11,8 @@ such groups are ranked in pieces instead:
 3. rank = 1 + rows in higher buckets + rows above the value inside its bucket.
 
 Every step depends on the data alone (splitters are values picked by their hash), so
-a recomputed task gives the same buckets again. For the same reason the metrics must
-not change from one evaluation to the next: rank stored or rounded values, not raw
-floating point sums.
+a recomputed task gives the same buckets again. The rows of such groups are written to the
+scratch area first, so that their metrics are the same in every step.
 """
 
 from __future__ import annotations
@@ -30,6 +29,7 @@ from obs_engine.operators.joins import (
     MAX_BROADCAST_ROWS,
     row_width,
 )
+from obs_engine.session import scratch_path
 
 # A group up to this size is sorted in one task.
 GROUP_ROWS = 2_000_000
@@ -60,13 +60,15 @@ def rank_metrics(
     if (largest or 0) <= cut:
         return _rank_by_window(df, partition, ranks)
 
-    hot = sizes.where(F.col("_rows") > cut).select(
-        *[F.col(p).alias(f"_hot_{p}") for p in partition]
+    # Written once: what follows reads the hot rows several times, the input but twice.
+    hot = _written(
+        sizes.where(F.col("_rows") > cut).select(*[F.col(p).alias(f"_hot_{p}") for p in partition]),
+        "hot-groups",
     )
     is_hot = _same([F.col(p) for p in partition], [F.col(f"_hot_{p}") for p in partition])
     hot = F.broadcast(hot)  # fewer than total / cut <= max_pieces rows
     regular = _rank_by_window(df.join(hot, is_hot, "left_anti"), partition, ranks)
-    hot_rows = df.join(hot, is_hot, "left_semi")
+    hot_rows = _written(df.join(hot, is_hot, "left_semi"), "hot-rows")
     ranked = hot_rows
     few = _few_values(hot_rows, partition, list(ranks))
     for metric, name in ranks.items():
@@ -90,6 +92,13 @@ def rank_metrics(
     return regular.unionByName(ranked)
 
 
+def _written(df: DataFrame, label: str) -> DataFrame:
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def _rank_by_window(df: DataFrame, partition: list[str], ranks: Mapping[str, str]) -> DataFrame:
     return df.withColumns(
         {

@@ -274,12 +274,14 @@ def upsert_table(
 
     folder = prepared(spark, path)
     any_null = reduce(or_, [F.col(quoted(k)).isNull() for k in keys])
-    facts = _write(nan_to_null(batch), f"{scratch}/batch", nulls=F.count_if(any_null))
+    batch = nan_to_null(batch)
+    facts = _write(batch, f"{scratch}/batch", nulls=F.count_if(any_null))
     if facts["rows"] == 0:
         return Upsert(0)
     if facts["nulls"]:
         raise ValueError(f"{facts['nulls']} rows with NULL in key {keys}")
-    staged = read_table(spark, f"{scratch}/batch")
+    # With its schema given, reading what was just written takes no job.
+    staged = spark.read.schema(batch.schema).parquet(f"{scratch}/batch")
     periods = periods_of(staged, period) if period else None
 
     there = table_exists(spark, path)
@@ -322,7 +324,7 @@ def upsert_table(
             found = _write(unique, f"{scratch}/unique", repeated=repeated)
             check(found["repeated"])
             rows = found["rows"]
-            unique = read_table(spark, f"{scratch}/unique").drop("_rows")
+            unique = spark.read.schema(unique.schema).parquet(f"{scratch}/unique").drop("_rows")
             met = matched_keys(old, unique, keys, small_batch=True)
             matched = _write(met, f"{scratch}/matched")["rows"]
             new = unique
@@ -330,9 +332,9 @@ def upsert_table(
                 # Around a broadcast the table's own files are mapped to new ones.
                 kept = merge_frames(old, unique, keys, small_batch=True, inserts=False)
                 _write(lay(kept, spread=not period), f"{folder}/rows", *layout)
-                met = read_table(spark, f"{scratch}/matched")
+                met = spark.read.schema(met.schema).parquet(f"{scratch}/matched")
                 new = unique.join(F.broadcast(met), keys, "left_anti")  # no more keys than the batch
-            _write(lay(aligned(new, old.schema)), f"{folder}/added", *layout)
+            _write(lay(aligned(new, old.schema).coalesce(1), spread=False), f"{folder}/added", *layout)
         else:
             found = _write(
                 lay(merged_in_one_pass(old, unique, keys)),

@@ -267,10 +267,10 @@ def test_an_upsert_is_few_jobs_and_one_shuffle_of_each_side(spark, folder, small
         "concat('c', id) as city", "'2022-10-01' as date", "cast(id as double) as m", "'n' as note"
     )
     upsert_table(spark, path, wide, KEYS)
-    spark.sparkContext.setJobGroup("upsert", "jobs of one upsert")
+    spark.sparkContext.setJobGroup(f"upsert-{small}", "jobs of one upsert")
     try:
         upsert_table(spark, path, wide.where("m >= 1000").union(frame(spark, OLD[0])), KEYS, small_batch_rows=small)
-        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("upsert")
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(f"upsert-{small}")
     finally:
         spark.sparkContext.setJobGroup("", "")
     assert len(jobs) <= 12
