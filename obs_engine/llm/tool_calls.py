@@ -25,15 +25,15 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obs_engine.llm.common import in_tasks, materialise, ship
+from obs_engine.llm.common import in_tasks, materialise
 from obs_engine.llm.schemas_json import canonical, check_schema, problems, read_json
 
 TOGETHER = 20_000
+AT_ONCE = 10_000  # rows of a batch of results
 
 
 def peeled(calls: list[str], needs: list[tuple[str, str]]) -> dict[str, int]:
@@ -60,7 +60,6 @@ def levels(calls: DataFrame, together: int = TOGETHER) -> DataFrame:
 
     ``needs`` is an array of identifiers.
     """
-    ship(calls.sparkSession)
     keys = ["conv_id", "call_id"]
     edges = calls.select(*keys, F.explode(F.array_distinct("needs")).alias("need"))
     edges = edges.where(F.col("need").isNotNull())
@@ -75,16 +74,46 @@ def levels(calls: DataFrame, together: int = TOGETHER) -> DataFrame:
     few = rows.join(large, "conv_id", "left_anti")
     kind = dict(calls.dtypes)["conv_id"]
 
-    def solve(part: pd.DataFrame) -> pd.DataFrame:
-        alone = part["need"].isna()
-        found = peeled(part["call_id"][alone].tolist(), list(part[["call_id", "need"]][~alone].itertuples(index=False, name=None)))
-        conv = part["conv_id"].iloc[0]
-        return pd.DataFrame(
-            {"conv_id": [conv] * len(found), "call_id": list(found), "level": list(found.values())}
-        )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        conv, calls_of, needs_of = None, [], []
+        convs, found, kind_of = [], [], None
+
+        def solve() -> None:
+            new = peeled(calls_of, needs_of)
+            convs.extend([conv] * len(new))
+            found.extend(new.items())
+
+        def flushed() -> pa.RecordBatch:
+            arrays = [
+                pa.array(convs, kind_of),
+                pa.array([call for call, _ in found], pa.string()),
+                pa.array([n for _, n in found], pa.int64()),
+            ]
+            convs.clear()
+            found.clear()
+            return pa.RecordBatch.from_arrays(arrays, ["conv_id", "call_id", "level"])
+
+        for batch in batches:
+            kind_of = batch.schema.field(0).type
+            for own, call, need in zip(*(c.to_pylist() for c in batch.columns)):
+                if own != conv and calls_of:
+                    solve()
+                    calls_of, needs_of = [], []
+                    if len(found) >= AT_ONCE:
+                        yield flushed()
+                conv = own
+                if need is None:
+                    calls_of.append(call)
+                else:
+                    needs_of.append((call, need))
+        if calls_of:
+            solve()
+        if found:
+            yield flushed()
 
     schema = f"conv_id {kind}, call_id string, level long"
-    solved = few.groupBy("conv_id").applyInPandas(solve, schema)
+    ordered = few.repartition("conv_id").sortWithinPartitions("conv_id", F.col("need").asc_nulls_first())
+    solved = in_tasks(ordered.select("conv_id", "call_id", "need"), run, schema)
     if not large.isEmpty():
         solved = solved.unionByName(_peeled_by_joins(rows.join(large, "conv_id", "left_semi")))
     solved = materialise(solved, "calls-levels")
