@@ -5,7 +5,8 @@ From the counts of distinct words come those of subword ids and of neighbouring
 words, which start the model: the next id is a mixture of ``MIXTURE`` distributions over
 ids, and the mixture weights depend on the last id. Causal self-attention over the ids
 before adds to the logits of these weights; it is trained in numpy by the tasks of Spark on
-windows of a fixed share of the training documents, in rounds whose parameters are averaged.
+the windows of all training documents, each document in one of the rounds whose parameters are
+averaged. What a task trains on are the documents of its partition of the table.
 
 A text is the ids of its words, each as if after a space, and an end. The last id of a word
 is another item than the same id elsewhere, so ids spell one sequence of words only. Scoring
@@ -17,8 +18,9 @@ smoothed shares by their counts, so the probabilities of all words add up to one
 A word's probability interpolates two that both begin with attention's probability of its
 first id: times that of its other ids, or times the word's share of the training tokens that
 begin with that id. Of a word not in the training tokens the share is that of all such words,
-times the probability of its other ids, which deals it among them. The weight of the latter is the one of ``BASE_WEIGHTS`` that fits the
-training documents of attention best, where an occurrence is left out of its word's count.
+times the probability of its other ids, which deals it among them. The weight of the latter is the one of ``BASE_WEIGHTS`` that fits
+all training documents best, where an occurrence is left out of its word's count; documents
+are scored once, under each of these weights.
 
 The base score needs the count of each word: counts of the most frequent words, a bounded
 table, are with every task; the other words of a text are joined with the counts.
@@ -58,12 +60,11 @@ MIXTURE = 32
 STARTS = 8  # components of the mixture for how words begin
 WIDTH = 16
 WINDOW, CONTEXT = 16, 4
-TRAIN_SHARE = 32  # one training document in so many trains attention
-TRAINERS = 6  # at least
-TRAINER_TOKENS = 1 << 21  # words for each trainer, about; more words make more trainers
+TRAINERS = 6
+TRAINER_TOKENS = 1 << 21  # of small partitions so many words are one trainer's, or all by TRAINERS
 FAN_IN = 16  # parameters averaged in one task
-ROUNDS = 3
-BATCH = 128
+ROUNDS = 3  # each learns from its share of the documents
+BATCH = 512
 LEAST_STEPS = 40  # of a trainer in a round; with few windows it goes over them again
 LEARNING_RATE = 0.02
 EM_STEPS = 25
@@ -255,6 +256,7 @@ def start(last: np.ndarray, after: np.ndarray, number: np.ndarray) -> Weights:
 
 LARGEST = np.float32(60)  # logits above would overflow; none comes near
 ONES = np.ones((WINDOW, 1), np.float32)
+ALL = np.ones((MIXTURE, 1), np.float32)
 MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 
 
@@ -265,39 +267,74 @@ def _softmax(z: np.ndarray) -> np.ndarray:
     return z
 
 
+def _add(into: np.ndarray, items: np.ndarray, rows: np.ndarray) -> None:
+    """Add each row to that of its item."""
+    order = np.argsort(items.astype(np.uint16), kind="stable")  # a radix sort
+    ordered = items[order]
+    starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)])
+    if len(starts):
+        into[ordered[starts]] += np.add.reduceat(np.take(rows, order, axis=0), starts, axis=0)
+
+
 def step(w: Weights, seen: np.ndarray, target: np.ndarray, counts: np.ndarray):
     """Loss and gradients of windows; ``counts`` is one where a target is to be learnt."""
-    h = w.embed[seen] + w.place
-    q, k, v = h @ w.query, h @ w.key, h @ w.value
-    a = _softmax(q @ k.transpose(0, 2, 1) / np.float32(WIDTH**0.5) + MASK)
-    c = a @ v
-    pi = _softmax(w.mix[seen] + c @ w.out)
     emission = _softmax(w.emission.copy())
-    joint = pi * emission.T[target]
-    p = np.maximum(joint.sum(-1), 1e-30)
-    scale = (counts / max(counts.sum(), 1)).astype(np.float32)
-    loss = -(np.log(p) * scale).sum()
-    owned = joint / p[..., None] * scale[..., None]
-    dz = pi * scale[..., None] - owned
-    by_item = np.zeros((ITEMS, MIXTURE), np.float32)
-    np.add.at(by_item, target, owned)
-    d_emission = emission * by_item.sum(0)[:, None] - by_item.T
-    d = {"emission": d_emission, "out": c.reshape(-1, WIDTH).T @ dz.reshape(-1, MIXTURE)}
-    dc = dz @ w.out.T
-    dv = a.transpose(0, 2, 1) @ dc
+    of_item = np.ascontiguousarray(emission.T)
+    d = {name: np.zeros_like(getattr(w, name)) for name in TRAINED if name != "emission"}
+    owned, loss, total = np.zeros((ITEMS, MIXTURE), np.float32), 0.0, max(counts.sum(), 1)
+    for k in range(0, len(seen), AT_ONCE):  # what a core's cache holds
+        part = slice(k, k + AT_ONCE)
+        loss += _step(w, of_item, seen[part], target[part], counts[part] / total, d, owned)
+    d["emission"] = emission
+    emission *= owned.sum(0)[:, None]
+    emission -= owned.T
+    return loss, d
+
+
+def _step(w: Weights, of_item: np.ndarray, seen, target, scale, d: dict, owned: np.ndarray) -> float:
+    """The loss; adds the gradients to ``d``, and the targets' shares in components to ``owned``."""
+    at = np.flatnonzero(scale)
+    last, after = seen.ravel()[at], target.ravel()[at]
+    flat = (np.take(w.embed, seen, axis=0) + w.place).reshape(-1, WIDTH)
+    q, k, v = ((flat @ x).reshape(-1, WINDOW, WIDTH) for x in (w.query, w.key, w.value))
+    a = q @ k.transpose(0, 2, 1)
+    a *= np.float32(WIDTH**-0.5)
+    np.minimum(a, LARGEST, out=a)
+    a += MASK
+    np.exp(a, out=a)
+    a /= a @ ONES
+    c = np.take((a @ v).reshape(-1, WIDTH), at, axis=0)
+    pi = c @ w.out
+    pi += np.take(w.mix, last, axis=0)
+    np.minimum(pi, LARGEST, out=pi)
+    np.exp(pi, out=pi)
+    pi /= pi @ ALL
+    joint = np.take(of_item, after, axis=0)
+    joint *= pi
+    p = np.maximum(joint @ ALL, 1e-30)
+    scale = scale.ravel()[at].astype(np.float32)[:, None]
+    joint *= scale / p
+    pi *= scale
+    pi -= joint
+    _add(owned, after, joint)
+    _add(d["mix"], last, pi)
+    d["out"] += c.T @ pi
+    dc = np.zeros((seen.size, WIDTH), np.float32)
+    dc[at] = pi @ w.out.T
+    dc = dc.reshape(-1, WINDOW, WIDTH)
     da = dc @ v.transpose(0, 2, 1)
-    ds = a * (da - (da * a).sum(-1, keepdims=True)) / np.float32(WIDTH**0.5)
-    dq, dk = ds @ k, ds.transpose(0, 2, 1) @ q
-    flat = h.reshape(-1, WIDTH)
-    dh = np.zeros_like(h)
-    for name, g in (("query", dq), ("key", dk), ("value", dv)):
-        d[name] = flat.T @ g.reshape(-1, WIDTH)
+    da -= (da * a) @ ONES
+    da *= a
+    da *= np.float32(WIDTH**-0.5)
+    dh = np.zeros_like(flat)
+    moved = da.transpose(0, 2, 1) @ q
+    for name, g in (("query", da @ k), ("key", moved), ("value", a.transpose(0, 2, 1) @ dc)):
+        g = g.reshape(-1, WIDTH)
+        d[name] += flat.T @ g
         dh += g @ getattr(w, name).T
-    d["place"] = dh.sum(0)
-    d["embed"], d["mix"] = np.zeros_like(w.embed), np.zeros_like(w.mix)
-    np.add.at(d["embed"], seen, dh)
-    np.add.at(d["mix"], seen, dz)
-    return loss, d
+    d["place"] += dh.reshape(-1, WINDOW, WIDTH).sum(0)
+    _add(d["embed"], seen.ravel(), dh)
+    return float(-(np.log(p) * scale).sum())
 
 
 class Trainer:
@@ -314,10 +351,17 @@ class Trainer:
         self.t += 1
         rate = LEARNING_RATE * (1 - 0.999**self.t) ** 0.5 / (1 - 0.9**self.t)
         for name, g in grads.items():
-            m, v = self.m[name], self.v[name]
-            m += 0.1 * (g - m)
-            v += 0.001 * (g * g - v)
-            getattr(self.w, name)[...] -= rate * m / (np.sqrt(v) + 1e-8)
+            m, v, w = self.m[name], self.v[name], getattr(self.w, name)
+            m += np.float32(0.1) * (g - m)
+            g *= g
+            g -= v
+            g *= np.float32(0.001)
+            v += g
+            np.sqrt(v, out=g)
+            g += np.float32(1e-8)
+            np.divide(m, g, out=g)
+            g *= np.float32(rate)
+            w -= g
         return loss
 
 
@@ -442,25 +486,6 @@ class Scorer:
         return np.log10(np.maximum(pi.sum(1) / total, 1e-30))
 
 
-def _training_windows(texts: DataFrame, scorer: Scorer, trainers: int) -> DataFrame:
-    """Windows of the given texts as bytes, dealt to the trainers."""
-    shared = texts.sparkSession.sparkContext.broadcast(scorer)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for text in batch.column(0):
-                numbers = shared.value.numbers([words_of(text.as_py())])[0]
-                parts = windows(shared.value.items_of(numbers))
-                packed = np.stack([a.astype("<i4") for a in parts], axis=1)
-                rows += [block.tobytes() for block in packed]
-            yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["window"])
-
-    return in_tasks(texts, run, "window binary").repartition(
-        trainers, F.pmod(F.xxhash64("window"), F.lit(1 << 20))
-    )
-
-
 def _mean(states: list[tuple[int, bytes]]) -> tuple[int, dict[str, np.ndarray]]:
     """Windows learnt by all, and parameters weighted by them."""
     total = sum(n for n, _ in states)
@@ -497,31 +522,43 @@ def _averaged(states: DataFrame) -> tuple[int, dict[str, np.ndarray]]:
     return _mean([(r.n, bytes(r.state)) for r in states.collect()])
 
 
-def _round(rows: DataFrame, weights: Weights) -> Weights:
+def _round(texts: DataFrame, scorer: Scorer) -> Weights:
     """Train in each partition from the same weights; average by the windows learnt."""
-    shared = rows.sparkSession.sparkContext.broadcast(weights)
+    shared = texts.sparkSession.sparkContext.broadcast(scorer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trainer, learnt, first = Trainer(shared.value), 0, []
-
-        def learn(part: list[bytes]) -> None:
-            data = np.frombuffer(b"".join(part), "<i4").reshape(len(part), 3, WINDOW)
-            trainer.learn(data[:, 0], data[:, 1], data[:, 2].astype(np.float32))
+        model = shared.value
+        trainer, learnt, first, waiting = Trainer(model.w), 0, [], []
+
+        def learn(parts: list[tuple[np.ndarray, ...]]) -> Iterator[tuple[np.ndarray, ...]]:
+            """What is left are fewer windows than a batch."""
+            nonlocal learnt
+            seen, target, counts = map(np.concatenate, zip(*parts))
+            end = len(seen) - len(seen) % BATCH or len(seen)
+            for at in range(0, end, BATCH):
+                part = slice(at, min(at + BATCH, end))
+                block = seen[part], target[part], counts[part].astype(np.float32)
+                trainer.learn(*block)
+                learnt += len(block[0])
+                if trainer.t < LEAST_STEPS:
+                    first.append(block)
+            return [(seen[end:], target[end:], counts[end:])] if end < len(seen) else []
 
         for batch in batches:
-            blocks = batch.column(0).to_pylist()
-            for at in range(0, len(blocks), BATCH):
-                learn(blocks[at : at + BATCH])
-                learnt += len(blocks[at : at + BATCH])
-                if trainer.t < LEAST_STEPS:
-                    first.append(blocks[at : at + BATCH])
+            for at in range(0, batch.num_rows, 64):
+                words = [words_of(t.as_py()) for t in batch.column(0).slice(at, 64)]
+                waiting += [windows(model.items_of(numbers)) for numbers in model.numbers(words)]
+                if sum(len(seen) for seen, _, _ in waiting) >= BATCH:
+                    waiting = learn(waiting)
+        if waiting:
+            learn(waiting)
         while first and trainer.t < LEAST_STEPS:
-            learn(first[trainer.t % len(first)])
+            trainer.learn(*first[trainer.t % len(first)])
         if learnt:
             yield _state(learnt, {n: getattr(trainer.w, n) for n in TRAINED})
 
-    states = materialise(in_tasks(rows, run, "n long, state binary"), "lm-states")
-    return weights._replace(**_averaged(states)[1])
+    states = materialise(in_tasks(texts, run, "n long, state binary"), "lm-states")
+    return scorer.w._replace(**_averaged(states)[1])
 
 
 class Base(NamedTuple):
@@ -545,9 +582,13 @@ class Base(NamedTuple):
 
     def mixed(self, weight, counts: np.ndarray, logs: np.ndarray, first_logs: np.ndarray, first: np.ndarray):
         """log10 of words' probabilities; those never met share one count by their spelling."""
+        return logs + np.log10((1 - weight) + weight * self.against(counts, logs, first_logs, first))
+
+    def against(self, counts: np.ndarray, logs: np.ndarray, first_logs: np.ndarray, first: np.ndarray):
+        """How much likelier words are by their shares than by their ids."""
         begins = self.begins[first.astype(np.int64)]
         rest = np.where(counts > 0, 10 ** np.minimum(first_logs - logs, 300), 1.0)
-        return logs + np.log10((1 - weight) + weight * self.share(counts) * rest * 10**-begins)
+        return self.share(counts) * rest * 10**-begins
 
     def ahead(self, first_logs: np.ndarray, first: np.ndarray) -> np.ndarray:
         """log10 of how much likelier a token's first id is here than anywhere."""
@@ -558,6 +599,7 @@ class Base(NamedTuple):
 REST = pa.list_(
     pa.struct([("word", pa.string()), *((n, pa.float64()) for n in ("spelt", "ahead", "begins"))])
 )
+BY_WEIGHT = pa.list_(pa.float64())  # sums over words for each of BASE_WEIGHTS
 
 
 def smoothed(tokens: int, distinct: int) -> float:
@@ -572,64 +614,122 @@ def _mixed(weight: float, count: Column, tokens: int, distinct: int) -> Column:
     return F.when(count > 0, met).otherwise(F.col("spelt") + F.log10((1 - weight) + share * power(-F.col("begins"))))
 
 
-def base_weight(texts: DataFrame, counts: DataFrame, scorer: Scorer, base: Base) -> float:
-    """The weight of the shares of words that fits the given texts best.
+def _scored(rows: DataFrame, scorer: Scorer, base: Base) -> DataFrame:
+    """``id``, ``held_out``, ``tag`` (unique), and sums over the frequent words of a text.
 
-    Words that are not frequent are joined with their counts, as in ``score``.
+    ``mixed`` has log10 of their probabilities under each weight, ``left_out`` the same where an
+    occurrence is left out of its word's count (null if held out); ``rest`` the other words.
     """
-    shared = texts.sparkSession.sparkContext.broadcast((scorer, base))
-    weights = np.array(BASE_WEIGHTS)
+    shared = rows.sparkSession.sparkContext.broadcast((scorer, base))
+    kind = rows.schema["id"].dataType.simpleString()
+    weights = np.array(BASE_WEIGHTS)[:, None]
+
+    def under_weights(shares: Base, counts: np.ndarray, *known: np.ndarray) -> list[float]:
+        more = shares.against(counts, *known) * weights
+        more += 1 - weights
+        return (known[0].sum() + np.log10(more, out=more).sum(axis=1)).tolist()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, shares = shared.value
+        tag = TaskContext.get().partitionId() << 33
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
-                texts = [words_of(t.as_py()) for t in batch.column(0).slice(at, 64)]
-                sums, rest = np.zeros(len(weights)), []
-                for words, (logs, first_logs, counted, first) in zip(texts, model.spelt(texts)):
+                part = batch.slice(at, 64)
+                texts = [words_of(t.as_py()) for t in part.column(1)]
+                made: list[list] = [[] for _ in range(6)]
+                for words, held, (logs, first_logs, counted, first) in zip(
+                    texts, part.column(2).to_pylist(), model.spelt(texts)
+                ):
                     listed = counted >= 0
-                    known = (counted - 1)[listed], logs[listed], first_logs[listed], first[listed]
-                    for k, weight in enumerate(weights):
-                        sums[k] += shares.mixed(weight, *known).sum()
+                    counts, known = counted[listed], (logs[listed], first_logs[listed], first[listed])
                     ahead = shares.ahead(first_logs, first)
-                    rest += [
-                        {"word": words[k].decode(), "spelt": logs[k], "ahead": ahead[k], "begins": first_logs[k] - ahead[k]}
-                        for k in np.flatnonzero(~listed).tolist()
-                    ]
+                    rest = np.flatnonzero(~listed)
+                    tokens = [*words, b""]
+                    values = (
+                        len(tokens),
+                        int(listed.sum()),
+                        float(np.log10(shares.share(counts)).sum()),
+                        under_weights(shares, counts, *known),
+                        None if held else under_weights(shares, counts - 1, *known),
+                        [
+                            {"word": tokens[k].decode(), "spelt": x, "ahead": y, "begins": z}
+                            for k, x, y, z in zip(
+                                rest.tolist(),
+                                logs[rest].tolist(),
+                                ahead[rest].tolist(),
+                                (first_logs - ahead)[rest].tolist(),
+                            )
+                        ],
+                    )
+                    for into, value in zip(made, values):
+                        into.append(value)
+                kinds = [pa.int64(), pa.int64(), pa.float64(), BY_WEIGHT, BY_WEIGHT, REST]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([sums.tolist()], pa.list_(pa.float64())), pa.array([rest], REST)], ["sums", "rest"]
+                    [
+                        part.column(0),
+                        part.column(2),
+                        pa.array(range(tag, tag + len(texts)), pa.int64()),
+                        *[pa.array(values, k) for values, k in zip(made, kinds)],
+                    ],
+                    ["id", "held_out", "tag", "n_tokens", "hits", "base", "mixed", "left_out", "rest"],
                 )
+                tag += len(texts)
 
-    parts = materialise(
-        in_tasks(texts, run, "sums array<double>, rest array<struct<word:string,spelt:double,ahead:double,begins:double>>"),
-        "lm-weights",
+    return materialise(
+        in_tasks(
+            rows,
+            run,
+            f"id {kind}, held_out boolean, tag long, n_tokens long, hits long, base double, "
+            "mixed array<double>, left_out array<double>, "
+            "rest array<struct<word:string,spelt:double,ahead:double,begins:double>>",
+        ),
+        "lm-scored",
     )
-    n = F.greatest(F.coalesce(F.col("n"), F.lit(0)) - 1, F.lit(0))  # without the occurrence itself
-    others = parts.select(F.inline("rest")).join(counts, "word", "left").select(
+
+
+def _counted(scored: DataFrame, counts: DataFrame) -> DataFrame:
+    """The words that are not frequent, with their text's ``tag`` and their counts ``c``."""
+    rest = scored.select("tag", "held_out", F.inline("rest")).join(counts, "word", "left")
+    count = F.coalesce("n", F.lit(0)).alias("c")
+    return materialise(rest.select("tag", "held_out", "spelt", "ahead", "begins", count), "lm-rest")
+
+
+def _best_weight(scored: DataFrame, rest: DataFrame, base: Base) -> float:
+    """The weight that fits all training texts best, each word without the occurrence itself."""
+    n = F.greatest(F.col("c") - 1, F.lit(0))
+    others = rest.where(~F.col("held_out")).select(
         *[F.sum(_mixed(w, n, base.tokens, base.distinct)) for w in BASE_WEIGHTS]
     )
-    known = parts.select(*[F.sum(F.col("sums")[k]) for k in range(len(weights))])
+    known = scored.select(*[F.sum(F.col("left_out")[k]) for k in range(len(BASE_WEIGHTS))])
     sums = [(x or 0.0) + (y or 0.0) for x, y in zip(known.first(), others.first())]
     return BASE_WEIGHTS[int(np.argmax(sums))]
 
 
+def base_weight(texts: DataFrame, counts: DataFrame, scorer: Scorer, base: Base) -> float:
+    """The weight of the shares of words that fits the given texts best."""
+    rows = texts.select(F.lit(None).cast("long").alias("id"), "text", F.lit(False).alias("held_out"))
+    scored = _scored(rows, scorer, base)
+    return _best_weight(scored, _counted(scored, counts), base)
+
+
 def train(
     training: DataFrame, counts: DataFrame, path: str, frequent: dict[bytes, int], total: tuple[int, int]
-) -> tuple[Scorer, Base, float]:
-    """A scorer, the base and its weight, from ``id``, ``text`` and their word counts."""
+) -> tuple[Scorer, Base]:
+    """A scorer and the base, from ``id``, ``text`` and their word counts.
+
+    Every document is learnt from, in the round that its hash tells.
+    """
     items = Items.by_count(id_counts(counts, path))
     last, after, number, words = neighbours(counts, path, items)
-    weights = start(last, after, number)
     begin = last == STOP
     base = Base.of(*total, after[begin], number[begin], words[begin])
-    scorer = Scorer(path, items, weights, frequent)
-    chosen = training.where(F.pmod(F.xxhash64("text", "id"), F.lit(TRAIN_SHARE)) == 0).select("text")
-    trainers = max(TRAINERS, total[0] // (TRAIN_SHARE * TRAINER_TOKENS))
-    rows = materialise(_training_windows(chosen, scorer, trainers), "lm-windows")
-    for _ in range(ROUNDS):
-        weights = _round(rows, weights)
-    scorer = Scorer(path, items, weights, frequent)
-    return scorer, base, base_weight(chosen, counts, scorer, base)
+    scorer = Scorer(path, items, start(last, after, number), frequent)
+    turn = F.pmod(F.xxhash64("text", "id"), F.lit(ROUNDS))
+    trainers = max(TRAINERS, total[0] // TRAINER_TOKENS)
+    for k in range(ROUNDS):
+        texts = training.where(turn == k).select("text").coalesce(trainers)
+        scorer = Scorer(path, items, _round(texts, scorer), frequent)
+    return scorer, base
 
 
 def score(
@@ -653,86 +753,28 @@ def score(
     short = F.octet_length("word") <= LONGEST_FREQUENT
     top = counts.where(short).orderBy(F.col("n").desc(), "word").limit(FREQUENT_WORDS)
     frequent = {r.word.encode(): r.n for r in top.collect()}
-    scorer, base, weight = train(training.select("id", "text"), counts, path, frequent, total)
-    shared = df.sparkSession.sparkContext.broadcast((scorer, base))
-    kind = rows.schema["id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, shares = shared.value
-        tag = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                texts = [words_of(t.as_py()) for t in part.column(1)]
-                made: list[list] = [[] for _ in range(5)]
-                for words, (logs, first_logs, counted, first) in zip(texts, model.spelt(texts)):
-                    listed = counted >= 0
-                    others = shares.share(counted[listed])
-                    ahead = shares.ahead(first_logs, first)
-                    mixed = shares.mixed(weight, counted[listed], logs[listed], first_logs[listed], first[listed])
-                    rest = np.flatnonzero(~listed)
-                    tokens = [*words, b""]
-                    values = (
-                        len(tokens),
-                        int(listed.sum()),
-                        float(np.log10(others).sum()),
-                        float(mixed.sum()),
-                        [
-                            {"word": tokens[k].decode(), "spelt": x, "ahead": y, "begins": z}
-                            for k, x, y, z in zip(
-                                rest.tolist(),
-                                logs[rest].tolist(),
-                                ahead[rest].tolist(),
-                                (first_logs - ahead)[rest].tolist(),
-                            )
-                        ],
-                    )
-                    for into, value in zip(made, values):
-                        into.append(value)
-                kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), REST]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        part.column(2),
-                        pa.array(range(tag, tag + len(texts)), pa.int64()),
-                        *[pa.array(values, k) for values, k in zip(made, kinds)],
-                    ],
-                    ["id", "held_out", "tag", "n_tokens", "hits", "base", "mixed", "rest"],
-                )
-                tag += len(texts)
-
-    scored = materialise(
-        in_tasks(
-            rows,
-            run,
-            f"id {kind}, held_out boolean, tag long, n_tokens long, hits long, base double, "
-            "mixed double, rest array<struct<word:string,spelt:double,ahead:double,begins:double>>",
-        ),
-        "lm-scored",
-    )
+    scorer, base = train(training.select("id", "text"), counts, path, frequent, total)
+    scored = _scored(rows, scorer, base)
+    rest = _counted(scored, counts)
+    weight = _best_weight(scored, rest, base)
     # Words outside the frequent ones are few for each text, and none of them is hot.
-    c = F.coalesce(F.col("n"), F.lit(0))
-    share = (c + SMOOTH) / smoothed(*total)
-    summed = (
-        scored.select("tag", F.inline("rest"))
-        .join(counts, "word", "left")
-        .groupBy("tag")
-        .agg(
-            F.sum(F.when(c > 0, 1).otherwise(0)).alias("more_hits"),
-            F.sum(F.log10(share)).alias("more_base"),
-            F.sum(_mixed(weight, c, *total)).alias("more_mixed"),
-        )
+    share = (F.col("c") + SMOOTH) / smoothed(*total)
+    summed = rest.groupBy("tag").agg(
+        F.sum(F.when(F.col("c") > 0, 1).otherwise(0)).alias("more_hits"),
+        F.sum(F.log10(share)).alias("more_base"),
+        F.sum(_mixed(weight, F.col("c"), *total)).alias("more_mixed"),
     )
 
-    def with_more(name: str, zero: float) -> Column:
-        return F.col(name) + F.coalesce(F.col(f"more_{name}"), F.lit(zero))
+    def with_more(value: Column, name: str, zero: float) -> Column:
+        return value + F.coalesce(F.col(f"more_{name}"), F.lit(zero))
 
-    return scored.drop("rest").join(summed, "tag", "left").select(
+    chosen = F.col("mixed")[BASE_WEIGHTS.index(weight)]
+    return scored.drop("rest", "left_out").join(summed, "tag", "left").select(
         F.col("id").alias(id_column),
         "held_out",
         "n_tokens",
-        with_more("hits", 0).cast("long").alias("n_known"),
+        with_more(F.col("hits"), "hits", 0).cast("long").alias("n_known"),
         F.lit(total[0]).cast("long").alias("train_tokens"),
-        with_more("base", 0.0).alias("base_score"),
-        with_more("mixed", 0.0).alias("score"),
+        with_more(F.col("base"), "base", 0.0).alias("base_score"),
+        with_more(chosen, "mixed", 0.0).alias("score"),
     )

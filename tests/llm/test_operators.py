@@ -471,6 +471,42 @@ def test_parameters_are_averaged_by_windows(spark, number):
         assert mean["a"] == pytest.approx(sizes @ values / total, rel=1e-4, abs=1e-5)
 
 
+def test_every_training_document_is_learnt_from_once(spark, monkeypatch):
+    """Each text fits one window; those of all rounds and trainers add up to all texts."""
+    learnt, averaged = [], attention_lm._averaged
+
+    def spied(states):
+        total, mean = averaged(states)
+        learnt.append(total)
+        return total, mean
+
+    monkeypatch.setattr(attention_lm, "_averaged", spied)
+    rows = [(k, f"the cat {k % 7} sat") for k in range(200)] + [(7, None), (7, None), (None, "a b")]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = attention_lm.score(table).collect()
+    assert len(found) == len(rows)
+    assert sum(learnt) == sum(not r.held_out for r in found) and len(learnt) == attention_lm.ROUNDS
+
+
+def test_weight_is_chosen_by_all_training_documents(spark):
+    """The sums under each weight are those of single texts under one weight."""
+    rows = [(k, "zor biq vex " * (k % 5) + f"w{k}", False) for k in range(40)]
+    texts = spark.createDataFrame(rows, "id long, text string, held_out boolean")
+    counts = attention_lm.word_counts(texts.select("text")).cache()
+    frequent = {r.word.encode(): r.n for r in counts.collect()}
+    path, total = default_tokenizer(), (sum(frequent.values()), len(frequent))
+    scorer, base = attention_lm.train(texts.select("id", "text"), counts, path, frequent, total)
+    whole = np.zeros(len(attention_lm.BASE_WEIGHTS))
+    for _, text, _ in rows:
+        logs, first_logs, count, first = scorer.spelt([attention_lm.words_of(text)])[0]
+        whole += [base.mixed(w, count - 1, logs, first_logs, first).sum() for w in attention_lm.BASE_WEIGHTS]
+    found = attention_lm._scored(texts, scorer, base)
+    sums = np.sum([r.left_out for r in found.collect()], axis=0)
+    assert sums == pytest.approx(whole, rel=1e-6)
+    rest = attention_lm._counted(found, counts)
+    assert attention_lm._best_weight(found, rest, base) == attention_lm.BASE_WEIGHTS[int(np.argmax(whole))]
+
+
 def test_windows_score_each_target_once():
     for n in (1, 5, 16, 17, 100):
         seen, target, counts = attention_lm.windows(np.arange(n, dtype=np.int32))
