@@ -12,7 +12,8 @@ such groups are ranked in pieces instead:
 
 Every step depends on the data alone (splitters are values picked by their hash), so
 a recomputed task gives the same buckets again. The rows of such groups are written to the
-scratch area first, so that their metrics are the same in every step.
+scratch area first, so that their metrics are the same in every step, and so are the counted
+values of each metric, which all further steps read instead of the rows.
 """
 
 from __future__ import annotations
@@ -55,7 +56,7 @@ def rank_metrics(
     largest group first, to choose the plan.
     """
     sizes = df.groupBy(*partition).agg(F.count("*").alias("_rows"))
-    total, largest = sizes.agg(F.sum("_rows"), F.max("_rows")).first()
+    total, largest, least = sizes.agg(F.sum("_rows"), F.max("_rows"), F.min("_rows")).first()
     cut = max(group_rows, (total or 0) // max_pieces)
     if (largest or 0) <= cut:
         return _rank_by_window(df, partition, ranks)
@@ -70,14 +71,14 @@ def rank_metrics(
     regular = _rank_by_window(df.join(hot, is_hot, "left_anti"), partition, ranks)
     hot_rows = _written(df.join(hot, is_hot, "left_semi"), "hot-rows")
     ranked = hot_rows
-    few = _few_values(hot_rows, partition, list(ranks))
     for metric, name in ranks.items():
-        value_ranks = _value_ranks(_value_counts(hot_rows, partition, metric), partition, name, cut)
+        values = _written(_value_counts(hot_rows, partition, metric), "hot-values")
+        value_ranks = _value_ranks(values, partition, name, cut)
         # Few distinct values: rank the rows where they are. Else both sides are
         # shuffled; with one row per value on the right only the left can be skewed,
         # which adaptive execution splits.
         ranked = ranked.join(
-            F.broadcast(value_ranks) if metric in few else value_ranks,
+            F.broadcast(value_ranks) if _are_few(values, partition) else value_ranks,
             _same(
                 [*[F.col(p) for p in partition], F.col(metric)],
                 [*[F.col(k) for k in _keys(partition)], F.col("_value")],
@@ -89,7 +90,7 @@ def rank_metrics(
         ranked = ranked.withColumn(
             name, F.when(F.col(name).isNull(), missing).otherwise(F.col(name))
         )
-    return regular.unionByName(ranked)
+    return ranked if least > cut else regular.unionByName(ranked)  # all groups may be hot
 
 
 def _written(df: DataFrame, label: str) -> DataFrame:
@@ -114,21 +115,11 @@ def _keys(partition: list[str]) -> list[str]:
     return [f"_key_{i}" for i in range(len(partition))]
 
 
-def _few_values(df: DataFrame, partition: list[str], metrics: list[str]) -> set[str]:
-    """Metrics whose distinct (group, value) pairs are few enough to broadcast.
-
-    They are estimated in one pass for all metrics and counted as a fifth more.
-    """
-    found = df.agg(
-        *[F.approx_count_distinct(F.struct(*partition, m), 0.02) for m in metrics],
-        *[F.max(row_width(df.select(*partition, m))) for m in metrics],
-    ).first()
-    rows, widths = found[: len(metrics)], found[len(metrics) :]
-    return {
-        m
-        for m, n, width in zip(metrics, rows, widths)
-        if 1.2 * n <= MAX_BROADCAST_ROWS and 1.2 * n * (width or 0) <= MAX_BROADCAST_BYTES
-    }
+def _are_few(values: DataFrame, partition: list[str]) -> bool:
+    """Whether the counted values may be broadcast."""
+    width = row_width(values.select(*_keys(partition), "_value"))
+    rows, widest = values.agg(F.count("*"), F.max(width)).first()
+    return rows <= MAX_BROADCAST_ROWS and rows * (widest or 0) <= MAX_BROADCAST_BYTES
 
 
 def _value_counts(df: DataFrame, partition: list[str], metric: str) -> DataFrame:
