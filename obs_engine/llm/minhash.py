@@ -15,11 +15,12 @@ No bucket of a band is paired as a whole. First each node is compared with the s
 bucket only, and the links found are contracted. Of buckets that still hold several components
 the nodes get longer signatures, of one bit for each of ``LONG`` functions (of equal size they
 tell more than longer minima of fewer functions), and a task compares a block of a bucket with
-itself or another one, as arrays: pairs of one component are left out, pairs given up are never
-written, and survivors are verified on their full sets. Where many are left, the best of each
-component go first and the links found are contracted, as long as there are any. A bucket of
-more than ``BLOCK`` nodes is several blocks, so no task holds more than two, and no link between
-components is lost, whatever the size.
+itself or another one, as arrays: pairs of one component are left out. No pair is written, only
+the nodes that have one left. These meet again in blocks with their full sets, where a pair is
+verified in the first bucket it shares; a link found joins two components in the task, so that a
+block gives fewer links than it has nodes. A bucket of more than ``BLOCK`` nodes, or of as many
+long sets, is several blocks, so no task holds more than two, and no link between components is
+lost, whatever the size.
 
 Defined results: null, empty and wordless texts have no shingles and are linked with nothing;
 a text with fewer words than a shingle has one; a null id comes after all others as a component's
@@ -51,7 +52,8 @@ MISS = 1e-6
 LONG = 5120  # bits
 LONG_BATCH = 512
 BLOCK = 1024
-DENSE = 8  # survivors for each node, beyond which the best go first
+LONG_SET = 2048  # shingles that count as one more node of a block
+DENSE = 8  # survivors of a node, beyond which the best go first
 CHUNK = 512  # shingles hashed at once
 WORDS = 1 << 18  # words remembered by a task
 FEW_NODES = 2_000_000  # numbers of nodes that are broadcast, 16 bytes each
@@ -271,11 +273,17 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(100 * both >= percent * either).select("a", "b")
 
 
+def _keys() -> Column:
+    """The key of each band."""
+    width = 4 * ROWS
+    return F.array(
+        *[F.xxhash64(F.lit(i), F.substring("signature", i * width + 1, width)) for i in range(BANDS)]
+    )
+
+
 def _keyed(nodes: DataFrame) -> DataFrame:
     """Each node under the key of each of its bands."""
-    width = 4 * ROWS
-    keys = [F.xxhash64(F.lit(i), F.substring("signature", i * width + 1, width)) for i in range(BANDS)]
-    return nodes.select("node", "n_shingles", F.explode(F.array(*keys)).alias("key"))
+    return nodes.select("node", "n_shingles", F.explode(_keys()).alias("key"))
 
 
 def _pairs(left: Column, right: Column, percent: int) -> Column:
@@ -329,39 +337,81 @@ def compared(
     return found
 
 
-def _in_blocks(members: DataFrame, percent: int, miss: float) -> DataFrame:
-    """Pairs that survive in members (``key``, ``n``, ``node``, ``n_shingles``, ``root``, ``long``)."""
+def linked(
+    nodes: np.ndarray,
+    roots: np.ndarray,
+    long: np.ndarray,
+    blocks: np.ndarray,
+    keys: np.ndarray,
+    key: int,
+    sets: list[np.ndarray],
+    percent: int,
+    least: tuple[int, ...],
+) -> list[tuple[int, int]]:
+    """Pairs ``a < b`` of similar sets that join components, of one block or two different ones.
+
+    A pair is compared where ``key`` is the first that both have.
+    """
+    apart = blocks[0] != blocks[-1]
+    rows = np.flatnonzero(blocks == blocks[0]) if apart else np.arange(len(nodes))
+    roots, sizes = roots.copy(), np.array([len(s) for s in sets])
+    found = []
+    for row in rows.tolist():
+        others = np.flatnonzero(blocks != blocks[row]) if apart else np.arange(row + 1, len(nodes))
+        small, large = np.minimum(sizes[others], sizes[row]), np.maximum(sizes[others], sizes[row])
+        others = others[(roots[others] != roots[row]) & (100 * small >= percent * large)]
+        first = (keys[others] == keys[row]).argmax(axis=1)
+        others = others[keys[row][first] == key]
+        if not len(others):
+            continue
+        keep, agree = promising_bits(long[row], long[others], least)
+        best = others[keep][np.argsort(-agree, kind="stable")]
+        for part in (best[:DENSE], best[DENSE:]):
+            part = part[roots[part] != roots[row]]
+            for other in part[_similar(row, part, sets, sizes, percent)].tolist():
+                if roots[other] != roots[row]:
+                    found.append(tuple(sorted((int(nodes[row]), int(nodes[other])))))
+                    roots[roots == roots[other]] = roots[row]
+    return found
+
+
+def _similar(row: int, others: np.ndarray, sets: list[np.ndarray], sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Which of the other sets are similar enough, by all their shingles."""
+    both = np.zeros(len(others), np.int64)
+    at_once = max(1, (1 << 20) // max(sizes[others], default=1))
+    for k in range(0, len(others), at_once):
+        part = others[k : k + at_once]
+        flat = np.concatenate([sets[other] for other in part.tolist()])
+        place = np.minimum(np.searchsorted(sets[row], flat), sizes[row] - 1)
+        starts = np.cumsum(sizes[part]) - sizes[part]
+        both[k : k + at_once] = np.add.reduceat((sets[row][place] == flat).astype(np.int64), starts)
+    return 100 * both >= percent * (sizes[row] + sizes[others] - both)
+
+
+def _by_block(members: DataFrame, of_block, out: str) -> DataFrame:
+    """``of_block`` of the members in each block of a bucket, and in each two."""
     count = F.ceil(F.col("n") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), count).cast("int")
-    dealt = members.select(
-        "key", "node", "n_shingles", "root", "long", own.alias("own"), count.alias("count")
-    )
+    others = [c for c in members.columns if c not in ("key", "n")]
+    dealt = members.select("key", *others, own.alias("own"), count.alias("count"))
     dealt = dealt.select("*", F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("other"))
     ordered = (
         dealt.select(
-            "key",
-            F.least("own", "other").alias("low"),
-            F.greatest("own", "other").alias("high"),
-            "own",
-            "node",
-            "n_shingles",
-            "root",
-            "long",
+            "key", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", *others
         )
         .repartition("key", "low", "high")
         .sortWithinPartitions("key", "low", "high", "own", "node")
     )
-    least = least_agreements(percent, miss, LONG, LONG_BATCH, 2.0)
+    names = [field.split()[0] for field in out.split(", ")]
 
-    def survivors(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    def made(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         rows = pa.Table.from_batches(parts)
-        own, nodes, sizes, roots = (rows.column(k).to_numpy() for k in ("own", "node", "n_shingles", "root"))
-        long = np.frombuffer(b"".join(rows.column("long").to_pylist()), np.uint64).reshape(-1, LONG // 64)
+        own = rows.column("own").to_numpy()
         low, high = rows.column("low")[0].as_py(), rows.column("high")[0].as_py()
         both = low == high or (own[0] == low and own[-1] == high)  # a block may be empty
-        found = compared(nodes, sizes, roots, long, own, percent, least) if both else []
-        columns = zip(*found) if found else ([], [], [])
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "agree"])
+        found = of_block(rows) if both else []
+        columns = zip(*found) if found else [[] for _ in names]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, key = [], None
@@ -374,14 +424,55 @@ def _in_blocks(members: DataFrame, percent: int, miss: float) -> DataFrame:
             for start, end in zip(starts, starts[1:]):
                 group = tuple(int(c[start]) for c in columns)
                 if group != key and held:
-                    yield survivors(held)
+                    yield made(held)
                     held = []
                 key = group
                 held.append(batch.slice(start, end - start))
         if held:
-            yield survivors(held)
+            yield made(held)
+
+    return in_tasks(ordered, run, out)
+
+
+def _bits(rows: pa.Table) -> np.ndarray:
+    return np.frombuffer(b"".join(rows.column("long").to_pylist()), np.uint64).reshape(-1, LONG // 64)
+
+
+def _in_block(rows: pa.Table, percent: int, least: tuple[int, ...]) -> list[tuple[int, int, int]]:
+    own, nodes, sizes, roots = (rows.column(k).to_numpy() for k in ("own", "node", "n_shingles", "root"))
+    return compared(nodes, sizes, roots, _bits(rows), own, percent, least)
+
+
+def _in_blocks(members: DataFrame, percent: int, miss: float) -> DataFrame:
+    """Pairs that survive in members (``key``, ``n``, ``node``, ``n_shingles``, ``root``, ``long``)."""
+    least = least_agreements(percent, miss, LONG, LONG_BATCH, 2.0)
+    return _by_block(members, lambda rows: _in_block(rows, percent, least), "a long, b long, agree long").distinct()
+
+
+def _with_survivors(members: DataFrame, percent: int, miss: float) -> DataFrame:
+    """``key`` and ``node`` of the members that are in a pair that survives."""
+    least = least_agreements(percent, miss, LONG, LONG_BATCH, 2.0)
+
+    def of_block(rows: pa.Table) -> list[tuple[int, int]]:
+        key = rows.column("key")[0].as_py()
+        return [(key, node) for node in {n for a, b, _ in _in_block(rows, percent, least) for n in (a, b)}]
+
+    return _by_block(members, of_block, "key long, node long").distinct()
 
-    return in_tasks(ordered, run, "a long, b long, agree long").distinct()
+
+def _linked_in_blocks(members: DataFrame, percent: int, miss: float) -> DataFrame:
+    """Links that join components among members with ``keys`` and ``hashes`` too."""
+    least = least_agreements(percent, miss, LONG, LONG_BATCH, 2.0)
+
+    def of_block(rows: pa.Table) -> list[tuple[int, int]]:
+        own, nodes, roots = (rows.column(k).to_numpy() for k in ("own", "node", "root"))
+        keys = np.array(rows.column("keys").to_pylist(), np.int64)
+        sets = [s.values.to_numpy().view(np.uint64) for s in rows.column("hashes")]
+        return linked(
+            nodes, roots, _bits(rows), own, keys, rows.column("key")[0].as_py(), sets, percent, least
+        )
+
+    return _by_block(members, of_block, "a long, b long").distinct()
 
 
 def links(nodes: DataFrame, sets: DataFrame, percent: int, miss: float) -> DataFrame:
@@ -410,37 +501,19 @@ def links(nodes: DataFrame, sets: DataFrame, percent: int, miss: float) -> DataF
         return found
     ends = rest.select(F.col("node").alias("a"), F.col("node").alias("b"))
     long = materialise(_long_signatures(_in_pairs(sets, "tag", ends)), "minhash-long")
-    more = materialise(_in_blocks(rest.join(long, "node"), percent, miss), "minhash-more")
-    return _best_first(found, more, sets, percent)
-
-
-def _best_first(found: DataFrame, more: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``found`` links and those among ``more`` pairs that connect further components."""
-    nodes = more.select(F.explode(F.array("a", "b"))).distinct().count()
-    more = more.select("*", F.col("a").alias("low"), F.col("b").alias("high"))
-    while more.count() > DENSE * nodes:
-        ends = F.explode(F.array("low", "high")).alias("root")
-        best = more.select(ends, "a", "b", "agree").groupBy("root").agg(
-            F.max(F.struct("agree", "a", "b")).alias("best")
-        )
-        best = materialise(best.select("best.a", "best.b").distinct(), "minhash-best")
-        links_new = materialise(_verified(best, sets, percent), "minhash-new")
-        if links_new.isEmpty():
-            break
-        found = materialise(found.unionByName(links_new), "minhash-found")
-        more = _apart(more.join(best, ["a", "b"], "left_anti"), found)
-    return materialise(found.unionByName(_verified(more.select("a", "b"), sets, percent)), "minhash-found")
-
-
-def _apart(pairs: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs (``a``, ``b``, ``agree``) of different components, with these as ``low`` and ``high``."""
-    roots = connected(found)
-    of_a = roots.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
-    of_b = roots.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
-    low, high = F.coalesce("root_a", "a"), F.coalesce("root_b", "b")
-    rooted = pairs.select("a", "b", "agree").join(of_a, "a", "left").join(of_b, "b", "left")
-    rooted = rooted.select("a", "b", "agree", low.alias("low"), high.alias("high"))
-    return materialise(rooted.where("low != high"), "minhash-apart")
+    rest = rest.join(long, "node")
+    left = materialise(_with_survivors(rest, percent, miss), "minhash-left")
+    if left.isEmpty():
+        return found
+    ends = left.select(F.col("node").alias("a"), F.col("node").alias("b"))
+    whole = _in_pairs(sets, "tag", ends).select(F.col("tag").alias("node"), "hashes")
+    keys = _in_pairs(nodes, "node", ends).select("node", _keys().alias("keys"))
+    crowds = left.join(rest.select("key", "node", "n_shingles"), ["key", "node"]).groupBy("key").agg(
+        F.greatest(F.count(F.lit(1)), F.floor(F.sum("n_shingles") / LONG_SET)).alias("n")
+    )
+    rest = left.join(rest.drop("n"), ["key", "node"]).join(materialise(crowds, "minhash-crowds"), "key")
+    more = _linked_in_blocks(rest.join(keys, "node").join(whole, "node"), percent, miss)
+    return materialise(found.unionByName(more), "minhash-found")
 
 
 def near_duplicates(

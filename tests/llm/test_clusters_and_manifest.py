@@ -249,6 +249,49 @@ def test_blocks_compare_each_pair_once(spark, block, monkeypatch):
     assert sorted((r.a, r.b) for r in found) == sorted(want) and min(r.agree for r in found) > 4600
 
 
+@pytest.mark.parametrize("dense", [8, 0])
+def test_a_family_gives_fewer_links_than_nodes(dense, monkeypatch):
+    """Pairs about the limit in two blocks; links connect what all similar pairs connect."""
+    monkeypatch.setattr(minhash, "DENSE", dense)
+    draw = np.random.default_rng(8)
+    pool = np.unique(minhash._mixed(draw.integers(0, 1 << 63, 20_000, np.uint64)))
+    base = draw.permutation(pool[:200])
+    sets = []
+    for k in range(120):
+        own = base.copy()
+        own[draw.permutation(200)[: draw.integers(0, 30)]] = pool[200 + k * 30 : 201 + k * 30]
+        sets.append(np.unique(own))
+    long = np.stack([np.packbits(minhash.signature(s, minhash.LONG) & 1).view(np.uint64) for s in sets])
+    nodes, blocks = np.arange(120), np.sort(draw.integers(0, 2, 120))
+    least = minhash.least_agreements(80, 1e-6, minhash.LONG, minhash.LONG_BATCH, 2.0)
+
+    def found(rows, keys, key):
+        return minhash.linked(
+            nodes[rows], nodes[rows], long[rows], blocks[rows], keys[rows], key, [sets[r] for r in rows], 80, least
+        )
+
+    def components(pairs):
+        root = list(range(120))
+        for a, b in pairs:
+            root = [root[a] if r == root[b] else r for r in root]
+        return [root.index(r) for r in root]
+
+    keys = np.full((120, 3), 5)
+    halves = [np.flatnonzero(blocks == 0), np.flatnonzero(blocks == 1), nodes]
+    links = [found(rows, keys, 5) for rows in halves]
+    similar = [
+        (a, b)
+        for b in range(120)
+        for a in range(b)
+        if 100 * len(both := np.intersect1d(sets[a], sets[b])) >= 80 * (len(sets[a]) + len(sets[b]) - len(both))
+    ]
+    assert all(len(part) < len(rows) for part, rows in zip(links, halves)) and len(similar) > 1000
+    assert set(sum(links, [])) <= set(similar)
+    assert components(sum(links, [])) == components(similar)
+    keys[:, 1] = 6
+    assert found(nodes, keys, 6) == []  # a pair meets in the first bucket it shares
+
+
 def test_signatures_estimate_similarity():
     draw = np.random.default_rng(6)
     pool = minhash._mixed(draw.integers(0, 1 << 63, 3000, np.uint64))
