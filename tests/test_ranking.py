@@ -67,6 +67,14 @@ def test_cut_follows_the_total(spark):
     check(spark, skewed_rows(300, 3), group_rows=1, max_pieces=4)
 
 
+def test_rows_are_not_read_again_where_all_groups_are_hot(spark, folder):
+    rows = [("a" if i % 2 else "b", float(i % 7)) for i in range(40)]
+    spark.createDataFrame(rows, "g string, m double").write.parquet(f"{folder}/input-rows")
+    df = spark.read.parquet(f"{folder}/input-rows")
+    ranked = rank_metrics(df, ["g"], {"m": "r"}, group_rows=4)
+    assert ranked.count() == 40 and not [f for f in ranked.inputFiles() if "input-rows" in f]
+
+
 def test_empty(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert rank_metrics(df, ["g"], {"m": "r"}).collect() == []
