@@ -6,7 +6,8 @@ words, which start the model: the next id is a mixture of ``MIXTURE`` distributi
 ids, and the mixture weights depend on the last id. Causal self-attention over the ids
 before adds to the logits of these weights; it is trained in numpy by the tasks of Spark on
 the windows of all training documents, each document in one of the rounds whose parameters are
-averaged. What a task trains on are the documents of its partition of the table.
+averaged. Texts are encoded once, into a table of ids that learning and scoring read; what a task
+trains on are the documents of its partition of that table.
 
 A text is the ids of its words, each as if after a space, and an end. The last id of a word
 is another item than the same id elsewhere, so ids spell one sequence of words only. Scoring
@@ -33,9 +34,11 @@ by itself; an empty table gives no rows.
 from __future__ import annotations
 
 import pickle
-from array import array
 from collections import Counter
 from collections.abc import Iterator
+from copy import copy
+from functools import lru_cache
+from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
@@ -68,7 +71,8 @@ BATCH = 512
 LEAST_STEPS = 40  # of a trainer in a round; with few windows it goes over them again
 LEARNING_RATE = 0.02
 EM_STEPS = 25
-AT_ONCE = 128
+AT_ONCE = 256
+TEXTS_AT_ONCE = 64
 SMOOTH = 0.1
 BASE_WEIGHTS = tuple(k / 20 for k in range(1, 20))
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -108,9 +112,36 @@ def word_counts(texts: DataFrame) -> DataFrame:
     return in_tasks(texts, run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _ids_by_word(path: str, words: list[str]) -> list[np.ndarray]:
+@lru_cache(maxsize=2)
+def _begins_with_space(path: str) -> np.ndarray:
+    """For each id whether a space begins its bytes."""
+    tokenizer = encoder(path).exact
+    texts = (tokenizer.id_to_token(k) or "" for k in range(encoder(path).size))
+    return np.array([text[:1] == "\u0120" for text in texts])
+
+
+def spelling(path: str, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of words that are not empty, each as if after a space, and how many each has.
+
+    Words without any white space are encoded together: a space before a letter always begins
+    a new token, so the ids are those of single words.
+    """
     merge = encoder(path).merge  # a word may begin with white space that doesn't split
-    return [np.array(merge(" " + w) if w else [], np.int64) for w in words]
+    joined = " ".join(words)
+    if words and joined.split() == words:
+        ids = np.array(merge(" " + joined), np.int64)
+        starts = np.flatnonzero(_begins_with_space(path)[ids])
+        if len(starts) == len(words) and starts[0] == 0:
+            return ids, np.diff(starts, append=len(ids))
+    parts = [merge(" " + w) for w in words]
+    return np.array([i for part in parts for i in part], np.int64), np.array([len(x) for x in parts], np.int64)
+
+
+def _ids_by_word(path: str, words: list[str]) -> list[np.ndarray]:
+    ids, size = spelling(path, [w for w in words if w])
+    ends = np.cumsum(size).tolist()
+    parts = iter([ids[a:b] for a, b in zip([0, *ends], ends)])
+    return [next(parts) if w else ids[:0] for w in words]
 
 
 def id_counts(counts: DataFrame, path: str) -> np.ndarray:
@@ -194,7 +225,7 @@ def neighbours(counts: DataFrame, path: str, items: Items) -> tuple[np.ndarray,
 class Weights(NamedTuple):
     """``mix[item]`` logits of the mixture by the last item; the rest is attention."""
 
-    emission: np.ndarray  # MIXTURE x ITEMS logits
+    emission: np.ndarray  # ITEMS x MIXTURE logits
     mix: np.ndarray
     embed: np.ndarray
     place: np.ndarray
@@ -243,7 +274,7 @@ def start(last: np.ndarray, after: np.ndarray, number: np.ndarray) -> Weights:
     begin = np.log(first) + random.normal(0, 0.1, (STARTS, ITEMS))
     dims = lambda *shape: random.normal(0, 0.2, shape).astype(np.float32)
     return Weights(
-        np.vstack([begin, np.log(emission)]).astype(np.float32),
+        np.vstack([begin, np.log(emission)]).T.astype(np.float32, order="C"),
         np.log(weights).astype(np.float32),
         dims(ITEMS, WIDTH),
         dims(WINDOW, WIDTH),
@@ -257,172 +288,232 @@ def start(last: np.ndarray, after: np.ndarray, number: np.ndarray) -> Weights:
 LARGEST = np.float32(60)  # logits above would overflow; none comes near
 ONES = np.ones((WINDOW, 1), np.float32)
 ALL = np.ones((MIXTURE, 1), np.float32)
-MASK = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
+BEFORE = np.tril(np.ones((WINDOW, WINDOW), np.float32))  # later ids are out of sight
+SCALE = np.float32(WIDTH**-0.5)
+QUERY, KEY, VALUE = (slice(k * WIDTH, (k + 1) * WIDTH) for k in range(3))
+
 
+def _exp(z: np.ndarray) -> np.ndarray:
+    if z.max(initial=0) > LARGEST:
+        np.minimum(z, LARGEST, out=z)
+    return np.exp(z, out=z)
 
-def _softmax(z: np.ndarray) -> np.ndarray:
-    z -= z.max(-1, keepdims=True)
+
+def _emission(logits: np.ndarray) -> np.ndarray:
+    """Each component's probabilities of items."""
+    z = logits - logits.max(0)
     np.exp(z, out=z)
-    z /= z.sum(-1, keepdims=True)
+    z /= z.sum(0)
     return z
 
 
+def _heads(w: Weights) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Query (scaled), key and value side by side: of items, of places, and the map to them."""
+    maps = np.hstack([w.query * SCALE, w.key, w.value])
+    return w.embed @ maps, w.place @ maps, maps
+
+
+def _groups(counts: np.ndarray) -> Iterator[tuple[np.ndarray, int]]:
+    """Numbers of windows, few at a time, and the first place whose target counts in any of them."""
+    whole = counts[:, :CONTEXT].any(1)
+    for first, rows in ((0, np.flatnonzero(whole)), (CONTEXT, np.flatnonzero(~whole))):
+        for k in range(0, len(rows), AT_ONCE):  # what a core's cache holds
+            yield rows[k : k + AT_ONCE], first
+
+
+def _attend(by_item: np.ndarray, by_place: np.ndarray, seen: np.ndarray, first: int):
+    """Heads of windows, attention from the place ``first`` on, and what it finds."""
+    h = np.take(by_item, seen, axis=0)
+    h += by_place
+    a = h[:, first:, QUERY] @ h[..., KEY].transpose(0, 2, 1)
+    _exp(a)
+    a *= BEFORE[first:]
+    a /= a @ ONES
+    return h, a, a @ h[..., VALUE]
+
+
+def _mixture(w: Weights, flat: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Weights of the components, not yet divided by their sum."""
+    pi = flat @ w.out
+    pi += np.take(w.mix, last, axis=0)
+    return _exp(pi)
+
+
 def _add(into: np.ndarray, items: np.ndarray, rows: np.ndarray) -> None:
     """Add each row to that of its item."""
     order = np.argsort(items.astype(np.uint16), kind="stable")  # a radix sort
     ordered = items[order]
     starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)])
     if len(starts):
-        into[ordered[starts]] += np.add.reduceat(np.take(rows, order, axis=0), starts, axis=0)
-
-
-def step(w: Weights, seen: np.ndarray, target: np.ndarray, counts: np.ndarray):
-    """Loss and gradients of windows; ``counts`` is one where a target is to be learnt."""
-    emission = _softmax(w.emission.copy())
-    of_item = np.ascontiguousarray(emission.T)
-    d = {name: np.zeros_like(getattr(w, name)) for name in TRAINED if name != "emission"}
-    owned, loss, total = np.zeros((ITEMS, MIXTURE), np.float32), 0.0, max(counts.sum(), 1)
-    for k in range(0, len(seen), AT_ONCE):  # what a core's cache holds
-        part = slice(k, k + AT_ONCE)
-        loss += _step(w, of_item, seen[part], target[part], counts[part] / total, d, owned)
-    d["emission"] = emission
-    emission *= owned.sum(0)[:, None]
-    emission -= owned.T
+        pairs = np.take(rows, order, axis=0).view(np.complex64)  # two numbers added at once
+        into[ordered[starts]] += np.add.reduceat(pairs, starts, axis=0).view(np.float32)
+
+
+def step(w: Weights, seen: np.ndarray, target: np.ndarray, counts: np.ndarray, d: dict | None = None):
+    """Loss and gradients of windows; ``counts`` is one where a target is to be learnt.
+
+    Gradients are added to ``d``, whose arrays are zero.
+    """
+    d = d or {name: np.zeros_like(getattr(w, name)) for name in TRAINED}
+    of_item, (by_item, by_place, maps) = _emission(w.emission), _heads(w)
+    items, places = np.zeros_like(by_item), np.zeros_like(by_place)
+    loss, total = 0.0, max(counts.sum(), 1)
+    for rows, first in _groups(counts):
+        scale = (counts[rows, first:] / total).astype(np.float32)
+        loss += _step(w, of_item, by_item, by_place, seen[rows], target[rows, first:], scale, d, items, places)
+    owned = d["emission"]
+    of_item *= owned.sum(0)
+    np.subtract(of_item, owned, out=owned)
+    d["embed"] += items @ maps.T
+    d["place"] += places @ maps.T
+    moved = w.embed.T @ items + w.place.T @ places
+    for name, part, factor in (("query", QUERY, SCALE), ("key", KEY, 1), ("value", VALUE, 1)):
+        d[name] += moved[:, part] * np.float32(factor)
     return loss, d
 
 
-def _step(w: Weights, of_item: np.ndarray, seen, target, scale, d: dict, owned: np.ndarray) -> float:
-    """The loss; adds the gradients to ``d``, and the targets' shares in components to ``owned``."""
-    at = np.flatnonzero(scale)
-    last, after = seen.ravel()[at], target.ravel()[at]
-    flat = (np.take(w.embed, seen, axis=0) + w.place).reshape(-1, WIDTH)
-    q, k, v = ((flat @ x).reshape(-1, WINDOW, WIDTH) for x in (w.query, w.key, w.value))
-    a = q @ k.transpose(0, 2, 1)
-    a *= np.float32(WIDTH**-0.5)
-    np.minimum(a, LARGEST, out=a)
-    a += MASK
-    np.exp(a, out=a)
-    a /= a @ ONES
-    c = np.take((a @ v).reshape(-1, WIDTH), at, axis=0)
-    pi = c @ w.out
-    pi += np.take(w.mix, last, axis=0)
-    np.minimum(pi, LARGEST, out=pi)
-    np.exp(pi, out=pi)
-    pi /= pi @ ALL
+def _step(w: Weights, of_item, by_item, by_place, seen, target, scale, d: dict, items, places) -> float:
+    """The loss; adds to the gradients: of heads to ``items`` and ``places``, and the targets'
+    shares in components to that of the emission."""
+    first = WINDOW - target.shape[1]
+    last, after, scale = seen[:, first:].ravel(), target.ravel(), scale.reshape(-1, 1)
+    h, a, c = _attend(by_item, by_place, seen, first)
+    flat = c.reshape(-1, WIDTH)
+    pi = _mixture(w, flat, last)
+    total = pi @ ALL
     joint = np.take(of_item, after, axis=0)
     joint *= pi
-    p = np.maximum(joint @ ALL, 1e-30)
-    scale = scale.ravel()[at].astype(np.float32)[:, None]
+    p = np.maximum(joint @ ALL, np.float32(1e-30) * total)
     joint *= scale / p
-    pi *= scale
+    pi *= scale / total
     pi -= joint
-    _add(owned, after, joint)
+    _add(d["emission"], after, joint)
     _add(d["mix"], last, pi)
-    d["out"] += c.T @ pi
-    dc = np.zeros((seen.size, WIDTH), np.float32)
-    dc[at] = pi @ w.out.T
-    dc = dc.reshape(-1, WINDOW, WIDTH)
-    da = dc @ v.transpose(0, 2, 1)
-    da -= (da * a) @ ONES
+    d["out"] += flat.T @ pi
+    dc = pi @ w.out.T
+    along = np.einsum("ij,ij->i", dc, flat).reshape(len(seen), -1, 1)
+    dc = dc.reshape(c.shape)
+    da = dc @ h[..., VALUE].transpose(0, 2, 1)
+    da -= along
     da *= a
-    da *= np.float32(WIDTH**-0.5)
-    dh = np.zeros_like(flat)
-    moved = da.transpose(0, 2, 1) @ q
-    for name, g in (("query", da @ k), ("key", moved), ("value", a.transpose(0, 2, 1) @ dc)):
-        g = g.reshape(-1, WIDTH)
-        d[name] += flat.T @ g
-        dh += g @ getattr(w, name).T
-    d["place"] += dh.reshape(-1, WINDOW, WIDTH).sum(0)
-    _add(d["embed"], seen.ravel(), dh)
-    return float(-(np.log(p) * scale).sum())
+    dh = np.empty_like(h)
+    dh[:, :first, QUERY] = 0
+    np.matmul(da, h[..., KEY], out=dh[:, first:, QUERY])
+    np.matmul(da.transpose(0, 2, 1), h[:, first:, QUERY], out=dh[..., KEY])
+    np.matmul(a.transpose(0, 2, 1), dc, out=dh[..., VALUE])
+    places += dh.sum(0)
+    _add(items, seen.ravel(), dh.reshape(-1, dh.shape[2]))
+    return float(-(np.log(p / total) * scale).sum())
 
 
 class Trainer:
-    """Adam over batches of windows."""
+    """Adam over batches of windows; all parameters lie in one array."""
 
     def __init__(self, weights: Weights):
-        self.w = Weights(*[np.array(x) for x in weights])
-        self.m = {n: np.zeros_like(getattr(weights, n)) for n in TRAINED}
-        self.v = {n: np.zeros_like(getattr(weights, n)) for n in TRAINED}
-        self.t = 0
+        sizes = [getattr(weights, n).size for n in TRAINED]
+        self.flat, self.grad, self.m, self.v = (np.zeros(sum(sizes), np.float32) for _ in range(4))
+        ends = np.cumsum(sizes)[:-1]
+
+        def views(flat: np.ndarray) -> dict[str, np.ndarray]:
+            return {n: x.reshape(getattr(weights, n).shape) for n, x in zip(TRAINED, np.split(flat, ends))}
+
+        self.w, self.d, self.t = Weights(**views(self.flat)), views(self.grad), 0
+        for name in TRAINED:
+            getattr(self.w, name)[...] = getattr(weights, name)
 
     def learn(self, seen: np.ndarray, target: np.ndarray, counts: np.ndarray) -> float:
-        loss, grads = step(self.w, seen, target, counts)
+        self.grad[:] = 0
+        loss, _ = step(self.w, seen, target, counts, self.d)
         self.t += 1
         rate = LEARNING_RATE * (1 - 0.999**self.t) ** 0.5 / (1 - 0.9**self.t)
-        for name, g in grads.items():
-            m, v, w = self.m[name], self.v[name], getattr(self.w, name)
-            m += np.float32(0.1) * (g - m)
-            g *= g
-            g -= v
-            g *= np.float32(0.001)
-            v += g
-            np.sqrt(v, out=g)
-            g += np.float32(1e-8)
-            np.divide(m, g, out=g)
-            g *= np.float32(rate)
-            w -= g
+        g = self.grad
+        change = g - self.m
+        change *= np.float32(0.1)
+        self.m += change
+        g *= g
+        g -= self.v
+        g *= np.float32(0.001)
+        self.v += g
+        np.sqrt(self.v, out=g)
+        g += np.float32(1e-8)
+        np.divide(self.m, g, out=g)
+        g *= np.float32(rate)
+        self.flat -= g
         return loss
 
 
-def windows(items: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Seen items, targets and which targets count, of one text that ends with STOP.
+def windows(items: np.ndarray, sizes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Seen items, targets and which targets count, of texts that end with STOP.
 
-    Before the text stands STOP. Windows overlap by CONTEXT, whose targets count only once.
+    ``sizes`` tells how many items each text has; without, there is one text. Before a text
+    stands STOP. Windows overlap by CONTEXT, whose targets count only once.
     """
-    seen = np.concatenate(([STOP], items[:-1]))
-    stride = WINDOW - CONTEXT
-    number = 1 + max(0, -(-(len(items) - WINDOW) // stride))
-    at = np.arange(number)[:, None] * stride + np.arange(WINDOW)
-    inside = at < len(items)
-    at = np.minimum(at, len(items) - 1)
-    counts = inside.copy()
-    counts[1:, :CONTEXT] = False
+    sizes = np.array([len(items)]) if sizes is None else sizes
+    seen = np.concatenate(([STOP], items[:-1])).astype(items.dtype)
+    stride, begin = WINDOW - CONTEXT, np.cumsum(sizes) - sizes
+    seen[begin] = STOP
+    number = 1 + np.maximum(0, -(-(sizes - WINDOW) // stride))
+    turn = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+    at = (turn * stride)[:, None] + np.arange(WINDOW)
+    size = np.repeat(sizes, number)[:, None]
+    counts = at < size
+    counts[:, :CONTEXT] &= turn[:, None] == 0
+    at = np.minimum(at, size - 1)
+    at += np.repeat(begin, number)[:, None]
     return seen[at], items[at], counts
 
 
 class Words(dict):
-    """Numbers of words in UTF-8, and what is known of each by its number.
+    """Numbers of words in UTF-8, and by number their ids, how many these are, and the place
+    of the word among the frequent ones, or -1.
 
-    ``packed`` has items as bytes, ``size`` how many, ``share`` their ids' log10 share in
-    them, ``count`` the training count, or -1 for words that are not frequent, ``first`` the
-    first item. The empty word is the end of a text.
+    The empty word is the end of a text; its only id is the one after the last.
     """
 
-    def __init__(self, path: str, items: Items, frequent: dict[bytes, int]):
+    def __init__(self, path: str, frequent: dict[bytes, int]):
         super().__init__()
-        self.merge = encoder(path).merge
-        self.item, self.in_item = items.of_id.tolist(), items.share.tolist()
-        self.frequent = frequent
+        self.path, self.end = path, encoder(path).size
+        self.place = {word: k for k, word in enumerate(frequent)}
         self.forget()
 
     def forget(self) -> None:
         self.clear()
-        self.packed: list[bytes] = []
-        self.rows: list[tuple[int, float, int, int]] = []
-        self.table = np.zeros((0, 4))
-
-    def __missing__(self, word: bytes) -> int:
-        share = 0.0
-        if word:
-            ids = self.merge(" " + word.decode())
-            items = [self.item[i] for i in ids]
-            if max(items) >= 2 * OTHER:
-                share = sum(self.in_item[i] for i in ids)
-            items[-1] += 1
-        else:
-            items = [STOP]
-        number = self[word] = len(self.packed)
-        self.packed.append(array("i", items).tobytes())
-        self.rows.append((len(items), share, self.frequent.get(word, -1), items[0]))
-        return number
-
-    def known(self, numbers: np.ndarray) -> np.ndarray:
-        """``size``, ``share``, ``count`` and ``first`` of words, a row each."""
-        if self.rows:
-            self.table = np.vstack([self.table, np.array(self.rows)])
-            self.rows = []
-        return self.table[numbers].T
+        self.ids, self.size, self.rank = (np.zeros(0, np.int64) for _ in range(3))
+
+    def numbers(self, tokens: list[bytes]) -> np.ndarray:
+        if len(self) > FLUSH:
+            self.forget()
+        numbers = np.fromiter(map(self.get, tokens, repeat(-1)), np.int64, len(tokens))
+        absent = np.flatnonzero(numbers < 0).tolist()
+        if absent:
+            new = sorted({tokens[k] for k in absent})  # the empty word comes first
+            ends = 1 if not new[0] else 0
+            ids, size = spelling(self.path, [w.decode() for w in new[ends:]])
+            self.ids = np.concatenate([self.ids, [self.end] * ends, ids]).astype(np.int64)
+            self.size = np.concatenate([self.size, [1] * ends, size]).astype(np.int64)
+            rank = [self.place.get(w, -1) for w in new]
+            self.rank = np.concatenate([self.rank, np.array(rank, np.int64)])
+            self.starts = np.cumsum(self.size) - self.size
+            self.update(zip(new, range(len(self), len(self) + len(new))))
+            numbers[absent] = [self[tokens[k]] for k in absent]
+        return numbers
+
+    def spelt(self, tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all tokens, how many each has, and its place among the frequent words."""
+        numbers = self.numbers(tokens)
+        size = self.size[numbers]
+        at = np.repeat(self.starts[numbers] - np.cumsum(size) + size, size)
+        at += np.arange(len(at))
+        return self.ids[at], size, self.rank[numbers]
+
+
+def _tokens(texts: list[list[bytes]]) -> tuple[list[bytes], np.ndarray]:
+    """The words of all texts, each with its end, and how many tokens each text has."""
+    tokens: list[bytes] = []
+    for words in texts:
+        tokens += words
+        tokens.append(b"")
+    return tokens, np.array([len(words) + 1 for words in texts], np.int64)
 
 
 class Scorer:
@@ -431,59 +522,114 @@ class Scorer:
     def __init__(self, path: str, items: Items, weights: Weights, frequent: dict[bytes, int]):
         self.path, self.items, self.w, self.frequent = path, items, weights, frequent
         self.words: Words | None = None  # made where it is used, not sent
-        heads = np.hstack([weights.query * np.float32(WIDTH**-0.5), weights.key, weights.value])
-        self.by_item = (weights.embed @ heads).astype(np.float32)
-        self.by_place = (weights.place @ heads).astype(np.float32)
-        self.emission = np.ascontiguousarray(_softmax(weights.emission.copy()).T)
+        self.by_item, self.by_place, _ = _heads(weights)
+        self.emission = _emission(weights.emission)
+        self.of_id = np.append(items.of_id, STOP - 1)  # the last is the end of a text
+        self.in_item = np.append(items.share, 0.0)
+        self.counts = np.array([*frequent.values(), -1], np.float64)
+
+    def lean(self) -> Scorer:
+        """Without the frequent words themselves, to be sent to tasks that get ids."""
+        found = copy(self)
+        found.frequent, found.words = {}, None
+        return found
+
+    def windows(self, ids: np.ndarray, size: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Windows of texts from the ids of their tokens, as ``_tokens`` and ``Words.spelt`` give them."""
+        items = self.of_id[ids]
+        items[np.cumsum(size) - 1] += 1
+        ends = np.cumsum(tokens) - 1
+        return windows(items, np.diff(np.cumsum(size)[ends], prepend=0))
+
+    def logs(self, ids: np.ndarray, size: np.ndarray, rank: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        """A column for each token: log10 probabilities by its ids, and of its first id alone,
+        its count (-1 for words that are not frequent), its first item."""
+        seen, target, scored = self.windows(ids, size, tokens)
+        found = np.zeros(seen.shape, np.float32)
+        for rows, first in _groups(scored):
+            found[rows, first:] = self._windows(seen[rows], target[rows, first:])
+        logs = found[scored].astype(np.float64)
+        starts = np.cumsum(size) - size
+        first_item = self.of_id[ids[starts]] + (size == 1)
+        share = np.add.reduceat(self.in_item[ids], starts)
+        return np.stack([np.add.reduceat(logs, starts) + share, logs[starts], self.counts[rank], first_item])
 
-    def numbers(self, texts: list[list[bytes]]) -> list[np.ndarray]:
-        """Numbers of the words of texts, and of their ends."""
+    def spelt(self, texts: list[list[bytes]]) -> list[np.ndarray]:
+        """``logs`` of each text."""
         if self.words is None:
-            self.words = Words(self.path, self.items, self.frequent)
-        elif len(self.words) > FLUSH:
-            self.words.forget()
-        get = self.words.__getitem__
-        return [np.fromiter(map(get, [*words, b""]), np.int64, len(words) + 1) for words in texts]
+            self.words = Words(self.path, self.frequent)
+        flat, tokens = _tokens(texts)
+        return np.split(self.logs(*self.words.spelt(flat), tokens), np.cumsum(tokens)[:-1], axis=1)
 
-    def items_of(self, numbers: np.ndarray) -> np.ndarray:
-        packed = self.words.packed
-        return np.frombuffer(b"".join([packed[k] for k in numbers.tolist()]), np.int32)
+    def _windows(self, seen: np.ndarray, target: np.ndarray) -> np.ndarray:
+        """log10 probabilities of the targets, which end where the windows do."""
+        first = WINDOW - target.shape[1]
+        _, _, c = _attend(self.by_item, self.by_place, seen, first)
+        pi = _mixture(self.w, c.reshape(-1, WIDTH), seen[:, first:].ravel())
+        total = pi @ ALL
+        pi *= np.take(self.emission, target.ravel(), axis=0)
+        return np.log10(np.maximum(pi @ ALL / total, np.float32(1e-30))).reshape(target.shape)
 
-    def spelt(self, texts: list[list[bytes]]) -> list[np.ndarray]:
-        """For each text a row for each token: log10 probabilities by its ids, and of its first
-        id alone, its count, its first item."""
-        numbers = self.numbers(texts)
-        size, share, count, first = self.words.known(np.concatenate(numbers))
-        seen, target, scored = map(
-            np.concatenate, zip(*(windows(self.items_of(part)) for part in numbers))
-        )
-        logs = np.concatenate(
-            [
-                self._windows(seen[k : k + AT_ONCE], target[k : k + AT_ONCE], scored[k : k + AT_ONCE])
-                for k in range(0, len(seen), AT_ONCE)
-            ]
-        )
-        starts = (np.cumsum(size) - size).astype(np.int64)
-        tokens = np.stack([np.add.reduceat(logs, starts) + share, logs[starts], count, first])
-        return np.split(tokens, np.cumsum([len(part) for part in numbers])[:-1], axis=1)
-
-    def _windows(self, seen: np.ndarray, target: np.ndarray, scored: np.ndarray) -> np.ndarray:
-        """log10 probabilities of the scored targets, in order."""
-        h = np.take(self.by_item, seen, axis=0)
-        h += self.by_place
-        a = h[..., :WIDTH] @ h[..., WIDTH : 2 * WIDTH].transpose(0, 2, 1)
-        np.minimum(a, LARGEST, out=a)
-        a += MASK
-        np.exp(a, out=a)
-        c = (a @ h[..., 2 * WIDTH :]) / (a @ ONES)
-        at = np.flatnonzero(scored)
-        pi = c.reshape(-1, WIDTH)[at] @ self.w.out
-        pi += np.take(self.w.mix, seen.ravel()[at], axis=0)
-        np.minimum(pi, LARGEST, out=pi)
-        np.exp(pi, out=pi)
-        total = pi.sum(1)
-        pi *= np.take(self.emission, target.ravel()[at], axis=0)
-        return np.log10(np.maximum(pi.sum(1) / total, 1e-30))
+
+def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Each row the bytes of the values up to its end."""
+    offsets = np.concatenate(([0], ends)).astype(np.int64) * values.itemsize
+    if offsets[-1] >= 1 << 31:
+        raise ValueError("too many ids at once")
+    buffers = [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(np.ascontiguousarray(values))]
+    return pa.Array.from_buffers(pa.binary(), len(ends), buffers)
+
+
+def _values(rows: pa.Array, kind: type) -> np.ndarray:
+    """The values of all rows of ``_binary``, one after another."""
+    return np.frombuffer(b"".join(rows.to_pylist()), kind).astype(np.int64)
+
+
+def _id_kind(path: str) -> type:
+    return np.uint16 if encoder(path).size < 1 << 16 else np.uint32
+
+
+def encoded(rows: DataFrame, path: str, frequent: dict[bytes, int]) -> DataFrame:
+    """``text`` replaced by its ids; other columns are kept.
+
+    ``tag`` is unique, ``tokens`` their number, ``ids`` has the bytes of all ids, ``size`` how many
+    each token has, ``rank`` its place among the frequent words or -1, ``rest`` the other words.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast(frequent)
+    kept = [c for c in rows.columns if c != "text"]
+    kind = _id_kind(path)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words(path, shared.value)
+        tag = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(at, TEXTS_AT_ONCE)
+                flat, tokens = _tokens([words_of(t.as_py()) for t in part.column("text")])
+                ids, size, rank = words.spelt(flat)
+                ends = np.cumsum(tokens)
+                rest = np.flatnonzero(rank < 0)
+                rest_ends = np.searchsorted(rest, np.concatenate(([0], ends)))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(part.column(c) for c in kept),
+                        pa.array(range(tag, tag + len(tokens)), pa.int64()),
+                        pa.array(tokens),
+                        _binary(ids.astype(kind), np.cumsum(size)[ends - 1]),
+                        _binary(size.astype(np.uint32), ends),
+                        _binary(rank.astype(np.int32), ends),
+                        pa.ListArray.from_arrays(
+                            pa.array(rest_ends, pa.int32()),
+                            pa.array([flat[k].decode() for k in rest.tolist()], pa.string()),
+                        ),
+                    ],
+                    [*kept, "tag", "tokens", "ids", "size", "rank", "rest"],
+                )
+                tag += len(tokens)
+
+    kinds = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in kept]
+    added = "tag long, tokens long, ids binary, size binary, rank binary, rest array<string>"
+    return materialise(in_tasks(rows, run, ", ".join([*kinds, added])), "lm-ids")
 
 
 def _mean(states: list[tuple[int, bytes]]) -> tuple[int, dict[str, np.ndarray]]:
@@ -524,7 +670,7 @@ def _averaged(states: DataFrame) -> tuple[int, dict[str, np.ndarray]]:
 
 def _round(texts: DataFrame, scorer: Scorer) -> Weights:
     """Train in each partition from the same weights; average by the windows learnt."""
-    shared = texts.sparkSession.sparkContext.broadcast(scorer)
+    shared, kind = texts.sparkSession.sparkContext.broadcast(scorer.lean()), _id_kind(scorer.path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -545,9 +691,10 @@ def _round(texts: DataFrame, scorer: Scorer) -> Weights:
             return [(seen[end:], target[end:], counts[end:])] if end < len(seen) else []
 
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                words = [words_of(t.as_py()) for t in batch.column(0).slice(at, 64)]
-                waiting += [windows(model.items_of(numbers)) for numbers in model.numbers(words)]
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(at, TEXTS_AT_ONCE)
+                ids, size = _values(part.column("ids"), kind), _values(part.column("size"), np.uint32)
+                waiting.append(model.windows(ids, size, part.column("tokens").to_numpy()))
                 if sum(len(seen) for seen, _, _ in waiting) >= BATCH:
                     waiting = learn(waiting)
         if waiting:
@@ -586,20 +733,18 @@ class Base(NamedTuple):
 
     def against(self, counts: np.ndarray, logs: np.ndarray, first_logs: np.ndarray, first: np.ndarray):
         """How much likelier words are by their shares than by their ids."""
-        begins = self.begins[first.astype(np.int64)]
-        rest = np.where(counts > 0, 10 ** np.minimum(first_logs - logs, 300), 1.0)
-        return self.share(counts) * rest * 10**-begins
+        return self.times(counts, 10 ** np.minimum(first_logs - logs, 300), (10**-self.begins)[first.astype(np.int64)])
+
+    def times(self, counts: np.ndarray, others: np.ndarray, begun: np.ndarray) -> np.ndarray:
+        """``against`` from one by the probabilities of a word's other ids, and of its first."""
+        return self.share(counts) * np.where(counts > 0, others, 1.0) * begun
 
     def ahead(self, first_logs: np.ndarray, first: np.ndarray) -> np.ndarray:
         """log10 of how much likelier a token's first id is here than anywhere."""
         return first_logs - self.begins[first.astype(np.int64)]
 
 
-# Words of a text that are not frequent, to be joined with their counts.
-REST = pa.list_(
-    pa.struct([("word", pa.string()), *((n, pa.float64()) for n in ("spelt", "ahead", "begins"))])
-)
-BY_WEIGHT = pa.list_(pa.float64())  # sums over words for each of BASE_WEIGHTS
+PRODUCT = 512  # so many numbers from a half to one have a product above the least float
 
 
 def smoothed(tokens: int, distinct: int) -> float:
@@ -615,69 +760,90 @@ def _mixed(weight: float, count: Column, tokens: int, distinct: int) -> Column:
 
 
 def _scored(rows: DataFrame, scorer: Scorer, base: Base) -> DataFrame:
+    """``_summed`` of ``id``, ``text`` and ``held_out``."""
+    return _summed(encoded(rows, scorer.path, scorer.frequent), scorer, base)
+
+
+def _summed(texts: DataFrame, scorer: Scorer, base: Base) -> DataFrame:
     """``id``, ``held_out``, ``tag`` (unique), and sums over the frequent words of a text.
 
     ``mixed`` has log10 of their probabilities under each weight, ``left_out`` the same where an
-    occurrence is left out of its word's count (null if held out); ``rest`` the other words.
+    occurrence is left out of its word's count (null if held out); ``rest`` the other words, to
+    be joined with their counts.
     """
-    shared = rows.sparkSession.sparkContext.broadcast((scorer, base))
-    kind = rows.schema["id"].dataType.simpleString()
-    weights = np.array(BASE_WEIGHTS)[:, None]
-
-    def under_weights(shares: Base, counts: np.ndarray, *known: np.ndarray) -> list[float]:
-        more = shares.against(counts, *known) * weights
-        more += 1 - weights
-        return (known[0].sum() + np.log10(more, out=more).sum(axis=1)).tolist()
+    shared = texts.sparkSession.sparkContext.broadcast((scorer.lean(), base))
+    kind, id_kind = texts.schema["id"].dataType.simpleString(), _id_kind(scorer.path)
+
+    def under_weights(ratio: np.ndarray, logs: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        """A row for each text; where the ratio is one, only ``logs`` counts.
+
+        Of products the mantissas are multiplied and the exponents added, so few logarithms are taken.
+        """
+        blocks = -(-tokens // PRODUCT)
+        first = np.cumsum(blocks) - blocks
+        turn = np.arange(blocks.sum()) - np.repeat(first, blocks)
+        starts = np.cumsum(tokens) - tokens
+        at = np.repeat(starts, blocks) + turn * PRODUCT
+        sums, more = np.empty((len(tokens), len(BASE_WEIGHTS))), np.empty_like(ratio)
+        for k, weight in enumerate(BASE_WEIGHTS):
+            np.multiply(ratio, weight, out=more)
+            more += 1 - weight
+            mantissa, exponent = np.frexp(more)
+            product = np.log10(np.multiply.reduceat(mantissa, at))
+            product += np.add.reduceat(exponent, at, dtype=np.int64) * np.log10(2)
+            sums[:, k] = np.add.reduceat(product, first)
+        return sums + np.add.reduceat(logs, starts)[:, None]
+
+    def by_weight(sums: np.ndarray, absent: np.ndarray | None = None) -> pa.Array:
+        """A list for each row of the sums, in the order of texts."""
+        if absent is None:
+            absent = np.zeros(len(sums), bool)
+        each = sums.shape[1]
+        offsets = np.concatenate(([0], np.cumsum(np.where(absent, 0, each))))
+        return pa.ListArray.from_arrays(
+            pa.array(offsets, pa.int32(), mask=np.append(absent, False)), pa.array(sums[~absent].ravel())
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model, shares = shared.value
-        tag = TaskContext.get().partitionId() << 33
+        starting = 10**-shares.begins
+        by_rank = np.append(np.log10(shares.share(model.counts[:-1])), 0.0)
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part = batch.slice(at, 64)
-                texts = [words_of(t.as_py()) for t in part.column(1)]
-                made: list[list] = [[] for _ in range(6)]
-                for words, held, (logs, first_logs, counted, first) in zip(
-                    texts, part.column(2).to_pylist(), model.spelt(texts)
-                ):
-                    listed = counted >= 0
-                    counts, known = counted[listed], (logs[listed], first_logs[listed], first[listed])
-                    ahead = shares.ahead(first_logs, first)
-                    rest = np.flatnonzero(~listed)
-                    tokens = [*words, b""]
-                    values = (
-                        len(tokens),
-                        int(listed.sum()),
-                        float(np.log10(shares.share(counts)).sum()),
-                        under_weights(shares, counts, *known),
-                        None if held else under_weights(shares, counts - 1, *known),
-                        [
-                            {"word": tokens[k].decode(), "spelt": x, "ahead": y, "begins": z}
-                            for k, x, y, z in zip(
-                                rest.tolist(),
-                                logs[rest].tolist(),
-                                ahead[rest].tolist(),
-                                (first_logs - ahead)[rest].tolist(),
-                            )
-                        ],
-                    )
-                    for into, value in zip(made, values):
-                        into.append(value)
-                kinds = [pa.int64(), pa.int64(), pa.float64(), BY_WEIGHT, BY_WEIGHT, REST]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0),
-                        part.column(2),
-                        pa.array(range(tag, tag + len(texts)), pa.int64()),
-                        *[pa.array(values, k) for values, k in zip(made, kinds)],
-                    ],
-                    ["id", "held_out", "tag", "n_tokens", "hits", "base", "mixed", "left_out", "rest"],
+            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+                part = batch.slice(at, TEXTS_AT_ONCE)
+                values = [_values(part.column(c), k) for c, k in (("ids", id_kind), ("size", np.uint32), ("rank", np.int32))]
+                tokens = part.column("tokens").to_numpy()
+                logs, first_logs, counted, first = model.logs(*values, tokens)
+                starts, listed = np.cumsum(tokens) - tokens, counted >= 0
+                ahead = shares.ahead(first_logs, first)
+                known, rest = np.where(listed, logs, 0.0), ~listed
+                held = part.column("held_out").to_numpy(zero_copy_only=False).astype(bool)
+                others, begun = 10 ** np.minimum(first_logs - logs, 300), starting[first.astype(np.int64)]
+                ratio = np.where(listed, shares.times(counted, others, begun), 1.0)
+                fewer = np.where(listed, shares.times(counted - 1, others, begun), 1.0)
+                counts = by_rank[values[2]]
+                words = part.column("rest")
+                spelt = pa.StructArray.from_arrays(
+                    [words.flatten(), *map(pa.array, (logs[rest], ahead[rest], (first_logs - ahead)[rest]))],
+                    ["word", "spelt", "ahead", "begins"],
                 )
-                tag += len(texts)
+                offsets = np.concatenate(([0], np.cumsum(np.add.reduceat(rest.astype(np.int64), starts))))
+                columns = {
+                    "id": part.column("id"),
+                    "held_out": part.column("held_out"),
+                    "tag": part.column("tag"),
+                    "n_tokens": part.column("tokens"),
+                    "hits": pa.array(np.add.reduceat(listed.astype(np.int64), starts)),
+                    "base": pa.array(np.add.reduceat(counts, starts)),
+                    "mixed": by_weight(under_weights(ratio, known, tokens)),
+                    "left_out": by_weight(under_weights(fewer, known, tokens), held),
+                    "rest": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), spelt),
+                }
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     return materialise(
         in_tasks(
-            rows,
+            texts.select("id", "held_out", "tag", "tokens", "ids", "size", "rank", "rest"),
             run,
             f"id {kind}, held_out boolean, tag long, n_tokens long, hits long, base double, "
             "mixed array<double>, left_out array<double>, "
@@ -712,10 +878,23 @@ def base_weight(texts: DataFrame, counts: DataFrame, scorer: Scorer, base: Base)
     return _best_weight(scored, _counted(scored, counts), base)
 
 
+def _turn() -> Column:
+    """The round that learns from a document."""
+    return F.pmod(F.xxhash64("text", "id"), F.lit(ROUNDS)).alias("turn")
+
+
 def train(
     training: DataFrame, counts: DataFrame, path: str, frequent: dict[bytes, int], total: tuple[int, int]
 ) -> tuple[Scorer, Base]:
-    """A scorer and the base, from ``id``, ``text`` and their word counts.
+    """A scorer and the base, from ``id``, ``text`` and their word counts."""
+    texts = encoded(training.select(_turn(), "text"), path, frequent)
+    return fit(texts, counts, path, frequent, total)
+
+
+def fit(
+    texts: DataFrame, counts: DataFrame, path: str, frequent: dict[bytes, int], total: tuple[int, int]
+) -> tuple[Scorer, Base]:
+    """A scorer and the base, from ``turn``, the encoded texts and their word counts.
 
     Every document is learnt from, in the round that its hash tells.
     """
@@ -724,11 +903,10 @@ def train(
     begin = last == STOP
     base = Base.of(*total, after[begin], number[begin], words[begin])
     scorer = Scorer(path, items, start(last, after, number), frequent)
-    turn = F.pmod(F.xxhash64("text", "id"), F.lit(ROUNDS))
     trainers = max(TRAINERS, total[0] // TRAINER_TOKENS)
     for k in range(ROUNDS):
-        texts = training.where(turn == k).select("text").coalesce(trainers)
-        scorer = Scorer(path, items, _round(texts, scorer), frequent)
+        turn = texts.where(F.col("turn") == k).select("tokens", "ids", "size")
+        scorer = Scorer(path, items, _round(turn.coalesce(trainers), scorer), frequent)
     return scorer, base
 
 
@@ -753,8 +931,9 @@ def score(
     short = F.octet_length("word") <= LONGEST_FREQUENT
     top = counts.where(short).orderBy(F.col("n").desc(), "word").limit(FREQUENT_WORDS)
     frequent = {r.word.encode(): r.n for r in top.collect()}
-    scorer, base = train(training.select("id", "text"), counts, path, frequent, total)
-    scored = _scored(rows, scorer, base)
+    texts = encoded(rows.select("id", "held_out", _turn(), "text"), path, frequent)
+    scorer, base = fit(texts.where(~F.col("held_out")), counts, path, frequent, total)
+    scored = _summed(texts, scorer, base)
     rest = _counted(scored, counts)
     weight = _best_weight(scored, rest, base)
     # Words outside the frequent ones are few for each text, and none of them is hot.

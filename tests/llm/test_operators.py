@@ -534,6 +534,48 @@ def test_attention_is_causal_and_gradients_hold():
         assert (there - back) / 2e-2 == pytest.approx((grads[name] * direction).sum(), rel=0.1, abs=2e-3)
 
 
+def test_gradients_hold_where_the_first_targets_are_not_learnt():
+    random = np.random.default_rng(4)
+    w = attention_lm.start(np.array([attention_lm.STOP, 0, 0]), np.array([0, 1, 2]), np.ones(3))
+    seen, target = random.integers(0, 40, (2, 5, attention_lm.WINDOW))
+    counts = np.ones(seen.shape, np.float32)
+    counts[1:, : attention_lm.CONTEXT] = 0
+    _, grads = attention_lm.step(w, seen, target, counts)
+    for name in ("query", "key", "value", "out", "embed", "place", "mix", "emission"):
+        direction = random.normal(size=getattr(w, name).shape).astype(np.float32)
+        there, back = (
+            attention_lm.step(w._replace(**{name: getattr(w, name) + s * direction}), seen, target, counts)[0]
+            for s in (1e-2, -1e-2)
+        )
+        assert (there - back) / 2e-2 == pytest.approx((grads[name] * direction).sum(), rel=0.1, abs=2e-3)
+
+
+def test_words_are_spelt_together_and_once(monkeypatch):
+    path, asked, spelling = default_tokenizer(), [], attention_lm.spelling
+
+    def spied(path, words):
+        asked.extend(words)
+        return spelling(path, words)
+
+    monkeypatch.setattr(attention_lm, "spelling", spied)
+    words = attention_lm.Words(path, {b"the": 5, b"": 3})
+    merge = attention_lm.encoder(path).merge
+    for text in ("the cat's 12ab the \u00e9t\u00e9!!", "a\u00a0 \u2003z cat's the", ""):
+        tokens = [*attention_lm.words_of(text), b""]
+        ids, size, rank = words.spelt(tokens)
+        parts = [merge(" " + t.decode()) if t else [words.end] for t in tokens]
+        assert ids.tolist() == [i for part in parts for i in part] and size.tolist() == list(map(len, parts))
+        assert rank.tolist() == [{b"the": 0, b"": 1}.get(t, -1) for t in tokens]
+    assert len(asked) == len(set(asked)) == 6
+
+
+def test_windows_of_several_texts_are_those_of_each():
+    texts = [np.append(np.arange(n), attention_lm.STOP) for n in (0, 15, 16, 3, 70)]
+    found = attention_lm.windows(np.concatenate(texts), np.array([len(x) for x in texts]))
+    for part, whole in zip(zip(*map(attention_lm.windows, texts)), found):
+        assert np.array_equal(np.concatenate(part), whole)
+
+
 # SentencePiece
 
 
